@@ -1,63 +1,61 @@
-"""Strictly typed reads of JSON text through Spark's VARIANT type.
+"""Strictly typed reads of JSON text, as SQL expressions over Spark's VARIANT type.
 
 Plain JSON readers coerce (a number becomes text, "42" becomes a long); these check the JSON kind first and
-give null for a value of the wrong kind, so that a caller can tell a bad record from a good one.
+give null for a value of the wrong kind, so that a caller can tell a bad record from a good one. They are
+SQL text because a projection has hundreds of them and building Column objects for each costs seconds.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.catalog import Kind
 
 
-def parse_document(value: Column) -> Column:
-    """The single JSON value that the whole text holds, else null.
+def with_parsed(df: DataFrame, value: str, out: str, when: str = "true") -> DataFrame:
+    """Adds an array VARIANT around the single JSON value that the text of a column holds, null if it holds not exactly one.
 
     The JSON parser stops after the first value, so the text is parsed inside brackets: rubbish after the
     value breaks the array, an empty text leaves it empty and a second value leaves a second element. Only
     a text with "]" in it could close the bracket itself; that one must also parse as an object member.
+    The brackets stay, because taking the value out of them would copy it. Rows that fail when are not parsed.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), value, F.lit("]")))
-    member = F.try_parse_json(F.concat(F.lit('{"v":'), value, F.lit("}")))
-    alone = F.try_variant_get(wrapped, "$[1]", "variant").isNull()
-    closed = F.when(value.contains("]"), member.isNotNull()).otherwise(F.lit(True))
-    return F.when(alone & closed, F.try_variant_get(wrapped, "$[0]", "variant"))
+    parsed = df.withColumn("_wrapped", F.expr(f"case when {when} then try_parse_json(concat('[', {value}, ']')) end"))
+    alone = at("_wrapped", "$[1]") + " is null"
+    closed = f"case when contains({value}, ']') then try_parse_json(concat('{{\"v\":', {value}, '}}')) is not null else true end"
+    return parsed.withColumn(out, F.expr(f"case when {alone} and {closed} then _wrapped end")).drop("_wrapped")
 
 
-def member(document: Column, name: str) -> Column:
-    """A member of a JSON object: null if absent, a JSON null if the member is null."""
-    return F.try_variant_get(document, f"$.{name}", "variant")
+def at(document: str, path: str) -> str:
+    """The value at a path: null if absent, a JSON null if null. Copies the value, so take scalars by full path."""
+    return f"try_variant_get({document}, '{path}', 'variant')"
 
 
-def kind_of(value: Column) -> Column:
+def kind_of(value: str) -> str:
     """BIGINT, STRING, BOOLEAN, DECIMAL(p,s), DOUBLE, OBJECT<...>, ARRAY<...>, VOID for JSON null; null if absent."""
-    return F.schema_of_variant(value)
+    return f"schema_of_variant({value})"
 
 
-def is_object(value: Column) -> Column:
-    return F.coalesce(kind_of(value).startswith("OBJECT<"), F.lit(False))
+def is_object(value: str) -> str:
+    """Whether value is a JSON object; this derives the whole type, so ask only where a member does not tell."""
+    return f"coalesce({kind_of(value)} like 'OBJECT<%', false)"
 
 
-def present(value: Column) -> Column:
+def present(value: str) -> str:
     """True for a member that exists and is not JSON null."""
-    return value.isNotNull() & ~F.is_variant_null(value)
-
-
-def typed(value: Column, json_kind: Column, kind: Kind) -> Column:
-    """value, whose kind_of is json_kind, as the Spark type of kind; null where the JSON kind does not allow that."""
-    whole = F.try_variant_get(value, "$", "bigint")
-    if kind is Kind.BIGINT:
-        return F.when(json_kind == "BIGINT", whole)
-    if kind is Kind.INTEGER:
-        return F.when(json_kind == "BIGINT", whole.try_cast("int"))
-    string = F.try_variant_get(value, "$", "string")
-    if kind is Kind.TEXT:
-        return F.when(json_kind == "STRING", string)
-    if kind is Kind.DECIMAL_TEXT:
-        return F.when(json_kind != "VOID", string)
-    if kind is Kind.BOOLEAN:
-        return (F.when(json_kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
-                .when(json_kind == "BIGINT", whole.try_cast("int") != 0))
-    return F.when(json_kind == "BIGINT", whole).when(json_kind == "STRING", string.try_cast("bigint"))
+    return f"({value} is not null and not is_variant_null({value}))"
+
+
+def typed(document: str, path: str, json_kind: str, kind: Kind) -> str:
+    """The value at a path, of kind json_kind, as the Spark type of kind; null where the JSON kind does not allow that."""
+    read = lambda spark_type: f"try_variant_get({document}, '{path}', '{spark_type}')"
+    cases = {
+        Kind.BIGINT: [("= 'BIGINT'", read("bigint"))],
+        Kind.INTEGER: [("= 'BIGINT'", read("int"))],
+        Kind.TEXT: [("= 'STRING'", read("string"))],
+        Kind.DECIMAL_TEXT: [("<> 'VOID'", read("string"))],
+        Kind.BOOLEAN: [("= 'BOOLEAN'", read("boolean")), ("= 'BIGINT'", f"{read('int')} <> 0")],
+        Kind.MILLIS: [("= 'BIGINT'", read("bigint")), ("= 'STRING'", f"try_cast({read('string')} as bigint)")],
+    }[kind]
+    return "case " + " ".join(f"when {json_kind} {test} then {value}" for test, value in cases) + " end"

@@ -12,14 +12,12 @@ The whole thing is one stateless projection: no shuffle, the JSON text is parsed
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.catalog import CATALOG, Catalog, EntitySpec, Field
 from starloom.functions.scalars import operation_letter, operation_name, text
-from starloom.functions.strict_json import is_object, kind_of, member, parse_document, present, typed
+from starloom.functions.strict_json import at, is_object, kind_of, present, typed, with_parsed
 
 CURATED, IGNORED = "curated", "ignored"
 PARSE_FAILED, PROJECTION_FAILED = "parse-failed", "projection-failed"
@@ -36,77 +34,92 @@ def _pinned(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*others, F.inline(F.array(F.struct(*columns))))
 
 
-def parse_envelopes(raw: DataFrame, catalog: Catalog = CATALOG) -> DataFrame:
-    """Known, non-null raw rows with entity, operation, source_ts_ms, after (VARIANT) and parsed (boolean)."""
-    entity = F.create_map(*[F.lit(x) for s in catalog for x in (s.raw_topic, s.entity)])
+def parse_envelopes(raw: DataFrame, catalog: Catalog = CATALOG, when: str = "true") -> DataFrame:
+    """Known, non-null raw rows with entity, operation, source_ts_ms, after (VARIANT) and parsed (boolean).
+
+    Rows that fail when keep their place but are not parsed.
+    """
     known = raw.where(F.col("topic").isin(catalog.raw_topics) & F.col("value").isNotNull())
-    document = known.withColumn("document", parse_document(F.col("value")))
-    body = document.withColumn("payload", member(F.col("document"), "payload")).withColumn(
-        "body", F.when(F.col("payload").isNotNull(), F.col("payload")).otherwise(F.col("document")))
-    parts = body.withColumns({
-        "op": member(F.col("body"), "op"),
-        "source": member(F.col("body"), "source"),
-        "after": member(F.col("body"), "after"),
-    }).withColumn("ts", member(F.col("source"), "ts_ms"))
-    op_ok = F.col("op").isNull() | F.coalesce(kind_of(F.col("op")).isin("STRING", "VOID"), F.lit(False))
-    source_ok = F.col("source").isNull() | (
-        is_object(F.col("source")) & (F.col("ts").isNull() | F.coalesce(kind_of(F.col("ts")) == "BIGINT", F.lit(False))))
+    nested = with_parsed(known, "value", "document", when).withColumn("nested", F.expr(at("document", "$[0].payload.after")))
+    # only where it does not follow from a member that was found is a whole object looked at
+    placed = nested.withColumn("inside", F.expr(f"nested is not null or {at('document', '$[0].payload')} is not null"))
+    pick = lambda path: f"case when inside then {at('document', f'$[0].payload.{path}')} else {at('document', f'$[0].{path}')} end"
+    parts = placed.withColumns({
+        "after": F.expr(f"case when inside then nested else {at('document', '$[0].after')} end"),
+        "op": F.expr(pick("op")), "ts": F.expr(pick("source.ts_ms")),
+    }).withColumn("op_text", F.expr("try_variant_get(op, '$', 'string')"))
+    op_ok = f"case when op is not null then {kind_of('op')} in ('STRING', 'VOID') else true end"
+    source_ok = (f"case when ts is not null then {kind_of('ts')} = 'BIGINT' "
+                 f"when {pick('source')} is not null then {is_object(pick('source'))} else true end")
+    envelope_ok = (f"case when after is not null then true when inside then {is_object(at('document', '$[0].payload'))} "
+                   f"else {is_object(at('document', '$[0]'))} end")
+    entity = F.create_map(*[F.lit(x) for s in catalog for x in (s.raw_topic, s.entity)])
     parsed = parts.select(
-        *[c for c in raw.columns if c != "value"],
-        entity[F.col("topic")].alias("entity"),
-        operation_name(F.try_variant_get("op", "$", "string")).alias("operation"),
-        F.coalesce(F.try_variant_get("ts", "$", "bigint"), F.lit(0)).alias("source_ts_ms"),
-        F.col("after"),
-        (is_object(F.col("document")) & is_object(F.col("body")) & op_ok & source_ok).alias("parsed"))
+        *raw.columns, entity[F.col("topic")].alias("entity"), operation_name("op_text").alias("operation"),
+        F.expr("coalesce(try_variant_get(ts, '$', 'bigint'), 0)").alias("source_ts_ms"), "after",
+        F.expr(f"({envelope_ok}) and ({op_ok}) and ({source_ok})").alias("parsed"))
     return _pinned(parsed, ["operation", "source_ts_ms", "after", "parsed"])
 
 
-def _read_fields(parsed: DataFrame, fields: list[Field]) -> DataFrame:
-    """Adds _t_<name>, the typed value, for each field, and _k_<name>, its JSON kind."""
-    members = parsed.withColumns({f"_m_{f.name}": member(F.col("after"), f.source) for f in fields})
-    kinds = members.withColumns({f"_k_{f.name}": kind_of(F.col(f"_m_{f.name}")) for f in fields})
-    return kinds.withColumns({f"_t_{f.name}": typed(F.col(f"_m_{f.name}"), F.col(f"_k_{f.name}"), f.kind) for f in fields})
+def _owners(catalog: Catalog) -> dict[str, tuple[Field, list[str]]]:
+    """Each field name of the catalog with the entities that have it."""
+    owners: dict[str, tuple[Field, list[str]]] = {}
+    for spec in catalog:
+        for field in spec.fields:
+            owners.setdefault(field.name, (field, []))[1].append(spec.entity)
+    return owners
+
 
+def _names(entities: list[str]) -> str:
+    return ", ".join(f"'{e}'" for e in entities)
 
-def _failure(field: Field) -> Column:
+
+def _per_entity(catalog: Catalog, expression) -> str:
+    """expression(spec) of the row's own entity."""
+    return "case entity " + " ".join(f"when '{s.entity}' then {expression(s)}" for s in catalog) + " end"
+
+
+def _read_fields(parsed: DataFrame, catalog: Catalog) -> DataFrame:
+    """Adds _t_<name>, the typed value, and _k_<name>, its JSON kind, for the fields of each row's own entity."""
+    kinds, values = {}, {}
+    for field, entities in _owners(catalog).values():
+        path = f"$.{field.source}"
+        kinds[f"_k_{field.name}"] = F.expr(f"case when entity in ({_names(entities)}) then {kind_of(at('after', path))} end")
+        values[f"_t_{field.name}"] = F.expr(typed("after", path, f"_k_{field.name}", field.kind))
+    return parsed.withColumns(kinds).withColumns(values)
+
+
+def _failure(field: Field) -> str:
     """Message for a field that cannot be projected, else null."""
-    json_kind, value = F.col(f"_k_{field.name}"), F.col(f"_t_{field.name}")
-    wrong = f"Source column '{field.source}' has the wrong JSON kind for the {field.kind.value} field '{field.name}'."
-    absent = json_kind.isNull() | (json_kind == "VOID")
+    json_kind, value = f"_k_{field.name}", f"_t_{field.name}"
+    wrong = f"Source column ''{field.source}'' has the wrong JSON kind for the {field.kind.value} field ''{field.name}''."
+    absent = f"({json_kind} is null or {json_kind} = 'VOID')"
     if field.nullable:
-        return F.when(~absent & value.isNull(), F.lit(wrong))
-    missing = f"Source column '{field.source}' is missing or null but the curated field '{field.name}' is not nullable."
-    return F.when(absent, F.lit(missing)).when(value.isNull(), F.lit(wrong))
+        return f"case when not {absent} and {value} is null then '{wrong}' end"
+    missing = f"Source column ''{field.source}'' is missing or null but the curated field ''{field.name}'' is not nullable."
+    return f"case when {absent} then '{missing}' when {value} is null then '{wrong}' end"
 
 
-def _spec_failure(spec: EntitySpec) -> Column:
+def _spec_failure(spec: EntitySpec) -> str:
     """Message of the first field of spec, in its order, that cannot be projected."""
-    not_object = F.when(~is_object(F.col("after")), F.lit("The after-image is not a JSON object."))
-    return F.coalesce(not_object, *[_failure(f) for f in spec.fields])
-
-
-def _judged(parsed: DataFrame, catalog: Catalog) -> DataFrame:
-    """parsed with the typed fields of all entities, outcome and message."""
-    fields = {f.name: f for s in catalog for f in s.fields}
-    failure = _per_entity(catalog, _spec_failure)
-    typed_rows = _read_fields(parsed, list(fields.values())).withColumn("_failure", failure)
-    outcome = (F.when(~F.col("parsed"), PARSE_FAILED).when(~present(F.col("after")), IGNORED)
-               .when(F.col("_failure").isNotNull(), PROJECTION_FAILED).otherwise(CURATED))
-    message = (F.when(F.col("outcome") == PARSE_FAILED, "The value is not a well-formed change envelope.")
-               .when(F.col("outcome") == PROJECTION_FAILED, F.col("_failure")))
-    judged = typed_rows.withColumn("outcome", outcome).withColumn("message", message)
+    required = next(f for f in spec.fields if not f.nullable)
+    not_object = (f"case when _k_{required.name} is null and not {is_object('after')} "
+                  "then 'The after-image is not a JSON object.' end")
+    return f"coalesce({', '.join([not_object, *[_failure(f) for f in spec.fields]])})"
+
+
+def _judged(raw: DataFrame, catalog: Catalog) -> DataFrame:
+    """Known raw rows with the typed fields of all entities, operation, source_ts_ms, outcome and message."""
+    parsed = parse_envelopes(raw, catalog)
+    typed_rows = _read_fields(parsed, catalog).withColumn("_failure", F.expr(_per_entity(catalog, _spec_failure)))
+    outcome = (f"case when not parsed then '{PARSE_FAILED}' when not {present('after')} then '{IGNORED}' "
+               f"when _failure is not null then '{PROJECTION_FAILED}' else '{CURATED}' end")
+    message = (f"case outcome when '{PARSE_FAILED}' then 'The value is not a well-formed change envelope.' "
+               f"when '{PROJECTION_FAILED}' then _failure end")
+    judged = typed_rows.withColumn("outcome", F.expr(outcome)).withColumn("message", F.expr(message))
     return _pinned(judged, ["outcome", "message"])
 
 
-def _per_entity(catalog: Catalog, expression) -> Column:
-    """expression(spec) of the row's own entity."""
-    specs = list(catalog)
-    if len(specs) == 1:
-        return expression(specs[0])
-    return reduce(lambda acc, s: acc.when(F.col("entity") == s.entity, expression(s)), specs[1:],
-                  F.when(F.col("entity") == specs[0].entity, expression(specs[0])))
-
-
 def _curated_at(curated_at) -> Column:
     instant = curated_at if isinstance(curated_at, Column) else F.lit(curated_at).cast("timestamp")
     return F.unix_millis(instant)
@@ -118,15 +131,10 @@ def classify(raw: DataFrame, curated_at, catalog: Catalog = CATALOG) -> DataFram
     A field that several entities share is one column; it is null in rows of other entities. One write of
     this frame partitioned by route replaces a pass per entity.
     """
-    judged = _judged(parse_envelopes(raw, catalog), catalog)
-    owners: dict[str, list[str]] = {}
-    for spec in catalog:
-        for field in spec.fields:
-            owners.setdefault(field.name, []).append(spec.entity)
+    judged = _judged(raw, catalog)
     good = F.col("outcome") == CURATED
-    fields = [F.when(good & F.col("entity").isin(entities), F.col(f"_t_{name}")).alias(name)
-              for name, entities in owners.items()]
-    key = _per_entity(catalog, lambda s: text(F.col(f"_t_{s.key_field}").cast("string")))
+    fields = [F.expr(f"case when outcome = '{CURATED}' then _t_{name} end").alias(name) for name in _owners(catalog)]
+    key = F.expr(_per_entity(catalog, lambda s: f"coalesce(cast(_t_{s.key_field} as string), '')"))
     return judged.select(
         F.when(good, F.col("entity")).otherwise(QUARANTINE).alias("route"), "entity", "outcome", "message", "topic",
         "partition", "offset", *fields, "operation", F.col("source_ts_ms").alias("sourceTsMs"),
@@ -142,7 +150,7 @@ def entity_frame(classified: DataFrame, spec: EntitySpec) -> DataFrame:
 def curate_entity(raw: DataFrame, spec: EntitySpec, curated_at) -> DataFrame:
     """The curated records of one entity, projecting only its own fields."""
     catalog = Catalog([spec])
-    judged = _judged(parse_envelopes(raw.where(F.col("topic") == spec.raw_topic), catalog), catalog)
+    judged = _judged(raw.where(F.col("topic") == spec.raw_topic), catalog)
     return judged.where(F.col("outcome") == CURATED).select(
         *[F.col(f"_t_{f.name}").alias(f.name) for f in spec.fields], "operation",
         F.col("source_ts_ms").alias("sourceTsMs"), _curated_at(curated_at).alias("curatedAtUtc"), "partition", "offset",

@@ -16,6 +16,7 @@ from starloom.operators.lineage import LOAD_JOB
 from starloom.sources.tables import VersionedTable
 
 PARTITION_COLUMNS = {"fact_order": "order_date_key", "fact_order_line": "order_date_key", "fact_transaction": "txn_date_key"}
+MIN_ROWS_PER_DAY = 200_000                # below this a folder per day would hold only small files
 
 
 class StarStore:
@@ -58,12 +59,14 @@ def load_star(
     """
     report = LoadReport()
     loaded: set[str] = set()
+    read = lambda name: store[name].read()
 
     def stage(name: str, build: Callable[[], DataFrame], *sources: DataFrame) -> None:
         started = time.monotonic()
         try:
             if not sources or not sources[0].isEmpty():
-                store[name].replace(build(), version)
+                folders = name in PARTITION_COLUMNS and sources[0].count() >= MIN_ROWS_PER_DAY * read("dim_date").count()
+                store[name].replace(build(), version, folders)
                 loaded.add(name)
         except Exception as error:
             report.errors.append((_utc_now(), trace_id, LOAD_JOB, f"{name}-load-failed", str(error), repr(error)))
@@ -74,7 +77,7 @@ def load_star(
         report.stages.append((_utc_now(), trace_id, LOAD_JOB, name, "ok", elapsed, "{}"))
 
     started = time.monotonic()
-    s, read = snapshot, lambda name: store[name].read()
+    s = snapshot
     keys = lambda: dims.date_keys([(s["orders"], "placedAtUtc"), (s["transactions"], "occurredAtUtc")], batch_ts)
     newest = ["sourceTsMs", *order]
 

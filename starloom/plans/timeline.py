@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.catalog import EntitySpec
-from starloom.functions.strict_json import member
 from starloom.operators.curate import parse_envelopes
 
 STAGES = ("raw", "curated", "star")
@@ -18,9 +17,9 @@ def record_timeline(raw: DataFrame, curated: DataFrame, dim_customer: DataFrame,
     # a raw row with the key must contain its text, so most rows are dropped before any parsing
     candidates = raw.where((F.col("topic") == spec.raw_topic) & F.col("value").contains(key))
     parsed = parse_envelopes(candidates).where(F.col("parsed"))
-    found = parsed.where(F.try_variant_get(member(F.col("after"), key_source), "$", "string") == key)
+    found = parsed.where(F.try_variant_get("after", f"$.{key_source}", "string") == key)
     in_raw = found.select(F.lit("raw").alias("stage"), F.col("offset").alias("position"), "operation",
-                          F.try_variant_get(member(F.col("after"), "DisplayName"), "$", "string").alias("detail"))
+                          F.try_variant_get("after", "$.DisplayName", "string").alias("detail"))
     in_curated = curated.where(F.col("key") == key).select(
         F.lit("curated").alias("stage"), F.col("offset").alias("position"), "operation", F.col("displayName").alias("detail"))
     in_star = dim_customer.where(F.col("customer_code") == key).select(
@@ -35,5 +34,5 @@ def raw_changes(raw: DataFrame, spec: EntitySpec, key: str) -> DataFrame:
     key_source = next(f.source for f in spec.fields if f.name == spec.key_field)
     candidates = raw.where((F.col("topic") == spec.raw_topic) & F.col("value").contains(key))
     parsed = parse_envelopes(candidates).where(F.col("parsed"))
-    return parsed.where(F.try_variant_get(member(F.col("after"), key_source), "$", "string") == key).select(
+    return parsed.where(F.try_variant_get("after", f"$.{key_source}", "string") == key).select(
         "operation", "offset", F.to_json("after").alias("after"))

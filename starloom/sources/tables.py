@@ -35,23 +35,23 @@ class VersionedTable:
         data = self.spark.read.schema(self.schema).parquet(f"{self.path}/{_VERSION}{versions[-1]}")
         return data.select(self.schema.names)
 
-    def replace(self, df: DataFrame, version: int | None = None) -> DataFrame:
-        """Write df as the new content and return it as read back; a version already committed is kept."""
+    def replace(self, df: DataFrame, version: int | None = None, folders: bool = True) -> DataFrame:
+        """Write df as the new content and return it as read back; a version already committed is kept.
+
+        With partition columns, rows of one partition value are brought together and sorted, so that file statistics
+        prune; AQE splits a heavy value over several tasks and lets light ones share one. folders adds a folder per
+        value, which pays only when a value fills files of a decent size.
+        """
         versions = self.versions()
         version = (versions[-1] + 1 if versions else 0) if version is None else version
         if version not in versions:
-            columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
-            rows = df.select(columns)
+            rows = df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
             if self.partition_by:
-                # whole partitions per task, but a heavy one is split and light ones share a task
-                rows = rows.hint("rebalance", *self.partition_by)
-            rows.write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.path}/{_VERSION}{version}")
+                rows = rows.hint("rebalance", *self.partition_by).sortWithinPartitions(*self.partition_by)
+            by = self.partition_by if folders else ()
+            rows.write.mode("overwrite").partitionBy(*by).parquet(f"{self.path}/{_VERSION}{version}")
         return self.read()
 
-    def reload(self, df: DataFrame, version: int | None = None) -> DataFrame:
-        """replace, except that an empty df leaves the table untouched."""
-        return self.read() if df.isEmpty() else self.replace(df, version)
-
 
 @dataclass(frozen=True)
 class BatchTable:

@@ -105,7 +105,7 @@ def stage_stats(spark, sf_dir):
 
 
 @query("lag_stats", """
-SELECT 'oltp' AS source, COUNT(*) AS samples, round(MIN(value), 1) AS min_lag, round(MAX(value), 1) AS max_lag FROM events""")
+SELECT 'oltp' AS source, COUNT(*) AS samples, round(MIN(value), 1) + 0.0 AS min_lag, round(MAX(value), 1) AS max_lag FROM events""")
 def lag_stats(spark, sf_dir):
     return telemetry.lag_stats(lag_events(spark, sf_dir))
 
