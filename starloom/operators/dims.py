@@ -13,6 +13,7 @@ from starloom.functions.scalars import calendar_columns, date_key, date_key_to_d
 from starloom.operators.lookup import lookup, upsert
 from starloom.operators.ranges import number_rows
 from starloom.operators.scd import CUSTOMER_SCD2, PRODUCT_SCD2, highest_key, scd2_merge
+from starloom.session import materialize
 
 
 def batch_date_key(batch_ts: datetime) -> int:
@@ -53,8 +54,9 @@ def merge_dim_warehouse(existing: DataFrame, warehouses: DataFrame) -> DataFrame
 def merge_dim_carrier(existing: DataFrame, shipments: DataFrame, order: str = "offset") -> DataFrame:
     """Append carriers not seen before, in first-arrival order; known ones never change."""
     seen = shipments.groupBy(text("carrier").alias("carrier")).agg(F.min(order).alias("_first"))
-    unseen = seen.join(existing.select("carrier"), "carrier", "left_anti")
-    numbered = number_rows(unseen, [F.col("_first"), F.col("carrier")], "carrier_sk", highest_key(existing, "carrier_sk"))
+    unseen = materialize(seen.join(existing.select("carrier"), "carrier", "left_anti"), "carriers")
+    numbered = number_rows(unseen, [F.col("_first"), F.col("carrier")], "carrier_sk", highest_key(existing, "carrier_sk"),
+                           rows=unseen.count())
     return existing.unionByName(numbered.select(
         F.col("carrier_sk").cast("int"), "carrier", F.lit("standard").alias("service_level")))
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.session import materialize
+from starloom.session import limit, materialize
 
 RANGE = "_range"
 _BEFORE = (Window.unboundedPreceding, -1)
@@ -99,8 +99,15 @@ def _offsets(layout: DataFrame) -> DataFrame:
     return counts.select(RANGE, F.coalesce(before, F.lit(0)).alias("_before"))
 
 
-def number_rows(df: DataFrame, order: list, out: str, start: int = 0, partitions: int | None = None) -> DataFrame:
-    """Dense numbers start+1, start+2, ... in the given order, which should be unique."""
+def number_rows(
+    df: DataFrame, order: list, out: str, start: int = 0, partitions: int | None = None, rows: int | None = None,
+) -> DataFrame:
+    """Dense numbers start+1, start+2, ... in the given order, which should be unique.
+
+    A caller that knows the number of rows gives it: so few that one task sorts them are numbered by a plain window.
+    """
+    if rows is not None and rows <= limit(df.sparkSession, "singleTaskRows"):
+        return df.withColumn(out, (F.lit(start) + F.row_number().over(Window.orderBy(*order))).cast("bigint"))
     layout = range_layout(df, order, partitions)
     local = F.row_number().over(Window.partitionBy(RANGE).orderBy(*order))
     numbered = layout.join(F.broadcast(_offsets(layout)), RANGE)

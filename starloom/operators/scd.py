@@ -60,8 +60,8 @@ def scd2_merge(existing: DataFrame, incoming: DataFrame, spec: Scd2Spec, batch_t
     current = existing.where(F.col("is_current") == 1).select(spec.columns)
     history = existing.where(F.coalesce(F.col("is_current"), F.lit(0)) != 1).select(spec.columns)
 
+    fresh = materialize(fresh, "scd2-batch")
     if fits_broadcast(fresh):
-        fresh = materialize(fresh, "scd2-batch")
         compared = materialize(current.join(F.broadcast(fresh), key, "left"), "scd2")
         seen = compared.where("_incoming").select(key)
         unseen = fresh.join(seen, key, "left_anti")
@@ -83,7 +83,8 @@ def scd2_merge(existing: DataFrame, incoming: DataFrame, spec: Scd2Spec, batch_t
     opened = both.where(arrived & (~was_current | ~equal)).select(
         key, *[F.col(f"_new_{c}").alias(c) for c in tracked], *[F.col(f"_at_{c}").alias(f"_at_{c}") for c in order])
     start = highest_key(existing, spec.surrogate)
-    numbered = number_rows(opened, [*[F.col(f"_at_{c}") for c in order], F.col(key)], spec.surrogate, start)
+    numbered = number_rows(opened, [*[F.col(f"_at_{c}") for c in order], F.col(key)], spec.surrogate, start,
+                           rows=opened.count())
     filled = [F.coalesce(F.col(c), F.lit("")).alias(c) if isinstance(numbered.schema[c].dataType, T.StringType) else F.col(c)
               for c in tracked]
     new = numbered.select(spec.surrogate, key, *filled, batch.alias("valid_from"),

@@ -21,7 +21,7 @@ def spark():
 @pytest.fixture(params=["broadcast", "sliced"])
 def join_mode(spark, request):
     """Runs a test with broadcast lookups and again with the shuffled, sliced ones."""
-    limits = {"broadcastBytes": "0", "hotKeyMinRows": "2", "rowsPerSlice": "2"} if request.param == "sliced" else {}
+    limits = {"broadcastBytes": "0", "hotKeyMinRows": "2", "rowsPerSlice": "2", "singleTaskRows": "0"} if request.param == "sliced" else {}
     for name, value in limits.items():
         spark.conf.set(f"spark.starloom.{name}", value)
     yield request.param
