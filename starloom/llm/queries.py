@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from starloom.llm import langid, packing, toxicity  # noqa: F401
+from starloom.llm import langid, ngram_join, packing, toxicity  # noqa: F401
 from starloom.llm.registry import ORACLES, QUERIES  # noqa: F401
