@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from starloom.llm import fingerprints, langid, ngram_join, packing, suffix_tree_lm, toxicity, vector_dups, warc  # noqa: F401
+from starloom.llm import fingerprints, langid, ngram_join, packing, pieces, quotations, suffix_tree_lm, toxicity, vector_dups, warc  # noqa: F401
 from starloom.llm.registry import ORACLES, QUERIES  # noqa: F401
