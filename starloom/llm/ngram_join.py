@@ -36,7 +36,7 @@ from starloom.llm.registry import query
 from starloom.session import fits_broadcast, materialize
 
 SKETCH_BITS = 18
-RANGES = 32                                             # hash ranges of the suffix filter
+RANGES = 256                                            # hash ranges of the suffix filter
 
 
 @dataclass(frozen=True)
@@ -101,7 +101,7 @@ def signatures(docs: DataFrame, like: Likeness) -> DataFrame:
                 first = np.lexsort((hashes, counts[(hashes & mask).astype(np.int64)]))[:probe] if probe else slice(0)
                 prefix.append(hashes[first].view(np.int64))
                 indexed.append(index)
-                ranges.append(np.minimum(np.bincount((hashes >> np.uint64(59)).astype(np.int64), minlength=RANGES), 255).astype(np.uint8).tobytes())
+                ranges.append(np.minimum(np.bincount((hashes >> np.uint64(56)).astype(np.int64), minlength=RANGES), 255).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(prefix, pa.list_(pa.int64())),
                  pa.array(indexed, pa.int32()), pa.array(ranges, pa.binary())], names=[f.name for f in schema.fields])
@@ -167,7 +167,7 @@ def near_components(docs: DataFrame, like: Likeness) -> DataFrame:
     classes = (signed.where("set_key is not null").groupBy("set_key", "n_shingles").agg(F.min("doc_id").alias("node")).where("node is not null"))
     members = materialize(signed.select("doc_id", "n_shingles", "set_key", "prefix", "indexed", "ranges")
                           .join(classes, ["set_key", "n_shingles"], "left"), "members")
-    nodes = members.where("doc_id = node").select("node", "n_shingles", "prefix", "indexed", "ranges").dropDuplicates(["node", "n_shingles", "ranges"])
+    nodes = members.where("doc_id = node").select("node", "n_shingles", "prefix", "indexed", "ranges")
     sizes = nodes.select("node", "n_shingles", "ranges")
 
     rows = nodes.select("node", F.col("n_shingles").cast("int").alias("n"), "indexed", F.posexplode("prefix").alias("pos", "hash"))
