@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starloom.catalog import STAR_SCHEMAS
 from starloom.functions.scalars import calendar_columns, date_key, date_key_to_date, money, text
+from starloom.operators.latest import RECENT, latest_per_key
 from starloom.operators.lookup import lookup, upsert
 from starloom.operators.ranges import number_rows
 from starloom.operators.scd import CUSTOMER_SCD2, PRODUCT_SCD2, highest_key, scd2_merge
@@ -47,16 +48,16 @@ def warehouse_rows(warehouses: DataFrame) -> DataFrame:
 
 
 def merge_dim_warehouse(existing: DataFrame, warehouses: DataFrame) -> DataFrame:
-    """Type 1: the natural id is the surrogate key and attributes are overwritten."""
-    return upsert(existing, warehouse_rows(warehouses), ["warehouse_sk"])
+    """Type 1: the natural id is the surrogate key and attributes are overwritten. A re-coded warehouse is one row."""
+    newest = latest_per_key(warehouses, ["warehouseId"], RECENT)
+    return upsert(existing, warehouse_rows(newest), ["warehouse_sk"])
 
 
 def merge_dim_carrier(existing: DataFrame, shipments: DataFrame, order: str = "offset") -> DataFrame:
     """Append carriers not seen before, in first-arrival order; known ones never change."""
     seen = shipments.groupBy(text("carrier").alias("carrier")).agg(F.min(order).alias("_first"))
     unseen = materialize(seen.join(existing.select("carrier"), "carrier", "left_anti"), "carriers")
-    numbered = number_rows(unseen, [F.col("_first"), F.col("carrier")], "carrier_sk", highest_key(existing, "carrier_sk"),
-                           rows=unseen.count())
+    numbered = number_rows(unseen, [F.col("_first"), F.col("carrier")], "carrier_sk", highest_key(existing, "carrier_sk"))
     return existing.unionByName(numbered.select(
         F.col("carrier_sk").cast("int"), "carrier", F.lit("standard").alias("service_level")))
 
@@ -71,8 +72,9 @@ def customer_attributes(customers: DataFrame, order: list[str]) -> DataFrame:
 
 def product_attributes(products: DataFrame, categories: DataFrame, order: list[str]) -> DataFrame:
     """Product attributes with the category name, empty when the category is unknown."""
-    named = lookup(products, categories.select("categoryId", F.col("name").alias("category_name")),
-                   {"categoryId": "categoryId"}, {"category_name": ""}, spread=["productId"])
+    newest = latest_per_key(categories, ["categoryId"], RECENT)
+    named = lookup(products, newest.select("categoryId", F.col("name").alias("category_name")),
+                   {"categoryId": "categoryId"}, {"category_name": ""})
     return named.select(
         F.col("productId").alias("product_id"), text("sku").alias("sku"), F.col("categoryId").alias("category_id"),
         "category_name", text("displayName").alias("display_name"),

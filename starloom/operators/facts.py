@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.scalars import date_key, line_total, millis_to_seconds_timestamp, money, text
 from starloom.operators.dims import batch_date_key
+from starloom.operators.latest import RECENT, latest_per_key
 from starloom.operators.lookup import lookup
 from starloom.operators.scd import current_versions
 
@@ -22,7 +23,8 @@ def product_keys(dim_product: DataFrame) -> DataFrame:
 
 
 def fact_order(orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    keyed = lookup(orders, customer_keys(dim_customer), {"customerId": "customer_id"}, {"customer_sk": 0}, spread=["orderId"])
+    orders = latest_per_key(orders, ["orderId"], RECENT)           # a renumbered order is one order
+    keyed = lookup(orders, customer_keys(dim_customer), {"customerId": "customer_id"}, {"customer_sk": 0})
     return keyed.select(
         F.col("orderId").alias("order_id"), date_key("placedAtUtc").alias("order_date_key"), "customer_sk",
         F.col("billingAddressId").alias("billing_address_id"), F.col("shippingAddressId").alias("shipping_address_id"),
@@ -33,8 +35,9 @@ def fact_order(orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
 
 def order_context(orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """What an order line takes from its order: date key and customer key, resolved once per order."""
-    keyed = lookup(orders.select("orderId", "customerId", "placedAtUtc"), customer_keys(dim_customer),
-                   {"customerId": "customer_id"}, {"customer_sk": 0}, spread=["orderId"])
+    newest = latest_per_key(orders.select("orderId", "customerId", "placedAtUtc", *RECENT), ["orderId"], RECENT)
+    keyed = lookup(newest, customer_keys(dim_customer),
+                   {"customerId": "customer_id"}, {"customer_sk": 0})
     return keyed.select("orderId", date_key("placedAtUtc").alias("order_date_key"), "customer_sk")
 
 
@@ -42,10 +45,9 @@ def fact_order_line(
     lines: DataFrame, context: DataFrame, dim_product: DataFrame, dim_warehouse: DataFrame,
 ) -> DataFrame:
     """context is order_context's output, or fact_order with its order_id renamed to orderId."""
-    spread = ["orderLineId"]
-    keyed = lookup(lines, context, {"orderId": "orderId"}, {"order_date_key": 0, "customer_sk": 0}, spread=spread)
-    keyed = lookup(keyed, product_keys(dim_product), {"productId": "product_id"}, {"product_sk": 0}, spread=spread)
-    keyed = lookup(keyed, dim_warehouse, {"warehouseId": "warehouse_id"}, {"warehouse_sk": 0}, spread=spread)
+    keyed = lookup(lines, context, {"orderId": "orderId"}, {"order_date_key": 0, "customer_sk": 0})
+    keyed = lookup(keyed, product_keys(dim_product), {"productId": "product_id"}, {"product_sk": 0})
+    keyed = lookup(keyed, dim_warehouse, {"warehouseId": "warehouse_id"}, {"warehouse_sk": 0})
     priced = keyed.withColumns({"unit_price_usd": money("unitPriceUsd", 4), "discount_usd": money("discountUsd", 4)})
     return priced.select(
         F.col("orderLineId").alias("order_line_id"), F.col("orderId").alias("order_id"), "order_date_key", "customer_sk",
@@ -63,9 +65,8 @@ def fact_transaction(transactions: DataFrame) -> DataFrame:
 def fact_inventory_snap(
     inventory: DataFrame, dim_product: DataFrame, dim_warehouse: DataFrame, batch_ts: datetime,
 ) -> DataFrame:
-    spread = ["productId", "warehouseId"]
-    keyed = lookup(inventory, product_keys(dim_product), {"productId": "product_id"}, {"product_sk": 0}, spread=spread)
-    keyed = lookup(keyed, dim_warehouse, {"warehouseId": "warehouse_id"}, {"warehouse_sk": 0}, spread=spread)
+    keyed = lookup(inventory, product_keys(dim_product), {"productId": "product_id"}, {"product_sk": 0})
+    keyed = lookup(keyed, dim_warehouse, {"warehouseId": "warehouse_id"}, {"warehouse_sk": 0})
     return keyed.select(
         F.lit(batch_date_key(batch_ts)).alias("snap_date_key"), "product_sk", "warehouse_sk",
         F.col("onHand").alias("on_hand"), "reserved", F.col("reorderPoint").alias("reorder_point"),

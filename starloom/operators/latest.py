@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from starloom.catalog import EntitySpec
 
 ARRIVAL = ("partition", "offset")
+RECENT = ("sourceTsMs", "offset")         # which record of one business id counts, whatever message key it came under
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str] = ARRIVAL, first_seen: str | None = None) -> DataFrame:

@@ -54,7 +54,8 @@ def to_json_lines(events: DataFrame) -> DataFrame:
 
 
 def from_json_lines(lines: DataFrame) -> DataFrame:
-    return lines.select(F.from_json("value", RUN_EVENT).alias("r")).select("r.*")
+    # a generator: conditions on the fields stay above it, so a line is parsed once and not once per condition
+    return lines.select(F.inline(F.array(F.from_json("value", RUN_EVENT))))
 
 
 def edges(events: DataFrame) -> DataFrame:
@@ -72,7 +73,7 @@ def datasets(events: DataFrame) -> DataFrame:
     return events.select(F.explode(F.concat("inputs", "outputs")).alias("d")).select(F.col("d.name").alias("name")).distinct()
 
 
-def impact(events: DataFrame, dataset: str, max_depth: int = 10) -> DataFrame:
+def impact(events: DataFrame, dataset: str, max_depth: int | None = None) -> DataFrame:
     """Datasets downstream of one, with the number of jobs in between."""
     start = events.sparkSession.range(1).select(F.lit(dataset).alias("node"))
     return downstream(edges(events), start, max_depth)
@@ -83,4 +84,4 @@ def correlate(stage_events: DataFrame, events: DataFrame) -> DataFrame:
     stages = stage_events.withColumn("run_id", run_uuid("trace_id"))
     runs = events.where(F.col("eventType") == "COMPLETE").select(
         F.col("run.runId").alias("run_id"), F.col("job.name").alias("job")).distinct()
-    return lookup(stages, runs, {"run_id": "run_id"}, {"job": None}, "inner", spread=stage_events.columns)
+    return lookup(stages, runs, {"run_id": "run_id"}, {"job": None}, "inner")

@@ -1,8 +1,8 @@
 """Equi-join of a large table with a keyed one, safe under skew.
 
-The keyed side is broadcast only when its measured size is within the limit. Beyond it both sides shuffle,
-and keys that hold a large share of the rows are cut into slices: each row of a hot key goes to one slice and the
-key's single dimension row is repeated once per slice, so the result is the same as that of the plain join.
+Spark broadcasts the keyed side where its size, known from file statistics or measured by a finished shuffle stage, is
+within spark.starloom.broadcastBytes. Otherwise both sides shuffle, and adaptive execution cuts partitions that a hot key
+makes large into pieces, which the left side of a left join allows. No job runs to plan the join.
 """
 
 from __future__ import annotations
@@ -10,19 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.session import HOT_KEY_SHARE, fits_broadcast, limit
-
-
-def hot_keys(rows: DataFrame, keys: list[str]) -> DataFrame | None:
-    """Keys to slice, with their number of slices; at most HOT_KEY_SHARE of them, None if there are none."""
-    spark = rows.sparkSession
-    per_slice = limit(spark, "rowsPerSlice")
-    threshold = max(limit(spark, "hotKeyMinRows"), rows.count() // HOT_KEY_SHARE + 1)
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= threshold)
-    found = counts.select(*keys, F.ceil(F.col("_n") / per_slice).cast("int").alias("_slices")).dropna(subset=keys)
-    listed = found.collect()
-    return spark.createDataFrame(listed, found.schema) if listed else None
-
 
 def lookup(
     rows: DataFrame,
@@ -30,12 +17,11 @@ def lookup(
     on: dict[str, str],
     add: dict[str, object],
     how: str = "left",
-    spread: list[str] | None = None,
 ) -> DataFrame:
     """rows with the columns in add fetched from side, which has at most one row per key.
 
     on maps columns of rows to key columns of side. In a left lookup a miss yields the value given in add (None
-    keeps null); an inner lookup drops it. spread names columns that tell the rows of one hot key apart.
+    keeps null); an inner lookup drops it.
     """
     side_keys = {f"_side_{i}": k for i, k in enumerate(on.values())}
     fetched = {f"_got_{i}": a for i, a in enumerate(add)}
@@ -46,14 +32,7 @@ def lookup(
         same = F.col(row_key) == F.col(side_key)
         condition = same if condition is None else condition & same
 
-    if fits_broadcast(narrow):
-        joined = rows.join(F.broadcast(narrow), condition, how)
-    else:
-        hot = hot_keys(rows, list(on))
-        if hot is None:
-            joined = rows.join(narrow, condition, how)
-        else:
-            joined = _sliced_join(rows, narrow, hot, on, side_keys, condition, how, spread or rows.columns)
+    joined = rows.join(narrow, condition, how)
     kept = [c for c in rows.columns if c not in add]
     columns = []
     for name, out in fetched.items():
@@ -65,22 +44,6 @@ def lookup(
     return joined.select(*kept, *columns)
 
 
-def _sliced_join(rows, narrow, hot, on, side_keys, condition, how, spread):
-    for_rows = hot.select(*[F.col(k).alias(f"_hot_{k}") for k in on], "_slices")
-    match_rows, match_side = F.lit(True), F.lit(True)
-    for row_key, side_key in zip(on, side_keys):
-        match_rows = match_rows & (F.col(row_key) == F.col(f"_hot_{row_key}"))
-        match_side = match_side & (F.col(side_key) == F.col(f"_hot_{row_key}"))
-    drop = [f"_hot_{k}" for k in on]
-    slice_of = F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_slices")), F.lit(0)).cast("int")
-    sliced = (rows.join(F.broadcast(for_rows), match_rows, "left")
-              .withColumn("_slice", slice_of).drop("_slices", *drop))
-    every = F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)
-    repeated = (narrow.join(F.broadcast(for_rows), match_side, "left")
-                .withColumn("_side_slice", F.explode(every)).drop("_slices", *drop))
-    return sliced.join(repeated, condition & (F.col("_slice") == F.col("_side_slice")), how)
-
-
 def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
     """existing with the rows of incoming replacing those of the same key."""
     return existing.join(incoming.select(*keys), keys, "left_anti").unionByName(incoming.select(*existing.columns))

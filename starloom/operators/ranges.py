@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.session import limit, materialize
+from starloom.session import materialize
 
 RANGE = "_range"
 _BEFORE = (Window.unboundedPreceding, -1)
@@ -99,15 +99,8 @@ def _offsets(layout: DataFrame) -> DataFrame:
     return counts.select(RANGE, F.coalesce(before, F.lit(0)).alias("_before"))
 
 
-def number_rows(
-    df: DataFrame, order: list, out: str, start: int = 0, partitions: int | None = None, rows: int | None = None,
-) -> DataFrame:
-    """Dense numbers start+1, start+2, ... in the given order, which should be unique.
-
-    A caller that knows the number of rows gives it: so few that one task sorts them are numbered by a plain window.
-    """
-    if rows is not None and rows <= limit(df.sparkSession, "singleTaskRows"):
-        return df.withColumn(out, (F.lit(start) + F.row_number().over(Window.orderBy(*order))).cast("bigint"))
+def number_rows(df: DataFrame, order: list, out: str, start: int = 0, partitions: int | None = None) -> DataFrame:
+    """Dense numbers start+1, start+2, ... in the given order, which should be unique."""
     layout = range_layout(df, order, partitions)
     local = F.row_number().over(Window.partitionBy(RANGE).orderBy(*order))
     numbered = layout.join(F.broadcast(_offsets(layout)), RANGE)
@@ -115,24 +108,25 @@ def number_rows(
 
 
 def global_rank(df: DataFrame, value: str, tie_break: list[str], out: str, partitions: int | None = None) -> DataFrame:
-    """SQL rank by value descending over the whole table.
+    """SQL rank by value descending over the whole table, nulls last and equal among themselves.
 
     The tie-break columns only let equal values span ranges; equal values still share a rank. A value at the
     end of a range may have begun in an earlier one: its rank is the smallest that any range gives it.
     """
-    layout = range_layout(df, [F.desc(value), *tie_break], partitions)
+    layout = range_layout(df, [F.desc_nulls_last(value), *tie_break], partitions)
     offsets = _offsets(layout)
-    ends = layout.groupBy(RANGE).agg(F.max(value).alias("_hi"), F.min(value).alias("_lo"))
+    # the first and the last value of each range: a null is the last if there is one, the first if all are null
+    ends = layout.groupBy(RANGE).agg(F.max(value).alias("_hi"), F.when(F.count_if(F.col(value).isNull()) == 0, F.min(value)).alias("_lo"))
     lows = (layout.select(RANGE, value).join(F.broadcast(ends), RANGE)
-            .groupBy(RANGE).agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col(value) == F.col("_lo")).alias("_ties")))
+            .groupBy(RANGE).agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col(value).eqNullSafe(F.col("_lo"))).alias("_ties")))
     at_ends = offsets.join(ends, RANGE).join(lows, RANGE).select(
         F.inline(F.array(
             F.struct(F.col("_hi").alias("_value"), (F.col("_before") + 1).alias("_rank")),
             F.struct(F.col("_lo").alias("_value"), (F.col("_before") + F.col("_n") - F.col("_ties") + 1).alias("_rank")))))
     shared = at_ends.groupBy("_value").agg(F.min("_rank").alias("_shared"))
-    local = F.rank().over(Window.partitionBy(RANGE).orderBy(F.desc(value)))
+    local = F.rank().over(Window.partitionBy(RANGE).orderBy(F.desc_nulls_last(value)))
     return (layout.join(F.broadcast(offsets), RANGE)
-            .join(F.broadcast(shared), F.col(value) == F.col("_value"), "left")
+            .join(F.broadcast(shared), F.col(value).eqNullSafe(F.col("_value")), "left")
             .select(*df.columns, F.coalesce(F.col("_shared"), F.col("_before") + local).cast("bigint").alias(out)))
 
 

@@ -11,40 +11,43 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.lookup import lookup
 from starloom.session import materialize
 
-MAX_LEVELS = 100
-
 
 def hierarchy(nodes: DataFrame, node_id: str, parent_id: str, name: str, keep: list[str] = ()) -> DataFrame:
-    """Every node reachable from a root (null parent) with depth and its path of names joined by " > "."""
+    """Every node reachable from a root (null parent) with depth and its path of names joined by " > ".
+
+    Any depth. A node has one parent, which is checked; so no node of a cycle is reachable and the levels end.
+    """
     columns = [node_id, parent_id, name, *keep]
+    nodes = materialize(nodes.select(columns), "tree")
+    if not nodes.groupBy(node_id).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).isEmpty():
+        raise ValueError(f"a {node_id} has more than one parent")
     level = materialize(nodes.where(F.col(parent_id).isNull()).select(
         *columns, F.col(name).cast("string").alias("path"), F.lit(0).alias("depth")), "tree")
-    children = nodes.where(F.col(parent_id).isNotNull()).select(columns)
+    children = nodes.where(F.col(parent_id).isNotNull())
     levels = []
     while not level.isEmpty():
         levels.append(level)
-        if len(levels) > MAX_LEVELS:
-            raise ValueError(f"the hierarchy is deeper than {MAX_LEVELS} levels or has a cycle")
-        parents = level.select(node_id, F.col("path").alias("_path"), F.col("depth").alias("_depth"))
-        found = lookup(children, parents, {parent_id: node_id}, {"_path": None, "_depth": None}, "inner", spread=[node_id])
+        parents = level.select(F.col(node_id).alias("_parent"), F.col("path").alias("_path"), F.col("depth").alias("_depth"))
+        found = children.join(parents, F.col(parent_id) == F.col("_parent"))
         level = materialize(found.select(
             *columns, F.concat("_path", F.lit(" > "), F.col(name)).alias("path"),
             (F.col("_depth") + 1).alias("depth")), "tree")
     return reduce(DataFrame.unionByName, levels or [level])
 
 
-def downstream(edges: DataFrame, start: DataFrame, max_depth: int = 10) -> DataFrame:
-    """Nodes reachable over (src, dst) edges with the least number of steps, at most max_depth; start nodes excluded.
+def downstream(edges: DataFrame, start: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """Nodes reachable over (src, dst) edges with the least number of steps; start nodes excluded.
 
-    start has one column, node. A node is expanded once, so dense layers do not multiply paths.
+    start has one column, node. All that is reachable, or only max_depth steps of it. The edges are stored once and a
+    node is expanded once, so neither levels nor dense layers multiply the work.
     """
-    edges = edges.select("src", "dst").distinct()
+    edges = materialize(edges.select("src", "dst").distinct(), "graph")
     frontier = materialize(start.select("node").distinct().withColumn("depth", F.lit(0)), "graph")
-    visited = [frontier]
-    for depth in range(1, max_depth + 1):
+    visited, depth = [frontier], 0
+    while max_depth is None or depth < max_depth:
+        depth += 1
         known = reduce(DataFrame.unionByName, visited).select("node")
         reached = edges.join(frontier.select("node"), F.col("src") == F.col("node"), "left_semi").select(
             F.col("dst").alias("node")).distinct()

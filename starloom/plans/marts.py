@@ -55,16 +55,15 @@ def order_lines_star(
     dim_warehouse: DataFrame | None = None,
 ) -> DataFrame:
     """Order lines through customer, product and date, and warehouse if given; unknown members drop out."""
-    spread = ["order_line_id"]
     needed = fact_order_line.select("order_line_id", "customer_sk", "product_sk", "warehouse_sk", "order_date_key",
                                     "quantity", "line_total_usd")
-    joined = lookup(needed, dim_date, {"order_date_key": "date_key"}, {"full_date": None}, "inner", spread)
-    joined = lookup(joined, _products(dim_product), {"product_sk": "product_sk"}, {"product": None}, "inner", spread)
-    joined = lookup(joined, _customers(dim_customer), {"customer_sk": "customer_sk"}, {"customer": None}, "inner", spread)
+    joined = lookup(needed, dim_date, {"order_date_key": "date_key"}, {"full_date": None}, "inner")
+    joined = lookup(joined, _products(dim_product), {"product_sk": "product_sk"}, {"product": None}, "inner")
+    joined = lookup(joined, _customers(dim_customer), {"customer_sk": "customer_sk"}, {"customer": None}, "inner")
     columns = ["order_line_id", "customer", "product", "quantity", "line_total_usd", "full_date"]
     if dim_warehouse is not None:
         named = dim_warehouse.select("warehouse_sk", F.col("code").alias("warehouse"))
-        joined = lookup(joined, named, {"warehouse_sk": "warehouse_sk"}, {"warehouse": None}, "inner", spread)
+        joined = lookup(joined, named, {"warehouse_sk": "warehouse_sk"}, {"warehouse": None}, "inner")
         columns.insert(3, "warehouse")
     return joined.select(columns)
 
@@ -72,8 +71,8 @@ def order_lines_star(
 def orders_star(fact_order: DataFrame, dim_customer: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Orders through current customer and date."""
     needed = fact_order.select("order_id", "customer_sk", "order_date_key", "total_usd")
-    joined = lookup(needed, dim_date, {"order_date_key": "date_key"}, {"full_date": None}, "inner", ["order_id"])
-    joined = lookup(joined, _customers(dim_customer), {"customer_sk": "customer_sk"}, {"customer": None}, "inner", ["order_id"])
+    joined = lookup(needed, dim_date, {"order_date_key": "date_key"}, {"full_date": None}, "inner")
+    joined = lookup(joined, _customers(dim_customer), {"customer_sk": "customer_sk"}, {"customer": None}, "inner")
     return joined.select("customer", "customer_sk", "order_id", "full_date", "total_usd")
 
 
@@ -113,12 +112,12 @@ def inventory_grid(products: DataFrame, warehouses: DataFrame, sku_like: str, co
     wanted = products.where(F.col("sku").like(sku_like)).select(
         "productId", "sku", F.explode(F.array(*[F.lit(c) for c in codes])).alias("code"))
     listed = warehouses.where(F.col("code").isin(codes)).select("warehouseId", "code")
-    return lookup(wanted, listed, {"code": "code"}, {"warehouseId": None}, "inner", ["productId"]).select(
+    return lookup(wanted, listed, {"code": "code"}, {"warehouseId": None}, "inner").select(
         "productId", "warehouseId", "sku", "code")
 
 
-def resolve_natural_keys(rows: DataFrame, references: list[tuple[dict, DataFrame, str]], spread: list[str]) -> DataFrame:
+def resolve_natural_keys(rows: DataFrame, references: list[tuple[dict, DataFrame, str]]) -> DataFrame:
     """Replace natural keys by ids: (columns to match, referenced rows, id to fetch) per reference, inner joins."""
     for on, referenced, wanted in references:
-        rows = lookup(rows, referenced, on, {wanted: None}, "inner", spread)
+        rows = lookup(rows, referenced, on, {wanted: None}, "inner")
     return rows

@@ -16,16 +16,16 @@ from starloom.operators.lineage import LOAD_JOB
 from starloom.sources.tables import VersionedTable
 
 PARTITION_COLUMNS = {"fact_order": "order_date_key", "fact_order_line": "order_date_key", "fact_transaction": "txn_date_key"}
-MIN_ROWS_PER_DAY = 200_000                # below this a folder per day would hold only small files
 
 
 class StarStore:
-    """The nine star tables below one path."""
+    """The nine star tables below one path. Facts have a folder per date key, unless day_folders is False: then they are
+    only clustered and sorted by it."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, day_folders: bool = True):
         self.tables = {
             name: VersionedTable(spark, f"{path}/{name}", STAR_SCHEMAS[name],
-                                 (PARTITION_COLUMNS[name],) if name in PARTITION_COLUMNS else ())
+                                 (PARTITION_COLUMNS[name],) if name in PARTITION_COLUMNS else (), day_folders)
             for name in STAR_TABLES}
 
     def __getitem__(self, name: str) -> VersionedTable:
@@ -47,7 +47,7 @@ def _utc_now() -> datetime:
 
 
 def load_star(
-    snapshot: dict[str, DataFrame], store: StarStore, batch_ts: datetime, trace_id: str = "", version: int | None = None,
+    snapshot: dict[str, DataFrame], store: StarStore, batch_ts: datetime, trace_id: str = "",
     order: tuple[str, ...] = ("offset",), on_error: Callable[[LoadReport], None] | None = None,
     catalog: Catalog = CATALOG,
 ) -> LoadReport:
@@ -65,8 +65,7 @@ def load_star(
         started = time.monotonic()
         try:
             if not sources or not sources[0].isEmpty():
-                folders = name in PARTITION_COLUMNS and sources[0].count() >= MIN_ROWS_PER_DAY * read("dim_date").count()
-                store[name].replace(build(), version, folders)
+                store[name].replace(build())
                 loaded.add(name)
         except Exception as error:
             report.errors.append((_utc_now(), trace_id, LOAD_JOB, f"{name}-load-failed", str(error), repr(error)))

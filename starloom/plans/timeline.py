@@ -14,9 +14,8 @@ STAGES = ("raw", "curated", "star")
 def record_timeline(raw: DataFrame, curated: DataFrame, dim_customer: DataFrame, spec: EntitySpec, key: str) -> DataFrame:
     """Rows (stage, position, operation, detail) of one customer code."""
     key_source = next(f.source for f in spec.fields if f.name == spec.key_field)
-    # a raw row with the key must contain its text, so most rows are dropped before any parsing
-    candidates = raw.where((F.col("topic") == spec.raw_topic) & F.col("value").contains(key))
-    parsed = parse_envelopes(candidates).where(F.col("parsed"))
+    # no test on the text itself: a key may be escaped there
+    parsed = parse_envelopes(raw.where(F.col("topic") == spec.raw_topic)).where(F.col("parsed"))
     found = parsed.where(F.try_variant_get("after", f"$.{key_source}", "string") == key)
     in_raw = found.select(F.lit("raw").alias("stage"), F.col("offset").alias("position"), "operation",
                           F.try_variant_get("after", "$.DisplayName", "string").alias("detail"))
@@ -32,7 +31,6 @@ def record_timeline(raw: DataFrame, curated: DataFrame, dim_customer: DataFrame,
 def raw_changes(raw: DataFrame, spec: EntitySpec, key: str) -> DataFrame:
     """Raw changes of one key: operation, offset and the after-image."""
     key_source = next(f.source for f in spec.fields if f.name == spec.key_field)
-    candidates = raw.where((F.col("topic") == spec.raw_topic) & F.col("value").contains(key))
-    parsed = parse_envelopes(candidates).where(F.col("parsed"))
+    parsed = parse_envelopes(raw.where(F.col("topic") == spec.raw_topic)).where(F.col("parsed"))
     return parsed.where(F.try_variant_get("after", f"$.{key_source}", "string") == key).select(
         "operation", "offset", F.to_json("after").alias("after"))

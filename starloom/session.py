@@ -12,11 +12,7 @@ from pyspark.sql import types as T
 # Limits, each overridable on the session as spark.starloom.<name>.
 DEFAULTS = {
     "broadcastBytes": 64 * 1024 * 1024,   # a join side is broadcast only if it measures at most this
-    "hotKeyMinRows": 2_000_000,           # a join key with fewer fact rows is never salted
-    "rowsPerSlice": 1_000_000,            # a hot key is split into slices of about this many rows
-    "singleTaskRows": 1_000_000,          # a whole table is sorted in one task only up to this many rows
 }
-HOT_KEY_SHARE = 1000                      # a hot key holds at least 1/1000 of the rows: at most 1000 of them
 
 _own_dirs: dict[str, str] = {}
 
@@ -27,6 +23,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(limit(spark, "broadcastBytes")))
     return spark
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import SparkSession
 
 
@@ -15,14 +17,22 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def committed_numbers(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Numbers n, ascending, of the folders <prefix>n below path whose write was committed."""
+def remove(spark: SparkSession, path: str) -> None:
     fs, target = _hadoop(spark, path)
-    if not fs.exists(target):
-        return []
-    found = []
-    for status in fs.listStatus(target):
-        name = status.getPath().getName()
-        if name.startswith(prefix) and exists(spark, f"{path}/{name}/_SUCCESS"):
-            found.append(int(name[len(prefix):]))
-    return sorted(found)
+    fs.delete(target, True)
+
+
+def committed(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """What follows the prefix in the names of the folders below path whose write was committed, in order of name.
+
+    One listing, however many folders there are.
+    """
+    fs, target = _hadoop(spark, f"{path}/{prefix}*/_SUCCESS")
+    return sorted(s.getPath().getParent().getName()[len(prefix):] for s in fs.globStatus(target) or [])
+
+
+def checkpoint_run(spark: SparkSession, checkpoint: str) -> str:
+    """The identity of a streaming checkpoint: when it was made and the id its query keeps across restarts."""
+    fs, target = _hadoop(spark, f"{checkpoint}/metadata")
+    made = fs.getFileStatus(target).getModificationTime()
+    return f"{made:013d}-{json.loads(spark.read.text(f'{checkpoint}/metadata').first()[0])['id']}"

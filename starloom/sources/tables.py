@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.sources.files import committed_numbers
+from starloom.sources.files import committed, exists, remove
 
 _VERSION, _BATCH = "version=", "batch_id="
 
@@ -17,67 +17,87 @@ _VERSION, _BATCH = "version=", "batch_id="
 class VersionedTable:
     """A table replaced as a whole: each write makes a new folder and readers take the last committed one.
 
-    The version being read is never overwritten, so a job may read the table it writes.
+    The version being read is never overwritten, so a job may read the table it writes. A version may carry the name of
+    the batch it came from. With partition columns, rows of one value are brought together and sorted, so that file
+    statistics prune, and each value has a folder unless folders is False.
     """
 
     spark: SparkSession
     path: str
     schema: T.StructType
     partition_by: tuple[str, ...] = ()
+    folders: bool = True
+
+    def _committed(self) -> list[tuple[int, str]]:
+        parts = (name.partition("_") for name in committed(self.spark, self.path, _VERSION))
+        return sorted((int(number), batch) for number, _, batch in parts)
 
     def versions(self) -> list[int]:
-        return committed_numbers(self.spark, self.path, _VERSION)
+        return [number for number, _ in self._committed()]
+
+    def last_batch(self) -> str:
+        """The batch the current version came from, empty if it has none."""
+        found = self._committed()
+        return found[-1][1] if found else ""
 
     def read(self) -> DataFrame:
-        versions = self.versions()
-        if not versions:
+        found = self._committed()
+        if not found:
             return self.spark.createDataFrame([], self.schema)
-        data = self.spark.read.schema(self.schema).parquet(f"{self.path}/{_VERSION}{versions[-1]}")
+        number, batch = found[-1]
+        data = self.spark.read.schema(self.schema).parquet(f"{self.path}/{_VERSION}{number}{'_' * bool(batch)}{batch}")
         return data.select(self.schema.names)
 
-    def replace(self, df: DataFrame, version: int | None = None, folders: bool = True) -> DataFrame:
-        """Write df as the new content and return it as read back; a version already committed is kept.
-
-        With partition columns, rows of one partition value are brought together and sorted, so that file statistics
-        prune; AQE splits a heavy value over several tasks and lets light ones share one. folders adds a folder per
-        value, which pays only when a value fills files of a decent size.
-        """
-        versions = self.versions()
-        version = (versions[-1] + 1 if versions else 0) if version is None else version
-        if version not in versions:
+    def replace(self, df: DataFrame, batch: str = "") -> DataFrame:
+        """Write df as the new content and return it as read back; nothing if the current version came from this batch."""
+        found = self._committed()
+        if not (batch and found and found[-1][1] == batch):
             rows = df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
             if self.partition_by:
                 rows = rows.hint("rebalance", *self.partition_by).sortWithinPartitions(*self.partition_by)
-            by = self.partition_by if folders else ()
-            rows.write.mode("overwrite").partitionBy(*by).parquet(f"{self.path}/{_VERSION}{version}")
+            by = self.partition_by if self.folders else ()
+            number = found[-1][0] + 1 if found else 0
+            rows.write.mode("overwrite").partitionBy(*by).parquet(f"{self.path}/{_VERSION}{number}{'_' * bool(batch)}{batch}")
         return self.read()
 
 
 @dataclass(frozen=True)
 class BatchTable:
-    """An append-only table of numbered batches; writing a batch again replaces it, so a replay adds nothing."""
+    """An append-only table of batches. A batch's name is its identity: writing it again replaces it.
+
+    Names of streaming batches begin with the run (the checkpoint) they belong to, so equal batch numbers of two
+    checkpoints never meet. newest_run: readers see only the batches of the newest run, for contents that a replay
+    computes anew and that cannot be merged row by row.
+    """
 
     spark: SparkSession
     path: str
     schema: T.StructType
     partition_by: tuple[str, ...] = ()
     sort_by: tuple[str, ...] = ()
+    newest_run: bool = False
 
-    def batches(self) -> list[int]:
-        return committed_numbers(self.spark, self.path, _BATCH)
+    def batches(self) -> list[str]:
+        return committed(self.spark, self.path, _BATCH)
 
-    def has(self, batch_id: int) -> bool:
-        return batch_id in self.batches()
+    def has(self, batch: str) -> bool:
+        return exists(self.spark, f"{self.path}/{_BATCH}{batch}/_SUCCESS")
 
-    def append(self, df: DataFrame, batch_id: int) -> None:
+    def append(self, df: DataFrame, batch: str) -> None:
         if self.sort_by:
             df = df.sortWithinPartitions(*self.partition_by, *self.sort_by)
-        df.write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.path}/{_BATCH}{batch_id}")
+        df.write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{self.path}/{_BATCH}{batch}")
 
-    def read(self, batches: list[int] | None = None) -> DataFrame:
-        """Committed batches with their number in batch_id."""
-        schema = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
+    def drop(self, batches: list[str]) -> None:
+        for batch in batches:
+            remove(self.spark, f"{self.path}/{_BATCH}{batch}")
+
+    def read(self, batches: list[str] | None = None) -> DataFrame:
+        """Committed batches with their name in batch_id."""
+        schema = T.StructType([*self.schema.fields, T.StructField("batch_id", T.StringType())])
         chosen = self.batches() if batches is None else [b for b in batches if self.has(b)]
+        if self.newest_run and batches is None and chosen:
+            chosen = [b for b in chosen if run_of(b) == run_of(chosen[-1])]
         if not chosen:
             return self.spark.createDataFrame([], schema)
         paths = [f"{self.path}/{_BATCH}{b}" for b in chosen]
@@ -85,7 +105,15 @@ class BatchTable:
         return data.select(schema.names)
 
 
-def append_telemetry(rows: DataFrame, path: str, sort_by: list[str]) -> None:
-    """Append to a telemetry table partitioned by event day and sorted inside each file."""
+def batch_name(run: str, number: int) -> str:
+    return f"{run}-{number:010d}"
+
+
+def run_of(batch: str) -> str:
+    return batch.rpartition("-")[0]
+
+
+def append_telemetry(rows: DataFrame, path: str, sort_by: list[str], batch: str) -> None:
+    """Add a batch to a telemetry table partitioned by event day, sorted inside each file; a retry replaces the batch."""
     dated = rows.withColumn("event_date", F.to_date("event_time"))
-    dated.sortWithinPartitions("event_date", *sort_by, "event_time").write.mode("append").partitionBy("event_date").parquet(path)
+    BatchTable(rows.sparkSession, path, dated.schema, ("event_date",), (*sort_by, "event_time")).append(dated, batch)

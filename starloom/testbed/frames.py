@@ -119,13 +119,13 @@ def _from(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     read = lambda name: table(spark, sf_dir, name)
     if entity == "products":
         types = read("part").groupBy(F.col("p_type").alias("t")).agg((F.min("p_partkey") + 1).cast("int").alias("category_id"))
-        return lookup(read("part"), types, {"p_type": "t"}, {"category_id": None}, "inner", ["p_partkey"])
+        return lookup(read("part"), types, {"p_type": "t"}, {"category_id": None}, "inner")
     if entity in ("warehouses", "customer-addresses"):
         nations = read("nation").join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         rows, key, unique = ((read("supplier"), "s_nationkey", "s_suppkey") if entity == "warehouses"
                              else (read("customer"), "c_nationkey", "c_custkey"))
         return lookup(rows, nations, {key: "n_nationkey"},
-                      {"n_nationkey": None, "n_name": None, "n_regionkey": None, "r_name": None}, "inner", [unique])
+                      {"n_nationkey": None, "n_name": None, "n_regionkey": None, "r_name": None}, "inner")
     if entity == "shipments":
         shipped = read("lineitem").groupBy("l_orderkey").agg(F.min("l_shipdate").alias("shipped"))
         return read("orders").join(shipped, F.col("o_orderkey") == F.col("l_orderkey"), "left")

@@ -183,7 +183,7 @@ RANK_ERROR = 0.02                          # well above the sketch's error bound
 def within_rank_error(events, report):
     """Per stage, whether each reported percentile lies within the allowed rank of its fraction."""
     beside = lookup(events.select("stage", "duration_ms"), report, {"stage": "stage"},
-                    {"events": None, **{n: None for n in telemetry.NAMES}}, "inner", ["duration_ms"])
+                    {"events": None, **{n: None for n in telemetry.NAMES}}, "inner")
     ranks = []
     for n in telemetry.NAMES:
         ranks.append(F.count_if(F.col("duration_ms") < F.col(n)).alias(f"_{n}_below"))

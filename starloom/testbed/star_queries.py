@@ -307,7 +307,7 @@ def star_load_counts(spark, sf_dir):
     snapshot = {e: materialize(curated_rows(spark, sf_dir, e), e) for e in (
         "customers", "product-categories", "products", "warehouses", "orders", "order-lines", "transactions", "shipments",
         "product-inventory")}
-    store = StarStore(spark, f"{shared_dir(spark)}/star-{uuid.uuid4().hex}")
+    store = StarStore(spark, f"{shared_dir(spark)}/star-{uuid.uuid4().hex}", day_folders=False)
     load_star(snapshot, store, BATCH, "trace")
     return marts.row_counts(store.read())
 
@@ -385,7 +385,7 @@ def natural_key_resolution(spark, sf_dir):
         ({"orderNumber": "orderNumber"}, curated_rows(spark, sf_dir, "orders"), "orderId"),
         ({"sku": "sku"}, curated_rows(spark, sf_dir, "products"), "productId"),
         ({"code": "code"}, curated_rows(spark, sf_dir, "warehouses").where(F.col("warehouseId") % 10 != 5), "warehouseId"),
-    ], ["orderLineId"])
+    ])
     return rows.select("orderLineId", "orderId", "productId", "warehouseId")
 
 
@@ -396,10 +396,9 @@ def order_key_resolution(spark, sf_dir):
     """Orders that name their customer by code, resolved to the customer and its address."""
     names = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("customerCode"))
     orders = marts.resolve_natural_keys(
-        source_rows(spark, sf_dir, "orders").select("OrderNumber", "CustomerId"), [({"CustomerId": "c_custkey"}, names, "customerCode")],
-        ["OrderNumber"]).select(F.col("OrderNumber").alias("orderNumber"), "customerCode")
+        source_rows(spark, sf_dir, "orders").select("OrderNumber", "CustomerId"), [({"CustomerId": "c_custkey"}, names, "customerCode")]).select(F.col("OrderNumber").alias("orderNumber"), "customerCode")
     rows = marts.resolve_natural_keys(orders, [
         ({"customerCode": "customerCode"}, curated_rows(spark, sf_dir, "customers"), "customerId"),
         ({"customerId": "customerId"}, curated_rows(spark, sf_dir, "customer-addresses"), "addressId"),
-    ], ["orderNumber"])
+    ])
     return rows.select("orderNumber", "customerId", "addressId")

@@ -18,12 +18,12 @@ def spark():
     return prepare(session)
 
 
-@pytest.fixture(params=["broadcast", "sliced"])
+@pytest.fixture(params=["broadcast", "shuffled"])
 def join_mode(spark, request):
-    """Runs a test with broadcast lookups and again with the shuffled, sliced ones."""
-    limits = {"broadcastBytes": "0", "hotKeyMinRows": "2", "rowsPerSlice": "2", "singleTaskRows": "0"} if request.param == "sliced" else {}
-    for name, value in limits.items():
-        spark.conf.set(f"spark.starloom.{name}", value)
+    """Runs a test with broadcast lookups and again with shuffled ones."""
+    if request.param == "shuffled":
+        spark.conf.set("spark.starloom.broadcastBytes", "0")
+    prepare(spark)
     yield request.param
-    for name in limits:
-        spark.conf.unset(f"spark.starloom.{name}")
+    spark.conf.unset("spark.starloom.broadcastBytes")
+    prepare(spark)

@@ -18,7 +18,7 @@ from starloom.sources.raw import curated_messages, raw_files, to_envelopes
 from starloom.sources.star import StarSource, read_star, write_mart
 from starloom.sources.tables import BatchTable, VersionedTable, append_telemetry
 from starloom.streaming import jobs
-from seed import BATCH, ROWS, seed_snapshot
+from seed import BATCH, ROWS, TOTAL, seed_snapshot
 
 AT = dt.datetime(2025, 1, 16, 4, 0, 0, 123000)
 
@@ -63,8 +63,9 @@ def test_latency_states_do_not_depend_on_batches(spark):
 def test_recent_errors_and_append(spark, root):
     rows = telemetry.error_rows(spark, [(dt.datetime(2026, 1, d), str(d), "s", "c", "m", "") for d in range(1, 15)])
     assert [r.trace_id for r in telemetry.recent_errors(rows).collect()] == [str(d) for d in range(14, 4, -1)]
-    append_telemetry(rows, root, ["service", "error_code"])
-    append_telemetry(rows.limit(1), root, ["service", "error_code"])
+    for _ in range(2):                                      # a retried batch replaces itself
+        append_telemetry(rows, root, ["service", "error_code"], "first")
+    append_telemetry(rows.limit(1), root, ["service", "error_code"], "second")
     stored = spark.read.parquet(root)
     assert stored.count() == 15 and stored.where("event_date = date'2026-01-03'").count() == 1
     assert telemetry.landed_traces(rows, ["1", "2", "x"]).first().found == 2
@@ -91,12 +92,15 @@ def test_versioned_and_batch_tables(spark, root):
     table.replace(spark.createDataFrame([(1, "a", "s")], STAR_SCHEMAS["dim_carrier"]))
     table.replace(table.read().unionByName(spark.createDataFrame([(2, "b", "s")], STAR_SCHEMAS["dim_carrier"])))
     assert table.read().count() == 2 and table.versions() == [0, 1]
-    table.replace(table.read().limit(0), version=1)
-    assert table.read().count() == 2
+    for _ in range(2):                                      # a batch is applied once
+        table.replace(table.read().unionByName(spark.createDataFrame([(3, "c", "s")], STAR_SCHEMAS["dim_carrier"])), "run-7")
+    assert table.read().count() == 3 and table.versions() == [0, 1, 2] and table.last_batch() == "run-7"
     log = BatchTable(spark, f"{root}/b", STAR_SCHEMAS["dim_carrier"])
     for _ in range(2):
-        log.append(table.read(), 5)
-    assert log.read().count() == 2 and log.batches() == [5] and log.read().first().batch_id == 5
+        log.append(table.read(), "a-5")
+    assert log.read().count() == 3 and log.batches() == ["a-5"] and log.read().first().batch_id == "a-5"
+    log.append(table.read().limit(1), "b-5")
+    assert log.read().count() == 4 and BatchTable(spark, f"{root}/b", STAR_SCHEMAS["dim_carrier"], newest_run=True).read().count() == 1
 
 
 def mart_tables(spark):
@@ -149,24 +153,26 @@ def test_curation_stream_resume_replay_and_star_load(spark, root):
     for spec in CATALOG:
         raw_of(spark, spec.entity).coalesce(1).write.mode("append").json(f"{root}/raw")
     start("cp", store)
-    assert store.records.read().count() == 55 and store.errors.read().count() == 0 and store.lags.read().count() == 55
+    assert store.records.read().count() == TOTAL and store.errors.read().count() == 0 and store.lags.read().count() == TOTAL
     assert {r.stage for r in store.stages.read().collect()} == set(CATALOG.entities)
     bad = spark.createDataFrame([(CATALOG["orders"].raw_topic, None, "{x", 0, 9000, None)], RAW_SCHEMA)
     raw_of(spark, "customers", 1).unionByName(bad).coalesce(1).write.mode("append").json(f"{root}/raw")
     start("cp", store)                                      # resumes: only the new file is read
-    assert store.records.read().count() == 60 and [r.error_code for r in store.errors.read().collect()] == ["parse-failed"]
-    before = store.records.batches()
-    start("cp2", store)                                     # replays everything; known batches are no-ops
-    assert store.records.batches() == before and store.records.read().count() == 60
+    more = TOTAL + 6                                        # five customers again and the bad row
+    assert store.records.read().count() == more and [r.error_code for r in store.errors.read().collect()] == ["parse-failed"]
+    raw_of(spark, "orders", 2).coalesce(1).write.mode("append").json(f"{root}/raw")
+    start("cp2", store)                                     # a fresh checkpoint replays everything, the new file included
+    assert store.records.read().count() == 2 * more + 3 and store.current().count() == more + 3
     snapshots = store.snapshots()
-    assert sum(df.count() for df in snapshots.values()) == 55
-    assert {r.offset for r in snapshots["customers"].collect()} == {1000, 1001, 1002, 1003}
+    assert sum(df.count() for df in snapshots.values()) == TOTAL
+    assert {r.offset for r in snapshots["customers"].collect()} == set(range(1000, 1005))
+    assert {r.offset for r in snapshots["orders"].collect()} == set(range(2000, 2003))
     star, reports = StarStore(spark, f"{root}/star"), []
     ticks = spark.readStream.schema(RAW_SCHEMA).json(f"{root}/raw")
     drain(jobs.start_star_load(ticks, store, star, f"{root}/cp3", jobs.drain(), "trace", lambda b: BATCH, reports))
-    assert star["fact_inventory_snap"].read().count() == 18 and len(reports[0].stages) == 10
+    assert star["fact_inventory_snap"].read().count() == 8 and len(reports[0].stages) == 10
     messages = curated_messages(store.entity("orders"), CATALOG["orders"])
-    assert json.loads(messages.orderBy("key").first().value)["totalUsd"] == "318.18"
+    assert json.loads(messages.orderBy("key").first().value)["totalUsd"] == "713.25"
 
 
 def test_latest_stream_equals_batch_for_any_split(spark, root):

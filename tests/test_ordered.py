@@ -34,10 +34,12 @@ def test_keyed_scan_equals_windows(spark, skewed, partitions):
 
 @pytest.mark.parametrize("partitions", [1, 9])
 def test_global_rank_and_numbers(spark, skewed, partitions):
+    got = {r.t: r.rank for r in global_rank(skewed, "v", ["t"], "rank", partitions).collect()}
+    greater = lambda x, v: x is not None and (v is None or x > v)
+    every = skewed.collect()
+    assert got == {r.t: 1 + sum(greater(o.v, r.v) for o in every) for r in every}
     values = skewed.where("v is not null")
-    got = {r.t: r.rank for r in global_rank(values, "v", ["t"], "rank", partitions).collect()}
     all_values = [r.v for r in values.collect()]
-    assert got == {r.t: 1 + sum(x > r.v for x in all_values) for r in values.collect()}
     numbered = number_rows(values, [F.col("v"), F.col("t")], "n", start=10, partitions=partitions).collect()
     assert [r.t for r in sorted(numbered, key=lambda r: r.n)] == [r.t for r in sorted(values.collect(), key=lambda r: (r.v, r.t))]
     assert sorted(r.n for r in numbered) == list(range(11, 11 + len(all_values)))
@@ -53,12 +55,12 @@ def test_exact_percentiles(spark, skewed):
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_lookup_modes_agree(spark, skewed, join_mode, how):
     side = spark.createDataFrame([(1, "one"), (2, "two"), (9, "nine")], "id int, name string")
-    got = lookup(skewed, side, {"k": "id"}, {"name": "?"}, how, spread=["t"])
+    got = lookup(skewed, side, {"k": "id"}, {"name": "?"}, how)
     names = {1: "one", 2: "two"}
     want = [(r.k, r.t, r.v, names.get(r.k, "?")) for r in skewed.collect() if how == "left" or r.k in names]
     assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
-    plan = got._jdf.queryExecution().optimizedPlan().toString()
-    assert ("_slice" in plan) == (join_mode == "sliced")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in plan) == (join_mode == "broadcast")
 
 
 def stamp(n):
@@ -93,16 +95,23 @@ def test_period_reads(spark):
 
 
 def test_category_tree(spark, join_mode):
-    nodes = spark.createDataFrame([(1, None, "Electronics", "electronics"), (2, None, "Home & Kitchen", "home"), (3, 1, "Audio", "audio"),
-                                   (4, 2, "Kitchen", "kitchen"), (5, 3, "Speakers", "speakers")], "id int, parent int, name string, slug string")
+    nodes = spark.createDataFrame([(1, None, "Bicycles", "b"), (2, None, "Rain & Snow", "r"), (3, 1, "Wheels", "w"),
+                                   (4, 2, "Capes", "c"), (5, 3, "Spokes", "s")], "id int, parent int, name string, slug string")
     got = sorted((r.depth, r.path, r.slug) for r in trees.hierarchy(nodes, "id", "parent", "name", ["slug"]).collect())
-    assert got == [(0, "Electronics", "electronics"), (0, "Home & Kitchen", "home"), (1, "Electronics > Audio", "audio"),
-                   (1, "Home & Kitchen > Kitchen", "kitchen"), (2, "Electronics > Audio > Speakers", "speakers")]
+    assert got == [(0, "Bicycles", "b"), (0, "Rain & Snow", "r"), (1, "Bicycles > Wheels", "w"), (1, "Rain & Snow > Capes", "c"), (2, "Bicycles > Wheels > Spokes", "s")]
+    with pytest.raises(ValueError):
+        trees.hierarchy(nodes.unionByName(nodes.where("id = 3").withColumn("parent", F.lit(5))), "id", "parent", "name")
+
+
+def test_deep_trees_and_unreachable_cycles(spark):
+    chain = [(0, None, "n0"), *((i, i - 1, f"n{i}") for i in range(1, 120)), (900, 901, "loop"), (901, 900, "loop")]
+    got = trees.hierarchy(spark.createDataFrame(chain, "id int, parent int, name string"), "id", "parent", "name").agg(F.count("*"), F.max("depth")).first()
+    assert tuple(got) == (120, 119)
 
 
 def test_downstream_stops_at_cycles_and_depth(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("d", "e")], "src string, dst string")
     start = spark.createDataFrame([("a",)], "node string")
     reach = lambda depth: {r.node: r.depth for r in trees.downstream(edges, start, depth).collect()}
-    assert reach(10) == {"b": 1, "c": 2, "d": 3, "e": 4}
+    assert reach(None) == reach(10) == {"b": 1, "c": 2, "d": 3, "e": 4}
     assert reach(2) == {"b": 1, "c": 2}

@@ -15,7 +15,7 @@ from starloom.operators.scd import CUSTOMER_SCD2, Scd2Spec, close_version, scd2_
 from starloom.plans import marts
 from starloom.plans.star_load import StarStore, load_star
 from starloom.session import materialize, shared_dir
-from seed import BATCH, seed_snapshot
+from seed import BATCH, TOTAL, seed_snapshot
 
 OPEN = dt.datetime(9999, 12, 31)
 
@@ -57,11 +57,11 @@ def customer(spark, *rows):
     return records(spark, "customers", *rows)
 
 
-ADA = (100, "C100", "Ada", "ada@x.io", "en-US", 1, "100.00")
+MIRA = (100, "C100", "Mira", "mira@x.io", "de-DE", 1, "100.00")
 
 
 def existing_customer(spark, sk, **changes):
-    row = {"customer_sk": sk, "customer_id": 100, "customer_code": "C100", "display_name": "Ada", "email": "ada@x.io", "preferred_locale": "en-US",
+    row = {"customer_sk": sk, "customer_id": 100, "customer_code": "C100", "display_name": "Mira", "email": "mira@x.io", "preferred_locale": "de-DE",
            "status": 1, "lifetime_value_usd": Decimal("100.00"), "valid_from": dt.datetime(2026, 1, 1), "valid_to": OPEN, "is_current": 1, **changes}
     return spark.createDataFrame([tuple(row.values())], STAR_SCHEMAS["dim_customer"])
 
@@ -72,13 +72,13 @@ def versions(df):
 
 def test_scd2_new_member_continues_numbering(spark, join_mode):
     existing = existing_customer(spark, 4, customer_id=1)
-    got = versions(dims.merge_dim_customer(existing, customer(spark, ADA), BATCH))
-    assert got[1] == (5, 100, "Ada", "ada@x.io", BATCH, OPEN, 1) and got[0][5:] == (OPEN, 1)
+    got = versions(dims.merge_dim_customer(existing, customer(spark, MIRA), BATCH))
+    assert got[1] == (5, 100, "Mira", "mira@x.io", BATCH, OPEN, 1) and got[0][5:] == (OPEN, 1)
 
 
 def test_scd2_change_closes_and_opens(spark, join_mode):
-    got = versions(dims.merge_dim_customer(existing_customer(spark, 5, email="old@x.io"), customer(spark, ADA), BATCH))
-    assert [(v[0], v[3], v[5], v[6]) for v in got] == [(5, "old@x.io", BATCH, 0), (6, "ada@x.io", OPEN, 1)]
+    got = versions(dims.merge_dim_customer(existing_customer(spark, 5, email="old@x.io"), customer(spark, MIRA), BATCH))
+    assert [(v[0], v[3], v[5], v[6]) for v in got] == [(5, "old@x.io", BATCH, 0), (6, "mira@x.io", OPEN, 1)]
 
 
 @pytest.mark.parametrize("stored,incoming", [
@@ -87,7 +87,7 @@ def test_scd2_change_closes_and_opens(spark, join_mode):
 ])
 def test_scd2_equal_by_value_is_noop(spark, stored, incoming):
     existing = existing_customer(spark, 5, **stored)
-    batch = customer(spark, ADA)
+    batch = customer(spark, MIRA)
     for name, value in incoming.items():
         batch = batch.withColumn(name, F.lit(value).cast("string"))
     got = dims.merge_dim_customer(existing, batch, BATCH)
@@ -102,9 +102,9 @@ def test_scd2_empty_batch_and_absent_keys(spark):
 
 
 def test_scd2_two_codes_of_one_id_leave_one_current(spark):
-    batch = customer(spark, ADA, (100, "C100b", "Ada B", "ada@x.io", "en-US", 1, "100.00"))
+    batch = customer(spark, MIRA, (100, "C100b", "Mira B", "mira@x.io", "en-US", 1, "100.00"))
     got = versions(dims.merge_dim_customer(existing_customer(spark, 5), batch, BATCH))
-    assert [(v[2], v[6]) for v in got] == [("Ada", 0), ("Ada B", 1)]
+    assert [(v[2], v[6]) for v in got] == [("Mira", 0), ("Mira B", 1)]
 
 
 def test_product_category_name_and_rename(spark, join_mode):
@@ -187,17 +187,12 @@ def test_latest_per_key(spark):
 
 
 def test_customer_360(spark):
-    dim = spark.createDataFrame([(1, 100, "Ada", "ada@x.io", 1, 1), (2, 200, "Bob0", "old@x.io", 1, 0), (3, 200, "Bob", "bob@x.io", 1, 1),
-                                 (4, 300, "Cleo", "cleo@x.io", 1, 1)],
+    dim = spark.createDataFrame([(51, 7, "Mira", "m@x.io", 1, 1), (52, 8, "Jon", "j@old.io", 1, 0), (53, 8, "Jonas", "j@x.io", 1, 1), (54, 9, "Ines", "i@x.io", 2, 1)],
                                 "customer_sk bigint, customer_id bigint, display_name string, email string, status int, is_current int")
-    fact = spark.createDataFrame([(10, 1, 20260701, 100.0), (11, 1, 20260705, 50.0), (12, 3, 20260702, 40.0), (13, 0, 20260702, 9.0)],
+    fact = spark.createDataFrame([(1, 53, 20260311, 12.5), (2, 53, 20260309, 7.5), (3, 53, 20260401, 4.0), (4, 51, 20260301, 30.0), (5, 0, 20260302, 1.0), (6, 52, 20260302, 2.0)],
                                  "order_id bigint, customer_sk bigint, order_date_key int, total_usd double")
-    got = {r.customer_sk: r for r in marts.customer_360(dim, fact).collect()}
-    assert set(got) == {1, 3, 4}
-    ada, cleo = got[1], got[4]
-    assert (ada.order_count, ada.total_revenue_usd, ada.avg_order_value_usd, ada.first_order_date_key, ada.last_order_date_key) == (
-        2, 150.0, 75.0, 20260701, 20260705)
-    assert (cleo.order_count, cleo.total_revenue_usd, cleo.first_order_date_key) == (0, 0.0, None)
+    got = {r.customer_sk: (r.order_count, r.total_revenue_usd, r.avg_order_value_usd, r.first_order_date_key, r.last_order_date_key) for r in marts.customer_360(dim, fact).collect()}
+    assert got == {51: (1, 30.0, 30.0, 20260301, 20260301), 53: (3, 24.0, 8.0, 20260309, 20260401), 54: (0, 0.0, 0.0, None, None)}
 
 
 def star_store(spark):
@@ -207,24 +202,24 @@ def star_store(spark):
 def test_seed_load_counts_rerun_and_rename(spark):
     store, snapshot = star_store(spark), seed_snapshot(spark)
     report = load_star(snapshot, store, BATCH, "t")
-    assert sum(report.counts.values()) == 55 and report.counts["product-inventory"] == 18
+    assert sum(report.counts.values()) == TOTAL == 41 and report.counts["product-inventory"] == 8
     assert [s[3] for s in report.stages] == ["dim_date", "dim_warehouse", "dim_carrier", "dim_customer", "dim_product", "fact_order",
                                              "fact_order_line", "fact_transaction", "fact_inventory_snap", "load"]
-    expected = {"dim_date": 5, "dim_warehouse": 3, "dim_carrier": 2, "dim_customer(current)": 4, "dim_product(current)": 6, "fact_order": 4,
-                "fact_order_line": 6, "fact_transaction": 4, "fact_inventory_snap": 18}
+    expected = {"dim_date": 3, "dim_warehouse": 2, "dim_carrier": 2, "dim_customer(current)": 5, "dim_product(current)": 4, "fact_order": 3,
+                "fact_order_line": 5, "fact_transaction": 3, "fact_inventory_snap": 8}
     counts = lambda: {r.table_name: r.rows for r in marts.row_counts(store.read()).collect()}
     assert counts() == expected
     load_star(snapshot, store, dt.datetime(2026, 7, 25, 13), "t")
     assert counts() == expected
-    name = F.when(F.col("customerCode") == "SEED-C001", "Ada Lovelace (Countess)").otherwise(F.col("displayName"))
+    name = F.when(F.col("customerCode") == "K-11", "Mira Holt-Weil").otherwise(F.col("displayName"))
     load_star({**snapshot, "customers": snapshot["customers"].withColumn("displayName", name)}, store, dt.datetime(2026, 7, 25, 14), "t")
-    ada = store["dim_customer"].read().where("customer_code = 'SEED-C001'").orderBy("customer_sk").collect()
-    assert [(r.display_name, r.is_current) for r in ada] == [("Ada Lovelace", 0), ("Ada Lovelace (Countess)", 1)]
-    assert ada[0].valid_to == ada[1].valid_from == dt.datetime(2026, 7, 25, 14)
+    mira = store["dim_customer"].read().where("customer_code = 'K-11'").orderBy("customer_sk").collect()
+    assert [(r.display_name, r.is_current) for r in mira] == [("Mira Holt", 0), ("Mira Holt-Weil", 1)]
+    assert mira[0].valid_to == mira[1].valid_from == dt.datetime(2026, 7, 25, 14)
     tables = store.read()
     lines = marts.order_lines_star(tables["fact_order_line"], tables["dim_customer"], tables["dim_product"], tables["dim_date"], tables["dim_warehouse"])
     got = [(r.customer, r.product, r.warehouse, r.quantity, str(r.line_total_usd)) for r in lines.orderBy("order_line_id").collect()]
-    assert got[0] == ("Ada Lovelace (Countess)", "Wireless Headphones", "WH-EAST", 1, "199.99") and len(got) == 6
+    assert got[0] == ("Mira Holt-Weil", "City bicycle", "HAL", 1, "640.00") and got[3][3:] == (2, "69.70") and len(got) == 5
 
 
 def test_empty_snapshot_leaves_tables_untouched(spark):
@@ -233,7 +228,7 @@ def test_empty_snapshot_leaves_tables_untouched(spark):
     empty = {e: df.limit(0) for e, df in snapshot.items()}
     report = load_star(empty, store, BATCH, "t")
     assert set(report.counts.values()) == {0}
-    assert store["fact_order"].read().count() == 4 and store["dim_customer"].read().count() == 4
+    assert store["fact_order"].read().count() == 3 and store["dim_customer"].read().count() == 5
 
 
 def test_failing_stage_is_reported_and_raised(spark):
@@ -245,11 +240,20 @@ def test_failing_stage_is_reported_and_raised(spark):
     assert [e[3] for e in seen[0].errors] == ["dim_warehouse-load-failed"] and [s[3] for s in seen[0].stages] == ["dim_date"]
 
 
-def test_fact_folders_by_date(spark, monkeypatch):
-    import starloom.plans.star_load as module
+def test_recoded_members_and_renumbered_orders_stay_one_row(spark):
+    """A new message key of the same business id (code, slug, number) changes attributes, never the number of rows."""
+    store, snapshot = star_store(spark), seed_snapshot(spark)
+    again = lambda entity, **new: snapshot[entity].unionByName(snapshot[entity].withColumns({**{k: F.lit(v) for k, v in new.items()}, "offset": F.col("offset") + 1000}))
+    load_star({**snapshot, "warehouses": again("warehouses", code="NEW"), "product-categories": again("product-categories", name="Things", slug="x"),
+               "orders": again("orders", orderNumber="N-9")}, store, BATCH, "t")
+    counts = {r.table_name: r.rows for r in marts.row_counts(store.read()).collect()}
+    assert (counts["dim_warehouse"], counts["fact_order"], counts["fact_order_line"], counts["fact_inventory_snap"], counts["dim_product(current)"]) == (2, 3, 5, 8, 4)
+    assert {r.code for r in store["dim_warehouse"].read().collect()} == {"NEW"}
+    assert {r.category_name for r in store["dim_product"].read().collect()} == {"Things"}
+
 
-    monkeypatch.setattr(module, "MIN_ROWS_PER_DAY", 0)
+def test_fact_folders_by_date(spark):
     store = star_store(spark)
     load_star(seed_snapshot(spark), store, BATCH, "t")
-    one = store["fact_order"].read().where("order_date_key = 20260702")
+    one = store["fact_order"].read().where("order_date_key = 20260309")
     assert one.count() == 1 and "PartitionFilters: [isnotnull(order_date_key" in one._jdf.queryExecution().executedPlan().toString()
