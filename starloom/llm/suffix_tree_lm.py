@@ -193,40 +193,60 @@ def learn(docs: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, pen
     counts = materialize(word_counts(docs), "words")
     tokens, words = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     least = max(2.0, min_share * tokens / 4)
-    stored = counts.where(F.col("n") >= least).toPandas()
-    hashes = stored["hash"].to_numpy(np.int64).view(np.uint64)
+    stored = _columns(counts.where(F.col("n") >= least), "hash", "n")
+    hashes = stored[0].view(np.uint64)
     order = np.argsort(hashes)
-    tree = Tree(tokens, words, least, hashes[order], stored["n"].to_numpy(np.int64)[order])
+    tree = Tree(tokens, words, least, hashes[order], stored[1][order])
     enough = max(4.0, min_share * tokens)
     # How often a context is followed by anything is known: a word's count, then that of the transition it is made of
     candidates = np.flatnonzero(tree.counts >= enough).astype(np.int64) + 1
     totals = tree.counts[candidates - 1]
     for d in range(1, depth + 1):
-        rows = transitions(docs, spark.sparkContext.broadcast(tree), d, spark.sparkContext.broadcast(candidates))
-        kept = rows.where(F.col("n") >= least).toPandas().sort_values(["context", "symbol"], ignore_index=True)
-        context, symbol, n = (kept[c].to_numpy(np.int64) for c in ("context", "symbol", "n"))
-        _retain(tree, d, context, symbol, n, totals[_find(candidates, context)], penalty)
-        longer = n >= enough
-        candidates, totals = (context[longer] << _SHIFT) | (symbol[longer] + 1), n[longer]
+        shared, asked = spark.sparkContext.broadcast(tree), spark.sparkContext.broadcast(candidates)
+        rows = transitions(docs, shared, d, asked).where(F.col("n") >= least)
+        rows = materialize(_beside_suffix(rows, shared, d, asked, spark.sparkContext.broadcast(totals)), f"depth-{d}")
+        gain = F.col("n") * F.log(F.col("n") / F.col("total") / F.col("before"))
+        nodes = rows.groupBy("context").agg(F.sum(gain).alias("gain"), F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("seen"),
+                                            F.sum("before").alias("before"), F.max("total").alias("total"))
+        rest = F.col("total") - F.col("seen")              # all other symbols together are one more outcome
+        rest_gain = F.when(rest > 0, rest * F.log(rest / F.col("total") / F.greatest(1 - F.col("before"), F.lit(1e-12)))).otherwise(0.0)
+        retained = nodes.where(F.col("gain") + rest_gain > penalty * F.col("kinds")).select("context")
+        _grow(tree, *_columns(rows.join(retained, "context"), "context", "symbol", "n", "total"))
+        if d < depth:
+            context, symbol, totals = _columns(rows.where(F.col("n") >= enough), "context", "symbol", "n")
+            candidates = (context << _SHIFT) | (symbol + 1)
+            order = np.argsort(candidates)
+            candidates, totals = candidates[order], totals[order]
     return tree, counts
 
 
-def _retain(tree: Tree, depth: int, context: np.ndarray, symbol: np.ndarray, n: np.ndarray, total: np.ndarray, penalty: float) -> None:
-    """Add to the tree the contexts (rows in order of context, symbol) whose divergence pays for their symbols."""
-    nodes, first = np.unique(context, return_index=True)
-    chosen, retained = np.zeros(len(context), bool), np.zeros(len(nodes), bool)
-    if len(nodes):
-        before = _suffix_probability(tree, context, symbol, depth)
-        kinds, seen = np.diff(np.r_[first, len(context)]), np.add.reduceat(n, first)
-        rest, rest_before = total[first] - seen, np.maximum(1 - np.add.reduceat(before, first), 1e-12)
-        gain = np.add.reduceat(n * np.log(n / total / before), first)
-        gain += np.where(rest > 0, rest * np.log(np.maximum(rest, 1) / total[first] / rest_before), 0.0)
-        retained = gain > penalty * kinds
-        chosen = np.repeat(retained, kinds)
-    share, at = (n[chosen] - DISCOUNT) / total[chosen], _find(nodes[retained], context[chosen])
-    tree.contexts.append(nodes[retained])
-    tree.free.append(1 - np.bincount(at, share, minlength=int(retained.sum())))
-    tree.edges.append(at * len(tree.hashes) + symbol[chosen])
+def _columns(df: DataFrame, *names: str) -> tuple[np.ndarray, ...]:
+    """Columns of a table of bounded size as arrays on the driver."""
+    found = df.select(*(F.col(n).cast("long").alias(n) for n in names)).toArrow()
+    return tuple(found.column(n).to_numpy() for n in names)
+
+
+def _beside_suffix(rows: DataFrame, shared, depth: int, candidates, totals) -> DataFrame:
+    """rows (context, symbol, n) with total, the context's count, and before, P(symbol | longest retained suffix)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = shared.value
+        for batch in batches:
+            context, symbol = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(totals.value[_find(candidates.value, context)]),
+                                              pa.array(_suffix_probability(tree, context, symbol, depth))], names=["context", "symbol", "n", "total", "before"])
+
+    return rows.select("context", "symbol", "n").mapInArrow(run, "context long, symbol int, n long, total long, before double")
+
+
+def _grow(tree: Tree, context: np.ndarray, symbol: np.ndarray, n: np.ndarray, total: np.ndarray) -> None:
+    """Add one depth to the tree from the transitions of its retained contexts."""
+    order = np.lexsort((symbol, context))
+    context, symbol, n, total = context[order], symbol[order], n[order], total[order]
+    nodes = np.unique(context)
+    share, at = (n - DISCOUNT) / total, _find(nodes, context)
+    tree.contexts.append(nodes)
+    tree.free.append(1 - np.bincount(at, share, minlength=len(nodes)))
+    tree.edges.append(at * len(tree.hashes) + symbol)
     tree.share.append(share)
 
 
