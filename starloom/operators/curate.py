@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from starloom.catalog import CATALOG, Catalog, EntitySpec, Field
 from starloom.functions.scalars import operation_letter, operation_name, text
 from starloom.functions.strict_json import at, is_object, kind_of, present, typed, with_parsed
+from starloom.session import materialize
 
 CURATED, IGNORED = "curated", "ignored"
 PARSE_FAILED, PROJECTION_FAILED = "parse-failed", "projection-failed"
@@ -92,11 +93,11 @@ def _read_fields(parsed: DataFrame, catalog: Catalog) -> DataFrame:
 def _failure(field: Field) -> str:
     """Message for a field that cannot be projected, else null."""
     json_kind, value = f"_k_{field.name}", f"_t_{field.name}"
-    wrong = f"Source column ''{field.source}'' has the wrong JSON kind for the {field.kind.value} field ''{field.name}''."
+    wrong = f"{field.source}: not of a kind that {field.name} ({field.kind.value}) can hold"
     absent = f"({json_kind} is null or {json_kind} = 'VOID')"
     if field.nullable:
         return f"case when not {absent} and {value} is null then '{wrong}' end"
-    missing = f"Source column ''{field.source}'' is missing or null but the curated field ''{field.name}'' is not nullable."
+    missing = f"{field.source}: absent or null, {field.name} is required"
     return f"case when {absent} then '{missing}' when {value} is null then '{wrong}' end"
 
 
@@ -168,8 +169,8 @@ def quarantine(classified: DataFrame, trace_id: str, observed_at) -> DataFrame:
 
 def curate(raw: DataFrame, curated_at, catalog: Catalog = CATALOG, trace_id: str = "") -> tuple[dict[str, DataFrame], DataFrame]:
     """Curated frame per entity and the error rows."""
-    classified = classify(raw, curated_at, catalog)
-    frames = {s.entity: curate_entity(raw, s, curated_at) for s in catalog}
+    classified = materialize(classify(raw, curated_at, catalog), "classified")       # parsed once, read per entity
+    frames = {s.entity: entity_frame(classified, s) for s in catalog}
     return frames, quarantine(classified, trace_id, curated_at)
 
 

@@ -81,16 +81,20 @@ def product_attributes(products: DataFrame, categories: DataFrame, order: list[s
         money("listPriceUsd", 4).alias("list_price_usd"), *order)
 
 
-def merge_dim_customer(existing: DataFrame, customers: DataFrame, batch_ts, order: list[str] = ("offset",)) -> DataFrame:
-    order = list(order)
-    return scd2_merge(existing, customer_attributes(customers, order), CUSTOMER_SCD2, batch_ts, order)
+def merge_dim_customer(
+    existing: DataFrame, customers: DataFrame, batch_ts, order: list[str] = ("offset",), numbering: list[str] | None = None,
+) -> DataFrame:
+    """order says which record of a customer counts, numbering (order unless given) in which order new ones are numbered."""
+    carried = list(dict.fromkeys([*order, *(numbering or ())]))
+    return scd2_merge(existing, customer_attributes(customers, carried), CUSTOMER_SCD2, batch_ts, list(order), numbering)
 
 
 def merge_dim_product(
     existing: DataFrame, products: DataFrame, categories: DataFrame, batch_ts, order: list[str] = ("offset",),
+    numbering: list[str] | None = None,
 ) -> DataFrame:
-    order = list(order)
-    return scd2_merge(existing, product_attributes(products, categories, order), PRODUCT_SCD2, batch_ts, order)
+    carried = list(dict.fromkeys([*order, *(numbering or ())]))
+    return scd2_merge(existing, product_attributes(products, categories, carried), PRODUCT_SCD2, batch_ts, list(order), numbering)
 
 
 def empty_dimension(spark, table: str) -> DataFrame:

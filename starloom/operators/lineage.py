@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +50,23 @@ def run_events(
     return events.withColumn("run", F.struct(run_uuid("run.runId").alias("runId")))
 
 
+class LineageLog:
+    """Run events kept as a table of JSON lines. Emitting is best effort: a log that can't be written stops no job."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def emit(self, event_type: str, job: str, run_id: str, at: datetime, catalog: Catalog = CATALOG) -> None:
+        inputs, outputs = job_datasets(catalog)[job]
+        try:
+            to_json_lines(run_events(self.spark, event_type, job, run_id, inputs, outputs, at)).coalesce(1).write.mode("append").text(self.path)
+        except Exception as error:
+            logging.getLogger(__name__).warning("lineage of %s not written: %s", job, error)
+
+    def read(self) -> DataFrame:
+        return from_json_lines(self.spark.read.text(self.path))
+
+
 def to_json_lines(events: DataFrame) -> DataFrame:
     return events.select(F.to_json(F.struct(*RUN_EVENT.names), {"ignoreNullFields": "false"}).alias("value"))
 

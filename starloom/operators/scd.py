@@ -43,19 +43,23 @@ def _same(df: DataFrame, old: str, new: str) -> Column:
     return F.col(old).eqNullSafe(F.col(new))
 
 
-def scd2_merge(existing: DataFrame, incoming: DataFrame, spec: Scd2Spec, batch_ts, order: list[str]) -> DataFrame:
+def scd2_merge(
+    existing: DataFrame, incoming: DataFrame, spec: Scd2Spec, batch_ts, order: list[str], numbering: list[str] | None = None,
+) -> DataFrame:
     """The whole new dimension after a batch.
 
     An unchanged key is a no-op; a changed one closes its current version and gets a new one; an unseen one
     gets its first version; keys absent from the batch stay. Several incoming rows of one business key count as
-    the last by order. New surrogate keys continue after the highest existing one, in (order, business key) order.
+    the last by order. New surrogate keys continue after the highest existing one, in (numbering, business key) order;
+    numbering is order unless given.
 
     When the batch is small enough to broadcast, the dimension is compared in place without a shuffle.
     """
     batch = F.lit(batch_ts).cast("timestamp")
     key, tracked = spec.business_key, list(spec.tracked)
-    fresh = latest_per_key(incoming.select(key, *tracked, *order), [key], order)
-    fresh = fresh.select(key, *[F.col(c).alias(f"_new_{c}") for c in tracked], *[F.col(c).alias(f"_at_{c}") for c in order],
+    numbering = list(numbering or order)
+    fresh = latest_per_key(incoming.select(key, *tracked, *dict.fromkeys([*order, *numbering])), [key], order)
+    fresh = fresh.select(key, *[F.col(c).alias(f"_new_{c}") for c in tracked], *[F.col(c).alias(f"_at_{c}") for c in numbering],
                          F.lit(True).alias("_incoming"))
     current = existing.where(F.col("is_current") == 1).select(spec.columns)
     history = existing.where(F.coalesce(F.col("is_current"), F.lit(0)) != 1).select(spec.columns)
@@ -81,9 +85,9 @@ def scd2_merge(existing: DataFrame, incoming: DataFrame, spec: Scd2Spec, batch_t
         F.when(changed, batch).otherwise(F.col("valid_to")).alias("valid_to"),
         F.when(changed, 0).otherwise(1).alias("is_current"))
     opened = both.where(arrived & (~was_current | ~equal)).select(
-        key, *[F.col(f"_new_{c}").alias(c) for c in tracked], *[F.col(f"_at_{c}").alias(f"_at_{c}") for c in order])
+        key, *[F.col(f"_new_{c}").alias(c) for c in tracked], *[f"_at_{c}" for c in numbering])
     start = highest_key(existing, spec.surrogate)
-    numbered = number_rows(opened, [*[F.col(f"_at_{c}") for c in order], F.col(key)], spec.surrogate, start)
+    numbered = number_rows(opened, [*[F.col(f"_at_{c}") for c in numbering], F.col(key)], spec.surrogate, start)
     filled = [F.coalesce(F.col(c), F.lit("")).alias(c) if isinstance(numbered.schema[c].dataType, T.StringType) else F.col(c)
               for c in tracked]
     new = numbered.select(spec.surrogate, key, *filled, batch.alias("valid_from"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Callable
@@ -12,8 +13,10 @@ from pyspark.sql import functions as F
 
 from starloom.catalog import CATALOG, STAR_SCHEMAS, STAR_TABLES, Catalog
 from starloom.operators import dims, facts
-from starloom.operators.lineage import LOAD_JOB
-from starloom.sources.tables import VersionedTable
+from starloom.operators.latest import RECENT
+from starloom.operators.lineage import LOAD_JOB, LineageLog
+from starloom.operators.telemetry import error_rows, stage_rows
+from starloom.sources.tables import BatchTable, VersionedTable
 
 PARTITION_COLUMNS = {"fact_order": "order_date_key", "fact_order_line": "order_date_key", "fact_transaction": "txn_date_key"}
 
@@ -42,6 +45,21 @@ class LoadReport:
     errors: list[tuple] = field(default_factory=list)
 
 
+class LoadLog:
+    """Stage and error rows of loads as tables, one batch per load."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.stages = BatchTable(spark, f"{path}/pipeline_events", stage_rows(spark, []).schema, (), ("pipeline", "stage", "event_time"))
+        self.errors = BatchTable(spark, f"{path}/error_events", error_rows(spark, []).schema, (), ("service", "error_code", "event_time"))
+
+    def keep(self, report: LoadReport) -> None:
+        name = uuid.uuid4().hex
+        self.stages.append(stage_rows(self.spark, report.stages).coalesce(1), name)
+        if report.errors:
+            self.errors.append(error_rows(self.spark, report.errors).coalesce(1), name)
+
+
 def _utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -49,10 +67,13 @@ def _utc_now() -> datetime:
 def load_star(
     snapshot: dict[str, DataFrame], store: StarStore, batch_ts: datetime, trace_id: str = "",
     order: tuple[str, ...] = ("offset",), on_error: Callable[[LoadReport], None] | None = None,
-    catalog: Catalog = CATALOG,
+    catalog: Catalog = CATALOG, log: LoadLog | None = None, lineage: LineageLog | None = None,
 ) -> LoadReport:
     """Nine stages in dependency order, each timed; a failing stage is reported, then raised again.
 
+    order numbers new members (by arrival); which of several records of one id counts is decided by RECENT. Stage and
+    error rows go to log, also when the load fails; START and COMPLETE or FAIL of the run go to lineage.
+
     snapshot maps each entity to a stored frame, as it is read more than once (see CuratedStore.snapshots).
     Every stage writes its table and later stages read it back, so surrogate keys are fixed before any fact uses
     them. Facts are rebuilt from the whole snapshot; an empty entity leaves its table as it was.
@@ -69,6 +90,11 @@ def load_star(
                 loaded.add(name)
         except Exception as error:
             report.errors.append((_utc_now(), trace_id, LOAD_JOB, f"{name}-load-failed", str(error), repr(error)))
+            report.stages.append((_utc_now(), trace_id, LOAD_JOB, name, "failed", int((time.monotonic() - started) * 1000), "{}"))
+            if log:
+                log.keep(report)
+            if lineage:
+                lineage.emit("FAIL", LOAD_JOB, trace_id, _utc_now(), catalog)
             if on_error:
                 on_error(report)
             raise
@@ -76,9 +102,11 @@ def load_star(
         report.stages.append((_utc_now(), trace_id, LOAD_JOB, name, "ok", elapsed, "{}"))
 
     started = time.monotonic()
+    if lineage:
+        lineage.emit("START", LOAD_JOB, trace_id, _utc_now(), catalog)
     s = snapshot
     keys = lambda: dims.date_keys([(s["orders"], "placedAtUtc"), (s["transactions"], "occurredAtUtc")], batch_ts)
-    newest = ["sourceTsMs", *order]
+    newest, arrival = list(RECENT), list(order)
 
     def order_context() -> DataFrame:
         # fact_order was just built from the same orders, so its keys need not be resolved again
@@ -90,9 +118,9 @@ def load_star(
     stage("dim_warehouse", lambda: dims.merge_dim_warehouse(read("dim_warehouse"), s["warehouses"]), s["warehouses"])
     stage("dim_carrier", lambda: dims.merge_dim_carrier(read("dim_carrier"), s["shipments"], order[-1]), s["shipments"])
     stage("dim_customer", lambda: dims.merge_dim_customer(
-        read("dim_customer"), s["customers"], batch_ts, newest), s["customers"])
+        read("dim_customer"), s["customers"], batch_ts, newest, arrival), s["customers"])
     stage("dim_product", lambda: dims.merge_dim_product(
-        read("dim_product"), s["products"], s["product-categories"], batch_ts, newest), s["products"])
+        read("dim_product"), s["products"], s["product-categories"], batch_ts, newest, arrival), s["products"])
     stage("fact_order", lambda: facts.fact_order(s["orders"], read("dim_customer")), s["orders"])
     stage("fact_order_line", lambda: facts.fact_order_line(
         s["order-lines"], order_context(), read("dim_product"), read("dim_warehouse")), s["order-lines"])
@@ -104,6 +132,10 @@ def load_star(
     elapsed = int((time.monotonic() - started) * 1000)
     total = sum(report.counts.values())
     report.stages.append((_utc_now(), trace_id, LOAD_JOB, "load", "ok", elapsed, f'{{"records":{total}}}'))
+    if log:
+        log.keep(report)
+    if lineage:
+        lineage.emit("COMPLETE", LOAD_JOB, trace_id, _utc_now(), catalog)
     return report
 
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from starloom.catalog import CATALOG, RAW_SCHEMA, Catalog, EntitySpec
 
-_CONFLUENT_HEADER = 5                      # fixed value: magic byte and four-byte schema id before Avro data
+def avro_header(schema_id: int) -> bytes:
+    """What registry-aware producers put before Avro data: a zero byte and the schema id, four bytes big-endian."""
+    return b"\0" + schema_id.to_bytes(4, "big")
 
 
 def raw_files(spark: SparkSession, path: str, streaming: bool = False, max_files: int | None = None) -> DataFrame:
@@ -31,25 +33,30 @@ def kafka_raw(
         "partition", "offset", "timestamp")
 
 
-def kafka_curated(spark: SparkSession, servers: str, spec: EntitySpec, options: dict[str, str] | None = None) -> DataFrame:
-    """One curated Avro topic as typed records (needs the spark-sql-kafka and spark-avro packages)."""
+def kafka_curated(
+    spark: SparkSession, servers: str, spec: EntitySpec, options: dict[str, str] | None = None, header: bytes = b"",
+) -> DataFrame:
+    """One curated Avro topic as typed records (needs the spark-sql-kafka and spark-avro packages).
+
+    header is what the producer put before the Avro data, as in curated_messages; only its length matters here.
+    """
     from pyspark.sql.avro.functions import from_avro
 
     messages = (spark.read.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", spec.curated_topic)
                 .option("startingOffsets", "earliest").options(**(options or {})).load())
-    body = F.expr(f"substring(value, {_CONFLUENT_HEADER + 1})")
+    body = F.expr(f"substring(value, {len(header) + 1})")
     return messages.where(F.col("value").isNotNull()).select(
         from_avro(body, spec.avro_schema()).alias("r"), F.col("key").cast("string").alias("key"), "partition", "offset",
     ).select("r.*", "key", "partition", "offset")
 
 
-def curated_messages(curated: DataFrame, spec: EntitySpec, avro: bool = False) -> DataFrame:
+def curated_messages(curated: DataFrame, spec: EntitySpec, avro: bool = False, header: bytes = b"") -> DataFrame:
     """Curated records as (topic, key, value) messages: Avro where the package is present, else JSON."""
     record = F.struct(*spec.to_struct_type().names)
     if avro:
         from pyspark.sql.avro.functions import to_avro
 
-        value = to_avro(record, spec.avro_schema())
+        value = F.concat(F.lit(header), to_avro(record, spec.avro_schema()))
     else:
         value = F.to_json(record, {"ignoreNullFields": "false"})
     return curated.select(F.lit(spec.curated_topic).alias("topic"), "key", value.alias("value"))

@@ -1,4 +1,7 @@
-"""Reading the star's customer and order tables, from Parquet or over JDBC, and writing the mart."""
+"""The star's customer and order tables from wherever they are kept, and the mart that is made of them.
+
+A reader knows its own options, refuses to be made without what it needs, and gives both tables by `read`.
+"""
 
 from __future__ import annotations
 
@@ -7,57 +10,57 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PARQUET, JDBC = "parquet", "jdbc"
+CUSTOMERS, ORDERS = ("dim_customer", "customer_sk"), ("fact_order", "order_id")      # table and its numeric key
+
+
+def _needed(**options: str) -> None:
+    missing = [name for name, value in options.items() if not value]
+    if missing:
+        raise ValueError(f"set {', '.join(missing)}")
 
 
 @dataclass(frozen=True)
-class StarSource:
-    """Where the two tables are; the options a kind needs are checked when the source is made."""
-
-    kind: str = PARQUET
-    dim_customer_path: str = ""
-    fact_order_path: str = ""
-    jdbc_url: str = ""
-    jdbc_user: str = "root"
-    jdbc_password: str = ""
-    jdbc_driver: str = "com.mysql.cj.jdbc.Driver"
-    jdbc_schema: str = "dwh"
-    jdbc_partitions: int = 64
-    jdbc_options: dict = field(default_factory=dict)
+class ParquetStar:
+    customers: str
+    orders: str
 
     def __post_init__(self):
-        if self.kind not in (PARQUET, JDBC):
-            raise ValueError(f"unknown source kind {self.kind!r}")
-        if self.kind == PARQUET and not (self.dim_customer_path and self.fact_order_path):
-            raise ValueError("a parquet source needs dim_customer_path and fact_order_path")
-        if self.kind == JDBC and not self.jdbc_url:
-            raise ValueError("a jdbc source needs jdbc_url")
-
-
-def _jdbc_table(spark: SparkSession, source: StarSource, table: str, key: str) -> DataFrame:
-    """One table over JDBC, split on its numeric key so that it is not read through one connection."""
-    name = f"{source.jdbc_schema}.{table}"
-    options = {"url": source.jdbc_url, "user": source.jdbc_user, "password": source.jdbc_password,
-               "driver": source.jdbc_driver, "fetchsize": 10_000, **source.jdbc_options}
-    reader = lambda **more: spark.read.format("jdbc").options(**options, **more).load()
-    whole = reader(dbtable=name)
-    column = next(c for c in whole.columns if c.lower() == key)
-    quoted = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(source.jdbc_url).quoteIdentifier(column)
-    low, high = reader(query=f"select min({quoted}) as lo, max({quoted}) as hi from {name}").first()
-    if low is not None and low < high:
-        whole = reader(dbtable=name, partitionColumn=column, lowerBound=low, upperBound=high, numPartitions=source.jdbc_partitions)
-    return whole.select([F.col(c).alias(c.lower()) for c in whole.columns])
-
-
-def read_star(spark: SparkSession, source: StarSource) -> tuple[DataFrame, DataFrame]:
-    """(dim_customer, fact_order) with the schema of the source."""
-    if source.kind == PARQUET:
-        return spark.read.parquet(source.dim_customer_path), spark.read.parquet(source.fact_order_path)
-    return (_jdbc_table(spark, source, "dim_customer", "customer_sk"),
-            _jdbc_table(spark, source, "fact_order", "order_id"))
+        _needed(customers=self.customers, orders=self.orders)
+
+    def read(self, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+        return spark.read.parquet(self.customers), spark.read.parquet(self.orders)
+
+
+@dataclass(frozen=True)
+class JdbcStar:
+    """Each table is split on its numeric key into ranges, so that it is not read through one connection."""
+
+    url: str
+    schema: str = "dwh"
+    ranges: int = 64
+    options: dict = field(default_factory=dict)          # user, password, driver, ..
+
+    def __post_init__(self):
+        _needed(url=self.url)
+
+    def read(self, spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+        return self._table(spark, *CUSTOMERS), self._table(spark, *ORDERS)
+
+    def _load(self, spark: SparkSession, **what) -> DataFrame:
+        return spark.read.format("jdbc").options(url=self.url, fetchsize=10_000, **self.options, **what).load()
+
+    def _table(self, spark: SparkSession, table: str, key: str) -> DataFrame:
+        name = f"{self.schema}.{table}"
+        rows = self._load(spark, dbtable=name)
+        column = next(c for c in rows.columns if c.lower() == key)
+        quoted = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(self.url).quoteIdentifier(column)
+        low, high = self._load(spark, query=f"select min({quoted}) as lo, max({quoted}) as hi from {name}").first()
+        if low is not None and low < high:
+            rows = self._load(spark, dbtable=name, partitionColumn=column, lowerBound=low, upperBound=high, numPartitions=self.ranges)
+        return rows.toDF(*[c.lower() for c in rows.columns])
 
 
 def write_mart(mart: DataFrame, path: str) -> int:
-    """Rebuild the mart and return its row count, taken from the written files rather than a second run."""
-    mart.write.mode("overwrite").parquet(path)
-    return mart.sparkSession.read.parquet(path).count()
+    """Rebuild the mart, its files in order of customer_sk and sorted inside; the row count is read from the files."""
+    mart.repartitionByRange("customer_sk").sortWithinPartitions("customer_sk").write.mode("overwrite").parquet(path)
+    return mart.sparkSession.read.parquet(path).agg(F.count(F.lit(1))).first()[0]

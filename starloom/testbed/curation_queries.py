@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.catalog import CATALOG, Catalog, EntitySpec, Field, Kind, conform
+from starloom.catalog import CATALOG, Catalog, EntitySpec, Field, Kind, build_catalog, conform
 from starloom.functions.scalars import change_table_operation, entity_of_topic, operation_letter
 from starloom.operators import curate as cur
 from starloom.operators.latest import latest_change, latest_per_key
 from starloom.plans.timeline import raw_changes, record_timeline
 from starloom.sources.raw import to_envelopes
-from starloom.testbed.frames import BASE_TS, curated_rows, plain, raw_messages, rows_sql, source_rows, table
+from starloom.testbed.frames import BASE_TS, OFFSETS, curated_rows, raw_messages, rows_sql, source_rows, table
 from starloom.testbed.registry import query
 
 CURATED_AT = datetime(2026, 7, 25, 12)
@@ -100,21 +102,22 @@ def curate_quarantine(spark, sf_dir):
               .when(which == 7, F.lit('{"payload":null}')).when(which == 8, F.concat(value, F.lit(","), value)).otherwise(value))
     bad = cur.quarantine(cur.classify(raw.withColumn("value", broken), CURATED_AT), "trace", CURATED_AT)
     named = bad.select(F.lit("customers").alias("entity"), "error_code",
-                       F.nullif(F.regexp_extract("message", "Source column '(\\w+)'", 1), F.lit("")).alias("field"))
+                       F.nullif(F.regexp_extract("message", "^(\\w+): ", 1), F.lit("")).alias("field"))
     return named.groupBy("entity", "error_code", "field").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("entity_counts", """
 WITH found AS (
-  SELECT 'customers' AS entity, COUNT(*) AS n FROM customer UNION ALL SELECT 'orders', COUNT(*) FROM orders
-  UNION ALL SELECT 'warehouses', COUNT(*) FROM supplier),
+  SELECT 'customers' AS entity, COUNT(*) AS n FROM customer UNION ALL SELECT 'customer-addresses', COUNT(*) FROM customer
+  UNION ALL SELECT 'warehouses', COUNT(*) FROM supplier UNION ALL SELECT 'products', COUNT(*) FROM part
+  UNION ALL SELECT 'product-categories', COUNT(DISTINCT p_type) FROM part UNION ALL SELECT 'order-lines', COUNT(*) FROM lineitem
+  UNION ALL SELECT UNNEST(['orders', 'transactions', 'shipments']), (SELECT COUNT(*) FROM orders)
+  UNION ALL SELECT 'product-inventory', (SELECT COUNT(*) FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) x)),
 names AS (SELECT UNNEST(['customers','product-categories','products','warehouses','customer-addresses','orders',
                          'order-lines','transactions','shipments','product-inventory']) AS entity)
 SELECT names.entity, CAST(COALESCE(n, 0) AS BIGINT) AS records FROM names LEFT JOIN found ON names.entity = found.entity""")
 def entity_counts(spark, sf_dir):
-    raw = raw_messages(spark, sf_dir, "customers")
-    for entity in ("orders", "warehouses"):
-        raw = raw.unionByName(raw_messages(spark, sf_dir, entity))
+    raw = reduce(DataFrame.unionByName, (raw_messages(spark, sf_dir, entity) for entity in CATALOG.entities))
     return cur.record_counts(cur.classify(raw, CURATED_AT))
 
 
@@ -195,22 +198,50 @@ def newest_change_of_key(spark, sf_dir):
     return latest_change(events, "user_id", 7, ["ts", "event_id"]).select("event_id", "event_type", "value")
 
 
-_KEY = "Customer#000000042"
+# A key that JSON text writes in escaped form: a quote, a backslash and letters beyond ASCII
+_KEY = 'C"42\\Zoë'
+_SQL_CUSTOMER = "c_custkey = 42"
 
 
-@query("record_timeline", f"""
-SELECT 'raw' AS stage, c_custkey AS position, 'insert' AS operation, c_name AS detail FROM customer WHERE c_name = '{_KEY}'
-UNION ALL SELECT 'curated', c_custkey, 'insert', c_name FROM customer WHERE c_name = '{_KEY}'
-UNION ALL SELECT 'star', c_custkey + 1, 'current', c_name FROM customer WHERE c_name = '{_KEY}'""")
-def follow_one_record(spark, sf_dir):
-    from starloom.testbed.star_queries import dim_customer
+def _renamed(rows):
+    return rows.withColumn("CustomerCode", F.when(F.col("CustomerId") == 42, F.lit(_KEY)).otherwise(F.col("CustomerCode")))
 
-    spec, raw = CATALOG["customers"], raw_messages(spark, sf_dir, "customers")
-    star = dim_customer(spark, sf_dir).where(F.col("is_current") == 1)
-    return record_timeline(raw, cur.curate_entity(raw, spec, CURATED_AT), star, spec, _KEY)
+
+@query("record_timeline", f"""
+SELECT 'customers' AS entity, 'raw' AS stage, c_custkey AS position, 'insert' AS operation, c_name AS detail FROM customer WHERE {_SQL_CUSTOMER}
+UNION ALL SELECT 'customers', 'curated', c_custkey, 'insert', c_name FROM customer WHERE {_SQL_CUSTOMER}
+UNION ALL SELECT 'customers', 'star', c_custkey + 1, 'current', c_name FROM customer WHERE {_SQL_CUSTOMER}
+UNION ALL SELECT 'products', UNNEST(['raw', 'curated']), p_partkey, 'insert', p_name FROM part WHERE p_partkey = 7
+UNION ALL SELECT 'products', 'star', p_partkey + 1, 'current', p_name FROM part WHERE p_partkey = 7""")
+def follow_records(spark, sf_dir):
+    """A customer whose code needs escaping and a product, each from the raw topic to the star; closed versions count too."""
+    from starloom.testbed.star_queries import dim_customer, dim_product
+
+    def follow(entity, rows, star, key, **where):
+        spec = CATALOG[entity]
+        raw = to_envelopes(rows, spec, F.col(OFFSETS[entity]).cast("bigint"), "c", 1)
+        found = record_timeline(raw, cur.curate_entity(raw, spec, CURATED_AT), spec, key, star, **where)
+        return found.withColumn("entity", F.lit(entity))
+
+    people = dim_customer(spark, sf_dir).withColumn("customer_code", F.when(F.col("customer_id") == 42, F.lit(_KEY)).otherwise(F.col("customer_code")))
+    customers = follow("customers", _renamed(source_rows(spark, sf_dir, "customers")), people, _KEY, star_key="customer_code", star_position="customer_sk", detail="displayName")
+    return customers.unionByName(follow("products", source_rows(spark, sf_dir, "products"), dim_product(spark, sf_dir), "SKU-7", star_key="sku", star_position="product_sk",
+                                        detail="displayName"))
 
 
 @query("raw_changes", f"""
-SELECT 'insert' AS operation, c_custkey AS "offset" FROM customer WHERE c_name = '{_KEY}'""")
+SELECT 'insert' AS operation, c_custkey AS "offset", c_name AS name FROM customer WHERE {_SQL_CUSTOMER}""")
 def changes_of_one_record(spark, sf_dir):
-    return raw_changes(raw_messages(spark, sf_dir, "customers"), CATALOG["customers"], _KEY).select("operation", "offset")
+    raw = to_envelopes(_renamed(source_rows(spark, sf_dir, "customers")), CATALOG["customers"], F.col("CustomerId"), "c", 1)
+    return raw_changes(raw, CATALOG["customers"], _KEY).select("operation", "offset", F.get_json_object("after", "$.DisplayName").alias("name"))
+
+
+@query("catalog_contract", """
+SELECT entity, COUNT(*) AS n FROM (SELECT UNNEST(['customers', 'orders', 'products']) AS entity, c_custkey FROM customer) x GROUP BY entity""")
+def catalog_contract(spark, sf_dir):
+    """Raw topics built under another prefix route every message to its entity; the checked catalog refuses what is ambiguous."""
+    catalog = build_catalog("shop.", "clean.")
+    topics = {e: catalog[e].raw_topic for e in ("customers", "orders", "products")}
+    messages = table(spark, sf_dir, "customer").select("c_custkey", F.explode(F.array(*[F.lit(t) for t in topics.values()])).alias("topic"))
+    entity = F.create_map(*[F.lit(x) for s in catalog for x in (s.raw_topic, s.entity)])
+    return messages.where(F.col("topic").isin(catalog.raw_topics)).groupBy(entity[F.col("topic")].alias("entity")).agg(F.count(F.lit(1)).alias("n"))

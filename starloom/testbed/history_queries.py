@@ -259,13 +259,14 @@ def lineage_inventory(spark, sf_dir):
 
 
 @query("run_correlation", """
-WITH runs AS (SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS id FROM part)
+WITH runs AS (SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS id, 'branding' AS job FROM part
+  UNION SELECT CAST(l_orderkey AS VARCHAR), 'supply' FROM lineitem WHERE l_orderkey % 5 > 1
+  UNION SELECT CAST(s_suppkey AS VARCHAR), 'origin' FROM supplier)
 SELECT substr(t, 1, 8) || '-' || substr(t, 9, 4) || '-' || substr(t, 13, 4) || '-' || substr(t, 17, 4) || '-' || substr(t, 21) AS run_id,
-       stage, 'branding' AS job, COUNT(*) AS n
-FROM (SELECT md5(CAST(user_id AS VARCHAR)) AS t, event_type AS stage FROM events JOIN runs ON CAST(user_id AS VARCHAR) = id) e
+       stage, job, COUNT(*) AS n
+FROM (SELECT md5(CAST(user_id AS VARCHAR)) AS t, event_type AS stage, job FROM events JOIN runs ON CAST(user_id AS VARCHAR) = id) e
 GROUP BY ALL""")
 def run_correlation(spark, sf_dir):
     """Stage events joined with the lineage run of the same id, counted per run and stage."""
-    log = run_log(spark, sf_dir).where(F.col("job.name") == "branding")
-    found = lineage.correlate(stage_events(spark, sf_dir), log)
+    found = lineage.correlate(stage_events(spark, sf_dir), run_log(spark, sf_dir))
     return found.groupBy("run_id", "stage", "job").agg(F.count(F.lit(1)).alias("n"))

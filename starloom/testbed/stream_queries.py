@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from datetime import datetime
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.catalog import CATALOG
 from starloom.operators import telemetry
 from starloom.operators.dims import customer_attributes
-from starloom.operators.scd import CUSTOMER_SCD2
+from starloom.operators.lineage import LineageLog
+from starloom.operators.scd import CUSTOMER_SCD2, scd2_merge
+from starloom.plans.star_load import LoadLog, StarStore, load_star
 from starloom.catalog import RAW_SCHEMA, STAR_SCHEMAS, TELEMETRY_WIRE
 from starloom.session import shared_dir
-from starloom.sources.raw import raw_files
+from starloom.sources.raw import raw_files, to_envelopes
 from starloom.sources.tables import VersionedTable
 from starloom.streaming import jobs
-from starloom.testbed.frames import curated_rows, plain, raw_messages, rows_sql, stage_events, table
+from starloom.testbed.frames import BASE_TS, curated_rows, plain, raw_messages, rows_sql, source_rows, stage_events, table
 from starloom.testbed.history_queries import SQL_SKETCH_OK, within_rank_error
 from starloom.testbed.registry import query
 
@@ -33,21 +40,57 @@ def _finish(q):
         raise q.exception()
 
 
-@query("stream_curate_drain", f"""
-SELECT 'orders' AS entity, "orderId" AS id, "totalUsd" AS detail FROM ({rows_sql('orders')}) o
-UNION ALL SELECT 'customers', "customerId", "email" FROM ({rows_sql('customers')}) c WHERE "customerId" % 9 <> 0""")
+def _counts_sql(but=""):
+    return " UNION ALL ".join(f"SELECT '{e}' AS entity, COUNT(*) AS n FROM ({rows_sql(e)}) r{but if e == 'customers' else ''}" for e in CATALOG.entities)
+
+
+@query("stream_curate_drain", _counts_sql(' WHERE "customerId" % 9 <> 0') + """
+UNION ALL SELECT 'parse-failed', COUNT(*) FROM customer WHERE c_custkey % 9 = 0 UNION ALL SELECT 'drain rows', 2""")
 def stream_curate_drain(spark, sf_dir):
-    """Raw messages in several files, curated in two batches; broken customers are quarantined."""
+    """Raw messages of all ten entities in several files, curated in two batches; broken customers are quarantined."""
     root = workdir(spark)
     customers = raw_messages(spark, sf_dir, "customers")
     customers = customers.withColumn("value", F.when(F.col("offset") % 9 == 0, F.lit("{broken")).otherwise(F.col("value")))
-    raw_messages(spark, sf_dir, "orders").unionByName(customers).repartition(FILES).write.json(f"{root}/raw")
+    others = (raw_messages(spark, sf_dir, e) for e in CATALOG.entities if e != "customers")
+    reduce(DataFrame.unionByName, others, customers).repartition(FILES).write.json(f"{root}/raw")
     store = jobs.CuratedStore(spark, f"{root}/curated")
     stream = raw_files(spark, f"{root}/raw", streaming=True, max_files=FILES // 2)
     _finish(jobs.start_curation(stream, store, f"{root}/checkpoint", jobs.drain(), "trace", datetime(2026, 7, 25, 12)))
-    orders = store.entity("orders").select(F.lit("orders").alias("entity"), F.col("orderId").alias("id"), F.col("totalUsd").alias("detail"))
-    people = store.entity("customers").select(F.lit("customers").alias("entity"), F.col("customerId").alias("id"), F.col("email").alias("detail"))
-    return orders.unionByName(people)
+    counts = [store.entity(e).agg(F.lit(e).alias("entity"), F.count(F.lit(1)).alias("n")) for e in CATALOG.entities]
+    counts.append(store.errors.read().groupBy(F.col("error_code").alias("entity")).agg(F.count(F.lit(1)).alias("n")))
+    counts.append(store.stages.read().where("stage = 'drain'").agg(F.lit("drain rows").alias("entity"), F.count(F.lit(1)).alias("n")))
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query("stream_replay", f"""
+SELECT 'orders' AS entity, COUNT(*) AS n, CAST(SUM(o_orderkey) AS BIGINT) AS ids, 0 AS twice FROM orders
+UNION ALL SELECT 'customers', COUNT(*), CAST(SUM(c_custkey) AS BIGINT), 0 FROM customer
+UNION ALL SELECT 'latest', COUNT(DISTINCT user_id), CAST((SELECT SUM(m) FROM (SELECT MAX(event_id) AS m FROM events GROUP BY user_id) x) AS BIGINT), 0 FROM events
+UNION ALL SELECT 'latency', COUNT(*), 0, 0 FROM events""")
+def stream_replay(spark, sf_dir):
+    """A drain, a new file, then a fresh checkpoint with other batch sizes over the same stores: all rows, none twice."""
+    root = workdir(spark)
+    store = jobs.CuratedStore(spark, f"{root}/curated")
+    log = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    latest = jobs.LatestStore(spark, f"{root}/latest", log.schema, ["user_id"], ["event_id"])
+    events, states = stage_events(spark, sf_dir), jobs.latency_store(spark, f"{root}/states")
+    first = F.col("event_id") % 3 == 0
+    for number, (entity, part) in enumerate((("orders", first), ("customers", ~first))):
+        raw_messages(spark, sf_dir, entity).repartition(FILES).write.mode("append").json(f"{root}/raw")
+        log.where(part).repartition(FILES).write.mode("append").parquet(f"{root}/log")
+        events.where(part).repartition(FILES).write.mode("append").parquet(f"{root}/events")
+        files = (FILES // 2, 3 * FILES)[number]
+        _finish(jobs.start_curation(raw_files(spark, f"{root}/raw", True, files), store, f"{root}/checkpoint-{number}", jobs.drain(), "trace", datetime(2026, 7, 25, 12)))
+        stream = lambda path, schema: spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)  # noqa: B023
+        _finish(jobs.start_latest(stream(f"{root}/log", log.schema), latest, f"{root}/checkpoint-latest-{number}"))
+        _finish(jobs.start_latency(stream(f"{root}/events", events.schema), states, f"{root}/checkpoint-states-{number}"))
+        latest.compact()
+    sums = [store.entity(e).agg(F.lit(e).alias("entity"), F.count(F.lit(1)).alias("n"), F.sum(key).alias("ids"), (F.count(F.lit(1)) - F.count_distinct(key)).cast("int").alias("twice"))
+            for e, key in (("orders", "orderId"), ("customers", "customerId"))]
+    newest = latest.read()
+    sums.append(newest.agg(F.lit("latest").alias("entity"), F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"), (F.count(F.lit(1)) - F.count_distinct("user_id")).cast("int").alias("twice")))
+    sums.append(telemetry.latency_report(states.read()).agg(F.lit("latency").alias("entity"), F.sum("events").alias("n"), F.lit(0).cast("bigint").alias("ids"), F.lit(0).alias("twice")))
+    return reduce(DataFrame.unionByName, sums)
 
 
 @query("stream_latest", """
@@ -110,3 +153,62 @@ def stream_scd2(spark, sf_dir):
         stream = spark.readStream.schema(people.schema).parquet(f"{root}/changes")
         _finish(jobs.start_scd2(stream, table_, CUSTOMER_SCD2, ["offset"], f"{root}/checkpoint", lambda b: months[b]))
     return plain(table_.read().select("customer_sk", "customer_id", "display_name", "valid_from", "valid_to", "is_current"))
+
+
+@query("stream_scd2_replay", """
+SELECT c_custkey AS customer_id, CASE WHEN c_custkey % 4 = 0 THEN 2 ELSE 1 END AS versions,
+       CASE WHEN c_custkey % 4 = 0 THEN c_name || ' II' ELSE c_name END AS display_name, 1 AS current FROM customer""")
+def stream_scd2_replay(spark, sf_dir):
+    """A drain into a table that already has versions, from a checkpoint whose batch numbers begin at 0 again."""
+    root = workdir(spark)
+    people = customer_attributes(curated_rows(spark, sf_dir, "customers"), ["offset"])
+    table_ = VersionedTable(spark, f"{root}/dim_customer", STAR_SCHEMAS["dim_customer"])
+    table_.replace(scd2_merge(table_.read(), people.where("customer_id % 4 <> 3"), CUSTOMER_SCD2, datetime(2026, 1, 1), ["offset"]))
+    renamed = F.when(F.col("customer_id") % 4 == 0, F.concat("display_name", F.lit(" II"))).otherwise(F.col("display_name"))
+    people.withColumn("display_name", renamed).repartition(FILES).write.parquet(f"{root}/changes")
+    stream = spark.readStream.schema(people.schema).option("maxFilesPerTrigger", FILES // 2).parquet(f"{root}/changes")
+    _finish(jobs.start_scd2(stream, table_, CUSTOMER_SCD2, ["offset"], f"{root}/checkpoint", lambda b: datetime(2026, 2, 1 + b)))
+    return table_.read().groupBy("customer_id").agg(
+        F.count(F.lit(1)).cast("int").alias("versions"), F.max(F.when(F.col("is_current") == 1, F.col("display_name"))).alias("display_name"), F.sum("is_current").cast("int").alias("current"))
+
+
+@query("stream_star_load", """
+SELECT 'fact_order' AS what, COUNT(*) AS n FROM orders UNION ALL SELECT 'fact_order_line', COUNT(DISTINCT l_orderkey * 10 + l_linenumber) FROM lineitem
+UNION ALL SELECT 'dim_customer(current)', COUNT(*) FROM customer UNION ALL SELECT 'numbered by arrival', COUNT(*) FROM customer
+UNION ALL SELECT 'stage rows', 10""")
+def stream_star_load(spark, sf_dir):
+    """Curation, then a tick of the periodic load: surrogate keys follow first arrival although later changes came in reverse."""
+    root = workdir(spark)
+    store = jobs.CuratedStore(spark, f"{root}/curated")
+    messages = reduce(DataFrame.unionByName, (raw_messages(spark, sf_dir, e) for e in CATALOG.entities))
+    people = source_rows(spark, sf_dir, "customers")
+    again = to_envelopes(people, CATALOG["customers"], F.lit(10_000_000_000) - F.col("CustomerId"), "u", F.lit(BASE_TS + 10_000_000_000) - F.col("CustomerId"))
+    messages.unionByName(again).repartition(FILES).write.json(f"{root}/raw")
+    _finish(jobs.start_curation(raw_files(spark, f"{root}/raw", True), store, f"{root}/checkpoint", jobs.drain(), "trace", datetime(2026, 7, 25, 12)))
+    star, log = StarStore(spark, f"{root}/star", day_folders=False), LoadLog(spark, f"{root}/log")
+    ticks = spark.readStream.schema(RAW_SCHEMA).json(f"{root}/raw")
+    _finish(jobs.start_star_load(ticks, store, star, f"{root}/ticks", jobs.drain(), "trace", lambda b: datetime(2026, 7, 25, 12), log))
+    count = lambda name, df: df.agg(F.lit(name).alias("what"), F.count(F.lit(1)).alias("n"))
+    current = star["dim_customer"].read().where("is_current = 1")
+    return reduce(DataFrame.unionByName, [
+        count("fact_order", star["fact_order"].read()), count("fact_order_line", star["fact_order_line"].read()), count("dim_customer(current)", current),
+        count("numbered by arrival", current.join(current.select(F.col("customer_id").alias("before"), F.col("customer_sk").alias("_sk")), F.col("before") + 1 == F.col("customer_id"), "left")
+              .where("before is null or _sk < customer_sk")), count("stage rows", log.stages.read())])
+
+
+@query("lineage_emitted", """
+SELECT 'curation' AS job, UNNEST(['START', 'COMPLETE']) AS event, 1 AS n, COUNT(*) > 0 AS rows FROM orders
+UNION ALL SELECT 'warehouse-sink', 'START', 2, COUNT(*) > 0 FROM orders UNION ALL SELECT 'warehouse-sink', UNNEST(['COMPLETE', 'FAIL']), 1, COUNT(*) > 0 FROM orders""")
+def lineage_emitted(spark, sf_dir):
+    """Run events that curation, a load and a failing load leave in the lineage log."""
+    root = workdir(spark)
+    lines, store = LineageLog(spark, f"{root}/lineage"), jobs.CuratedStore(spark, f"{root}/curated")
+    raw_messages(spark, sf_dir, "orders").coalesce(1).write.json(f"{root}/raw")
+    _finish(jobs.start_curation(raw_files(spark, f"{root}/raw", True), store, f"{root}/checkpoint", jobs.drain(), "a" * 32, datetime(2026, 7, 25, 12), lines))
+    snapshot = store.snapshots()
+    load_star(snapshot, StarStore(spark, f"{root}/star", day_folders=False), datetime(2026, 7, 25, 12), "b" * 32, order=("first_offset",), lineage=lines)
+    broken = {**snapshot, "orders": snapshot["orders"].withColumn("placedAtUtc", F.raise_error(F.lit("broken order")).cast("bigint"))}
+    with contextlib.suppress(PySparkException, Py4JJavaError):
+        load_star(broken, StarStore(spark, f"{root}/other", day_folders=False), datetime(2026, 7, 25, 12), "c" * 32, order=("first_offset",), lineage=lines)
+    found = store.current().limit(1).count() > 0
+    return lines.read().groupBy(F.col("job.name").alias("job"), F.col("eventType").alias("event")).agg(F.count(F.lit(1)).cast("int").alias("n"), F.lit(found).alias("rows"))

@@ -12,15 +12,15 @@ from starloom.operators import lineage, telemetry
 from starloom.operators.latest import latest_per_key
 from starloom.operators.scd import CUSTOMER_SCD2
 from starloom.plans import conform, marts
-from starloom.plans.star_load import StarStore
+from starloom.plans.star_load import LoadLog, StarStore
 from starloom.session import shared_dir
 from starloom.sources.raw import curated_messages, raw_files, to_envelopes
-from starloom.sources.star import StarSource, read_star, write_mart
+from starloom.sources.star import JdbcStar, ParquetStar
 from starloom.sources.tables import BatchTable, VersionedTable, append_telemetry
 from starloom.streaming import jobs
 from seed import BATCH, ROWS, TOTAL, seed_snapshot
 
-AT = dt.datetime(2025, 1, 16, 4, 0, 0, 123000)
+AT = dt.datetime(2026, 3, 9, 8, 0, 0, 500000)
 
 
 @pytest.fixture
@@ -29,10 +29,10 @@ def root(spark):
 
 
 def test_wire_names_and_roundtrip(spark):
-    stage = telemetry.stage_rows(spark, [(AT, "trace-1", "curation", "dim_customer", "ok", 42, '{"n":1}')])
+    stage = telemetry.stage_rows(spark, [(AT, "bikes", "curation", "orders", "ok", 9, '{"k":[2]}')])
     line = json.loads(telemetry.to_wire(stage, "pipeline_events").first().value)
-    assert line == {"event_ms": 1737000000123, "trace_id": "trace-1", "pipeline": "curation", "stage": "dim_customer", "status": "ok",
-                    "duration_ms": 42, "payload": '{"n":1}'}
+    assert line == {"event_ms": 1773043200500, "trace_id": "bikes", "pipeline": "curation", "stage": "orders", "status": "ok",
+                    "duration_ms": 9, "payload": '{"k":[2]}'}
     errors = telemetry.error_rows(spark, [(AT, "t", "curation", "parse-failed", 'a "quote"\nline', None)])
     back = telemetry.from_wire(telemetry.to_wire(errors, "error_events"), "error_events")
     assert back.collect() == errors.collect()
@@ -110,16 +110,17 @@ def mart_tables(spark):
 
 
 def test_source_options_and_conform_job(spark, root):
-    for bad in ({}, {"kind": "jdbc"}, {"kind": "csv"}, {"dim_customer_path": "x"}):
-        with pytest.raises(ValueError):
-            StarSource(**bad)
+    for make in (lambda: ParquetStar("", ""), lambda: ParquetStar("x", ""), lambda: JdbcStar("")):
+        with pytest.raises(ValueError, match="set "):
+            make()
     dim, fact = mart_tables(spark)
     dim.write.parquet(f"{root}/dim")
     fact.write.parquet(f"{root}/fact")
-    options = conform.arguments(["--dim-customer-path", f"{root}/dim", "--fact-order-path", f"{root}/fact", "--output", f"{root}/mart"])
-    source = StarSource(dim_customer_path=options.dim_customer_path, fact_order_path=options.fact_order_path)
+    options = conform.parser().parse_args(["--dim-customer-path", f"{root}/dim", "--fact-order-path", f"{root}/fact", "--output", f"{root}/mart"])
     for _ in range(2):
-        assert conform.run(spark, source, options.output) == 2
+        assert conform.build(spark, conform.star_of(options), options.output) == 2
+    assert [r.customer_sk for r in spark.read.parquet(f"{root}/mart").collect()] == [1, 2]
+    assert isinstance(conform.star_of(conform.parser().parse_args(["--source", "jdbc", "--jdbc-url", "u", "--output", "o"])), JdbcStar)
     assert spark.read.parquet(f"{root}/mart").count() == 2
 
 
@@ -130,8 +131,8 @@ def test_jdbc_source(spark):
     options = {"url": url, "driver": "org.apache.derby.jdbc.EmbeddedDriver"}
     dim.write.format("jdbc").options(**options, dbtable="dwh.dim_customer").save()
     fact.write.format("jdbc").options(**options, dbtable="dwh.fact_order").save()
-    source = StarSource(kind="jdbc", jdbc_url=url, jdbc_driver=options["driver"], jdbc_user="dwh", jdbc_password="x", jdbc_partitions=2)
-    got = marts.customer_360(*read_star(spark, source))
+    star = JdbcStar(url, ranges=2, options={"driver": options["driver"], "user": "dwh", "password": "x"})
+    got = marts.customer_360(*star.read(spark))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, marts.customer_360(dim, fact).collect()))
 
 
@@ -154,7 +155,7 @@ def test_curation_stream_resume_replay_and_star_load(spark, root):
         raw_of(spark, spec.entity).coalesce(1).write.mode("append").json(f"{root}/raw")
     start("cp", store)
     assert store.records.read().count() == TOTAL and store.errors.read().count() == 0 and store.lags.read().count() == TOTAL
-    assert {r.stage for r in store.stages.read().collect()} == set(CATALOG.entities)
+    assert {r.stage for r in store.stages.read().collect()} == {*CATALOG.entities, "drain"}
     bad = spark.createDataFrame([(CATALOG["orders"].raw_topic, None, "{x", 0, 9000, None)], RAW_SCHEMA)
     raw_of(spark, "customers", 1).unionByName(bad).coalesce(1).write.mode("append").json(f"{root}/raw")
     start("cp", store)                                      # resumes: only the new file is read
@@ -167,10 +168,12 @@ def test_curation_stream_resume_replay_and_star_load(spark, root):
     assert sum(df.count() for df in snapshots.values()) == TOTAL
     assert {r.offset for r in snapshots["customers"].collect()} == set(range(1000, 1005))
     assert {r.offset for r in snapshots["orders"].collect()} == set(range(2000, 2003))
-    star, reports = StarStore(spark, f"{root}/star"), []
+    star, log, lines = StarStore(spark, f"{root}/star"), LoadLog(spark, f"{root}/log"), lineage.LineageLog(spark, f"{root}/lineage")
     ticks = spark.readStream.schema(RAW_SCHEMA).json(f"{root}/raw")
-    drain(jobs.start_star_load(ticks, store, star, f"{root}/cp3", jobs.drain(), "trace", lambda b: BATCH, reports))
-    assert star["fact_inventory_snap"].read().count() == 8 and len(reports[0].stages) == 10
+    drain(jobs.start_star_load(ticks, store, star, f"{root}/cp3", jobs.drain(), "trace", lambda b: BATCH, log, lines))
+    assert star["fact_inventory_snap"].read().count() == 8
+    assert log.stages.read().count() == 10 and log.errors.read().count() == 0
+    assert [(r.eventType, r.job.name, len(r.outputs)) for r in lines.read().orderBy("eventTime").collect()] == [("START", "warehouse-sink", 0), ("COMPLETE", "warehouse-sink", 9)]
     messages = curated_messages(store.entity("orders"), CATALOG["orders"])
     assert json.loads(messages.orderBy("key").first().value)["totalUsd"] == "713.25"
 

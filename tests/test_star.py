@@ -237,7 +237,7 @@ def test_failing_stage_is_reported_and_raised(spark):
     seen = []
     with pytest.raises(Exception, match="boom"):
         load_star(broken, star_store(spark), BATCH, "t", on_error=seen.append)
-    assert [e[3] for e in seen[0].errors] == ["dim_warehouse-load-failed"] and [s[3] for s in seen[0].stages] == ["dim_date"]
+    assert [e[3] for e in seen[0].errors] == ["dim_warehouse-load-failed"] and [s[3:5] for s in seen[0].stages] == [("dim_date", "ok"), ("dim_warehouse", "failed")]
 
 
 def test_recoded_members_and_renumbered_orders_stay_one_row(spark):
