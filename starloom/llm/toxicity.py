@@ -25,7 +25,7 @@ from starloom.llm.common import WordHashes, mix, remainder, small_batches, table
 from starloom.llm.registry import query
 
 BITS = 20
-MAX_TRAIN_ROWS = 30_000
+MAX_TRAIN_ROWS = 20_000
 THRESHOLD = 0.7
 _LETTERS = re.compile(r"[^\W_]+")
 
@@ -63,10 +63,31 @@ def slots(text: str | None, words: WordHashes) -> np.ndarray:
         for gap, tag in ((1, 3), (2, 5)):
             if len(h) > gap:
                 grams.append(mix(mix(h[:-gap] + np.uint64(tag)) * np.uint64(3) + h[gap:]))
-    return np.unique(np.concatenate(grams) & np.uint64((1 << BITS) - 1)).astype(np.int64)
+    return np.unique((np.concatenate(grams) & np.uint64((1 << BITS) - 1)).astype(np.int32))
 
 
-def fit(rows: list[tuple[np.ndarray, int]], how: Ftrl) -> Weights:
+class Rows:
+    """Training rows: all slots in one array, which is given back to the system as a whole when training is done."""
+
+    def __init__(self, texts, labels, words: WordHashes):
+        self.labels, parts, ends, part, size = list(labels), [], [0], [], 0
+        for text in texts:
+            part.append(slots(text, words))
+            size += len(part[-1])
+            ends.append(size)
+            if len(part) == 1000:
+                parts.append(np.concatenate(part))
+                part = []
+        self.slots, self.ends = np.concatenate([np.empty(0, np.int32), *parts, *part]), ends
+
+    def __len__(self) -> int:
+        return len(self.labels)
+
+    def __getitem__(self, k: int) -> tuple[np.ndarray, int]:
+        return self.slots[self.ends[k]:self.ends[k + 1]], self.labels[k]
+
+
+def fit(rows: Rows, how: Ftrl) -> Weights:
     """FTRL-proximal over rows of (slots, label), in a fixed shuffled order per epoch."""
     z, n, bz, bn = np.zeros(1 << BITS), np.zeros(1 << BITS), 0.0, 0.0
     bias = lambda: -bz / ((how.beta + np.sqrt(bn)) / how.alpha)  # noqa: E731  the bias has no L1 pull
@@ -96,8 +117,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS, ho
     rows = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(F.lit(0).alias("fit"), "doc_id", "toxic", "text"))
 
     def one(batch: pd.DataFrame) -> pd.DataFrame:
-        words, batch = WordHashes(), batch.sort_values(["doc_id", "text"], kind="stable", na_position="first")
-        w = fit([(slots(t, words), int(y > 0)) for t, y in zip(batch["text"], batch["toxic"])], how)
+        batch = batch.sort_values(["doc_id", "text"], kind="stable", na_position="first")
+        w = fit(Rows(batch["text"], (batch["toxic"] > 0).astype(int), WordHashes()), how)
         return pd.DataFrame({"slots": [w.slots], "weights": [w.values.astype(np.float64)], "bias": [w.bias]})
 
     found = rows.groupBy("fit").applyInPandas(one, "slots array<long>, weights array<double>, bias double").collect()
