@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -41,9 +43,20 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if context.applicationId not in _own_dirs:
         _own_dirs[context.applicationId] = tempfile.mkdtemp(prefix="starloom-")
+        atexit.register(shutil.rmtree, _own_dirs[context.applicationId], ignore_errors=True)
     return _own_dirs[context.applicationId]
 
 
+def _cut_points(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/starloom/{spark.sparkContext.applicationId}"
+
+
+def drop_cut_points(spark: SparkSession) -> None:
+    """Remove what materialize has written for this application. Call it when the results have been written elsewhere."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_cut_points(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write df once as Parquet in the shared folder and read it back.
 
@@ -51,7 +64,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     each pass read only the columns it needs.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/starloom/{label}-{uuid.uuid4().hex}"
+    path = f"{_cut_points(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
