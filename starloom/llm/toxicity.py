@@ -32,11 +32,11 @@ _LETTERS = re.compile(r"[^\W_]+")
 
 @dataclass(frozen=True)
 class Ftrl:
-    alpha: float = 0.5             # learning rate scale
+    alpha: float = 4.0             # learning rate scale
     beta: float = 1.0
-    l1: float = 4.0
-    l2: float = 0.1
-    epochs: int = 4
+    l1: float = 10.0
+    l2: float = 0.01
+    epochs: int = 5
     toxic_weight: float = 3.0      # a toxic row counts as so many clean ones
 
     def step(self, z, n):
