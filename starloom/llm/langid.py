@@ -30,7 +30,7 @@ SAMPLE_PER_LANGUAGE = 600        # training documents whose pieces fill a dictio
 PIECE_CHARS = 600                # letters a sampled document gives at most to its dictionary
 BLOCK = 1 << 14
 MIN_MARGIN = 0.004               # narrower margins are rejected
-MIN_LETTERS = 40                 # shorter texts are never rejected for their margin: it is a matter of single bytes there
+MIN_LETTERS = 100                # shorter texts are never rejected for their margin: it is a matter of single bytes there
 _OTHER = re.compile(r"[\W\d_]+")
 _LEVEL = dict(window_log=17, hash_log=15, chain_log=16, search_log=4, min_match=4, target_length=16,
               strategy=zstandard.STRATEGY_LAZY, write_content_size=0, write_checksum=0, write_dict_id=0)
