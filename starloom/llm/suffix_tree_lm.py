@@ -54,6 +54,11 @@ class Tree:
     edges: list[np.ndarray] = field(default_factory=list)       # per depth: place of context * words + rank of symbol, ascending
     share: list[np.ndarray] = field(default_factory=list)       # per depth: discounted probability of the edge
 
+    def first_places(self) -> np.ndarray:
+        if "_first" not in self.__dict__:
+            self._first = _dense(self.contexts[0], len(self.hashes))
+        return self._first
+
     def root(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 1) / (self.tokens + self.words + 1)
 
@@ -128,31 +133,39 @@ def _find(sorted_: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(sorted_[at] == values, at, -1)
 
 
+def _dense(contexts: np.ndarray, words: int) -> np.ndarray:
+    """For contexts of one word: the place of each by its key, -1 where it is none."""
+    out = np.full(words + 1, -1, np.int64)
+    out[contexts] = np.arange(len(contexts))
+    return out
+
+
+def _find_context(contexts: np.ndarray, dense: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
+    return _find(contexts, keys) if dense is None else dense[keys]
+
+
 def transitions(docs: DataFrame, shared, depth: int, candidates) -> DataFrame:
     """context, symbol (rank), n over docs (text), for the candidate contexts of this depth and stored symbols."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = shared.value
         ranks, allowed, parts, size = Ranks(tree.hashes), candidates.value, [], 0
+        dense = _dense(allowed, len(tree.hashes)) if depth == 1 else None
 
         def flush():
-            pairs = np.concatenate(parts, axis=1)
-            order = np.lexsort((pairs[1], pairs[0]))
-            pairs = pairs[:, order]
-            if not pairs.shape[1]:
-                return
-            new = np.flatnonzero(np.r_[True, (pairs[:, 1:] != pairs[:, :-1]).any(axis=0)])
-            n = np.diff(np.r_[new, pairs.shape[1]])
-            for k in range(0, len(new), 1 << 16):
-                some = new[k:k + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0, some]), pa.array(pairs[1, some].astype(np.int32)), pa.array(n[k:k + (1 << 16)])], names=["context", "symbol", "n"])
+            keys, n = np.unique(np.concatenate(parts), return_counts=True)
+            for k in range(0, len(keys), 1 << 16):
+                some = keys[k:k + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(allowed[some >> _SHIFT]), pa.array((some & ((1 << _SHIFT) - 1)).astype(np.int32)), pa.array(n[k:k + (1 << 16)])],
+                                                 names=["context", "symbol", "n"])
 
         for batch in batches:
             flat, place = _ranked(list(_documents(batch, 0)), ranks)
             context = context_keys(flat, place, depth)
             keep = np.flatnonzero((context >= 0) & (flat >= 0))
-            keep = keep[_find(allowed, context[keep]) >= 0]
-            parts.append(np.stack([context[keep], flat[keep]]))
-            size += len(keep)
+            at = _find_context(allowed, dense, context[keep])
+            hit = at >= 0
+            parts.append((at[hit] << _SHIFT) | flat[keep[hit]])             # place of the context and symbol in one number
+            size += len(parts[-1])
             if size > 4_000_000:
                 yield from flush()
                 parts, size = [], 0
@@ -173,12 +186,13 @@ def _suffix_probability(tree: Tree, context: np.ndarray, symbol: np.ndarray, dep
 
 def _step(tree: Tree, depth: int, context: np.ndarray, symbol: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One level down: (probability, factor on the suffix's) of each symbol given its context of this depth, if retained."""
-    at = _find(tree.contexts[depth - 1], context)
-    here = np.flatnonzero(at >= 0)
+    here = np.flatnonzero(context >= 0)
+    at = _find_context(tree.contexts[depth - 1], tree.first_places() if depth == 1 else None, context[here])
+    here, at = here[at >= 0], at[at >= 0]
     free = np.ones(len(p))
-    free[here] = tree.free[depth - 1][at[here]]
+    free[here] = tree.free[depth - 1][at]
     out = p * free
-    edge = _find(tree.edges[depth - 1], at[here] * len(tree.hashes) + symbol[here])
+    edge = _find(tree.edges[depth - 1], at * len(tree.hashes) + symbol[here])
     hit = (edge >= 0) & (symbol[here] >= 0)
     out[here[hit]] += tree.share[depth - 1][edge[hit]]
     return out, free
@@ -272,9 +286,11 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame) -> DataFrame:
                 p = _step(tree, d, context_keys(flat, place, d), flat, p)[0]
             base, raised = np.log10(base), np.log10(p)
             rare, times = [], []
-            for k, d in enumerate(docs):
-                at = np.flatnonzero(flat[starts[k]:starts[k] + len(d)] < 0)
-                found, n = np.unique(np.fromiter((ranks.hash[d[i]] for i in at), np.uint64, len(at)), return_counts=True)
+            unknown, tokens = np.flatnonzero(flat < 0), [w for d in docs for w in d]
+            hashes = np.fromiter((ranks.hash[tokens[i]] for i in unknown.tolist()), np.uint64, len(unknown))
+            cuts = np.searchsorted(unknown, [*starts.tolist(), len(flat)])
+            for k in range(len(docs)):
+                found, n = np.unique(hashes[cuts[k]:cuts[k + 1]], return_counts=True)
                 rare.append(found.view(np.int64))
                 times.append(n.astype(np.int32))
             lengths = np.fromiter(map(len, docs), np.int64, len(docs))
