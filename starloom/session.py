@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -47,6 +48,20 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dirs[context.applicationId]
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, wherever the driver found it; once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        folder = tempfile.mkdtemp(prefix="starloom-package-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        package = os.path.dirname(os.path.abspath(__file__))
+        context.addPyFile(shutil.make_archive(f"{folder}/starloom", "zip", os.path.dirname(package), os.path.basename(package)))
+        _shipped.add(context.applicationId)
+
+
 def _cut_points(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/starloom/{spark.sparkContext.applicationId}"
 
