@@ -98,11 +98,6 @@ def operation_letter(c) -> Column:
     return F.when(name.isin("insert", "snapshot"), "I").when(name == "update", "U").when(name == "delete", "D")
 
 
-def audit_operation(c) -> Column:
-    code = _col(c)
-    return F.when(code == "I", "insert").when(code == "U", "update").when(code == "D", "delete")
-
-
 def calendar_columns(day) -> dict[str, Column]:
     """Calendar parts of a date; weeks and weekdays are ISO (Monday = 1)."""
     d = _col(day)
