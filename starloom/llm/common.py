@@ -34,12 +34,12 @@ def plain_words(text: bytes | None) -> list[bytes]:
 
 
 class WordHashes(dict):
-    """64-bit hashes of words, each computed once per worker; the cache starts afresh when it is full."""
+    """64-bit hashes of words. The first _WORD_CACHE_ROWS are kept, frequent words among them; later ones are computed."""
 
     def __missing__(self, word: str | bytes) -> int:
-        if len(self) >= _WORD_CACHE_ROWS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(self) < _WORD_CACHE_ROWS:
+            self[word] = value
         return value
 
     def of(self, words: list) -> np.ndarray:

@@ -20,9 +20,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +39,7 @@ MIN_SHARE = 5e-7
 PENALTY = 4.0
 DISCOUNT = 0.5
 END = b"\n"                       # no word contains white space, so its hash stands for the end mark
+_CACHE_ROWS = 400_000             # words whose rank a worker keeps at hand
 _SHIFT = 31                       # a context packs the ranks of its words, each below 2**31, rank + 1 per place
 
 
@@ -68,12 +71,12 @@ class Ranks(dict):
 
     def __init__(self, hashes: np.ndarray):
         super().__init__()
-        self.hash, self.rank = WordHashes(), {h: k for k, h in enumerate(hashes.tolist())}
+        self.rank = {h: k for k, h in enumerate(hashes.tolist())}
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
-            self.clear()
-        value = self[word] = self.rank.get(self.hash[word], -1)
+        value = self.rank.get(xxhash.xxh3_64_intdigest(word), -1)
+        if len(self) < _CACHE_ROWS:
+            self[word] = value
         return value
 
 
@@ -109,7 +112,7 @@ def _counted(values: np.ndarray, names: list[str]) -> Iterator[pa.RecordBatch]:
 def _ranked(docs: list[list[bytes]], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
     """Ranks of all tokens of some documents in a row, and each token's place in its document."""
     lengths = np.fromiter(map(len, docs), np.int64, len(docs))
-    flat = np.fromiter((ranks[w] for d in docs for w in d), np.int64, int(lengths.sum()))
+    flat = np.fromiter(map(ranks.__getitem__, chain.from_iterable(docs)), np.int64, int(lengths.sum()))
     starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
     return flat, np.arange(len(flat)) - starts
 
@@ -286,8 +289,8 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame) -> DataFrame:
                 p = _step(tree, d, context_keys(flat, place, d), flat, p)[0]
             base, raised = np.log10(base), np.log10(p)
             rare, times = [], []
-            unknown, tokens = np.flatnonzero(flat < 0), [w for d in docs for w in d]
-            hashes = np.fromiter((ranks.hash[tokens[i]] for i in unknown.tolist()), np.uint64, len(unknown))
+            unknown, tokens = np.flatnonzero(flat < 0), list(chain.from_iterable(docs))
+            hashes = np.fromiter((xxhash.xxh3_64_intdigest(tokens[i]) for i in unknown.tolist()), np.uint64, len(unknown))
             cuts = np.searchsorted(unknown, [*starts.tolist(), len(flat)])
             for k in range(len(docs)):
                 found, n = np.unique(hashes[cuts[k]:cuts[k + 1]], return_counts=True)
