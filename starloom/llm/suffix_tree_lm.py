@@ -1,17 +1,22 @@
 """LM scoring with a probabilistic suffix tree over words.
 
 Symbols are words and one end mark per document. A node is a context of up to DEPTH preceding words. It is a candidate when
-its share of the training tokens reaches MIN_SHARE, and is retained when its next-symbol distribution diverges from that of
+it occurs CONTEXT_COUNT times in the training texts, and is retained when its next-symbol distribution diverges from that of
 its longest retained suffix: the log-likelihood it gains over all its occurrences must exceed PENALTY nats for each
-distinct next symbol. Its stored next symbols are those whose joint share reaches a quarter of MIN_SHARE. Both shares are
-fixed, so the tree has at most DEPTH * 4 / MIN_SHARE entries however large the corpus, which is the bound of what is broadcast.
+distinct next symbol. Its stored next symbols are those seen EDGE_COUNT times in it. Both counts are absolute, so the tree
+grows with the corpus; it is a set of Spark tables keyed by the hash of a gram (a context and its next word) and is never
+held by the driver or broadcast.
 
 Smoothing is absolute discounting: P(w|s) = max(c(s,w) - DISCOUNT, 0) / c(s) + free(s) * P(w|suffix of s), where free(s) is the
 mass that stored symbols leave; at the root P(w) = (c(w) + 1) / (N + V + 1). A token is scored in the longest retained
-suffix of its context. Counts, N and V cover every training document; words rarer than the stored ones are looked up by a
-shuffled join, so no vocabulary is ever broadcast or cut.
+suffix of its context. The logarithm of that is a sum over the grams that end at the token: the root's value of the word,
+log free(s) for every retained s before it, and for every stored edge its own logarithm less what its suffix would have given.
+So a document's score is the sum of one weight per gram in it, and scoring is one join by gram.
 
-Words are identified by 64-bit hashes. Defined cases: a null, empty or wordless text is the end mark alone. Without any
+learn() and score() hold the tree in memory instead: a bounded form (shares of all tokens as cut-offs) for models that are to
+be looked into; with min_share 0 on a small corpus it scores as the tables do.
+
+Words and grams are identified by 64-bit hashes. Defined cases: a null, empty or wordless text is the end mark alone. Without any
 training document every token has c = 0, N = V = 0. Repeated rows are counted and scored each time; a null id is no
 held-out id. Contexts never reach over the beginning of a document.
 """
@@ -30,16 +35,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import WordHashes, plain_words, remainder, small_batches, table
+from starloom.llm.common import WordHashes, mix, plain_words, remainder, small_batches, table
 from starloom.llm.registry import query
 from starloom.session import materialize
 
 DEPTH = 2
-MIN_SHARE = 5e-7
+CONTEXT_COUNT = 4                 # occurrences of a context that may become a node
+EDGE_COUNT = 2                    # occurrences of a next symbol that is stored
+MIN_SHARE = 5e-7                  # of the bounded form
 PENALTY = 4.0
 DISCOUNT = 0.5
 END = b"\n"                       # no word contains white space, so its hash stands for the end mark
 _CACHE_ROWS = 400_000             # words whose rank a worker keeps at hand
+_CHUNK_TOKENS = 2_000_000         # tokens whose grams a worker reduces at once
 _SHIFT = 31                       # a context packs the ranks of its words, each below 2**31, rank + 1 per place
 
 
@@ -313,8 +321,142 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame) -> DataFrame:
         (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), (F.col("raised") + F.coalesce("rest", F.lit(0.0))).alias("score"))
 
 
+@dataclass
+class Model:
+    """The tree as tables: weights (gram, n of a word, weight) and what the root needs."""
+
+    tokens: int
+    words: int
+    weights: DataFrame
+
+
+def _grams(flat: np.ndarray, place: np.ndarray, depth: int) -> np.ndarray:
+    """Hash of the gram of depth words that ends at each token; of use where place >= depth - 1 only."""
+    if depth == 1:
+        return flat
+    h = np.full(len(flat), depth, np.uint64)
+    with np.errstate(over="ignore"):
+        for back in range(depth - 1, -1, -1):
+            h = mix(h * np.uint64(0x9E3779B97F4A7C15) + np.concatenate([np.zeros(min(back, len(flat)), np.uint64), flat[:max(0, len(flat) - back)]]))
+    return h
+
+
+def _hashed(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Per batch: itself, the word hashes of all its tokens, and the number of tokens of each document."""
+    words = WordHashes()
+    for batch in batches:
+        parts = [words.of(d) for d in _documents(batch, column)]
+        if parts:
+            yield batch, np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+
+
+def _places(lengths: np.ndarray) -> np.ndarray:
+    return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
+def gram_counts(docs: DataFrame, depth: int) -> DataFrame:
+    """size, gram, context (the gram without its last word), suffix (without its first), n of all grams of docs (text)."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flats, sizes, held = [], [], 0
+
+        def flush():
+            flat, place = np.concatenate(flats), _places(np.concatenate(sizes))
+            below = np.zeros(len(flat), np.uint64)
+            for d in range(1, depth + 2):
+                own = _grams(flat, place, d)
+                at = np.flatnonzero(place >= d - 1)
+                grams, first, n = np.unique(own[at], return_index=True, return_counts=True)
+                end = at[first]
+                for k in range(0, len(grams), 1 << 16):
+                    cut = slice(k, k + (1 << 16))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(grams[cut]), d, np.int32)), pa.array(grams[cut].view(np.int64)), pa.array(below[end[cut] - 1].view(np.int64)),
+                         pa.array(below[end[cut]].view(np.int64)), pa.array(n[cut])], names=["size", "gram", "context", "suffix", "n"])
+                below = own
+
+        for _, flat, lengths in _hashed(batches, 0):
+            flats.append(flat)
+            sizes.append(lengths)
+            held += len(flat)
+            if held > _CHUNK_TOKENS:
+                yield from flush()
+                flats, sizes, held = [], [], 0
+        if flats:
+            yield from flush()
+
+    found = docs.select("text").mapInArrow(count, "size int, gram long, context long, suffix long, n long")
+    return found.groupBy("size", "gram").agg(F.min("context").alias("context"), F.min("suffix").alias("suffix"), F.sum("n").alias("n"))
+
+
+def learn_tables(docs: DataFrame, depth: int = DEPTH, penalty: float = PENALTY) -> Model:
+    """The tree of docs (text), of any size: one pass over the texts, then joins of the grams that occur EDGE_COUNT times."""
+    small_batches(docs.sparkSession)
+    grams = materialize(gram_counts(docs, depth).where((F.col("size") == 1) | (F.col("n") >= EDGE_COUNT)), "grams")
+    words = grams.where("size = 1")
+    tokens, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    # p: probability of a gram's last word in the longest retained suffix of the words before it
+    lower = words.select("gram", "n", ((F.col("n") + 1) / F.lit(float(tokens + kinds + 1))).alias("p"))
+    weights = [words.select("gram", "n", F.lit(0.0).alias("weight"))]
+    for d in range(1, depth + 1):
+        rows = (grams.where(F.col("size") == d + 1).select("gram", "context", "suffix", "n")
+                .join(lower.select(F.col("gram").alias("context"), F.col("n").alias("total")), "context")
+                .join(lower.select(F.col("gram").alias("suffix"), F.col("p").alias("before")), "suffix"))
+        rows = materialize(rows.select("gram", "context", "n", "total", "before"), f"depth-{d}")
+        gain = F.col("n") * F.log(F.col("n") / F.col("total") / F.col("before"))
+        nodes = rows.where(F.col("total") >= CONTEXT_COUNT).groupBy("context").agg(
+            F.sum(gain).alias("gain"), F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("seen"), F.sum("before").alias("before"), F.max("total").alias("total"))
+        rest = F.col("total") - F.col("seen")              # all other symbols together are one more outcome
+        rest_gain = F.when(rest > 0, rest * F.log(rest / F.col("total") / F.greatest(1 - F.col("before"), F.lit(1e-12)))).otherwise(0.0)
+        free = 1 - (F.col("seen") - DISCOUNT * F.col("kinds")) / F.col("total")
+        retained = materialize(nodes.where(F.col("gain") + rest_gain > penalty * F.col("kinds")).select("context", free.alias("free")), f"retained-{d}")
+        placed = rows.join(retained, "context", "left")
+        lower = materialize(placed.select("gram", "n", "before", "free", F.coalesce((F.col("n") - DISCOUNT) / F.col("total") + F.col("free") * F.col("before"), "before").alias("p")), f"level-{d}")
+        weights.append(retained.select(F.col("context").alias("gram"), F.lit(0).cast("long").alias("n"), F.log10("free").alias("weight")))
+        weights.append(lower.where("free is not null").select("gram", F.lit(0).cast("long").alias("n"), F.log10(F.col("p") / F.col("before") / F.col("free")).alias("weight")))
+    every = weights[0]
+    for more in weights[1:]:
+        every = every.unionByName(more)
+    return Model(tokens, kinds, materialize(every.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("weight").alias("weight")), "weights"))
+
+
+def score_tables(docs: DataFrame, model: Model, depth: int = DEPTH) -> DataFrame:
+    """docs (doc_id, held_out, text) to doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    small_batches(docs.sparkSession)
+    schema = T.StructType([*docs.select("doc_id", "held_out").schema.fields, *T.StructType.fromDDL("row long, n_tokens long, grams array<long>, times array<int>").fields])
+
+    def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 40
+        for batch, flat, lengths in _hashed(batches, 2):
+            doc, place = np.repeat(np.arange(len(lengths)), lengths), _places(lengths)
+            grams, owner = [], []
+            for d in range(1, depth + 2):
+                at = np.flatnonzero(place >= d - 1)
+                grams.append(_grams(flat, place, d)[at])
+                owner.append(doc[at])
+            grams, owner = np.concatenate(grams), np.concatenate(owner)
+            order = np.lexsort((grams, owner))
+            grams, owner = grams[order], owner[order]
+            new = np.flatnonzero(np.append(True, (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])))
+            times = np.diff(np.append(new, len(grams))).astype(np.int32)
+            offsets = pa.array(np.searchsorted(owner[new], np.arange(len(lengths) + 1)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(row + np.arange(len(lengths))), pa.array(lengths), pa.ListArray.from_arrays(offsets, pa.array(grams[new].view(np.int64))),
+                 pa.ListArray.from_arrays(offsets, pa.array(times))], names=[f.name for f in schema.fields])
+            row += len(lengths)
+
+    first = docs.select("doc_id", "held_out", "text").mapInArrow(one, schema)
+    asked = first.select("doc_id", "held_out", "row", "n_tokens", F.explode(F.arrays_zip("grams", "times")).alias("g")).select(
+        "doc_id", "held_out", "row", "n_tokens", F.col("g.grams").alias("gram"), F.col("g.times").alias("times"))
+    found = asked.join(model.weights.hint("merge"), "gram", "left").groupBy("row", "doc_id", "held_out", "n_tokens").agg(
+        F.coalesce(F.sum(F.when(F.col("n") > 0, F.col("times"))), F.lit(0)).cast("long").alias("n_known"),
+        F.coalesce(F.sum(F.when(F.col("n") > 0, F.col("times") * F.log10(F.col("n") + 1.0))), F.lit(0.0)).alias("counted"),
+        F.coalesce(F.sum(F.col("times") * F.col("weight")), F.lit(0.0)).alias("raised"))
+    base = F.col("counted") - F.col("n_tokens") * F.lit(float(np.log10(model.tokens + model.words + 1)))
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+                        base.alias("base_score"), (base + F.col("raised")).alias("score"))
+
+
 @query("op8_suffix_tree_lm")
 def op8_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumn("held_out", F.coalesce(remainder("doc_id", 7), F.lit(0)) == 2)
-    tree, counts = learn(docs.where("not held_out"))
-    return score(docs, tree, counts)
+    return score_tables(docs, learn_tables(docs.where("not held_out")))

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.llm import langid, suffix_tree_lm, toxicity
 from tests.llm.conftest import DOCUMENTS, documents, prose
@@ -151,3 +152,29 @@ def test_lm_odd_input(spark, sf, odd_texts):
     only = next(i for i in range(100) if crc(i) % 7 == 2)
     (r,) = suffix_tree_lm.op8_suffix_tree_lm(spark, sf(documents=documents([(only, "a b")]))).collect()
     assert (r.train_tokens, r.n_known, r.base_score, r.score) == (0, 0, 0.0, 0.0)
+
+
+def test_lm_tables_score_as_the_tree_in_memory(spark, sf):
+    docs = spark.read.parquet(sf(documents=documents(lm_rows())) + "/documents.parquet").withColumn("held_out", F.col("doc_id") % 5 == 0)
+    train = docs.where("not held_out")
+    tree, counts = suffix_tree_lm.learn(train, min_share=0.0)
+    assert all(len(c) for c in tree.contexts)
+    want = {r.doc_id: r for r in suffix_tree_lm.score(docs, tree, counts).collect()}
+    got = suffix_tree_lm.score_tables(docs, suffix_tree_lm.learn_tables(train)).collect()
+    assert len(got) == len(want)
+    for r in got:
+        w = want[r.doc_id]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (w.held_out, w.n_tokens, w.n_known, w.train_tokens)
+        assert (r.base_score, r.score) == (pytest.approx(w.base_score), pytest.approx(w.score))
+
+
+def test_lm_keeps_contexts_of_few_occurrences_in_a_large_corpus(spark, tmp_path):
+    phrase = " ".join(f"only{k}" for k in range(30))
+    held = next(i for i in range(1000, 2000) if crc(i) % 7 == 2)
+    trained = [i for i in range(1000, 2000) if crc(i) % 7 != 2][:4]
+    few = spark.createDataFrame([(i, phrase) for i in (held, *trained)], "doc_id bigint, text string")
+    filler = [i for i in range(1000) if crc(i) % 7 != 2][:20]
+    many = spark.createDataFrame([(i,) for i in filler], "doc_id bigint").repartition(8).select("doc_id", F.repeat(F.lit("a "), 500_000).alias("text"))
+    many.unionByName(few).write.parquet(f"{tmp_path}/documents.parquet")                  # ten million training tokens, a phrase of which occurs four times
+    (r,) = suffix_tree_lm.op8_suffix_tree_lm(spark, str(tmp_path)).where(F.col("doc_id") == held).collect()
+    assert r.train_tokens > 10_000_000 and r.score > r.base_score + 29 * 5
