@@ -10,9 +10,15 @@ symmetric difference) before sets are fetched, and each pair left is verified on
 A group of thousands of near copies would emit its square. So the join runs in two passes. The first pairs each row only
 with its hash's central member (the one with the fewest rarer hashes) and forms components. The second, exact, pass joins
 everything that is left: pairs that share a prefix hash but lie in different components. Pairs inside a component are
-already connected, so no component differs from that of the full join.
+already connected, so no component differs from that of the full join. Where only components are asked for, that is all.
 
-Defined cases: a null, empty or wordless text has an empty set and is linked with nothing; a text with fewer words than a
+Links between different texts all lie within a component. near_counts and near_links therefore compare every two classes of
+a component on their whole sets: a component of more than BLOCK classes is cut into blocks, and every pair of blocks is a
+work item of its own. near_links gives the linked pairs of classes; near_counts the number of links per document, weighted by
+class sizes, for which no pair ever leaves its item.
+
+Defined cases: n_links is the number of other documents a document is linked with, exact copies included; a doc_id with several
+texts has the sum of theirs. A null, empty or wordless text has an empty set and is linked with nothing; a text with fewer words than a
 shingle is one shingle. Rows repeated under one doc_id are one node: links of any of them count for it. A row with a null
 doc_id takes the component of documents with an equal set, if any, and is linked with nothing else. Ties are decided by
 doc_id. Hash collisions within a pair of texts are the only error possible (below 1e-7 for texts of a million words).
@@ -37,6 +43,8 @@ from starloom.session import fits_broadcast, materialize
 
 SKETCH_BITS = 18
 RANGES = 256                                            # hash ranges of the suffix filter
+BLOCK = 256                                             # classes of a component that are compared at once
+ITEM_ROWS = 1024                                        # rows of a work group: many small components, or two blocks of a large one
 
 
 @dataclass(frozen=True)
@@ -158,8 +166,8 @@ def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, like: Likeness,
     return materialize(common.where(f"100 * common >= {like.percent} * (sum - common)").select("a", "b").distinct(), f"{label}-links")
 
 
-def near_components(docs: DataFrame, like: Likeness) -> DataFrame:
-    """Per row of docs (doc_id, text): doc_id, n_shingles, component_id."""
+def _placed(docs: DataFrame, like: Likeness) -> DataFrame:
+    """Per row of docs (doc_id, text): doc_id, n_shingles, set_key, component_id."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select("doc_id", "text")
@@ -200,9 +208,102 @@ def near_components(docs: DataFrame, like: Likeness) -> DataFrame:
     late = named(named(_links(rest, docs, sizes, like, "rest"), "a", "a_part"), "b", "b_part")
     second = components(late.select(F.col("a_part").alias("a"), F.col("b_part").alias("b")), "rest")
 
-    placed = named(members.select("doc_id", "n_shingles", "node"), "node", "part")
+    placed = named(members.select("doc_id", "n_shingles", "set_key", "node"), "node", "part")
     placed = placed.join(second.select(F.col("id").alias("part"), F.col("component").alias("last")), "part", "left")
-    return placed.select("doc_id", "n_shingles", F.coalesce("last", "part", "doc_id").alias("component_id"))
+    return placed.select("doc_id", "n_shingles", "set_key", F.coalesce("last", "part", "doc_id").alias("component_id"))
+
+
+def near_components(docs: DataFrame, like: Likeness) -> DataFrame:
+    """Per row of docs (doc_id, text): doc_id, n_shingles, component_id."""
+    return _placed(docs, like).select("doc_id", "n_shingles", "component_id")
+
+
+def _classes(placed: DataFrame) -> DataFrame:
+    """set_key, node (its smallest doc_id), size (its doc_ids), component of the classes with a doc_id."""
+    return (placed.where("set_key is not null and doc_id is not null").groupBy("set_key")
+            .agg(F.min("doc_id").alias("node"), F.count_distinct("doc_id").alias("size"), F.min("component_id").alias("component")))
+
+
+def overlaps(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """How many hashes every two sets share, from products of slices of their incidence matrix."""
+    _, at, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row, shared = np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.flatnonzero(times > 1)
+    place = np.full(len(times), -1, np.int64)
+    place[shared] = np.arange(len(shared))
+    at = place[at]
+    order = np.argsort(at, kind="stable")
+    at, row = at[order], row[order]
+    common = np.zeros((len(sets), len(sets)), np.int64)
+    for low in range(0, len(shared), width):
+        cut = slice(*np.searchsorted(at, [low, low + width]))
+        some = np.zeros((len(sets), width), np.float32)
+        some[row[cut], at[cut] - low] = 1
+        common += (some @ some.T).astype(np.int64)
+    np.fill_diagonal(common, [len(s) for s in sets])
+    return common
+
+
+def _compared(docs: DataFrame, classes: DataFrame, like: Likeness, block: int, pairs: bool) -> DataFrame:
+    """All classes of a component against each other: (a, b) of set_keys that link, each once, or (set_key, others) in parts."""
+    spark = docs.sparkSession
+    parts = classes.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component", F.ceil(F.col("n") / block).cast("int").alias("blocks"), "n")
+    todo = materialize(classes.join(parts, "component").withColumn("block", F.pmod(F.xxhash64("set_key", F.lit("block")), "blocks").cast("int")), "compared")
+    rows = todo.agg(F.coalesce(F.sum("blocks"), F.lit(0))).first()[0]
+    groups = max(1, -(-rows // ITEM_ROWS), 2 * spark.sparkContext.defaultParallelism)
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for batch in batches:
+            sets = [s.tobytes() for s in _sets(batch, words, like.size)]
+            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s) if s else None for s in sets], pa.binary()), pa.array(sets, pa.binary())], names=["set_key", "members"])
+
+    wanted = todo.select(F.col("node").alias("doc_id")).distinct()
+    sets = docs.join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(members, "set_key binary, members binary")
+    sets = sets.where("set_key is not null").groupBy("set_key").agg(F.first("members").alias("members"))
+    work = todo.join(sets, "set_key").withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    work = work.select("set_key", "size", "members", "block", F.xxhash64("component", F.least("block", "with"), F.greatest("block", "with")).alias("item"),
+                       F.struct("component", F.least("block", "with"), F.greatest("block", "with")).cast("string").alias("key"), (F.col("with") == F.col("block")).alias("alone"))
+
+    def compare(batch: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, part in batch.groupby("key"):
+            keys, size, block_, alone = (part[c].to_numpy() for c in ("set_key", "size", "block", "alone"))
+            held = [np.frombuffer(m, np.uint64) for m in part["members"]]
+            n = np.fromiter(map(len, held), np.int64, len(held))
+            common = overlaps(held)
+            i, j = np.nonzero(np.triu((100 + like.percent) * common >= like.percent * (n[:, None] + n[None, :]), 1))
+            # both in one block only in that block's own item
+            right = (block_[i] != block_[j]) | alone[i]
+            i, j = i[right], j[right]
+            if pairs:
+                out.append(pd.DataFrame({"a": keys[i], "b": keys[j]}))
+            else:
+                others = np.bincount(i, size[j], len(keys)) + np.bincount(j, size[i], len(keys))
+                out.append(pd.DataFrame({"set_key": keys, "others": others.astype(np.int64)}))
+        return pd.concat(out)
+
+    return work.withColumn("group", F.pmod("item", F.lit(groups))).groupBy("group").applyInPandas(compare, "a binary, b binary" if pairs else "set_key binary, others long")
+
+
+def near_counts(docs: DataFrame, like: Likeness, block: int = BLOCK) -> DataFrame:
+    """Per row of docs (doc_id, text): doc_id, n_shingles, component_id, n_links."""
+    docs = docs.select("doc_id", "text")
+    placed = materialize(_placed(docs, like), "placed")
+    classes = materialize(_classes(placed), "classes")
+    others = _compared(docs, classes, like, block, False).groupBy("set_key").agg(F.sum("others").alias("others"))
+    counted = classes.join(others, "set_key", "left").select("set_key", (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
+    own = (placed.where("doc_id is not null and set_key is not null").select("doc_id", "set_key").distinct().join(counted, "set_key")
+           .groupBy("doc_id").agg(F.sum("links").alias("n_links")))
+    return placed.join(own, "doc_id", "left").select("doc_id", "n_shingles", "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def near_links(docs: DataFrame, like: Likeness, block: int = BLOCK) -> DataFrame:
+    """Every linked pair of different texts, once: (a, b), the smallest doc_ids of their classes, a <= b."""
+    docs = docs.select("doc_id", "text")
+    classes = materialize(_classes(_placed(docs, like)), "classes")
+    node = lambda side: classes.select(F.col("set_key").alias(side), F.col("node").alias(f"{side}_node"))
+    found = _compared(docs, classes, like, block, True).join(node("a"), "a").join(node("b"), "b")
+    return found.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -227,3 +328,12 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, (SELECT min(low) FROM r WHE
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three words and 90 of 100, as the contract says."""
     return near_components(table(spark, sf_dir, "documents", "doc_id", "text"), Likeness(3, 90))
+
+
+LINKS_SQL = SQL.replace("AS component_id FROM s", "AS component_id, (SELECT count(*) FROM l WHERE a = doc_id) AS n_links FROM s")
+
+
+@query("op4_ngram_links", LINKS_SQL)
+def op4_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same join with the number of links of each document."""
+    return near_counts(table(spark, sf_dir, "documents", "doc_id", "text"), Likeness(3, 90))

@@ -64,6 +64,31 @@ def test_ngram_odd_input(spark, sf, odd_texts):
     assert ngram_join.op4_ngram_jaccard_join(spark, sf(documents=documents([]))).collect() == []
 
 
+@pytest.mark.parametrize("block", [256, 5])
+def test_ngram_links(spark, sf, block):
+    rows = near_texts() + [(400 + i, near_texts()[3 * i][1]) for i in range(8)]                # exact copies too
+    sets = {i: word_set(t) for i, t in rows}
+    links = [(a, b) for a, b in itertools.combinations(sets, 2) if 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])]
+    count, part = Counter(x for pair in links for x in pair), check_components(rows, 90, 3)
+    docs = spark.read.parquet(sf(documents=documents(rows)) + "/documents.parquet")
+    got = ngram_join.near_counts(docs, ngram_join.Likeness(3, 90), block).collect()
+    assert len(got) == len(rows) and {r.doc_id: (r.n_links, r.component_id) for r in got} == {i: (count[i], part[i]) for i in sets}
+    first = {}
+    for i in sorted(sets):
+        first.setdefault(frozenset(sets[i]), i)
+    different = {(a, b) for a, b in links if sets[a] != sets[b] and {a, b} <= set(first.values())}
+    pairs = [tuple(r) for r in ngram_join.near_links(docs, ngram_join.Likeness(3, 90), block).collect()]
+    assert sorted(pairs) == sorted(different) and len(different) > len(first) - len(set(part.values()))       # more than a tree of links
+
+
+def test_ngram_links_odd_input(spark, sf, odd_texts):
+    got = ngram_join.op4_ngram_links(spark, sf(documents=documents(odd_texts))).collect()
+    found = Counter((r.doc_id, r.n_links) for r in got)
+    assert len(got) == len(odd_texts) and found[(7, 2)] == 1 and found[(8, 2)] == 2 and found[(9, 2)] == 1 and found[(None, 0)] == 2 and found[(1, 0)] == 1
+    assert found[(11, 1)] == found[(14, 1)] == 1 and found[(10, 0)] == 2
+    assert ngram_join.op4_ngram_links(spark, sf(documents=documents([]))).collect() == []
+
+
 def test_prefix_lengths_never_miss_a_pair():
     like, draw = ngram_join.Likeness(3, 90), random.Random(3)
     for _ in range(3000):
