@@ -81,9 +81,9 @@ def emit_counts(streams: dict[str, DataFrame]) -> DataFrame:
     return total
 
 
-def latency_states(events: DataFrame, batch_id: int | None = None) -> DataFrame:
-    """Hourly partial states per (hour, pipeline, stage): a quantile sketch and a count."""
-    states = events.groupBy(F.date_trunc("hour", "event_time").alias("hour"), "pipeline", "stage").agg(
+def latency_states(events: DataFrame, batch_id: int | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """Hourly partial states per (hour, pipeline, stage) and the columns by: a quantile sketch and a count."""
+    states = events.groupBy(F.date_trunc("hour", "event_time").alias("hour"), "pipeline", "stage", *by).agg(
         F.kll_sketch_agg_double(F.col("duration_ms").cast("double"), SKETCH_K).alias("sketch"),
         F.count(F.lit(1)).alias("events"))
     return states if batch_id is None else states.withColumn("batch_id", F.lit(batch_id).cast("bigint"))

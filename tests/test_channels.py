@@ -201,6 +201,20 @@ def test_late_rows_are_merged_not_dropped(spark, root):
     assert sum(r.events for r in telemetry.latency_report(states.read()).collect()) == 600 and len(states.batches()) == 2
 
 
+def test_latency_states_of_parts_a_newer_run_does_not_read_stay(spark, root):
+    states, rows = jobs.latency_store(spark, f"{root}/states"), events(spark, 300)
+    total = lambda: sum(r.events for r in telemetry.latency_report(states.read()).collect())
+    stream = lambda name: spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/{name}")
+    rows.repartition(2).write.parquet(f"{root}/old")
+    rows.limit(50).coalesce(1).write.parquet(f"{root}/other")
+    for run, (source, want) in enumerate((("old", 300), ("other", 350), ("old", 350))):          # a second source, then a replay of the first
+        drain(jobs.start_latency(stream(source), states, f"{root}/cp-{run}"))
+        assert total() == want
+    first = [b for b in states.batches() if b.startswith(states.batches()[-1].rpartition("-")[0])]
+    states.drop(first[1:])                                                                    # as in the middle of the replay
+    assert total() == 350
+
+
 def test_periodic_trigger_processes_and_stops(spark, root):
     spark.range(5).select("id").write.parquet(f"{root}/in")
     store = jobs.LatestStore(spark, f"{root}/latest", spark.range(1).schema, ["id"], ["id"])
