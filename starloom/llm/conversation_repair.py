@@ -26,7 +26,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +46,6 @@ NOTHING, SYSTEM, USER, ASSISTANT = range(4)
 _AFTER_KEEP = {("s", NOTHING): SYSTEM, ("u", NOTHING): USER, ("u", SYSTEM): USER, ("u", ASSISTANT): USER, ("a", USER): ASSISTANT}
 _NEXT = (USER, USER, ASSISTANT, USER)                          # what a reroled or inserted turn becomes
 _ROLE = {USER: "user", ASSISTANT: "assistant"}
-TABLE = "array<struct<entry: int, exit: int, cost: bigint, audit: string>>"
 
 # A row is one sign: its initial, one of s u a or o for any other; a capital if it is truncated; x if it must go.
 
@@ -152,28 +150,39 @@ def joined(left: list[tuple], right: list[tuple]) -> list[tuple[int, int, int, s
     return [(*at, *told) for at, told in best.items()]
 
 
-def _tables(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    cache: dict = {}
-    for signs, first in batches:
-        out = []
-        for key in zip(signs, first):
+def told_by(frame: DataFrame, tell) -> DataFrame:
+    """conv_id, segment, told: the tables that tell gives for the third column of frame (conv_id, segment, ..), equal ones of a worker once."""
+    schema = T.StructType([frame.schema["conv_id"], T.StructField("segment", T.LongType()), T.StructField("told", T.ArrayType(T.StructType([
+        T.StructField("entry", T.IntegerType()), T.StructField("exit", T.IntegerType()), T.StructField("cost", T.LongType()), T.StructField("audit", T.StringType())])))])
+    kind = pa.list_(pa.struct([("entry", pa.int32()), ("exit", pa.int32()), ("cost", pa.int64()), ("audit", pa.string())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [[dict(zip(("entry", "exit", "cost", "audit"), r)) for r in rows] for rows in tell(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, kind)], names=schema.names)
+
+    return frame.mapInArrow(run, schema)
+
+
+def searched(cache: dict):
+    def tell(segments: list[int], signs: list[str]) -> Iterator[list[tuple]]:
+        for key in zip(signs, (s == 0 for s in segments)):
             if key not in cache:
                 if len(cache) >= _CACHE:
                     cache.clear()
-                cache[key] = [dict(zip(("entry", "exit", "cost", "audit"), r)) for r in segment_table(*key)]
-            out.append(cache[key])
-        yield pd.Series(out)
+                cache[key] = segment_table(*key)
+            yield cache[key]
+
+    return tell
 
 
-def _joined(tables: pd.Series) -> pd.Series:
-    out = []
+def merged(segments: list[int], tables: list[list]) -> Iterator[list[tuple]]:
     for parts in tables:
-        told = [[(r["entry"], r["exit"], r["cost"], r["audit"]) for r in part] for part in parts]
+        told = [[(r["entry"], r["exit"], r["cost"], r["audit"]) for r in part["told"]] for part in parts]
         whole = told[0]
         for part in told[1:]:
             whole = joined(whole, part)
-        out.append([dict(zip(("entry", "exit", "cost", "audit"), r)) for r in whole])
-    return pd.Series(out)
+        yield whole
 
 
 def marked(turns: DataFrame) -> DataFrame:
@@ -199,14 +208,14 @@ def faults(stored: DataFrame) -> DataFrame:
 
 def repairs(placed: DataFrame) -> DataFrame:
     """conv_id, cost, audit of every conversation."""
-    tables, join_tables, base = F.pandas_udf(_tables, TABLE), F.pandas_udf(_joined, TABLE), F.col("initial")
+    base = F.col("initial")
     sign = F.when(F.col("blank") | F.col("duplicate"), "x").when(F.col("cut"), F.upper(base)).otherwise(base)
     segments = (placed.withColumn("segment", F.floor((F.col("upto") - 1) / SEGMENT)).groupBy("conv_id", "segment")
                 .agg(F.array_sort(F.collect_list(F.struct("upto", sign.alias("sign")))).alias("rows")))                        # SEGMENT rows at most
-    level = materialize(segments.select("conv_id", "segment", tables(F.array_join("rows.sign", ""), F.col("segment") == 0).alias("told")), "repair-level")
+    level = materialize(told_by(segments.select("conv_id", "segment", F.array_join("rows.sign", "").alias("signs")), searched({})), "repair-level")
     while level.agg(F.max("segment")).first()[0]:
         near = level.groupBy("conv_id", F.floor(F.col("segment") / FAN).alias("segment")).agg(F.array_sort(F.collect_list(F.struct("segment", "told"))).alias("parts"))
-        level = materialize(near.select("conv_id", "segment", join_tables("parts.told").alias("told")), "repair-level")
+        level = materialize(told_by(near, merged), "repair-level")
     ends = F.filter(F.transform("told", lambda t: F.when(t.exit.isin(NOTHING, ASSISTANT), F.struct(t.cost.alias("cost"), t.audit.alias("audit")))
                                 .when(t.exit == USER, F.struct((t.cost + INSERT).alias("cost"), F.concat(t.audit, F.lit("I")).alias("audit")))), lambda t: t.isNotNull())
     return level.select("conv_id", F.array_min(ends).alias("best")).select("conv_id", "best.cost", "best.audit")
