@@ -38,6 +38,7 @@ from starloom.session import materialize
 
 SEGMENT = 96
 FAN = 16
+TASK_ROWS = 100_000             # rows a task searches
 _CACHE = 50_000
 KEEP, REROLE, DELETE, INSERT, CUT = 0, 3, 4, 3, 3
 _BLANK = " \t\n\x0b\f\r"
@@ -95,11 +96,16 @@ def greedy(signs: str, entry: int) -> tuple[int, str, int]:
     return cost, "".join(audit), state
 
 
-def search(signs: str, entry: int, goal: int) -> tuple[int, str] | None:
-    """The least (cost, audit) that leads from state entry through all rows to state goal; None if nothing does."""
+def search(signs: str, entry: int, goal: int | None) -> tuple[int, str] | None:
+    """The least (cost, audit) that leads from state entry through all rows to state goal; None if nothing does.
+
+    Without a goal the rows are the rest of the conversation: it may end, after an Insert where the last turn is a user's.
+    """
     n, bound = len(signs), lower_bounds(signs)
     cost, audit, state = greedy(signs, entry)
     best = (cost, audit) if state == goal else None
+    if goal is None:
+        best = (cost + INSERT, audit + "I") if state == USER else (cost, audit) if state != SYSTEM else None
     seen: dict[tuple[int, int, bool], tuple[int, str]] = {}
     stack = [(0, entry, False, 0, "")]
     while stack:
@@ -111,7 +117,9 @@ def search(signs: str, entry: int, goal: int) -> tuple[int, str] | None:
             continue
         seen[node] = (cost, audit)
         if i == n:
-            if state == goal and not inserted and (best is None or (cost, audit) < best):
+            if goal is None and state == USER:
+                state, cost, audit = ASSISTANT, cost + INSERT, audit + "I"
+            if (state == goal or goal is None and state != SYSTEM) and (best is None or (cost, audit) < best):
                 best = (cost, audit)
             continue
         sign = signs[i]
@@ -128,7 +136,10 @@ def search(signs: str, entry: int, goal: int) -> tuple[int, str] | None:
     return best
 
 
-def segment_table(signs: str, first: bool) -> list[tuple[int, int, int, str]]:
+def segment_table(signs: str, first: bool, last: bool = False) -> list[tuple[int, int, int, str]]:
+    """(entry, exit, cost, audit) of every way through a segment; of a whole conversation only the best one."""
+    if first and last:
+        return [(NOTHING, ASSISTANT, *search(signs, NOTHING, None))]
     found = []
     for entry in ((NOTHING,) if first else range(4)):
         for goal in range(4):
@@ -151,22 +162,23 @@ def joined(left: list[tuple], right: list[tuple]) -> list[tuple[int, int, int, s
 
 
 def told_by(frame: DataFrame, tell) -> DataFrame:
-    """conv_id, segment, told: the tables that tell gives for the third column of frame (conv_id, segment, ..), equal ones of a worker once."""
+    """conv_id, segment, told: the tables that tell gives for the columns of frame (conv_id, segment, ..) after conv_id."""
     schema = T.StructType([frame.schema["conv_id"], T.StructField("segment", T.LongType()), T.StructField("told", T.ArrayType(T.StructType([
         T.StructField("entry", T.IntegerType()), T.StructField("exit", T.IntegerType()), T.StructField("cost", T.LongType()), T.StructField("audit", T.StringType())])))])
     kind = pa.list_(pa.struct([("entry", pa.int32()), ("exit", pa.int32()), ("cost", pa.int64()), ("audit", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [[dict(zip(("entry", "exit", "cost", "audit"), r)) for r in rows] for rows in tell(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            out = [[dict(zip(("entry", "exit", "cost", "audit"), r)) for r in rows] for rows in tell(*(c.to_pylist() for c in batch.columns[1:]))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, kind)], names=schema.names)
 
     return frame.mapInArrow(run, schema)
 
 
 def searched(cache: dict):
-    def tell(segments: list[int], signs: list[str]) -> Iterator[list[tuple]]:
-        for key in zip(signs, (s == 0 for s in segments)):
+    """Tables by search, equal segments of a task once."""
+    def tell(segments: list[int], signs: list[str], last: list[bool]) -> Iterator[list[tuple]]:
+        for key in zip(signs, (s == 0 for s in segments), last):
             if key not in cache:
                 if len(cache) >= _CACHE:
                     cache.clear()
@@ -210,9 +222,11 @@ def repairs(placed: DataFrame) -> DataFrame:
     """conv_id, cost, audit of every conversation."""
     base = F.col("initial")
     sign = F.when(F.col("blank") | F.col("duplicate"), "x").when(F.col("cut"), F.upper(base)).otherwise(base)
-    segments = (placed.withColumn("segment", F.floor((F.col("upto") - 1) / SEGMENT)).groupBy("conv_id", "segment")
-                .agg(F.array_sort(F.collect_list(F.struct("upto", sign.alias("sign")))).alias("rows")))                        # SEGMENT rows at most
-    level = materialize(told_by(segments.select("conv_id", "segment", F.array_join("rows.sign", "").alias("signs")), searched({})), "repair-level")
+    # dealt out by rows and not by bytes: a row is one sign, but the search of a few takes a while
+    tasks = max(2 * placed.sparkSession.sparkContext.defaultParallelism, placed.count() // TASK_ROWS)
+    segments = (placed.withColumn("segment", F.floor((F.col("upto") - 1) / SEGMENT)).repartition(tasks, "conv_id", "segment").groupBy("conv_id", "segment")
+                .agg(F.array_sort(F.collect_list(F.struct("upto", sign.alias("sign")))).alias("rows"), F.bool_or(F.col("next").isNull()).alias("last")))     # SEGMENT rows at most
+    level = materialize(told_by(segments.select("conv_id", "segment", F.array_join("rows.sign", "").alias("signs"), "last"), searched({})), "repair-level")
     while level.agg(F.max("segment")).first()[0]:
         near = level.groupBy("conv_id", F.floor(F.col("segment") / FAN).alias("segment")).agg(F.array_sort(F.collect_list(F.struct("segment", "told"))).alias("parts"))
         level = materialize(told_by(near, merged), "repair-level")

@@ -60,7 +60,7 @@ def test_search_finds_the_least_cost_and_audit():
     draw = random.Random(4)
     for _ in range(60):
         signs = "".join(draw.choice("suaoSUAOx") for _ in range(3))
-        assert whole(signs) == cheapest(signs), signs
+        assert whole(signs) == cheapest(signs) == repair.search(signs, 0, None), signs
 
 
 def step_by_step(signs: str):
@@ -89,7 +89,7 @@ def test_segments_join_to_the_whole():
     for n in (4, 9, 30, 61):
         for _ in range(12):
             signs = "".join(draw.choice("sususuauauauaoSUAOx") for _ in range(n))
-            assert whole(signs) == whole(signs, 3) == whole(signs, 5) == step_by_step(signs)
+            assert whole(signs) == whole(signs, 3) == whole(signs, 5) == step_by_step(signs) == repair.search(signs, 0, None)
     for signs in ("u" * 96, "a" * 96, "x" * 96, "s" * 96, "U" * 96, "ua" * 48, "O" * 96):
         assert whole(signs) == step_by_step(signs)
 
