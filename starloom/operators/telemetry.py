@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.catalog import TELEMETRY_WIRE
@@ -17,18 +17,19 @@ NAMES = ["p50", "p95", "p99"]
 SKETCH_K = 800
 
 
-def to_wire(rows: DataFrame, stream: str) -> DataFrame:
-    """Table rows as JSON lines; the event time travels as epoch milliseconds and nulls are kept."""
+def to_wire(rows: DataFrame, stream: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Table rows as JSON lines; the event time travels as epoch milliseconds and nulls are kept. carry names columns that stay beside the line."""
     names = TELEMETRY_WIRE[stream].names[1:]
     event_ms = F.unix_millis(F.col("event_time").cast("timestamp")).alias("event_ms")
-    return rows.select(F.to_json(F.struct(event_ms, *names), {"ignoreNullFields": "false"}).alias("value"))
+    return rows.select(F.to_json(F.struct(event_ms, *names), {"ignoreNullFields": "false"}).alias("value"), *carry)
 
 
-def from_wire(lines: DataFrame, stream: str) -> DataFrame:
-    """JSON lines as table rows; works on a stream as well as on a batch."""
+def from_wire(lines: DataFrame, stream: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """JSON lines as table rows; works on a stream as well as on a batch. carry names columns of the lines that stay, such as
+    topic, partition and offset."""
     schema = TELEMETRY_WIRE[stream]
-    parsed = lines.select(F.from_json("value", schema).alias("r"))
-    return parsed.select(F.timestamp_millis("r.event_ms").alias("event_time"), *[f"r.{n}" for n in schema.names[1:]])
+    parsed = lines.select(F.from_json("value", schema).alias("r"), *carry)
+    return parsed.select(F.timestamp_millis("r.event_ms").alias("event_time"), *[f"r.{n}" for n in schema.names[1:]], *carry)
 
 
 def stage_rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
@@ -81,11 +82,11 @@ def emit_counts(streams: dict[str, DataFrame]) -> DataFrame:
     return total
 
 
-def latency_states(events: DataFrame, batch_id: int | None = None, by: tuple[str, ...] = ()) -> DataFrame:
-    """Hourly partial states per (hour, pipeline, stage) and the columns by: a quantile sketch and a count."""
+def latency_states(events: DataFrame, batch_id: int | None = None, by: tuple[str, ...] = (), also: tuple[Column, ...] = ()) -> DataFrame:
+    """Hourly partial states per (hour, pipeline, stage) and the columns by: a quantile sketch, a count and the aggregates also."""
     states = events.groupBy(F.date_trunc("hour", "event_time").alias("hour"), "pipeline", "stage", *by).agg(
         F.kll_sketch_agg_double(F.col("duration_ms").cast("double"), SKETCH_K).alias("sketch"),
-        F.count(F.lit(1)).alias("events"))
+        F.count(F.lit(1)).alias("events"), *also)
     return states if batch_id is None else states.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
 
 

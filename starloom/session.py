@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,10 +70,29 @@ def _cut_points(spark: SparkSession) -> str:
 
 def drop_cut_points(spark: SparkSession) -> None:
     """Remove what materialize has written for this application. Call it when the results have been written elsewhere."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_cut_points(spark))
+    _drop(spark, _cut_points(spark))
+
+
+def _drop(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_open = threading.local()
+
+
+@contextlib.contextmanager
+def passing_cut_points(spark: SparkSession):
+    """Cut points that this thread writes within the block are removed at its end: what they led to must be written by then."""
+    outer, inner = getattr(_open, "folder", None), f"{_cut_points(spark)}/passing-{uuid.uuid4().hex}"
+    _open.folder = inner
+    try:
+        yield
+    finally:
+        _open.folder = outer
+        _drop(spark, inner)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write df once as Parquet in the shared folder and read it back.
 
@@ -79,7 +100,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     each pass read only the columns it needs.
     """
     spark = df.sparkSession
-    path = f"{_cut_points(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{getattr(_open, 'folder', None) or _cut_points(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

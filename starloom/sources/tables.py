@@ -66,8 +66,7 @@ class BatchTable:
     """An append-only table of batches. A batch's name is its identity: writing it again replaces it.
 
     Names of streaming batches begin with the run (the checkpoint) they belong to, so equal batch numbers of two
-    checkpoints never meet. newest_run: readers see only the batches of the newest run, for contents that a replay
-    computes anew and that cannot be merged row by row.
+    checkpoints never meet.
     """
 
     spark: SparkSession
@@ -75,7 +74,6 @@ class BatchTable:
     schema: T.StructType
     partition_by: tuple[str, ...] = ()
     sort_by: tuple[str, ...] = ()
-    newest_run: bool = False
 
     def batches(self) -> list[str]:
         return committed(self.spark, self.path, _BATCH)
@@ -96,8 +94,6 @@ class BatchTable:
         """Committed batches with their name in batch_id."""
         schema = T.StructType([*self.schema.fields, T.StructField("batch_id", T.StringType())])
         chosen = self.batches() if batches is None else [b for b in batches if self.has(b)]
-        if self.newest_run and batches is None and chosen:
-            chosen = [b for b in chosen if run_of(b) == run_of(chosen[-1])]
         if not chosen:
             return self.spark.createDataFrame([], schema)
         paths = [f"{self.path}/{_BATCH}{b}" for b in chosen]

@@ -19,7 +19,7 @@ from starloom.operators.lineage import LineageLog
 from starloom.operators.scd import CUSTOMER_SCD2, scd2_merge
 from starloom.plans.star_load import LoadLog, StarStore, load_star
 from starloom.catalog import RAW_SCHEMA, STAR_SCHEMAS, TELEMETRY_WIRE
-from starloom.session import shared_dir
+from starloom.session import materialize, shared_dir
 from starloom.sources.raw import raw_files, to_envelopes
 from starloom.sources.tables import VersionedTable
 from starloom.streaming import jobs
@@ -118,6 +118,32 @@ def stream_latency(spark, sf_dir):
     return within_rank_error(events, telemetry.latency_report(states.read()))
 
 
+@query("stream_state_ranges", """
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS hour, event_type AS stage, COUNT(*) AS events, TRUE AS few FROM events GROUP BY ALL""")
+def stream_state_ranges(spark, sf_dir):
+    """States by offset range: a run that compacts as it goes, then a fresh one over what the topic still holds, a quarter of it having expired."""
+    root, events = workdir(spark), stage_events(spark, sf_dir)
+    end = events.agg(F.max("event_id")).first()[0] + 1
+    events = events.withColumns({
+        "topic": F.lit("pipeline_events"), "partition": (F.col("event_id") % 2).cast("int"), "offset": F.floor(F.col("event_id") / 2), "quarter": F.floor(F.col("event_id") * 4 / end) + 1})
+    lines = materialize(telemetry.to_wire(events, "pipeline_events", ("topic", "partition", "offset", "quarter")), "quarters")
+    states, place = jobs.latency_store(spark, f"{root}/states"), jobs.kafka_position()
+
+    def run(name, quarters, **how):
+        for quarter in quarters:                                        # a file each, in the order in which a topic is read
+            lines.where(F.col("quarter") == quarter).drop("quarter").coalesce(1).write.mode("append").parquet(f"{root}/{name}")
+        stream = spark.readStream.schema(lines.drop("quarter").schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/{name}")
+        told = telemetry.from_wire(stream, "pipeline_events", ("topic", "partition", "offset"))
+        _finish(jobs.start_latency(told, states, f"{root}/{name}-checkpoint", jobs.drain(), *place, **how))
+
+    run("first", (1, 2, 3), compact_every=2)
+    states.compact(2)
+    run("second", (2, 3, 4), compact_every=2)
+    states.compact(2)
+    merged = telemetry.merge_states(states.read(), ["hour", "stage"])
+    return merged.select(F.date_format("hour", "yyyy-MM-dd HH").alias("hour"), "stage", "events", F.lit(states.pieces() <= 4).alias("few"))
+
+
 @query("stream_telemetry_table", """
 SELECT event_type AS stage, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, COUNT(*) AS n FROM events GROUP BY ALL""")
 def stream_telemetry_table(spark, sf_dir):
