@@ -16,19 +16,19 @@ from starloom.operators import dims, facts
 from starloom.operators.latest import RECENT
 from starloom.operators.lineage import LOAD_JOB, LineageLog
 from starloom.operators.telemetry import error_rows, stage_rows
-from starloom.sources.tables import BatchTable, VersionedTable
+from starloom.sources.tables import BatchTable, FolderTable, VersionedTable
 
 PARTITION_COLUMNS = {"fact_order": "order_date_key", "fact_order_line": "order_date_key", "fact_transaction": "txn_date_key"}
 
 
 class StarStore:
-    """The nine star tables below one path. Facts have a folder per date key, unless day_folders is False: then they are
-    only clustered and sorted by it."""
+    """The nine star tables below one path. Facts have a folder per date key, or per month where days are small, of which a
+    load rewrites those that changed; unless day_folders is False: then they are only clustered and sorted by date key."""
 
-    def __init__(self, spark: SparkSession, path: str, day_folders: bool = True):
+    def __init__(self, spark: SparkSession, path: str, day_folders: bool = True, months: bool = False):
         self.tables = {
-            name: VersionedTable(spark, f"{path}/{name}", STAR_SCHEMAS[name],
-                                 (PARTITION_COLUMNS[name],) if name in PARTITION_COLUMNS else (), day_folders)
+            name: FolderTable(spark, f"{path}/{name}", STAR_SCHEMAS[name], (PARTITION_COLUMNS[name],), months=months) if day_folders and name in PARTITION_COLUMNS
+            else VersionedTable(spark, f"{path}/{name}", STAR_SCHEMAS[name], (PARTITION_COLUMNS[name],) if name in PARTITION_COLUMNS else ())
             for name in STAR_TABLES}
 
     def __getitem__(self, name: str) -> VersionedTable:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.session import materialize
 from starloom.sources.files import committed, exists, remove
 
 _VERSION, _BATCH = "version=", "batch_id="
@@ -18,20 +19,23 @@ class VersionedTable:
     """A table replaced as a whole: each write makes a new folder and readers take the last committed one.
 
     The version being read is never overwritten, so a job may read the table it writes. A version may carry the name of
-    the batch it came from. With partition columns, rows of one value are brought together and sorted, so that file
-    statistics prune, and each value has a folder unless folders is False.
+    the batch it came from. The last keep versions stay; a reader that began with one of them is not disturbed. With partition
+    columns, rows of one value are brought together and sorted, so that file statistics prune.
     """
 
     spark: SparkSession
     path: str
     schema: T.StructType
     partition_by: tuple[str, ...] = ()
-    folders: bool = True
+    keep: int = 3
 
     def _committed(self) -> list[tuple[int, str]]:
         parts = (name.partition("_") for name in committed(self.spark, self.path, _VERSION))
         return sorted((int(number), batch) for number, _, batch in parts)
 
+    def _folder(self, number: int, batch: str) -> str:
+        return f"{self.path}/{_VERSION}{number}{'_' * bool(batch)}{batch}"
+
     def versions(self) -> list[int]:
         return [number for number, _ in self._committed()]
 
@@ -44,22 +48,94 @@ class VersionedTable:
         found = self._committed()
         if not found:
             return self.spark.createDataFrame([], self.schema)
-        number, batch = found[-1]
-        data = self.spark.read.schema(self.schema).parquet(f"{self.path}/{_VERSION}{number}{'_' * bool(batch)}{batch}")
-        return data.select(self.schema.names)
+        return self._content(self._folder(*found[-1])).select(self.schema.names)
 
     def replace(self, df: DataFrame, batch: str = "") -> DataFrame:
         """Write df as the new content and return it as read back; nothing if the current version came from this batch."""
         found = self._committed()
         if not (batch and found and found[-1][1] == batch):
             rows = df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
-            if self.partition_by:
-                rows = rows.hint("rebalance", *self.partition_by).sortWithinPartitions(*self.partition_by)
-            by = self.partition_by if self.folders else ()
             number = found[-1][0] + 1 if found else 0
-            rows.write.mode("overwrite").partitionBy(*by).parquet(f"{self.path}/{_VERSION}{number}{'_' * bool(batch)}{batch}")
+            self._write(rows, number, batch)
+            for old in found[:max(0, len(found) + 1 - self.keep)]:
+                remove(self.spark, self._folder(*old))
+            self._forget()
         return self.read()
 
+    def _content(self, folder: str) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(folder)
+
+    def _together(self, rows: DataFrame) -> DataFrame:
+        return rows.hint("rebalance", *self.partition_by).sortWithinPartitions(*self.partition_by) if self.partition_by else rows
+
+    def _write(self, rows: DataFrame, number: int, batch: str) -> None:
+        self._together(rows).write.mode("overwrite").parquet(self._folder(number, batch))
+
+    def _forget(self) -> None:
+        """What else goes with the versions that went."""
+
+
+_WRITE, _NO_VALUE = "write=", "__HIVE_DEFAULT_PARTITION__"
+
+
+@dataclass(frozen=True)
+class FolderTable(VersionedTable):
+    """A versioned table with a folder per date key (or per month of it), of which a write only makes those that changed.
+
+    A version is a list of folders, a row each: the key, its digest (row count and two order-free hashes of whole rows) and the
+    write that made it. Contents are compared by digest; unchanged folders stay where they are.
+    """
+
+    months: bool = False
+
+    def _key(self) -> tuple[str, Column]:
+        date_key = self.partition_by[0]
+        return (f"{date_key}_month", F.floor(F.col(date_key) / 100).cast("int")) if self.months else (date_key, F.col(date_key))
+
+    def _list(self, version: tuple[int, str]) -> DataFrame:
+        return self.spark.read.parquet(self._folder(*version))
+
+    def folders(self) -> dict[str | None, int]:
+        """Which write the folder of each key comes from."""
+        found = self._committed()
+        return {r["_of"]: r["_made"] for r in self._list(found[-1]).collect()} if found else {}          # a row per folder
+
+    def _content(self, folder: str) -> DataFrame:
+        name = self._key()[0]
+        paths = [f"{self.path}/{_WRITE}{r['_made']}/{name}={_NO_VALUE if r['_of'] is None else r['_of']}" for r in self.spark.read.parquet(folder).collect()]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).option("basePath", self.path).parquet(*paths)
+
+    def _write(self, rows: DataFrame, number: int, batch: str) -> None:
+        (name, key), found = self._key(), self._committed()
+        rows = materialize(rows, "folders")                            # digests and files must come from the same rows
+        whole = [F.xxhash64(*self.schema.names, F.lit(salt)) for salt in (1, 2)]
+        now = rows.groupBy(key.cast("string").alias("_of")).agg(
+            F.count(F.lit(1)).alias("_rows"), F.bit_xor(whole[0]).alias("_mixed"), F.sum(whole[1].cast("decimal(38,0)")).cast("string").alias("_summed"))
+        if found:
+            same = ["_rows", "_mixed", "_summed"]
+            old = self._list(found[-1]).select(*[F.col(c).alias(f"old{c}") for c in ("_of", *same)], "_made")
+            equal = F.col("_made").isNotNull()
+            for c in same:
+                equal = equal & (F.col(c) == F.col(f"old{c}"))
+            now = now.join(old, F.col("_of").eqNullSafe(F.col("old_of")), "left").select("_of", *same, F.when(equal, F.col("_made")).otherwise(number).alias("_made"))
+        else:
+            now = now.withColumn("_made", F.lit(number))
+        now = materialize(now, "folders")
+        fresh = now.where(F.col("_made") == number).select("_of")
+        if not fresh.isEmpty():
+            part = rows.join(fresh, key.cast("string").eqNullSafe(F.col("_of")), "left_semi").withColumn(name, key)
+            (part.hint("rebalance", name).sortWithinPartitions(*dict.fromkeys([name, *self.partition_by])).write.mode("overwrite")
+             .partitionBy(name).parquet(f"{self.path}/{_WRITE}{number}"))
+        now.coalesce(1).write.mode("overwrite").parquet(self._folder(number, batch))          # the commit: a row per folder
+
+    def _forget(self) -> None:
+        held = {r["_made"] for version in self._committed() for r in self._list(version).select("_made").distinct().collect()}
+        for number in committed(self.spark, self.path, _WRITE):
+            if int(number) not in held:
+                remove(self.spark, f"{self.path}/{_WRITE}{number}")
+
 
 @dataclass(frozen=True)
 class BatchTable:
