@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +12,7 @@ from starloom.functions.scalars import END_OF_TIME
 from starloom.operators.latest import latest_per_key
 from starloom.operators.ranges import number_rows
 from starloom.session import fits_broadcast, materialize
+from starloom.sources.tables import BatchTable, FolderTable
 
 
 @dataclass(frozen=True)
@@ -45,13 +46,14 @@ def _same(df: DataFrame, old: str, new: str) -> Column:
 
 def scd2_merge(
     existing: DataFrame, incoming: DataFrame, spec: Scd2Spec, batch_ts, order: list[str], numbering: list[str] | None = None,
+    highest: int | None = None,
 ) -> DataFrame:
     """The whole new dimension after a batch.
 
     An unchanged key is a no-op; a changed one closes its current version and gets a new one; an unseen one
     gets its first version; keys absent from the batch stay. Several incoming rows of one business key count as
-    the last by order. New surrogate keys continue after the highest existing one, in (numbering, business key) order;
-    numbering is order unless given.
+    the last by order. New surrogate keys continue after the highest existing one (to be given where existing is only a part),
+    in (numbering, business key) order; numbering is order unless given.
 
     When the batch is small enough to broadcast, the dimension is compared in place without a shuffle.
     """
@@ -86,7 +88,7 @@ def scd2_merge(
         F.when(changed, 0).otherwise(1).alias("is_current"))
     opened = both.where(arrived & (~was_current | ~equal)).select(
         key, *[F.col(f"_new_{c}").alias(c) for c in tracked], *[f"_at_{c}" for c in numbering])
-    start = highest_key(existing, spec.surrogate)
+    start = highest_key(existing, spec.surrogate) if highest is None else highest
     numbered = number_rows(opened, [*[F.col(f"_at_{c}") for c in numbering], F.col(key)], spec.surrogate, start)
     filled = [F.coalesce(F.col(c), F.lit("")).alias(c) if isinstance(numbered.schema[c].dataType, T.StringType) else F.col(c)
               for c in tracked]
@@ -95,6 +97,70 @@ def scd2_merge(
     return history.unionByName(kept).unionByName(new)
 
 
+@dataclass(frozen=True)
+class Scd2Table:
+    """A type 2 dimension of which a batch reads and writes only what it touches.
+
+    Current versions lie in folders by a hash of the business key; a batch reads the folders of its keys, and writes those whose
+    rows it changes. Closed versions are added to a history of their own and never read again by a merge. The highest
+    surrogate key is kept with each batch. A reader sees the folders of the last committed version and the history up to it.
+    """
+
+    spark: SparkSession
+    path: str
+    schema: T.StructType
+    spec: Scd2Spec
+    buckets: int = 64
+
+    @property
+    def _current(self) -> FolderTable:
+        return FolderTable(self.spark, f"{self.path}/current", T.StructType([*self.schema.fields, T.StructField("bucket", T.IntegerType())]), ("bucket",))
+
+    @property
+    def _history(self) -> BatchTable:
+        return BatchTable(self.spark, f"{self.path}/history", T.StructType([*self.schema.fields, T.StructField("highest", T.LongType())]))
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.spec.business_key), F.lit(self.buckets)).cast("int")
+
+    def _batches(self, versions: list[int]) -> list[str]:
+        """History up to the last committed version: a batch that failed half-way is not read, and is written again."""
+        last = max(versions, default=-1)
+        return [b for b in self._history.batches() if int(b) <= last]
+
+    def current(self) -> DataFrame:
+        return self._current.read().select(self.schema.names)
+
+    def read(self) -> DataFrame:
+        closed = self._history.read(self._batches(self._current.versions())).where(F.col(self.spec.surrogate).isNotNull())
+        return self.current().unionByName(closed.select(self.schema.names))
+
+    def last_batch(self) -> str:
+        return self._current.last_batch()
+
+    def folders(self) -> dict[str | None, int]:
+        """Which merge wrote the folder of each bucket."""
+        return self._current.folders()
+
+    def merge(self, incoming: DataFrame, batch_ts, order: list[str], numbering: list[str] | None = None, batch: str = "") -> None:
+        """Apply a batch as scd2_merge does; nothing if it is the last one that was applied."""
+        table = self._current
+        if batch and table.last_batch() == batch:
+            return
+        versions = table.versions()
+        number = versions[-1] + 1 if versions else 0
+        highest = self._history.read(self._batches(versions)).agg(F.coalesce(F.max("highest"), F.lit(0))).first()[0]
+        incoming = incoming.withColumn("bucket", self._bucket())
+        touched = [r[0] for r in incoming.select("bucket").distinct().collect()]                     # at most buckets
+        before = table.read().where(F.col("bucket").isin(*touched)) if touched else table.read().limit(0)
+        merged = materialize(scd2_merge(before.select(self.schema.names), incoming, self.spec, batch_ts, order, numbering, highest), "scd2-merged")
+        top = max(highest, highest_key(merged, self.spec.surrogate))
+        closed = merged.where(F.coalesce(F.col("is_current"), F.lit(0)) != 1).withColumn("highest", F.lit(top).cast("long"))
+        mark = self.spark.createDataFrame([(top,)], "highest long")
+        self._history.append(closed.unionByName(mark, allowMissingColumns=True), f"{number:010d}")
+        table.update(merged.where("is_current = 1").withColumn("bucket", self._bucket()), {str(b) for b in touched}, batch)
+
+
 def close_version(dim: DataFrame, surrogate: str, bad_keys: list[int], at) -> DataFrame:
     """Close wrongly opened versions in place."""
     hit = F.col(surrogate).isin(bad_keys)

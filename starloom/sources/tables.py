@@ -57,11 +57,15 @@ class VersionedTable:
             rows = df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
             number = found[-1][0] + 1 if found else 0
             self._write(rows, number, batch)
-            for old in found[:max(0, len(found) + 1 - self.keep)]:
-                remove(self.spark, self._folder(*old))
-            self._forget()
+            self._trim(found)
         return self.read()
 
+    def _trim(self, found: list[tuple[int, str]]) -> None:
+        """After a write beside the versions found: only the last keep stay."""
+        for old in found[:max(0, len(found) + 1 - self.keep)]:
+            remove(self.spark, self._folder(*old))
+        self._forget()
+
     def _content(self, folder: str) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(folder)
 
@@ -107,7 +111,15 @@ class FolderTable(VersionedTable):
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).option("basePath", self.path).parquet(*paths)
 
-    def _write(self, rows: DataFrame, number: int, batch: str) -> None:
+    def update(self, rows: DataFrame, keys: set[str | None], batch: str = "") -> None:
+        """A new version in which rows are the whole content of the folders keys; all other folders stay unread."""
+        found = self._committed()
+        number = found[-1][0] + 1 if found else 0
+        self._write(rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]), number, batch, keys)
+        self._trim(found)
+
+    def _write(self, rows: DataFrame, number: int, batch: str, keys: set[str | None] | None = None) -> None:
+        """keys: the folders that rows are the content of; all, if None."""
         (name, key), found = self._key(), self._committed()
         rows = materialize(rows, "folders")                            # digests and files must come from the same rows
         whole = [F.xxhash64(*self.schema.names, F.lit(salt)) for salt in (1, 2)]
@@ -120,6 +132,10 @@ class FolderTable(VersionedTable):
             for c in same:
                 equal = equal & (F.col(c) == F.col(f"old{c}"))
             now = now.join(old, F.col("_of").eqNullSafe(F.col("old_of")), "left").select("_of", *same, F.when(equal, F.col("_made")).otherwise(number).alias("_made"))
+            if keys is not None:
+                others = self._list(found[-1])
+                named = F.col("_of").isin(*[k for k in keys if k is not None])
+                now = now.unionByName(others.where(~F.coalesce(named, F.lit(None in keys))))
         else:
             now = now.withColumn("_made", F.lit(number))
         now = materialize(now, "folders")

@@ -16,7 +16,7 @@ from starloom.catalog import CATALOG
 from starloom.operators import telemetry
 from starloom.operators.dims import customer_attributes
 from starloom.operators.lineage import LineageLog
-from starloom.operators.scd import CUSTOMER_SCD2, scd2_merge
+from starloom.operators.scd import CUSTOMER_SCD2, Scd2Table, scd2_merge
 from starloom.plans.star_load import LoadLog, StarStore, load_star
 from starloom.catalog import RAW_SCHEMA, STAR_SCHEMAS, TELEMETRY_WIRE
 from starloom.session import materialize, shared_dir
@@ -198,6 +198,27 @@ def stream_scd2_replay(spark, sf_dir):
         F.count(F.lit(1)).cast("int").alias("versions"), F.max(F.when(F.col("is_current") == 1, F.col("display_name"))).alias("display_name"), F.sum("is_current").cast("int").alias("current"))
 
 
+@query("scd2_buckets", """
+WITH c AS (SELECT c_custkey AS id, c_name AS name, c_custkey IN (1, 2, 3) AS renamed FROM customer)
+SELECT id AS customer_id, name || CASE WHEN v = 1 THEN ' II' ELSE '' END AS display_name, CASE WHEN v = 1 THEN 100000 + id ELSE id + 1 END AS customer_sk,
+       CASE WHEN renamed AND v = 0 THEN 0 ELSE 1 END AS is_current, CASE WHEN v = 1 THEN 2 ELSE 1 END AS month, TRUE AS others_untouched
+FROM (SELECT c.*, UNNEST([0, 1]) AS v FROM c) x WHERE v = 0 OR renamed""")
+def scd2_buckets(spark, sf_dir):
+    """A dimension in 32 buckets: three renamed customers make only their buckets' files new, the closed versions lie apart."""
+    people = customer_attributes(curated_rows(spark, sf_dir, "customers"), ["offset"])
+    dim = Scd2Table(spark, f"{workdir(spark)}/dim_customer", STAR_SCHEMAS["dim_customer"], CUSTOMER_SCD2, 32)
+    dim.merge(people, datetime(2026, 1, 1), ["offset"])
+    before, total = set(dim.current().inputFiles()), people.count()
+    dim.merge(people.where("customer_id in (1, 2, 3)").withColumn("display_name", F.concat("display_name", F.lit(" II"))), datetime(2026, 2, 1), ["offset"])
+    dim.merge(people.where("customer_id > 3"), datetime(2026, 3, 1), ["offset"])                    # known already: no file changes
+    made = [n for n in dim.folders().values() if n]
+    fresh = {f.rpartition("bucket=")[2].partition("/")[0] for f in set(dim.current().inputFiles()) - before}
+    untouched = len(fresh) == len(made) <= 3
+    sk = F.col("customer_sk")
+    return dim.read().select("customer_id", "display_name", F.when(sk > total, 100000 + sk - total).otherwise(sk).alias("customer_sk"), "is_current",
+                             F.month("valid_from").alias("month"), F.lit(untouched).alias("others_untouched"))
+
+
 @query("stream_star_load", """
 SELECT 'fact_order' AS what, COUNT(*) AS n FROM orders UNION ALL SELECT 'fact_order_line', COUNT(DISTINCT l_orderkey * 10 + l_linenumber) FROM lineitem
 UNION ALL SELECT 'dim_customer(current)', COUNT(*) FROM customer UNION ALL SELECT 'numbered by arrival', COUNT(*) FROM customer
