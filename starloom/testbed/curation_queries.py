@@ -236,12 +236,17 @@ def changes_of_one_record(spark, sf_dir):
     return raw_changes(raw, CATALOG["customers"], _KEY).select("operation", "offset", F.get_json_object("after", "$.DisplayName").alias("name"))
 
 
-@query("catalog_contract", """
-SELECT entity, COUNT(*) AS n FROM (SELECT UNNEST(['customers', 'orders', 'products']) AS entity, c_custkey FROM customer) x GROUP BY entity""")
+_OTHER = build_catalog("shop.", "clean.")
+_ROUTED = ("customers", "products", "warehouses", "orders")
+
+
+@query("catalog_contract", " UNION ALL ".join(f"SELECT '{e}' AS entity, '{_OTHER[e].curated_topic}' AS curated_topic, COUNT(*) AS n FROM ({rows_sql(e)}) r" for e in _ROUTED))
 def catalog_contract(spark, sf_dir):
-    """Raw topics built under another prefix route every message to its entity; the checked catalog refuses what is ambiguous."""
-    catalog = build_catalog("shop.", "clean.")
-    topics = {e: catalog[e].raw_topic for e in ("customers", "orders", "products")}
-    messages = table(spark, sf_dir, "customer").select("c_custkey", F.explode(F.array(*[F.lit(t) for t in topics.values()])).alias("topic"))
-    entity = F.create_map(*[F.lit(x) for s in catalog for x in (s.raw_topic, s.entity)])
-    return messages.where(F.col("topic").isin(catalog.raw_topics)).groupBy(entity[F.col("topic")].alias("entity")).agg(F.count(F.lit(1)).alias("n"))
+    """Messages of topics under other prefixes, curated by a catalog built for them; a topic that it does not know reaches no entity."""
+    named = lambda e: raw_messages(spark, sf_dir, e).withColumn("topic", F.lit(_OTHER[e].raw_topic))
+    raw = reduce(DataFrame.unionByName, map(named, _ROUTED))
+    strange = raw_messages(spark, sf_dir, "customers").join(F.broadcast(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("offset"))), "offset", "left_semi")
+    found = cur.classify(raw.unionByName(strange), CURATED_AT, _OTHER)
+    topics = F.create_map(*[F.lit(x) for s in _OTHER for x in (s.entity, s.curated_topic)])
+    entity = F.when(F.col("outcome") == cur.CURATED, F.col("entity"))
+    return found.groupBy(entity.alias("entity"), topics[entity].alias("curated_topic")).agg(F.count(F.lit(1)).alias("n"))

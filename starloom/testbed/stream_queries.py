@@ -23,7 +23,7 @@ from starloom.session import materialize, shared_dir
 from starloom.sources.raw import raw_files, to_envelopes
 from starloom.sources.tables import VersionedTable
 from starloom.streaming import jobs
-from starloom.testbed.frames import BASE_TS, curated_rows, plain, raw_messages, rows_sql, source_rows, stage_events, table
+from starloom.testbed.frames import BASE_TS, OFFSETS, curated_rows, plain, raw_messages, rows_sql, source_rows, stage_events, table
 from starloom.testbed.history_queries import SQL_SKETCH_OK, within_rank_error
 from starloom.testbed.registry import query
 
@@ -40,12 +40,20 @@ def _finish(q):
         raise q.exception()
 
 
-def _counts_sql(but=""):
-    return " UNION ALL ".join(f"SELECT '{e}' AS entity, COUNT(*) AS n FROM ({rows_sql(e)}) r{but if e == 'customers' else ''}" for e in CATALOG.entities)
+# A column of each entity that shows whether values reached their place.
+DETAILS = {"customers": "displayName", "product-categories": "name", "products": "displayName", "warehouses": "code", "customer-addresses": "countryIso2",
+           "orders": "totalUsd", "order-lines": "unitPriceUsd", "transactions": "amountUsd", "shipments": "trackingNumber", "product-inventory": "onHand"}
 
 
-@query("stream_curate_drain", _counts_sql(' WHERE "customerId" % 9 <> 0') + """
-UNION ALL SELECT 'parse-failed', COUNT(*) FROM customer WHERE c_custkey % 9 = 0 UNION ALL SELECT 'drain rows', 2""")
+def _curated_sql():
+    lower = lambda n: n[0].lower() + n[1:]
+    return " UNION ALL ".join(f"""SELECT '{e}' AS entity, CAST("{lower(OFFSETS[e])}" AS BIGINT) AS id, CAST("{DETAILS[e]}" AS VARCHAR) AS detail FROM ({rows_sql(e)}) r"""
+                              + (' WHERE "customerId" % 9 <> 0' if e == "customers" else "") for e in CATALOG.entities)
+
+
+@query("stream_curate_drain", _curated_sql() + """
+UNION ALL SELECT 'parse-failed', COUNT(*), NULL FROM customer WHERE c_custkey % 9 = 0 UNION ALL SELECT 'drain rows', 2, NULL
+UNION ALL SELECT 'counted', (SELECT COUNT(*) FROM lineitem), NULL""")
 def stream_curate_drain(spark, sf_dir):
     """Raw messages of all ten entities in several files, curated in two batches; broken customers are quarantined."""
     root = workdir(spark)
@@ -56,10 +64,14 @@ def stream_curate_drain(spark, sf_dir):
     store = jobs.CuratedStore(spark, f"{root}/curated")
     stream = raw_files(spark, f"{root}/raw", streaming=True, max_files=FILES // 2)
     _finish(jobs.start_curation(stream, store, f"{root}/checkpoint", jobs.drain(), "trace", datetime(2026, 7, 25, 12)))
-    counts = [store.entity(e).agg(F.lit(e).alias("entity"), F.count(F.lit(1)).alias("n")) for e in CATALOG.entities]
-    counts.append(store.errors.read().groupBy(F.col("error_code").alias("entity")).agg(F.count(F.lit(1)).alias("n")))
-    counts.append(store.stages.read().where("stage = 'drain'").agg(F.lit("drain rows").alias("entity"), F.count(F.lit(1)).alias("n")))
-    return reduce(DataFrame.unionByName, counts)
+    lower = lambda n: n[0].lower() + n[1:]
+    rows = [store.entity(e).select(F.lit(e).alias("entity"), F.col(lower(OFFSETS[e])).cast("bigint").alias("id"), F.col(DETAILS[e]).cast("string").alias("detail")) for e in CATALOG.entities]
+    told = lambda name, df, n: df.select(F.lit(name).alias("entity"), n.cast("bigint").alias("id"), F.lit(None).cast("string").alias("detail"))
+    rows.append(told("parse-failed", store.errors.read().where("error_code = 'parse-failed'").agg(F.count(F.lit(1)).alias("n")), F.col("n")))
+    drained = store.stages.read().where("stage = 'drain'")
+    rows.append(told("drain rows", drained.agg(F.count(F.lit(1)).alias("n")), F.col("n")))
+    rows.append(told("counted", drained.agg(F.sum(F.get_json_object("payload", "$['order-lines']").cast("bigint")).alias("n")), F.col("n")))
+    return reduce(DataFrame.unionByName, rows)
 
 
 @query("stream_replay", f"""
@@ -107,6 +119,20 @@ def stream_latest(spark, sf_dir):
     return store.read()
 
 
+@query("stream_latest_state", """
+SELECT user_id, event_id, event_type, value FROM events QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""")
+def stream_latest_state(spark, sf_dir):
+    """Latest event per user in the state store: every other event first, then, on the same checkpoint, the others."""
+    root = workdir(spark)
+    log = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value")
+    store = jobs.LatestStore(spark, f"{root}/latest", log.schema, ["user_id"], ["event_id"])
+    for part in (F.col("event_id") % 2 == 1, F.col("event_id") % 2 == 0):
+        log.where(part).repartition(FILES).write.mode("append").parquet(f"{root}/log")
+        stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", FILES).parquet(f"{root}/log")
+        _finish(jobs.start_latest_in_state(stream, store, f"{root}/checkpoint"))
+    return store.read()
+
+
 @query("stream_latency", SQL_SKETCH_OK)
 def stream_latency(spark, sf_dir):
     """Hourly sketch states appended per batch from telemetry lines, merged when read."""

@@ -215,6 +215,36 @@ def test_curation_stream_resume_replay_and_star_load(spark, root):
     assert json.loads(messages.orderBy("key").first().value)["totalUsd"] == "713.25"
 
 
+def test_curation_runs_on_stops_and_starts_again(spark, root):
+    """The continuous trigger: messages that come while the query runs, a stop, more messages, a start on the same checkpoint."""
+    store, bad = jobs.CuratedStore(spark, f"{root}/curated"), spark.createDataFrame([(CATALOG["orders"].raw_topic, None, "{x", 0, 9000, None)], RAW_SCHEMA)
+    raw_of(spark, "customers").coalesce(1).write.json(f"{root}/raw")
+    for rows in (raw_of(spark, "orders"), raw_of(spark, "customers", 1).unionByName(bad)):
+        query = jobs.start_curation(raw_files(spark, f"{root}/raw", True), store, f"{root}/cp", jobs.continuous(), "trace", BATCH)
+        query.processAllAvailable()
+        rows.coalesce(1).write.mode("append").json(f"{root}/raw")
+        query.processAllAvailable()
+        assert query.isActive
+        query.stop()
+        assert query.exception() is None
+    assert store.records.read().count() == len(ROWS["customers"]) * 2 + len(ROWS["orders"]) + 1 and store.errors.read().count() == 1
+    drained = [json.loads(r.payload) for r in store.stages.read().where("stage = 'drain'").orderBy("batch_id").collect()]
+    assert drained == [{"customers": 5}, {"orders": 3}, {"customers": 5}]
+    assert {(r.stage, r.payload) for r in store.stages.read().where("stage <> 'drain'").collect()} == {("customers", '{"entity":"customers","records":5}'), ("orders", '{"entity":"orders","records":3}')}
+
+
+def test_latest_in_state_keeps_the_newest_over_restarts(spark, root):
+    rows = spark.range(200).select((F.col("id") * 7 % 11).alias("k"), F.col("id").alias("offset"), (F.col("id") * 3).alias("v"))
+    store = jobs.LatestStore(spark, f"{root}/latest", rows.schema, ["k"], ["offset"])
+    for part in ("offset >= 100", "offset < 100"):                        # the second start brings older rows only
+        rows.where(part).repartition(2).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        drain(jobs.start_latest_in_state(stream, store, f"{root}/cp"))
+        assert sorted(map(tuple, store.read().collect())) == sorted(map(tuple, latest_per_key(rows.where("offset >= 100"), ["k"], ["offset"]).collect()))
+    last = store.deltas.read([store.deltas.batches()[-1]])
+    assert last.count() and last.where("offset < 100").count() == 0       # a late batch gives what the state already held
+
+
 def test_latest_stream_equals_batch_for_any_split(spark, root):
     rows = spark.range(200).select((F.col("id") * 7 % 11).alias("k"), F.col("id").alias("offset"), (F.col("id") * 3).alias("v"))
     rows.repartition(6).write.parquet(f"{root}/in")
