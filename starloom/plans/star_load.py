@@ -16,7 +16,7 @@ from starloom.operators import dims, facts
 from starloom.operators.latest import RECENT
 from starloom.operators.lineage import LOAD_JOB, LineageLog
 from starloom.operators.telemetry import error_rows, stage_rows
-from starloom.sources.tables import BatchTable, FolderTable, VersionedTable
+from starloom.sources.tables import FolderTable, TelemetryTable, VersionedTable
 
 PARTITION_COLUMNS = {"fact_order": "order_date_key", "fact_order_line": "order_date_key", "fact_transaction": "txn_date_key"}
 
@@ -46,12 +46,12 @@ class LoadReport:
 
 
 class LoadLog:
-    """Stage and error rows of loads as tables, one batch per load."""
+    """Stage and error rows of loads as tables by event day, one batch per load."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
-        self.stages = BatchTable(spark, f"{path}/pipeline_events", stage_rows(spark, []).schema, (), ("pipeline", "stage", "event_time"))
-        self.errors = BatchTable(spark, f"{path}/error_events", error_rows(spark, []).schema, (), ("service", "error_code", "event_time"))
+        self.stages = TelemetryTable(spark, f"{path}/pipeline_events", stage_rows(spark, []).schema, (), ("pipeline", "stage", "event_time"))
+        self.errors = TelemetryTable(spark, f"{path}/error_events", error_rows(spark, []).schema, (), ("service", "error_code", "event_time"))
 
     def keep(self, report: LoadReport) -> None:
         name = uuid.uuid4().hex

@@ -201,7 +201,16 @@ def run_of(batch: str) -> str:
     return batch.rpartition("-")[0]
 
 
-def append_telemetry(rows: DataFrame, path: str, sort_by: list[str], batch: str) -> None:
-    """Add a batch to a telemetry table partitioned by event day, sorted inside each file; a retry replaces the batch."""
-    dated = rows.withColumn("event_date", F.to_date("event_time"))
-    BatchTable(rows.sparkSession, path, dated.schema, ("event_date",), (*sort_by, "event_time")).append(dated, batch)
+@dataclass(frozen=True)
+class TelemetryTable(BatchTable):
+    """Batches of telemetry rows, each with a folder per event day (event_date, by event_time) and sorted inside its files."""
+
+    def _dated(self) -> BatchTable:
+        dated = T.StructType([*self.schema.fields, T.StructField("event_date", T.DateType())])
+        return BatchTable(self.spark, self.path, dated, ("event_date",), (*[c for c in self.sort_by if c != "event_time"], "event_time"))
+
+    def append(self, df: DataFrame, batch: str) -> None:
+        self._dated().append(df.select(*self.schema.names, F.to_date("event_time").alias("event_date")), batch)
+
+    def read(self, batches: list[str] | None = None) -> DataFrame:
+        return self._dated().read(batches)

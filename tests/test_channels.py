@@ -16,7 +16,7 @@ from starloom.plans.star_load import LoadLog, StarStore
 from starloom.session import shared_dir
 from starloom.sources.raw import curated_messages, raw_files, to_envelopes
 from starloom.sources.star import JdbcStar, ParquetStar
-from starloom.sources.tables import BatchTable, VersionedTable, append_telemetry
+from starloom.sources.tables import BatchTable, TelemetryTable, VersionedTable
 from starloom.streaming import jobs
 from seed import BATCH, ROWS, TOTAL, seed_snapshot
 
@@ -63,11 +63,13 @@ def test_latency_states_do_not_depend_on_batches(spark):
 def test_recent_errors_and_append(spark, root):
     rows = telemetry.error_rows(spark, [(dt.datetime(2026, 1, d), str(d), "s", "c", "m", "") for d in range(1, 15)])
     assert [r.trace_id for r in telemetry.recent_errors(rows).collect()] == [str(d) for d in range(14, 4, -1)]
+    table = TelemetryTable(spark, root, rows.schema, (), ("service", "error_code", "event_time"))
     for _ in range(2):                                      # a retried batch replaces itself
-        append_telemetry(rows, root, ["service", "error_code"], "first")
-    append_telemetry(rows.limit(1), root, ["service", "error_code"], "second")
-    stored = spark.read.parquet(root)
-    assert stored.count() == 15 and stored.where("event_date = date'2026-01-03'").count() == 1
+        table.append(rows, "first")
+    table.append(rows.limit(1), "second")
+    for stored in (spark.read.parquet(root), table.read()):
+        assert stored.count() == 15 and stored.where("event_date = date'2026-01-03'").count() == 1
+    assert all("event_date=2026-01-0" in f for f in table.read().where("event_date < date'2026-01-10'").inputFiles()[:1])
     assert telemetry.landed_traces(rows, ["1", "2", "x"]).first().found == 2
 
 
@@ -197,6 +199,7 @@ def test_curation_stream_resume_replay_and_star_load(spark, root):
     raw_of(spark, "customers", 1).unionByName(bad).coalesce(1).write.mode("append").json(f"{root}/raw")
     start("cp", store)                                      # resumes: only the new file is read
     more = TOTAL + 6                                        # five customers again and the bad row
+    assert {r.event_date for r in store.lags.read().collect()} == {BATCH.date()}
     assert store.records.read().count() == more and [r.error_code for r in store.errors.read().collect()] == ["parse-failed"]
     raw_of(spark, "orders", 2).coalesce(1).write.mode("append").json(f"{root}/raw")
     start("cp2", store)                                     # a fresh checkpoint replays everything, the new file included
