@@ -21,7 +21,7 @@ Defined cases: n_links is the number of other documents a document is linked wit
 texts has the sum of theirs. A null, empty or wordless text has an empty set and is linked with nothing; a text with fewer words than a
 shingle is one shingle. Rows repeated under one doc_id are one node: links of any of them count for it. A row with a null
 doc_id takes the component of documents with an equal set, if any, and is linked with nothing else. Ties are decided by
-doc_id. Hash collisions within a pair of texts are the only error possible (below 1e-7 for texts of a million words).
+doc_id. Repeated rows cost a row each in the first two passes over the texts and nothing in the joins. Hash collisions within a pair of texts are the only error possible (below 1e-7 for texts of a million words).
 """
 
 from __future__ import annotations
@@ -149,17 +149,22 @@ def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, like: Likeness,
     wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
     wanted = materialize(wanted, f"{label}-wanted")
     wanted = F.broadcast(wanted) if fits_broadcast(wanted) else wanted      # beyond the checked size a shuffled join
-    schema = T.StructType([*docs.select("doc_id").schema.fields, *T.StructType.fromDDL("n long, members binary").fields])
+    schema = T.StructType([*docs.select("doc_id").schema.fields, *T.StructType.fromDDL("n long, set_key binary, members binary").fields])
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
-            sets = list(_sets(batch, words, like.size))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                                             names=["doc_id", "n", "members"])
-
+            rows = {}
+            for k, (doc, found) in enumerate(zip(batch.column(0).to_pylist(), _sets(batch, words, like.size))):
+                if len(found):
+                    rows.setdefault((doc, xxhash.xxh3_128_digest(found.tobytes())), (k, found))
+            at, keys, sets = [k for k, _ in rows.values()], [key for _, key in rows], [s for _, s in rows.values()]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()),
+                                              pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "n", "set_key", "members"])
+
+    # Repeated rows give one set: a pair is verified once however often its documents are repeated
     sets = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(members, schema)
-    sets = materialize(sets.where("n > 0"), f"{label}-sets")
+    sets = materialize(sets.dropDuplicates(["doc_id", "set_key"]).select("doc_id", "n", "members"), f"{label}-sets")
     side = lambda name: sets.select(F.col("doc_id").alias(name), F.col("n").alias(f"{name}_n"), F.col("members").alias(f"{name}_set"))
     both = pairs.join(side("a"), ["a", "a_n"]).join(side("b"), ["b", "b_n"])
     common = both.select("a", "b", (F.col("a_n") + F.col("b_n")).alias("sum"), _overlap("a_set", "b_set").alias("common"))
@@ -171,11 +176,13 @@ def _placed(docs: DataFrame, like: Likeness) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select("doc_id", "text")
-    signed = materialize(signatures(docs, like), "signatures")
-    classes = (signed.where("set_key is not null").groupBy("set_key", "n_shingles").agg(F.min("doc_id").alias("node")).where("node is not null"))
-    members = materialize(signed.select("doc_id", "n_shingles", "set_key", "prefix", "indexed", "ranges")
+    signed = materialize(signatures(docs, like).withColumn("row", F.monotonically_increasing_id()), "signatures")
+    # The first row of a class's smallest doc_id stands for the class, so repeated rows add nothing to the joins
+    classes = (signed.where("set_key is not null and doc_id is not null").groupBy("set_key", "n_shingles").agg(F.min(F.struct("doc_id", "row")).alias("lead"))
+               .select("set_key", "n_shingles", F.col("lead.doc_id").alias("node"), F.col("lead.row").alias("lead")))
+    members = materialize(signed.select("doc_id", "n_shingles", "set_key", "row", "prefix", "indexed", "ranges")
                           .join(classes, ["set_key", "n_shingles"], "left"), "members")
-    nodes = members.where("doc_id = node").select("node", "n_shingles", "prefix", "indexed", "ranges")
+    nodes = members.where("row = lead").select("node", "n_shingles", "prefix", "indexed", "ranges")
     sizes = nodes.select("node", "n_shingles", "ranges")
 
     rows = nodes.select("node", F.col("n_shingles").cast("int").alias("n"), "indexed", F.posexplode("prefix").alias("pos", "hash"))
@@ -306,10 +313,45 @@ def near_links(docs: DataFrame, like: Likeness, block: int = BLOCK) -> DataFrame
     return found.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
 
 
+def set_key_column(like: Likeness, column: str = "text") -> Column:
+    """The 128-bit key of a text's set; null for an empty set."""
+    @F.pandas_udf(T.BinaryType())
+    def key(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        words = WordHashes()
+        for texts in batches:
+            sets = [shingle_hashes(words.of(plain_words(t.encode() if t else None)), like.size) for t in texts]
+            yield pd.Series([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], dtype=object)
+
+    return key(F.col(column))
+
+
+def one_of_each(docs: DataFrame, like: Likeness) -> DataFrame:
+    """Exactly one row of docs (doc_id, text, ..) for each component, with all its columns as they came.
+
+    That is the row of the smallest doc_id. Rows repeated under one doc_id are one document: the one with the smallest text
+    stays (any of those with equal texts; a null text only where there is no other). A row with a null doc_id goes if a document
+    with an id has an equal set; of the others with equal sets one stays, and all whose set is empty.
+    """
+    columns = docs.columns
+    placed = materialize(_placed(docs, like).select("doc_id", "set_key", "component_id"), "placed")
+    per_id = materialize(placed.where("doc_id is not null").groupBy("doc_id")
+                         .agg(F.count(F.lit(1)).alias("rows"), F.min("component_id").alias("component_id")), "per-id")
+    lost = materialize(per_id.where("rows > 1 or doc_id <> component_id").select("doc_id"), "lost")
+    repeated = materialize(per_id.where("rows > 1 and doc_id = component_id").select("doc_id"), "repeated")
+    single = docs.where("doc_id is not null").join(lost, "doc_id", "left_anti").select(*columns)
+    first = (docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id")
+             .agg(F.min_by(F.struct(*columns), F.struct(F.col("text").isNull(), "text")).alias("kept")).select("kept.*"))
+    # Sets of rows without an id that no document with an id has; one row of each stays
+    nameless = materialize(docs.where("doc_id is null").select(F.struct(*columns).alias("kept"), set_key_column(like).alias("set_key")), "nameless")
+    named = placed.where("doc_id is not null and set_key is not null").select("set_key")
+    alone = nameless.where("set_key is not null").join(named, "set_key", "left_anti").groupBy("set_key").agg(F.first("kept").alias("kept"))
+    rest = alone.select("kept.*").unionByName(nameless.where("set_key is null").select("kept.*"))
+    return single.unionByName(first).unionByName(rest)
+
+
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of near copies (five words, 0.8) the document with the smallest doc_id, columns as they came."""
-    found = near_components(docs, Likeness(5, 80)).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """Pipeline stage: one row of each group of near copies (five words, 0.8), as one_of_each says."""
+    return one_of_each(docs, Likeness(5, 80))
 
 
 SQL = r"""

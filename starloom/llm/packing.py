@@ -1,13 +1,13 @@
 """Sum-of-squares packing of tokenised documents into sequences of fixed capacity.
 
 Tokenising: texts become ids of a public tokenizer followed by one end id; a document longer than the capacity is cut into
-full pieces and a rest. Pieces are dealt by hash into groups of about GROUP_PIECES, each packed by itself in one task of
+full pieces and a rest. Pieces are dealt by a hash of their row number into groups of about GROUP_PIECES, each packed by itself in one task of
 bounded size, so the work spreads however large the corpus; a group wastes about one sequence in a few thousand.
 Within a group pieces go in descending length, each to the place (a gap of the open bins, or a new bin) after which the sum
 over gaps g of (number of open bins with gap g) squared is smallest; equal places go to the smallest gap.
 
-Defined cases: a null or empty text is the end id alone (one piece of length 1). Repeated rows are packed each time. An
-empty table gives no pieces. Full pieces fill a sequence alone.
+Defined cases: a null or empty text is the end id alone (one piece of length 1). Rows with repeated or null ids are packed each time
+and spread over the groups like any others. An empty table gives no pieces. Full pieces fill a sequence alone.
 """
 
 from __future__ import annotations
@@ -154,7 +154,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
         where, offset = sum_of_squares(batch["length"].to_numpy(), capacity)
         return batch.assign(sequence_id=(int(key[0]) << 32) + where, offset=offset)
 
-    grouped = pieces.select(*columns, F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)).alias("_group"))
+    grouped = pieces.select(*columns, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).alias("_group"))
     return grouped.groupBy("_group").applyInPandas(one, schema)
 
 

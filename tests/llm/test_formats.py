@@ -8,6 +8,8 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from starloom.llm import packing, pieces, quotations, warc
 from starloom.session import shared_dir
 from tests.llm.conftest import DOCUMENTS, documents, prose
@@ -127,6 +129,12 @@ def test_packing_query(spark, sf, odd_texts):
     assert packing.op6_packing(spark, sf(documents=documents([]))).collect() == []
 
 
+def test_null_and_repeated_ids_spread_over_the_groups(spark):
+    pieces = packing.materialize(spark.range(12_000).selectExpr("if(id < 8000, null, 7L) AS doc_id", "0 AS piece", "1 + id % 900 AS length"), "pieces")
+    groups = packing.pack(pieces, group_pieces=1000).groupBy((F.col("sequence_id") / 2**32).cast("int").alias("g")).count().collect()
+    assert len(groups) == 12 and sum(r["count"] for r in groups) == 12_000 and max(r["count"] for r in groups) < 1200
+
+
 def test_sum_of_squares_rule():
     draw = np.random.default_rng(3)
     for capacity in (5, 12):

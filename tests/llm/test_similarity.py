@@ -107,6 +107,32 @@ def test_near_copy_stage_keeps_one_of_each(spark, sf):
     assert out.columns == docs.columns and {r.doc_id for r in out.collect()} == set(want.values())
 
 
+def test_repeated_rows_of_near_copies_cost_one_verification(spark, sf, monkeypatch):
+    base = prose(5, 120).split()
+    near = " ".join([*base[:60], "changed", *base[61:]])
+    rows = [(1, " ".join(base))] * 1000 + [(2, near)] * 1000 + [(3, prose(6, 50))]
+    stored, plain = {}, ngram_join.materialize
+    monkeypatch.setattr(ngram_join, "materialize", lambda df, label: stored.setdefault(label, plain(df, label)))
+    docs = spark.read.parquet(sf(documents=documents(rows)) + "/documents.parquet")
+    got = ngram_join.near_components(docs, ngram_join.Likeness(5, 80)).collect()
+    assert Counter((r.doc_id, r.component_id) for r in got) == {(1, 1): 1000, (2, 1): 1000, (3, 3): 1}
+    assert stored["central-pairs"].count() == 1 and stored["central-sets"].count() == 2 and stored["rest-pairs"].count() == 0
+
+
+def test_near_copy_stage_on_repeated_and_null_ids(spark, sf):
+    one, two = prose(1, 80), prose(2, 80)
+    rows = ([(1, one), (1, one), (1, one), (2, one), (None, one), (None, one)]               # one text, six rows
+            + [(None, two), (None, two), (None, two.upper()), (None, "  "), (None, None), (None, None)]
+            + [(5, ""), (5, ""), (6, None), (7, prose(3, 60)), (7, prose(4, 60)), (8, prose(3, 60))])
+    docs = spark.read.parquet(sf(documents=documents(rows)) + "/documents.parquet")
+    out = ngram_join.near_copy_stage(spark, docs, None)
+    got = out.collect()
+    assert out.columns == docs.columns
+    assert Counter((r.doc_id, (r.text or "").lower()) for r in got) == {
+        (1, one): 1, (None, two): 1, (None, "  "): 1, (None, ""): 2, (5, ""): 1, (6, ""): 1, (7, min(prose(3, 60), prose(4, 60))): 1}
+    assert ngram_join.near_copy_stage(spark, docs.limit(0), None).collect() == []
+
+
 def sketch(text):
     words = text.encode().split()
     words = [w.decode() for w in words]
