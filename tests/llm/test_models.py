@@ -96,6 +96,34 @@ def test_language_odd_input(spark, sf, odd_texts):
     assert langid.op9_language_id(spark, sf(documents=(DOCUMENTS, []))).collect() == []
 
 
+def test_language_letters_and_brute_force(spark, sf):
+    """Numbers are no letters, marks belong to them; predictions equal those of plain zstandard over the same dictionaries."""
+    rows = [(i, language_text(lang, i, 5 + i % 40), lang, "s", 1) for i in range(200) for lang in [list(SYLLABLES)[i % 3]]]
+    rows += [(1000 + k, t, "aa", "s", 1) for k, t in enumerate(["½ ²", "①", "Ⅷ", "٣ 12", "\u0301", "", "हिन्दी", "q"])]
+    path = sf(documents=(DOCUMENTS, rows))
+    got = {r.doc_id: r for r in langid.op9_language_id(spark, path).collect()}
+    assert {k for k in range(8) if got[1000 + k].lang_pred == "und"} == {0, 1, 2, 4, 5} | ({3} if not any(c.isalpha() for c in "٣ 12") else set())
+    assert langid.normalised("हिन्दी 12 भाषा") == "हिन्दी भाषा" and langid.normalised("Été-2½") == "été"
+    learned = langid.learn(spark.read.parquet(path + "/documents.parquet"))
+    made = learned.compressors()
+    for i, text, *_ in rows[:200]:
+        letters = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+        sizes = [len(c.compress(b"\0" * 64 + f" {' '.join(letters)} ".encode())) for c in made.values()]
+        best = min(range(len(sizes)), key=lambda k: (sizes[k], k))
+        assert got[i].lang_pred == list(made)[best]
+        two, n = sorted(sizes)[:2], sum(map(len, letters))
+        assert got[i].accepted == (two[1] > two[0] and got[i].score >= 0.02 * n / (n + 100))
+
+
+def test_every_sampled_document_is_in_its_dictionary():
+    pieces = [bytes([97 + k % 26]) * (5 if k % 3 else 400) for k in range(300)]
+    content = langid.dealt(pieces, 30_000)
+    parts = content.split()
+    assert len(parts) == 300 and 29_000 < len(content) <= 30_000 and sorted({len(p) for p in parts})[0] == 5
+    assert langid.dealt([], 10) == b"" and langid.dealt([b"abc"], 100) == b"abc "
+    assert {langid.piece(i, "x" * 10 + "word " * 500, 50) for i in range(40)} != {langid.piece(0, "x" * 10 + "word " * 500, 50)}
+
+
 def test_language_stage_rejects_only_what_cannot_be_told(spark, sf):
     rows = [(i, language_text(lang, i), lang, "s", 1) for i in range(120) for lang in [list(SYLLABLES)[i % 3]]] + [(900, "12345 !!!", "aa", "s", 1), (901, None, "aa", "s", 1)]
     df = spark.read.parquet(sf(documents=(DOCUMENTS, rows)) + "/documents.parquet")
