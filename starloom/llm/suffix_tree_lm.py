@@ -5,7 +5,7 @@ it occurs CONTEXT_COUNT times in the training texts, and is retained when its ne
 its longest retained suffix: the log-likelihood it gains over all its occurrences must exceed PENALTY nats for each
 distinct next symbol. Its stored next symbols are those seen EDGE_COUNT times in it. Both counts are absolute, so the tree
 grows with the corpus; it is a set of Spark tables keyed by the hash of a gram (a context and its next word) and is never
-held by the driver or broadcast.
+held by the driver or broadcast as a whole.
 
 Smoothing is absolute discounting: P(w|s) = max(c(s,w) - DISCOUNT, 0) / c(s) + free(s) * P(w|suffix of s), where free(s) is the
 mass that stored symbols leave; at the root P(w) = (c(w) + 1) / (N + V + 1). A token is scored in the longest retained
@@ -13,8 +13,11 @@ suffix of its context. The logarithm of that is a sum over the grams that end at
 log free(s) for every retained s before it, and for every stored edge its own logarithm less what its suffix would have given.
 So a document's score is the sum of one weight per gram in it, and scoring is one join by gram.
 
-learn() and score() hold the tree in memory instead: a bounded form (shares of all tokens as cut-offs) for models that are to
-be looked into; with min_share 0 on a small corpus it scores as the tables do.
+The tree grows one size at a time. A gram is counted only after a context that may be a node, which a bitmap of hash places
+tells; the bitmap has at most 2**FILTER_BITS places, and what it lets pass in vain the exact join by context drops, so its size never changes a
+result. Counts leave a task as packed columns per hash range, and a range holds about RANGE_TOKENS tokens at any corpus size;
+the range comes from the whole gram, so a frequent context is spread over all of them. Scoring looks up the HOT_ENTRIES most
+frequent weights in a broadcast table of that fixed size, drops grams the bitmap of weights does not know, and joins the rest.
 
 Words and grams are identified by 64-bit hashes. Defined cases: a null, empty or wordless text is the end mark alone. Without any
 training document every token has c = 0, N = V = 0. Repeated rows are counted and scored each time; a null id is no
@@ -23,15 +26,16 @@ held-out id. Contexts never reach over the beginning of a document.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from itertools import chain
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,53 +43,17 @@ from starloom.llm.common import WordHashes, mix, plain_words, remainder, small_b
 from starloom.llm.registry import query
 from starloom.session import materialize
 
-DEPTH = 2
+DEPTH = 4
 CONTEXT_COUNT = 4                 # occurrences of a context that may become a node
 EDGE_COUNT = 2                    # occurrences of a next symbol that is stored
-MIN_SHARE = 5e-7                  # of the bounded form
 PENALTY = 4.0
 DISCOUNT = 0.5
 END = b"\n"                       # no word contains white space, so its hash stands for the end mark
-_CACHE_ROWS = 400_000             # words whose rank a worker keeps at hand
+FILTER_BITS = 27                  # a bitmap has at most 2**27 places, 16 MB
+RANGE_TOKENS = 1 << 17            # tokens whose grams share a hash range, about
+HOT_ENTRIES = 1 << 20             # weights of the most frequent grams, broadcast
 _CHUNK_TOKENS = 2_000_000         # tokens whose grams a worker reduces at once
-_SHIFT = 31                       # a context packs the ranks of its words, each below 2**31, rank + 1 per place
-
-
-@dataclass
-class Tree:
-    """What scoring needs, all of it bounded by MIN_SHARE."""
-
-    tokens: int
-    words: int
-    least: float                                          # words counted at least so often are stored
-    hashes: np.ndarray                                    # of the stored words, ascending: a word's rank is its place here
-    counts: np.ndarray
-    contexts: list[np.ndarray] = field(default_factory=list)    # per depth: retained contexts, ascending
-    free: list[np.ndarray] = field(default_factory=list)        # per depth: mass left to the suffix, by place of the context
-    edges: list[np.ndarray] = field(default_factory=list)       # per depth: place of context * words + rank of symbol, ascending
-    share: list[np.ndarray] = field(default_factory=list)       # per depth: discounted probability of the edge
-
-    def first_places(self) -> np.ndarray:
-        if "_first" not in self.__dict__:
-            self._first = _dense(self.contexts[0], len(self.hashes))
-        return self._first
-
-    def root(self, counts: np.ndarray) -> np.ndarray:
-        return (counts + 1) / (self.tokens + self.words + 1)
-
-
-class Ranks(dict):
-    """Rank of each word among the stored ones, -1 for others."""
-
-    def __init__(self, hashes: np.ndarray):
-        super().__init__()
-        self.rank = {h: k for k, h in enumerate(hashes.tolist())}
-
-    def __missing__(self, word: bytes) -> int:
-        value = self.rank.get(xxhash.xxh3_64_intdigest(word), -1)
-        if len(self) < _CACHE_ROWS:
-            self[word] = value
-        return value
+_PLACES = 32_768                  # of one bitmap that bitmap_construct_agg builds
 
 
 def _documents(batch: pa.RecordBatch, column: int) -> Iterator[list[bytes]]:
@@ -95,368 +63,256 @@ def _documents(batch: pa.RecordBatch, column: int) -> Iterator[list[bytes]]:
         yield words
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """hash, n of every token of docs (text), the end mark included."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, parts, size = WordHashes(), [], 0
-        for batch in batches:
-            parts += [words.of(d) for d in _documents(batch, 0)]
-            size += sum(map(len, parts[-batch.num_rows:]))
-            if size > 4_000_000:
-                yield from _counted(np.concatenate(parts), ["hash"])
-                parts, size = [], 0
+def _hashed(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Per batch: itself, the word hashes of all its tokens, and the number of tokens of each document."""
+    words = WordHashes()
+    for batch in batches:
+        parts = [words.of(d) for d in _documents(batch, column)]
         if parts:
-            yield from _counted(np.concatenate(parts), ["hash"])
+            yield batch, np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
 
-    return docs.select("text").mapInArrow(count, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
 
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Word hashes and document lengths of about _CHUNK_TOKENS tokens each, from batches of (text)."""
+    flats, sizes, held = [], [], 0
+    for _, flat, lengths in _hashed(batches, 0):
+        flats.append(flat)
+        sizes.append(lengths)
+        held += len(flat)
+        if held > _CHUNK_TOKENS:
+            yield np.concatenate(flats), np.concatenate(sizes)
+            flats, sizes, held = [], [], 0
+    if flats:
+        yield np.concatenate(flats), np.concatenate(sizes)
 
-def _counted(values: np.ndarray, names: list[str]) -> Iterator[pa.RecordBatch]:
-    found, n = np.unique(values, return_counts=True)
-    for k in range(0, len(found), 1 << 16):
-        yield pa.RecordBatch.from_arrays([pa.array(found[k:k + (1 << 16)].view(np.int64)), pa.array(n[k:k + (1 << 16)])], names=[*names, "n"])
 
+def _places(lengths: np.ndarray) -> np.ndarray:
+    return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
 
-def _ranked(docs: list[list[bytes]], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
-    """Ranks of all tokens of some documents in a row, and each token's place in its document."""
-    lengths = np.fromiter(map(len, docs), np.int64, len(docs))
-    flat = np.fromiter(map(ranks.__getitem__, chain.from_iterable(docs)), np.int64, int(lengths.sum()))
-    starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
-    return flat, np.arange(len(flat)) - starts
 
+def extended(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hash of the gram that is a context (its hash) and one more word."""
+    with np.errstate(over="ignore"):
+        return mix(mix(context + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xD6E8FEB86659FD93) + word)
 
-def context_keys(flat: np.ndarray, place: np.ndarray, depth: int) -> np.ndarray:
-    """The packed context of depth words before each token; -1 where there is none or a word of it is not stored."""
-    key = np.zeros(len(flat), np.int64)
-    for back in range(depth, 0, -1):
-        before = np.full(len(flat), -1, np.int64)
-        before[back:] = flat[:-back] if back else flat
-        key = np.where((key < 0) | (before < 0), -1, (key << _SHIFT) | (before + 1))
-    key[place < depth] = -1
-    return key
 
+def _next_size(grams: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """From the hash of the gram that ends at each token to that of the gram of one more word; of use only where it lies within the document."""
+    return extended(np.concatenate([np.zeros(1, np.uint64), grams[:-1]]), flat)
 
-def _find(sorted_: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Place of each value in an ascending array, -1 where it is not."""
-    if not len(sorted_):
-        return np.full(len(values), -1, np.int64)
-    at = np.minimum(np.searchsorted(sorted_, values), len(sorted_) - 1)
-    return np.where(sorted_[at] == values, at, -1)
 
+def _extended_series(context: pd.Series, word: pd.Series) -> pd.Series:
+    return pd.Series(extended(context.to_numpy(np.int64).view(np.uint64), word.to_numpy(np.int64).view(np.uint64)).view(np.int64))
+
+
+@dataclass
+class Places:
+    """Which of 2**bits places the grams of a set fall on: false for no gram of the set."""
+
+    bits: int
+    bitmap: np.ndarray
 
-def _dense(contexts: np.ndarray, words: int) -> np.ndarray:
-    """For contexts of one word: the place of each by its key, -1 where it is none."""
-    out = np.full(words + 1, -1, np.int64)
-    out[contexts] = np.arange(len(contexts))
-    return out
+    def may_hold(self, grams: np.ndarray) -> np.ndarray:
+        at = (grams >> np.uint64(64 - self.bits)).astype(np.int64)
+        return (self.bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def _find_context(contexts: np.ndarray, dense: np.ndarray | None, keys: np.ndarray) -> np.ndarray:
-    return _find(contexts, keys) if dense is None else dense[keys]
+def places_of(grams: DataFrame, count: int) -> Places:
+    """The places of count grams (gram), sixteen for each up to 2**FILTER_BITS in all."""
+    bits = min(FILTER_BITS, max(15, math.ceil(math.log2(16 * count + 1))))
+    at = grams.select(F.shiftrightunsigned("gram", 64 - bits).alias("at"))
+    found = at.groupBy(F.expr(f"at div {_PLACES}").alias("part")).agg(F.bitmap_construct_agg(F.col("at") % _PLACES).alias("bitmap")).toArrow()
+    bitmap = np.zeros(1 << (bits - 3), np.uint8).reshape(-1, _PLACES // 8)
+    for part, bytes_ in zip(found.column("part").to_pylist(), found.column("bitmap").to_pylist()):
+        bitmap[part] = np.frombuffer(bytes_, np.uint8)
+    return Places(bits, bitmap.reshape(-1))
 
 
-def transitions(docs: DataFrame, shared, depth: int, candidates) -> DataFrame:
-    """context, symbol (rank), n over docs (text), for the candidate contexts of this depth and stored symbols."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """gram, n of every token of docs (text), the end mark included."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = shared.value
-        ranks, allowed, parts, size = Ranks(tree.hashes), candidates.value, [], 0
-        dense = _dense(allowed, len(tree.hashes)) if depth == 1 else None
-
-        def flush():
-            keys, n = np.unique(np.concatenate(parts), return_counts=True)
-            for k in range(0, len(keys), 1 << 16):
-                some = keys[k:k + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(allowed[some >> _SHIFT]), pa.array((some & ((1 << _SHIFT) - 1)).astype(np.int32)), pa.array(n[k:k + (1 << 16)])],
-                                                 names=["context", "symbol", "n"])
-
-        for batch in batches:
-            flat, place = _ranked(list(_documents(batch, 0)), ranks)
-            context = context_keys(flat, place, depth)
-            keep = np.flatnonzero((context >= 0) & (flat >= 0))
-            at = _find_context(allowed, dense, context[keep])
-            hit = at >= 0
-            parts.append((at[hit] << _SHIFT) | flat[keep[hit]])             # place of the context and symbol in one number
-            size += len(parts[-1])
-            if size > 4_000_000:
-                yield from flush()
-                parts, size = [], 0
-        if parts:
-            yield from flush()
-
-    return (docs.select("text").mapInArrow(count, "context long, symbol int, n long").groupBy("context", "symbol").agg(F.sum("n").alias("n")))
-
-
-def _suffix_probability(tree: Tree, context: np.ndarray, symbol: np.ndarray, depth: int) -> np.ndarray:
-    """P(symbol | longest retained suffix shorter than depth) of stored symbols, for the divergence test."""
-    p = tree.root(tree.counts[symbol])
-    for d in range(1, depth):
-        key = context & ((1 << (_SHIFT * d)) - 1)
-        p = _step(tree, d, key, symbol, p)[0]
-    return p
-
-
-def _step(tree: Tree, depth: int, context: np.ndarray, symbol: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One level down: (probability, factor on the suffix's) of each symbol given its context of this depth, if retained."""
-    here = np.flatnonzero(context >= 0)
-    at = _find_context(tree.contexts[depth - 1], tree.first_places() if depth == 1 else None, context[here])
-    here, at = here[at >= 0], at[at >= 0]
-    free = np.ones(len(p))
-    free[here] = tree.free[depth - 1][at]
-    out = p * free
-    edge = _find(tree.edges[depth - 1], at * len(tree.hashes) + symbol[here])
-    hit = (edge >= 0) & (symbol[here] >= 0)
-    out[here[hit]] += tree.share[depth - 1][edge[hit]]
-    return out, free
-
-
-def learn(docs: DataFrame, depth: int = DEPTH, min_share: float = MIN_SHARE, penalty: float = PENALTY) -> tuple[Tree, DataFrame]:
-    """(the tree, the stored table of all word counts) from docs (text): one pass over the texts per depth and one more."""
-    if depth * _SHIFT > 62:
-        raise ValueError("a packed context has room for two words")
-    spark = docs.sparkSession
-    small_batches(spark)
-    counts = materialize(word_counts(docs), "words")
-    tokens, words = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    least = max(2.0, min_share * tokens / 4)
-    stored = _columns(counts.where(F.col("n") >= least), "hash", "n")
-    hashes = stored[0].view(np.uint64)
-    order = np.argsort(hashes)
-    tree = Tree(tokens, words, least, hashes[order], stored[1][order])
-    enough = max(4.0, min_share * tokens)
-    # How often a context is followed by anything is known: a word's count, then that of the transition it is made of
-    candidates = np.flatnonzero(tree.counts >= enough).astype(np.int64) + 1
-    totals = tree.counts[candidates - 1]
-    for d in range(1, depth + 1):
-        shared, asked = spark.sparkContext.broadcast(tree), spark.sparkContext.broadcast(candidates)
-        rows = transitions(docs, shared, d, asked).where(F.col("n") >= least)
-        rows = materialize(_beside_suffix(rows, shared, d, asked, spark.sparkContext.broadcast(totals)), f"depth-{d}")
-        gain = F.col("n") * F.log(F.col("n") / F.col("total") / F.col("before"))
-        nodes = rows.groupBy("context").agg(F.sum(gain).alias("gain"), F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("seen"),
-                                            F.sum("before").alias("before"), F.max("total").alias("total"))
-        rest = F.col("total") - F.col("seen")              # all other symbols together are one more outcome
-        rest_gain = F.when(rest > 0, rest * F.log(rest / F.col("total") / F.greatest(1 - F.col("before"), F.lit(1e-12)))).otherwise(0.0)
-        retained = nodes.where(F.col("gain") + rest_gain > penalty * F.col("kinds")).select("context")
-        _grow(tree, *_columns(rows.join(retained, "context"), "context", "symbol", "n", "total"))
-        if d < depth:
-            context, symbol, totals = _columns(rows.where(F.col("n") >= enough), "context", "symbol", "n")
-            candidates = (context << _SHIFT) | (symbol + 1)
-            order = np.argsort(candidates)
-            candidates, totals = candidates[order], totals[order]
-    return tree, counts
-
-
-def _columns(df: DataFrame, *names: str) -> tuple[np.ndarray, ...]:
-    """Columns of a table of bounded size as arrays on the driver."""
-    found = df.select(*(F.col(n).cast("long").alias(n) for n in names)).toArrow()
-    return tuple(found.column(n).to_numpy() for n in names)
-
-
-def _beside_suffix(rows: DataFrame, shared, depth: int, candidates, totals) -> DataFrame:
-    """rows (context, symbol, n) with total, the context's count, and before, P(symbol | longest retained suffix)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = shared.value
-        for batch in batches:
-            context, symbol = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(totals.value[_find(candidates.value, context)]),
-                                              pa.array(_suffix_probability(tree, context, symbol, depth))], names=["context", "symbol", "n", "total", "before"])
-
-    return rows.select("context", "symbol", "n").mapInArrow(run, "context long, symbol int, n long, total long, before double")
-
-
-def _grow(tree: Tree, context: np.ndarray, symbol: np.ndarray, n: np.ndarray, total: np.ndarray) -> None:
-    """Add one depth to the tree from the transitions of its retained contexts."""
-    order = np.lexsort((symbol, context))
-    context, symbol, n, total = context[order], symbol[order], n[order], total[order]
-    nodes = np.unique(context)
-    share, at = (n - DISCOUNT) / total, _find(nodes, context)
-    tree.contexts.append(nodes)
-    tree.free.append(1 - np.bincount(at, share, minlength=len(nodes)))
-    tree.edges.append(at * len(tree.hashes) + symbol)
-    tree.share.append(share)
-
-
-def score(docs: DataFrame, tree: Tree, counts: DataFrame) -> DataFrame:
-    """docs (doc_id, held_out, text) to doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    shared = spark.sparkContext.broadcast(tree)
-    schema = T.StructType([*docs.select("doc_id", "held_out").schema.fields, *T.StructType.fromDDL(
-        "row long, n_tokens long, stored long, base double, raised double, rare array<long>, times array<int>").fields])
+        for flat, _ in _chunks(batches):
+            found, n = np.unique(flat, return_counts=True)
+            for k in range(0, len(found), 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(found[k:k + (1 << 16)].view(np.int64)), pa.array(n[k:k + (1 << 16)])], names=["gram", "n"])
 
-    def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = shared.value
-        ranks, row = Ranks(tree.hashes), TaskContext.get().partitionId() << 40
-        root = np.append(tree.root(tree.counts), 1.0)             # rank -1: the last, added by the join
-        for batch in batches:
-            docs = list(_documents(batch, 2))
-            flat, place = _ranked(docs, ranks)
-            starts = np.cumsum([0, *map(len, docs)])[:-1]
-            base = root[flat]
-            p = base.copy()
-            for d in range(1, len(tree.contexts) + 1):
-                p = _step(tree, d, context_keys(flat, place, d), flat, p)[0]
-            base, raised = np.log10(base), np.log10(p)
-            rare, times = [], []
-            unknown, tokens = np.flatnonzero(flat < 0), list(chain.from_iterable(docs))
-            hashes = np.fromiter((xxhash.xxh3_64_intdigest(tokens[i]) for i in unknown.tolist()), np.uint64, len(unknown))
-            cuts = np.searchsorted(unknown, [*starts.tolist(), len(flat)])
-            for k in range(len(docs)):
-                found, n = np.unique(hashes[cuts[k]:cuts[k + 1]], return_counts=True)
-                rare.append(found.view(np.int64))
-                times.append(n.astype(np.int32))
-            lengths = np.fromiter(map(len, docs), np.int64, len(docs))
-            stored = np.add.reduceat((flat >= 0).astype(np.int64), starts)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(row + np.arange(len(docs))), pa.array(lengths), pa.array(stored), pa.array(np.add.reduceat(base, starts)),
-                 pa.array(np.add.reduceat(raised, starts)), pa.array(rare, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32()))], names=[f.name for f in schema.fields])
-            row += len(docs)
+    return docs.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
-    first = materialize(docs.select("doc_id", "held_out", "text").mapInArrow(one, schema), "scored")
-    rare = first.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("hash"), F.col("w.times").alias("times"))
-    scored = (rare.join(counts.where(F.col("n") < tree.least), "hash", "left").groupBy("row").agg(
-        F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(tree.tokens + tree.words + 1)))).alias("rest"),
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known")))
-    return first.join(scored, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("stored") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"), F.lit(tree.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rest", F.lit(0.0))).alias("base_score"), (F.col("raised") + F.coalesce("rest", F.lit(0.0))).alias("score"))
+
+def gram_counts(docs: DataFrame, size: int, contexts: Places, tokens: int) -> DataFrame:
+    """gram, context, word, n of the grams of size words that occur EDGE_COUNT times after one of the contexts."""
+    asked = docs.sparkSession.sparkContext.broadcast(contexts)
+    range_bits = max(1, math.ceil(math.log2(tokens / RANGE_TOKENS + 1)))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for flat, lengths in _chunks(batches):
+            place, below = _places(lengths), flat
+            for _ in range(size - 2):
+                below = _next_size(below, flat)
+            at = np.flatnonzero(place >= size - 1)
+            at = at[asked.value.may_hold(below[at - 1])]
+            grams, first, n = np.unique(extended(below[at - 1], flat[at]), return_index=True, return_counts=True)
+            at, part = at[first], (grams >> np.uint64(64 - range_bits)).astype(np.int64)
+            context, word = below[at - 1], flat[at]
+            order = np.lexsort((context, part))
+            context, word, n = context[order], word[order], n[order].astype(np.uint32)
+            parts, starts = np.unique(part, return_index=True)             # ascending, so sorting by (part, context) moves nothing between parts
+            ends = np.append(starts[1:], len(part))
+            for k in range(0, len(parts), 64):
+                cut = list(zip(starts[k:k + 64].tolist(), ends[k:k + 64].tolist()))
+                yield pa.RecordBatch.from_arrays([pa.array(parts[k:k + 64]), *(pa.array([column[a:b].tobytes() for a, b in cut], pa.binary()) for column in (context, word, n))],
+                                                 names=["part", "context", "word", "n"])
+
+    def total(packed: pa.Table) -> pa.Table:
+        context, word, n = (np.concatenate([np.frombuffer(b, kind) for b in packed.column(name).to_pylist()]) for name, kind in (("context", np.uint64), ("word", np.uint64), ("n", np.uint32)))
+        grams, first, inverse = np.unique(extended(context, word), return_index=True, return_inverse=True)
+        seen = np.bincount(inverse, n, len(grams)).astype(np.int64)
+        keep = np.flatnonzero(seen >= EDGE_COUNT)
+        return pa.table({"gram": grams[keep].view(np.int64), "context": context[first[keep]].view(np.int64), "word": word[first[keep]].view(np.int64), "n": seen[keep]})
+
+    packed = docs.select("text").mapInArrow(count, "part long, context binary, word binary, n binary")
+    return packed.groupBy("part").applyInArrow(total, "gram long, context long, word long, n long")
 
 
 @dataclass
 class Model:
-    """The tree as tables: weights (gram, n of a word, weight) and what the root needs."""
+    """The tree as a table: weights (gram, seen, n, weight) and what the root needs.
+
+    A gram has up to three rows: n, its count, as a word; its weight as an edge; its weight as a node. seen is its count in each.
+    """
 
     tokens: int
     words: int
     weights: DataFrame
 
 
-def _grams(flat: np.ndarray, place: np.ndarray, depth: int) -> np.ndarray:
-    """Hash of the gram of depth words that ends at each token; of use where place >= depth - 1 only."""
-    if depth == 1:
-        return flat
-    h = np.full(len(flat), depth, np.uint64)
-    with np.errstate(over="ignore"):
-        for back in range(depth - 1, -1, -1):
-            h = mix(h * np.uint64(0x9E3779B97F4A7C15) + np.concatenate([np.zeros(min(back, len(flat)), np.uint64), flat[:max(0, len(flat) - back)]]))
-    return h
-
-
-def _hashed(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Per batch: itself, the word hashes of all its tokens, and the number of tokens of each document."""
-    words = WordHashes()
-    for batch in batches:
-        parts = [words.of(d) for d in _documents(batch, column)]
-        if parts:
-            yield batch, np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
-
-
-def _places(lengths: np.ndarray) -> np.ndarray:
-    return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+def _release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished levels: it does so once the driver's references are collected."""
+    spark._jvm.System.gc()
 
 
-def gram_counts(docs: DataFrame, depth: int) -> DataFrame:
-    """size, gram, context (the gram without its last word), suffix (without its first), n of all grams of docs (text)."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flats, sizes, held = [], [], 0
-
-        def flush():
-            flat, place = np.concatenate(flats), _places(np.concatenate(sizes))
-            below = np.zeros(len(flat), np.uint64)
-            for d in range(1, depth + 2):
-                own = _grams(flat, place, d)
-                at = np.flatnonzero(place >= d - 1)
-                grams, first, n = np.unique(own[at], return_index=True, return_counts=True)
-                end = at[first]
-                for k in range(0, len(grams), 1 << 16):
-                    cut = slice(k, k + (1 << 16))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(grams[cut]), d, np.int32)), pa.array(grams[cut].view(np.int64)), pa.array(below[end[cut] - 1].view(np.int64)),
-                         pa.array(below[end[cut]].view(np.int64)), pa.array(n[cut])], names=["size", "gram", "context", "suffix", "n"])
-                below = own
-
-        for _, flat, lengths in _hashed(batches, 0):
-            flats.append(flat)
-            sizes.append(lengths)
-            held += len(flat)
-            if held > _CHUNK_TOKENS:
-                yield from flush()
-                flats, sizes, held = [], [], 0
-        if flats:
-            yield from flush()
-
-    found = docs.select("text").mapInArrow(count, "size int, gram long, context long, suffix long, n long")
-    return found.groupBy("size", "gram").agg(F.min("context").alias("context"), F.min("suffix").alias("suffix"), F.sum("n").alias("n"))
-
-
-def learn_tables(docs: DataFrame, depth: int = DEPTH, penalty: float = PENALTY) -> Model:
-    """The tree of docs (text), of any size: one pass over the texts, then joins of the grams that occur EDGE_COUNT times."""
-    small_batches(docs.sparkSession)
-    grams = materialize(gram_counts(docs, depth).where((F.col("size") == 1) | (F.col("n") >= EDGE_COUNT)), "grams")
-    words = grams.where("size = 1")
+def learn(docs: DataFrame, depth: int = DEPTH, penalty: float = PENALTY) -> Model:
+    """The tree of docs (text), of any size: one pass over the texts per size of gram, each joined with the size below."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    words = materialize(word_counts(docs), "words")
     tokens, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    # p: probability of a gram's last word in the longest retained suffix of the words before it
-    lower = words.select("gram", "n", ((F.col("n") + 1) / F.lit(float(tokens + kinds + 1))).alias("p"))
-    weights = [words.select("gram", "n", F.lit(0.0).alias("weight"))]
-    for d in range(1, depth + 1):
-        rows = (grams.where(F.col("size") == d + 1).select("gram", "context", "suffix", "n")
-                .join(lower.select(F.col("gram").alias("context"), F.col("n").alias("total")), "context")
-                .join(lower.select(F.col("gram").alias("suffix"), F.col("p").alias("before")), "suffix"))
-        rows = materialize(rows.select("gram", "context", "n", "total", "before"), f"depth-{d}")
+    # p: probability of a gram's last word in the longest retained suffix of the words before it; suffix: the gram without its first word
+    lower = words.where(F.col("n") >= EDGE_COUNT).select("gram", F.lit(0).cast("long").alias("suffix"), "n", ((F.col("n") + 1) / F.lit(float(tokens + kinds + 1))).alias("p"))
+    none, longer = F.lit(0).cast("long").alias("n"), F.pandas_udf(_extended_series, T.LongType())
+    weights = [words.select("gram", F.col("n").alias("seen"), "n", F.lit(0.0).alias("weight"))]
+    for size in range(2, depth + 2):
+        candidates = lower.where(F.col("n") >= CONTEXT_COUNT)
+        found = candidates.count()
+        if not found:
+            break
+        counts = gram_counts(docs, size, places_of(candidates, found), tokens)
+        rows = counts.join(candidates.select(F.col("gram").alias("context"), F.col("n").alias("total"), F.col("suffix").alias("rest")), "context")
+        rows = rows.select("gram", "context", "n", "total", (F.col("word") if size == 2 else longer("rest", "word")).alias("suffix"))
+        rows = materialize(rows.join(lower.select(F.col("gram").alias("suffix"), F.col("p").alias("before")), "suffix"), f"size-{size}")
         gain = F.col("n") * F.log(F.col("n") / F.col("total") / F.col("before"))
-        nodes = rows.where(F.col("total") >= CONTEXT_COUNT).groupBy("context").agg(
-            F.sum(gain).alias("gain"), F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("seen"), F.sum("before").alias("before"), F.max("total").alias("total"))
+        nodes = rows.groupBy("context").agg(F.sum(gain).alias("gain"), F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("seen"), F.sum("before").alias("before"), F.max("total").alias("total"))
         rest = F.col("total") - F.col("seen")              # all other symbols together are one more outcome
         rest_gain = F.when(rest > 0, rest * F.log(rest / F.col("total") / F.greatest(1 - F.col("before"), F.lit(1e-12)))).otherwise(0.0)
         free = 1 - (F.col("seen") - DISCOUNT * F.col("kinds")) / F.col("total")
-        retained = materialize(nodes.where(F.col("gain") + rest_gain > penalty * F.col("kinds")).select("context", free.alias("free")), f"retained-{d}")
-        placed = rows.join(retained, "context", "left")
-        lower = materialize(placed.select("gram", "n", "before", "free", F.coalesce((F.col("n") - DISCOUNT) / F.col("total") + F.col("free") * F.col("before"), "before").alias("p")), f"level-{d}")
-        weights.append(retained.select(F.col("context").alias("gram"), F.lit(0).cast("long").alias("n"), F.log10("free").alias("weight")))
-        weights.append(lower.where("free is not null").select("gram", F.lit(0).cast("long").alias("n"), F.log10(F.col("p") / F.col("before") / F.col("free")).alias("weight")))
-    every = weights[0]
-    for more in weights[1:]:
-        every = every.unionByName(more)
-    return Model(tokens, kinds, materialize(every.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("weight").alias("weight")), "weights"))
-
-
-def score_tables(docs: DataFrame, model: Model, depth: int = DEPTH) -> DataFrame:
+        retained = materialize(nodes.where(F.col("gain") + rest_gain > penalty * F.col("kinds")).select("context", "total", free.alias("free")), f"retained-{size}")
+        placed = rows.join(retained.select("context", "free"), "context", "left")
+        p = F.coalesce((F.col("n") - DISCOUNT) / F.col("total") + F.col("free") * F.col("before"), "before")
+        lower = materialize(placed.select("gram", "suffix", "n", p.alias("p"), F.log10(p / F.col("before") / F.col("free")).alias("weight")), f"lower-{size}")
+        weights.append(retained.select(F.col("context").alias("gram"), F.col("total").alias("seen"), none, F.log10("free").alias("weight")))
+        weights.append(lower.where("weight is not null").select("gram", F.col("n").alias("seen"), none, "weight"))
+        _release(spark)
+    return Model(tokens, kinds, reduce(DataFrame.unionByName, weights))
+
+
+def _octave(n: str) -> Column:
+    """Counts by size, eight classes to a doubling: at most 512 of them."""
+    return F.floor(F.log2(n) * 8)
+
+
+@dataclass
+class Hot:
+    """The weights of the most frequent grams, ascending by gram."""
+
+    grams: np.ndarray
+    n: np.ndarray
+    weight: np.ndarray
+
+    def find(self, grams: np.ndarray) -> np.ndarray:
+        """Place of each gram, -1 where it is not."""
+        if not len(self.grams):
+            return np.full(len(grams), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
+        return np.where(self.grams[at] == grams, at, -1)
+
+
+def split_weights(model: Model, most: int = HOT_ENTRIES) -> tuple[Hot, DataFrame, Places]:
+    """(the most frequent grams' weights, at most so many rows of them; all other rows; the places of those)."""
+    classes = sorted(((r[0], r[1]) for r in model.weights.groupBy(_octave("seen").alias("class")).count().collect()), reverse=True)
+    held, least = 0, 1 << 20
+    for octave, rows in classes:
+        if held + rows > most:
+            break
+        held, least = held + rows, octave
+    hot = model.weights.where(_octave("seen") >= least).select("gram", "n", "weight").toArrow()
+    grams, inverse = np.unique(hot.column("gram").to_numpy().view(np.uint64), return_inverse=True)
+    cold = model.weights.where(_octave("seen") < least)
+    total = lambda name: np.bincount(inverse, hot.column(name).to_numpy(), len(grams))
+    return Hot(grams, total("n").astype(np.int64), total("weight")), cold, places_of(cold, sum(rows for _, rows in classes) - held)
+
+
+def score(docs: DataFrame, model: Model, depth: int = DEPTH, hot_entries: int = HOT_ENTRIES) -> DataFrame:
     """docs (doc_id, held_out, text) to doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    small_batches(docs.sparkSession)
-    schema = T.StructType([*docs.select("doc_id", "held_out").schema.fields, *T.StructType.fromDDL("row long, n_tokens long, grams array<long>, times array<int>").fields])
+    spark = docs.sparkSession
+    small_batches(spark)
+    hot, cold, places = split_weights(model, hot_entries)
+    hot, places = spark.sparkContext.broadcast(hot), spark.sparkContext.broadcast(places)
+    schema = T.StructType([*docs.select("doc_id", "held_out").schema.fields, *T.StructType.fromDDL(
+        "row long, n_tokens long, known long, counted double, raised double, grams array<long>, times array<int>").fields])
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 40
+        row, table_ = TaskContext.get().partitionId() << 40, hot.value
         for batch, flat, lengths in _hashed(batches, 2):
             doc, place = np.repeat(np.arange(len(lengths)), lengths), _places(lengths)
-            grams, owner = [], []
+            known, counted, raised = np.zeros(len(lengths)), np.zeros(len(lengths)), np.zeros(len(lengths))
+            grams, owner, own = [], [], flat
             for d in range(1, depth + 2):
+                own = flat if d == 1 else _next_size(own, flat)
                 at = np.flatnonzero(place >= d - 1)
-                grams.append(_grams(flat, place, d)[at])
-                owner.append(doc[at])
+                found = table_.find(own[at])
+                hit, miss = at[found >= 0], at[found < 0]
+                found = found[found >= 0]
+                raised += np.bincount(doc[hit], table_.weight[found], len(lengths))
+                if d == 1:
+                    known += np.bincount(doc[hit], table_.n[found] > 0, len(lengths))
+                    counted += np.bincount(doc[hit], np.log10(table_.n[found] + 1.0), len(lengths))
+                miss = miss[places.value.may_hold(own[miss])]
+                grams.append(own[miss])
+                owner.append(doc[miss])
             grams, owner = np.concatenate(grams), np.concatenate(owner)
             order = np.lexsort((grams, owner))
             grams, owner = grams[order], owner[order]
-            new = np.flatnonzero(np.append(True, (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])))
+            new = np.flatnonzero(np.append(True, (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1]))) if len(grams) else np.zeros(0, np.int64)
             times = np.diff(np.append(new, len(grams))).astype(np.int32)
             offsets = pa.array(np.searchsorted(owner[new], np.arange(len(lengths) + 1)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(row + np.arange(len(lengths))), pa.array(lengths), pa.ListArray.from_arrays(offsets, pa.array(grams[new].view(np.int64))),
-                 pa.ListArray.from_arrays(offsets, pa.array(times))], names=[f.name for f in schema.fields])
+                [batch.column(0), batch.column(1), pa.array(row + np.arange(len(lengths))), pa.array(lengths), pa.array(known.astype(np.int64)), pa.array(counted), pa.array(raised),
+                 pa.ListArray.from_arrays(offsets, pa.array(grams[new].view(np.int64))), pa.ListArray.from_arrays(offsets, pa.array(times))], names=[f.name for f in schema.fields])
             row += len(lengths)
 
-    first = docs.select("doc_id", "held_out", "text").mapInArrow(one, schema)
-    asked = first.select("doc_id", "held_out", "row", "n_tokens", F.explode(F.arrays_zip("grams", "times")).alias("g")).select(
-        "doc_id", "held_out", "row", "n_tokens", F.col("g.grams").alias("gram"), F.col("g.times").alias("times"))
-    found = asked.join(model.weights.hint("merge"), "gram", "left").groupBy("row", "doc_id", "held_out", "n_tokens").agg(
-        F.coalesce(F.sum(F.when(F.col("n") > 0, F.col("times"))), F.lit(0)).cast("long").alias("n_known"),
-        F.coalesce(F.sum(F.when(F.col("n") > 0, F.col("times") * F.log10(F.col("n") + 1.0))), F.lit(0.0)).alias("counted"),
-        F.coalesce(F.sum(F.col("times") * F.col("weight")), F.lit(0.0)).alias("raised"))
-    base = F.col("counted") - F.col("n_tokens") * F.lit(float(np.log10(model.tokens + model.words + 1)))
-    return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
-                        base.alias("base_score"), (base + F.col("raised")).alias("score"))
+    first = materialize(docs.select("doc_id", "held_out", "text").mapInArrow(one, schema), "asked")
+    asked = first.select("row", F.explode(F.arrays_zip("grams", "times")).alias("g")).select("row", F.col("g.grams").alias("gram"), F.col("g.times").alias("times"))
+    rest = asked.join(cold, "gram").groupBy("row").agg(
+        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more_counted"),
+        F.sum(F.col("times") * F.col("weight")).alias("more_raised"))
+    plus = lambda name: F.col(name) + F.coalesce(f"more_{name}", F.lit(0))
+    base = plus("counted") - F.col("n_tokens") * F.lit(float(np.log10(model.tokens + model.words + 1)))
+    return first.drop("grams", "times").join(rest, "row", "left").select(
+        "doc_id", "held_out", "n_tokens", plus("known").cast("long").alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
+        base.alias("base_score"), (base + plus("raised")).alias("score"))
 
 
 @query("op8_suffix_tree_lm")
 def op8_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumn("held_out", F.coalesce(remainder("doc_id", 7), F.lit(0)) == 2)
-    return score_tables(docs, learn_tables(docs.where("not held_out")))
+    return score(docs, learn(docs.where("not held_out")))

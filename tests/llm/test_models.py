@@ -155,21 +155,85 @@ def test_lm_counts_base_and_gain(spark, sf):
     assert all(r.score < 0 for r in held)
 
 
-def test_lm_probabilities_sum_to_one(spark, sf):
-    docs = spark.read.parquet(sf(documents=documents(lm_rows())) + "/documents.parquet")
-    tree, counts = suffix_tree_lm.learn(docs, min_share=1e-3)
-    assert all(len(c) for c in tree.contexts)
-    size = len(tree.hashes)
-    rare = 1 - tree.root(tree.counts).sum()                          # all words that are not stored, seen or not
-    first, second = tree.contexts[0], tree.contexts[1]
-    for depth, contexts in ((1, first), (2, second)):
-        for context in contexts[:20]:
-            p, free = tree.root(tree.counts), 1.0
-            for d in range(1, depth + 1):
-                key = np.full(size, context & ((1 << (31 * d)) - 1))
-                p, f = suffix_tree_lm._step(tree, d, key, np.arange(size), p)
-                free *= f[0]
-            assert p.sum() + free * rare == pytest.approx(1.0) and (p > 0).all()
+class BruteTree:
+    """The same tree from counts of all grams in dictionaries."""
+
+    def __init__(self, texts, depth):
+        docs = [tokens(t) for t in texts]
+        self.grams = Counter(tuple(d[i:i + size]) for d in docs for size in range(1, depth + 2) for i in range(len(d) - size + 1))
+        self.words = {g[0]: n for g, n in self.grams.items() if len(g) == 1}
+        self.total, self.depth, self.nodes = sum(self.words.values()), depth, {}
+        for size in range(1, depth + 1):
+            grown = {}
+            for context in [g for g, n in self.grams.items() if len(g) == size and n >= suffix_tree_lm.CONTEXT_COUNT]:
+                edges = {w: self.grams[(*context, w)] for w in self.words if self.grams[(*context, w)] >= suffix_tree_lm.EDGE_COUNT}
+                n = self.grams[context]
+                before = {w: self.probability(context[1:], w) for w in edges}
+                gain = sum(k * math.log(k / n / before[w]) for w, k in edges.items())
+                rest = n - sum(edges.values())
+                if rest:
+                    gain += rest * math.log(rest / n / max(1 - sum(before.values()), 1e-12))
+                if edges and gain > suffix_tree_lm.PENALTY * len(edges):
+                    grown[context] = edges
+            self.nodes.update(grown)
+
+    def probability(self, context, word):
+        context = tuple(context)[-self.depth:]
+        if not context:
+            return (self.words.get(word, 0) + 1) / (self.total + len(self.words) + 1)
+        shorter = self.probability(context[1:], word)
+        if context not in self.nodes:
+            return shorter
+        edges, n = self.nodes[context], self.grams[context]
+        free = 1 - (sum(edges.values()) - suffix_tree_lm.DISCOUNT * len(edges)) / n
+        return max(edges.get(word, 0) - suffix_tree_lm.DISCOUNT, 0) / n + free * shorter
+
+    def score(self, text):
+        seen = tokens(text)
+        return sum(math.log10(self.probability(seen[max(0, i - self.depth):i], w)) for i, w in enumerate(seen))
+
+
+def tree_rows():
+    """Words whose successor shows only one, two, three or four words further back, among prose."""
+    draw, rows = random.Random(5), []
+    for i in range(90):
+        parts = [prose(i, 12), "rare%d" % i]
+        for far, between in (("i", ""), ("j", "k"), ("l", "m n"), ("p", "q r s")):
+            which = draw.randrange(4)
+            parts.append(f"{far}{which} {between} after{far}{which}")
+        rows.append((i, " ".join(parts)))
+    return rows
+
+
+def test_lm_probabilities_sum_to_one():
+    tree = BruteTree([t for _, t in tree_rows()], 4)
+    assert {1, 2, 3, 4} == {len(c) for c in tree.nodes}
+    for context in sorted(tree.nodes)[::7]:
+        assert sum(tree.probability(context, w) for w in [*tree.words, b"never seen"]) == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("hot_entries", [0, 500, 1 << 20])
+@pytest.mark.parametrize("depth", [1, 4])
+def test_lm_scores_as_brute_force(spark, sf, depth, hot_entries):
+    rows = tree_rows()
+    docs = spark.read.parquet(sf(documents=documents(rows)) + "/documents.parquet").withColumn("held_out", F.col("doc_id") % 5 == 0)
+    tree = BruteTree([t for i, t in rows if i % 5], depth)
+    assert {len(c) for c in tree.nodes} == set(range(1, depth + 1))
+    got = suffix_tree_lm.score(docs, suffix_tree_lm.learn(docs.where("not held_out"), depth), depth, hot_entries).collect()
+    assert len(got) == len(rows)
+    text = dict(rows)
+    for r in got:
+        seen = tokens(text[r.doc_id])
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (r.doc_id % 5 == 0, len(seen), sum(t in tree.words for t in seen), tree.total)
+        assert r.score == pytest.approx(tree.score(text[r.doc_id]))
+
+
+def test_lm_full_bitmaps_change_no_score(spark, sf, monkeypatch):
+    docs = spark.read.parquet(sf(documents=documents(tree_rows())) + "/documents.parquet").withColumn("held_out", F.col("doc_id") % 5 == 0)
+    want = {r.doc_id: r.score for r in suffix_tree_lm.score(docs, suffix_tree_lm.learn(docs.where("not held_out"))).collect()}
+    monkeypatch.setattr(suffix_tree_lm, "places_of", lambda grams, count: suffix_tree_lm.Places(15, np.full(1 << 12, 255, np.uint8)))
+    got = suffix_tree_lm.score(docs, suffix_tree_lm.learn(docs.where("not held_out")), hot_entries=100).collect()
+    assert {r.doc_id: r.score for r in got} == {i: pytest.approx(s) for i, s in want.items()}
 
 
 def test_lm_odd_input(spark, sf, odd_texts):
@@ -182,20 +246,6 @@ def test_lm_odd_input(spark, sf, odd_texts):
     assert (r.train_tokens, r.n_known, r.base_score, r.score) == (0, 0, 0.0, 0.0)
 
 
-def test_lm_tables_score_as_the_tree_in_memory(spark, sf):
-    docs = spark.read.parquet(sf(documents=documents(lm_rows())) + "/documents.parquet").withColumn("held_out", F.col("doc_id") % 5 == 0)
-    train = docs.where("not held_out")
-    tree, counts = suffix_tree_lm.learn(train, min_share=0.0)
-    assert all(len(c) for c in tree.contexts)
-    want = {r.doc_id: r for r in suffix_tree_lm.score(docs, tree, counts).collect()}
-    got = suffix_tree_lm.score_tables(docs, suffix_tree_lm.learn_tables(train)).collect()
-    assert len(got) == len(want)
-    for r in got:
-        w = want[r.doc_id]
-        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (w.held_out, w.n_tokens, w.n_known, w.train_tokens)
-        assert (r.base_score, r.score) == (pytest.approx(w.base_score), pytest.approx(w.score))
-
-
 def test_lm_keeps_contexts_of_few_occurrences_in_a_large_corpus(spark, tmp_path):
     phrase = " ".join(f"only{k}" for k in range(30))
     held = next(i for i in range(1000, 2000) if crc(i) % 7 == 2)
