@@ -23,6 +23,14 @@ def small_batches(spark: SparkSession, rows: int = TEXT_BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def drop_table(stored: DataFrame) -> None:
+    """Remove a table that materialize wrote, once all that was read from it is written itself."""
+    files, spark = stored.inputFiles(), stored.sparkSession
+    if files:
+        path = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def remainder(column: str, modulus: int):
     """crc32 of the id written as text, modulo modulus: the rule that names held-out documents. Null for a null id."""
     return F.crc32(F.col(column).cast("string")) % F.lit(modulus)

@@ -26,10 +26,12 @@ held-out id. Contexts never reach over the beginning of a document.
 
 from __future__ import annotations
 
+import gc
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -39,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import WordHashes, mix, plain_words, remainder, small_batches, table
+from starloom.llm.common import drop_table, mix, remainder, small_batches, table
 from starloom.llm.registry import query
 from starloom.session import materialize
 
@@ -48,28 +50,79 @@ CONTEXT_COUNT = 4                 # occurrences of a context that may become a n
 EDGE_COUNT = 2                    # occurrences of a next symbol that is stored
 PENALTY = 4.0
 DISCOUNT = 0.5
-END = b"\n"                       # no word contains white space, so its hash stands for the end mark
 FILTER_BITS = 27                  # a bitmap has at most 2**27 places, 16 MB
 RANGE_TOKENS = 1 << 17            # tokens whose grams share a hash range, about
 HOT_ENTRIES = 1 << 20             # weights of the most frequent grams, broadcast
 _CHUNK_TOKENS = 2_000_000         # tokens whose grams a worker reduces at once
+_BLOCK = 1 << 20                  # bytes of text hashed at once
+_NUMBER_ROWS = 20_000             # rows of an Arrow batch of numbers
 _PLACES = 32_768                  # of one bitmap that bitmap_construct_agg builds
 
 
-def _documents(batch: pa.RecordBatch, column: int) -> Iterator[list[bytes]]:
-    for text in batch.column(column).cast(pa.binary()).to_pylist():
-        words = plain_words(text)
-        words.append(END)
-        yield words
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+_MULTIPLIER = 0x9E3779B97F4A7C15
+_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_MULTIPLIER))
+_END_HASH = mix(np.array([2**64 - 1], np.uint64))[0]
+
+
+@lru_cache(maxsize=1)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers 0 to n - 1 of the multiplier and of its inverse, modulo 2**64."""
+    return tuple(np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n - 1, m, np.uint64))]) for m in (_MULTIPLIER, pow(_MULTIPLIER, -1, 2**64)))
+
+
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """A text cut at white space into pieces of about _BLOCK bytes."""
+    at = 0
+    while len(text) - at > _BLOCK and (cut := _SPACE.search(text, at + _BLOCK)):
+        yield text[at:cut.start()]
+        at = cut.start()
+    yield text[at:]
+
+
+def _word_hashes(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of some pieces in a row, and how many each piece has.
+
+    A word's hash is its polynomial modulo 2**64 over coded bytes: the difference of two prefix sums, shifted back to power 0.
+    """
+    data = np.frombuffer(b"\n".join([*pieces, b""]).lower(), np.uint8)
+    edge = np.diff(((data == 32) | ((data >= 9) & (data <= 13))).astype(np.int8), prepend=np.int8(1))
+    starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    up, down = _powers(1 << max(20, int(len(data)).bit_length()))
+    with np.errstate(over="ignore"):
+        sums = np.cumsum(_BYTE[data] * up[:len(data)])
+        value = (sums[ends - 1] - np.where(starts > 0, sums[starts - 1], np.uint64(0))) * down[starts]
+        hashes = mix(value + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    bounds = np.cumsum([0, *(len(p) + 1 for p in pieces)])
+    return hashes, np.diff(np.searchsorted(starts, bounds))
 
 
 def _hashed(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Per batch: itself, the word hashes of all its tokens, and the number of tokens of each document."""
-    words = WordHashes()
+    """Per batch: itself, the word hashes of all its tokens, and the number of tokens of each document, end mark included."""
     for batch in batches:
-        parts = [words.of(d) for d in _documents(batch, column)]
-        if parts:
-            yield batch, np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+        texts = batch.column(column).cast(pa.binary()).to_pylist()
+        if not texts:
+            continue
+        hashes, owned, held, owner, size = [], np.zeros(len(texts), np.int64), [], [], 0
+
+        def flush():
+            found, counts = _word_hashes(held)
+            hashes.append(found)
+            np.add.at(owned, owner, counts)
+            held.clear(), owner.clear()
+
+        for k, text in enumerate(texts):
+            for piece in _pieces(text or b""):
+                held.append(piece)
+                owner.append(k)
+                size += len(piece)
+                if size > _BLOCK:
+                    flush()
+                    size = 0
+        flush()
+        flat = np.full(int(owned.sum()) + len(texts), _END_HASH, np.uint64)
+        flat[np.arange(int(owned.sum())) + np.repeat(np.arange(len(texts)), owned)] = np.concatenate(hashes)
+        yield batch, flat, owned + 1
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -187,7 +240,8 @@ class Model:
 
 
 def _release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished levels: it does so once the driver's references are collected."""
+    """Let Spark delete the shuffle files of finished steps: it does so once the references of Python, then those of the driver, are collected."""
+    gc.collect()
     spark._jvm.System.gc()
 
 
@@ -197,6 +251,7 @@ def learn(docs: DataFrame, depth: int = DEPTH, penalty: float = PENALTY) -> Mode
     small_batches(spark)
     words = materialize(word_counts(docs), "words")
     tokens, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    _release(spark)
     # p: probability of a gram's last word in the longest retained suffix of the words before it; suffix: the gram without its first word
     lower = words.where(F.col("n") >= EDGE_COUNT).select("gram", F.lit(0).cast("long").alias("suffix"), "n", ((F.col("n") + 1) / F.lit(float(tokens + kinds + 1))).alias("p"))
     none, longer = F.lit(0).cast("long").alias("n"), F.pandas_udf(_extended_series, T.LongType())
@@ -206,10 +261,15 @@ def learn(docs: DataFrame, depth: int = DEPTH, penalty: float = PENALTY) -> Mode
         found = candidates.count()
         if not found:
             break
-        counts = gram_counts(docs, size, places_of(candidates, found), tokens)
+        small_batches(spark)
+        counts = materialize(gram_counts(docs, size, places_of(candidates, found), tokens), f"counts-{size}")
+        _release(spark)
+        small_batches(spark, _NUMBER_ROWS)
         rows = counts.join(candidates.select(F.col("gram").alias("context"), F.col("n").alias("total"), F.col("suffix").alias("rest")), "context")
         rows = rows.select("gram", "context", "n", "total", (F.col("word") if size == 2 else longer("rest", "word")).alias("suffix"))
         rows = materialize(rows.join(lower.select(F.col("gram").alias("suffix"), F.col("p").alias("before")), "suffix"), f"size-{size}")
+        drop_table(counts)
+        _release(spark)
         gain = F.col("n") * F.log(F.col("n") / F.col("total") / F.col("before"))
         nodes = rows.groupBy("context").agg(F.sum(gain).alias("gain"), F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("seen"), F.sum("before").alias("before"), F.max("total").alias("total"))
         rest = F.col("total") - F.col("seen")              # all other symbols together are one more outcome
@@ -218,9 +278,14 @@ def learn(docs: DataFrame, depth: int = DEPTH, penalty: float = PENALTY) -> Mode
         retained = materialize(nodes.where(F.col("gain") + rest_gain > penalty * F.col("kinds")).select("context", "total", free.alias("free")), f"retained-{size}")
         placed = rows.join(retained.select("context", "free"), "context", "left")
         p = F.coalesce((F.col("n") - DISCOUNT) / F.col("total") + F.col("free") * F.col("before"), "before")
-        lower = materialize(placed.select("gram", "suffix", "n", p.alias("p"), F.log10(p / F.col("before") / F.col("free")).alias("weight")), f"lower-{size}")
+        placed = placed.select("gram", "suffix", "n", p.alias("p"), F.log10(p / F.col("before") / F.col("free")).alias("weight"))
+        below, lower = lower, materialize(placed, f"lower-{size}")
+        _release(spark)
+        drop_table(rows)
+        if size > 2:
+            drop_table(below)
         weights.append(retained.select(F.col("context").alias("gram"), F.col("total").alias("seen"), none, F.log10("free").alias("weight")))
-        weights.append(lower.where("weight is not null").select("gram", F.col("n").alias("seen"), none, "weight"))
+        weights.append(materialize(lower.where("weight is not null").select("gram", F.col("n").alias("seen"), "weight"), f"edges-{size}").select("gram", "seen", none, "weight"))
         _release(spark)
     return Model(tokens, kinds, reduce(DataFrame.unionByName, weights))
 
@@ -238,12 +303,22 @@ class Hot:
     n: np.ndarray
     weight: np.ndarray
 
+    def __post_init__(self):
+        self.bits = len(self.grams).bit_length() + 1
+        self.starts = np.searchsorted(self.grams, np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)).astype(np.int32)
+
     def find(self, grams: np.ndarray) -> np.ndarray:
-        """Place of each gram, -1 where it is not."""
-        if not len(self.grams):
-            return np.full(len(grams), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
-        return np.where(self.grams[at] == grams, at, -1)
+        """Place of each gram, -1 where it is not: from where grams of its first bits start, upwards."""
+        out, left = np.full(len(grams), -1, np.int64), np.arange(len(grams))
+        at = self.starts[(grams >> np.uint64(64 - self.bits)).astype(np.int64)]
+        while len(left):
+            within = at < len(self.grams)
+            left, at = left[within], at[within]
+            here, asked = self.grams[at], grams[left]
+            out[left[here == asked]] = at[here == asked]
+            go = here < asked
+            left, at = left[go], at[go] + 1
+        return out
 
 
 def split_weights(model: Model, most: int = HOT_ENTRIES) -> tuple[Hot, DataFrame, Places]:
@@ -301,6 +376,7 @@ def score(docs: DataFrame, model: Model, depth: int = DEPTH, hot_entries: int =
             row += len(lengths)
 
     first = materialize(docs.select("doc_id", "held_out", "text").mapInArrow(one, schema), "asked")
+    _release(spark)
     asked = first.select("row", F.explode(F.arrays_zip("grams", "times")).alias("g")).select("row", F.col("g.grams").alias("gram"), F.col("g.times").alias("times"))
     rest = asked.join(cold, "gram").groupBy("row").agg(
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more_counted"),
