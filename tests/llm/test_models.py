@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -236,6 +237,17 @@ def test_lm_full_bitmaps_change_no_score(spark, sf, monkeypatch):
     assert {r.doc_id: r.score for r in got} == {i: pytest.approx(s) for i, s in want.items()}
 
 
+@pytest.mark.parametrize("block", [1, 7, 1 << 20])
+def test_lm_words_are_hashed_alike_wherever_texts_are_cut(monkeypatch, odd_texts, block):
+    monkeypatch.setattr(suffix_tree_lm, "_BLOCK", block)
+    texts = [t for _, t in odd_texts if t is None or len(t) < 5000]
+    ((_, flat, lengths),) = suffix_tree_lm._hashed([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])], 0)
+    want = [w for t in texts for w in tokens(t)]
+    assert lengths.tolist() == [len(tokens(t)) for t in texts] and len(flat) == len(want)
+    of_word = dict(zip(want, flat.tolist()))
+    assert [of_word[w] for w in want] == flat.tolist() and len(set(of_word.values())) == len(of_word)
+
+
 def test_lm_odd_input(spark, sf, odd_texts):
     got = suffix_tree_lm.op8_suffix_tree_lm(spark, sf(documents=documents(odd_texts))).collect()
     assert sorted(r.n_tokens for r in got) == sorted(len(tokens(t)) for _, t in odd_texts)
