@@ -1,7 +1,7 @@
 """Equi-join of a large table with a keyed one, safe under skew.
 
-Spark broadcasts the keyed side where its size, known from file statistics or measured by a finished shuffle stage, is
-within spark.starloom.broadcastBytes. Otherwise both sides shuffle, and adaptive execution cuts partitions that a hot key
+Spark broadcasts a side where its hash table, estimated from file sizes times their compression or from the rows of a
+finished shuffle stage, is within spark.starloom.broadcastBytes (see session.prepare). Otherwise both sides shuffle, and adaptive execution cuts partitions that a hot key
 makes large into pieces, which the left side of a left join allows. No job runs to plan the join.
 """
 

@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 DEFAULTS = {
     "broadcastBytes": 64 * 1024 * 1024,   # a join side is broadcast only if it measures at most this
 }
+# Rows of a Parquet file take about so many times its bytes, and a hash table of rows up to four times theirs.
+_ROWS_OF_FILE, _TABLE_OF_ROWS = 8, 4
 
 _own_dirs: dict[str, str] = {}
 
@@ -28,7 +30,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(limit(spark, "broadcastBytes")))
+    # Spark knows a table by its compressed files and a shuffle by its rows; what the driver has to hold is the hash table
+    spark.conf.set("spark.sql.sources.fileCompressionFactor", str(_ROWS_OF_FILE))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(limit(spark, "broadcastBytes") // _TABLE_OF_ROWS))
     return spark
 
 

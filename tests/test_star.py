@@ -11,6 +11,7 @@ from starloom.catalog import CATALOG, STAR_SCHEMAS
 from starloom.functions import scalars as sc
 from starloom.operators import dims, facts
 from starloom.operators.latest import latest_per_key
+from starloom.operators.lookup import lookup
 from starloom.operators.scd import CUSTOMER_SCD2, Scd2Spec, close_version, scd2_merge
 from starloom.plans import marts
 from starloom.plans.star_load import StarStore, load_star
@@ -282,3 +283,14 @@ def test_scd2_table_equals_the_whole_merge(spark):
             table.merge(batch, at, ["offset"], batch=f"run-{n}")
         assert sorted(map(str, table.read().collect())) == sorted(map(str, whole.select(schema.names).collect()))
     assert table.current().where("is_current <> 1").count() == 0 and table.last_batch() == "run-3"
+
+
+def test_lookup_broadcasts_by_size_of_rows(spark, tmp_path):
+    """Tables whose rows are many times their files: neither side goes through the driver, whichever the inner join may build."""
+    rows = spark.range(2_000_000).select("id", F.lit("a text that is the same in every row").alias("name"))
+    rows.write.parquet(f"{tmp_path}/rows")
+    rows, side = spark.read.parquet(f"{tmp_path}/rows"), spark.read.parquet(f"{tmp_path}/rows").withColumnRenamed("name", "other")
+    found = lookup(rows, side, {"id": "id"}, {"other": None}, "inner")
+    assert "Broadcast" not in found._jdf.queryExecution().sparkPlan().toString()
+    few = lookup(rows, side.where("id < 1000").limit(1000), {"id": "id"}, {"other": None}, "inner")
+    assert "Broadcast" in few._jdf.queryExecution().sparkPlan().toString()
