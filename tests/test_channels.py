@@ -367,3 +367,15 @@ def test_shared_folder_is_read_from_the_session():
     assert shared_dir(session("hdfs:///shared/", "yarn")) == "hdfs:///shared"
     with pytest.raises(RuntimeError):
         shared_dir(session(None, "yarn"))
+
+
+def test_landed_messages_are_small_and_many(spark, tmp_path):
+    """Raw messages take a fraction of their text on disk and are dealt over as many files as their number asks for."""
+    from starloom.testbed.stream_queries import _land
+
+    text = F.concat(F.lit('{"payload":{"op":"c","after":{"OrderId":'), F.col("id"), F.lit(',"Currency":"USD","TaxUsd":"0.00","ShippingUsd":"0.00"}}}'))
+    rows = spark.range(0, 600_000, 1, 1).select(F.lit("t").alias("topic"), F.lit(None).cast("string").alias("key"), text.alias("value"), F.lit(0).alias("partition"),
+                                                F.col("id").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"))
+    assert _land(rows, f"{tmp_path}/raw") == 3
+    assert sum(f.stat().st_size for f in (tmp_path / "raw").iterdir()) < 0.2 * rows.agg(F.sum(F.length("value"))).first()[0]
+    assert raw_files(spark, f"{tmp_path}/raw").agg(F.count("value"), F.sum("offset")).first() == (600_000, 600_000 * 599_999 // 2)
