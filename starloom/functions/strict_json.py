@@ -13,18 +13,41 @@ from pyspark.sql import functions as F
 from starloom.catalog import Kind
 
 
-def with_parsed(df: DataFrame, value: str, out: str, when: str = "true") -> DataFrame:
-    """Adds an array VARIANT around the single JSON value that the text of a column holds, null if it holds not exactly one.
+def parsed_steps(value: str) -> dict[str, str]:
+    """Expressions, each using those before it, up to document: an array VARIANT around the single JSON value that the text of a
+    column holds, null if it holds not exactly one.
 
     The JSON parser stops after the first value, so the text is parsed inside brackets: rubbish after the
     value breaks the array, an empty text leaves it empty and a second value leaves a second element. Only
     a text with "]" in it could close the bracket itself; that one must also parse as an object member.
-    The brackets stay, because taking the value out of them would copy it. Rows that fail when are not parsed.
+    The brackets stay, because taking the value out of them would copy it.
     """
-    parsed = df.withColumn("_wrapped", F.expr(f"case when {when} then try_parse_json(concat('[', {value}, ']')) end"))
-    alone = at("_wrapped", "$[1]") + " is null"
+    alone = at("wrapped", "$[1]") + " is null"
     closed = f"case when contains({value}, ']') then try_parse_json(concat('{{\"v\":', {value}, '}}')) is not null else true end"
-    return parsed.withColumn(out, F.expr(f"case when {alone} and {closed} then _wrapped end")).drop("_wrapped")
+    return {"wrapped": f"try_parse_json(concat('[', {value}, ']'))", "document": f"case when {alone} and {closed} then wrapped end"}
+
+
+def let(steps: dict[str, str], body: str) -> str:
+    """body with the names of steps bound to their values, each evaluated once and only when body is."""
+    for name, value in reversed(steps.items()):
+        body = f"element_at(transform(array({value}), {name} -> {body}), 1)"
+    return body
+
+
+_AT_ONCE_BYTES = 1 << 20
+_AT_ONCE = "map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '_corrupt', 'allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
+
+
+def with_shape(df: DataFrame, value: str, shape: str, out: str) -> DataFrame:
+    """Adds the JSON value that the text of a column holds as a struct of the type shape, read in one pass; members outside it are skipped.
+
+    Null says nothing: the text may hold no value, several, one of another shape, or one that has to be read as a whole. The text is
+    parsed inside brackets; as it has no "]" of its own, nothing but one value with nothing behind it gives one element.
+    """
+    read = (f"case when not contains({value}, ']') and octet_length({value}) <= {_AT_ONCE_BYTES} "
+            f"then from_json(concat('{{\"v\":[', {value}, ']}}'), 'v array<{shape}>, _corrupt string', {_AT_ONCE}) end")
+    parsed = df.withColumn("_read", F.expr(read))
+    return parsed.withColumn(out, F.expr("case when _read._corrupt is null and size(_read.v) = 1 then _read.v[0] end")).drop("_read")
 
 
 def at(document: str, path: str) -> str:

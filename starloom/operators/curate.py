@@ -7,7 +7,8 @@ Every raw row falls in exactly one class, decided in this order:
 * projection-failed: a required field is missing or null, or a field has the wrong JSON kind;
 * curated.
 
-The whole thing is one stateless projection: no shuffle, the JSON text is parsed once per row.
+The whole thing is one stateless projection without a shuffle. A change of the usual form is read in one typed pass over its text;
+any row that this pass can't vouch for is parsed again, into a VARIANT, and judged member by member.
 """
 
 from __future__ import annotations
@@ -15,9 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.catalog import CATALOG, Catalog, EntitySpec, Field
-from starloom.functions.scalars import operation_letter, operation_name, text
-from starloom.functions.strict_json import at, is_object, kind_of, present, typed, with_parsed
+from starloom.catalog import CATALOG, Catalog, EntitySpec, Field, Kind
+from starloom.functions.scalars import operation_letter, text
+from starloom.functions.strict_json import at, is_object, kind_of, let, parsed_steps, present, typed, with_shape
 from starloom.session import materialize
 
 CURATED, IGNORED = "curated", "ignored"
@@ -35,31 +36,41 @@ def _pinned(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*others, F.inline(F.array(F.struct(*columns))))
 
 
-def parse_envelopes(raw: DataFrame, catalog: Catalog = CATALOG, when: str = "true") -> DataFrame:
-    """Known, non-null raw rows with entity, operation, source_ts_ms, after (VARIANT) and parsed (boolean).
+def _operation(code: str) -> str:
+    """Envelope operation codes; an unknown code stays, a missing one becomes "?"."""
+    return f"case {code} when 'r' then 'snapshot' when 'c' then 'insert' when 'u' then 'update' when 'd' then 'delete' else coalesce({code}, '?') end"
 
-    Rows that fail when keep their place but are not parsed.
-    """
-    known = raw.where(F.col("topic").isin(catalog.raw_topics) & F.col("value").isNotNull())
-    nested = with_parsed(known, "value", "document", when).withColumn("nested", F.expr(at("document", "$[0].payload.after")))
-    # only where it does not follow from a member that was found is a whole object looked at
-    placed = nested.withColumn("inside", F.expr(f"nested is not null or {at('document', '$[0].payload')} is not null"))
+
+def _envelope_steps() -> dict[str, str]:
+    """Expressions, each using those before it, up to operation, source_ts_ms, after (VARIANT) and parsed (boolean) of a text in value."""
     pick = lambda path: f"case when inside then {at('document', f'$[0].payload.{path}')} else {at('document', f'$[0].{path}')} end"
-    parts = placed.withColumns({
-        "after": F.expr(f"case when inside then nested else {at('document', '$[0].after')} end"),
-        "op": F.expr(pick("op")), "ts": F.expr(pick("source.ts_ms")),
-    }).withColumn("op_text", F.expr("try_variant_get(op, '$', 'string')"))
     op_ok = f"case when op is not null then {kind_of('op')} in ('STRING', 'VOID') else true end"
     source_ok = (f"case when ts is not null then {kind_of('ts')} = 'BIGINT' "
                  f"when {pick('source')} is not null then {is_object(pick('source'))} else true end")
+    # only where it does not follow from a member that was found is a whole object looked at
     envelope_ok = (f"case when after is not null then true when inside then {is_object(at('document', '$[0].payload'))} "
                    f"else {is_object(at('document', '$[0]'))} end")
+    return {
+        **parsed_steps("value"), "nested": at("document", "$[0].payload.after"),
+        "inside": f"nested is not null or {at('document', '$[0].payload')} is not null",
+        "after": f"case when inside then nested else {at('document', '$[0].after')} end", "op": pick("op"), "ts": pick("source.ts_ms"),
+        "code": "try_variant_get(op, '$', 'string')", "operation": _operation("code"),
+        "source_ts_ms": "coalesce(try_variant_get(ts, '$', 'bigint'), 0)", "parsed": f"({envelope_ok}) and ({op_ok}) and ({source_ok})"}
+
+
+def _known(raw: DataFrame, catalog: Catalog) -> DataFrame:
+    """The non-null rows of known topics with their entity."""
     entity = F.create_map(*[F.lit(x) for s in catalog for x in (s.raw_topic, s.entity)])
-    parsed = parts.select(
-        *raw.columns, entity[F.col("topic")].alias("entity"), operation_name("op_text").alias("operation"),
-        F.expr("coalesce(try_variant_get(ts, '$', 'bigint'), 0)").alias("source_ts_ms"), "after",
-        F.expr(f"({envelope_ok}) and ({op_ok}) and ({source_ok})").alias("parsed"))
-    return _pinned(parsed, ["operation", "source_ts_ms", "after", "parsed"])
+    return raw.where(F.col("topic").isin(catalog.raw_topics) & F.col("value").isNotNull()).withColumn("entity", entity[F.col("topic")])
+
+
+def parse_envelopes(raw: DataFrame, catalog: Catalog = CATALOG) -> DataFrame:
+    """Known, non-null raw rows with entity, operation, source_ts_ms, after (VARIANT) and parsed (boolean)."""
+    parts = _known(raw, catalog)
+    for name, value in _envelope_steps().items():
+        parts = parts.withColumn(name, F.expr(value))
+    found = ["operation", "source_ts_ms", "after", "parsed"]
+    return _pinned(parts.select(*raw.columns, "entity", *found), found)
 
 
 def _owners(catalog: Catalog) -> dict[str, tuple[Field, list[str]]]:
@@ -80,19 +91,71 @@ def _per_entity(catalog: Catalog, expression) -> str:
     return "case entity " + " ".join(f"when '{s.entity}' then {expression(s)}" for s in catalog) + " end"
 
 
-def _read_fields(parsed: DataFrame, catalog: Catalog) -> DataFrame:
-    """Adds _t_<name>, the typed value, and _k_<name>, its JSON kind, for the fields of each row's own entity."""
-    kinds, values = {}, {}
-    for field, entities in _owners(catalog).values():
-        path = f"$.{field.source}"
-        kinds[f"_k_{field.name}"] = F.expr(f"case when entity in ({_names(entities)}) then {kind_of(at('after', path))} end")
-        values[f"_t_{field.name}"] = F.expr(typed("after", path, f"_k_{field.name}", field.kind))
-    return parsed.withColumns(kinds).withColumns(values)
+_USUAL = {Kind.BIGINT: "bigint", Kind.INTEGER: "int", Kind.BOOLEAN: "boolean", Kind.MILLIS: "bigint", Kind.TEXT: "variant", Kind.DECIMAL_TEXT: "variant"}
+
+
+def _usual_value(field: Field) -> str:
+    member = f"_change.after.`{field.source}`"
+    return f"try_variant_get({member}, '$', 'string')" if _USUAL[field.kind] == "variant" else member
+
+
+def _usual_ok(field: Field) -> str:
+    """Whether the typed pass tells the field's value; a member of a wrong kind made a number or boolean unreadable before."""
+    member = f"_change.after.`{field.source}`"
+    if field.kind is Kind.TEXT:
+        return f"coalesce({kind_of(member)} in ('STRING', 'VOID'), true)" if field.nullable else f"coalesce({kind_of(member)} = 'STRING', false)"
+    if not field.nullable:
+        return f"{_usual_value(field)} is not null"
+    return f"({_usual_value(field)} is not null or not {present(member)})" if field.kind is Kind.DECIMAL_TEXT else "true"
+
+
+def _result(outcome: str, message: str, operation: str, ts: str, values: dict[str, str]) -> str:
+    fields = "".join(f", '_t_{name}', {value}" for name, value in values.items())
+    return f"named_struct('outcome', {outcome}, 'message', {message}, 'operation', {operation}, 'source_ts_ms', {ts}{fields})"
+
+
+def _own(entities: list[str], catalog: Catalog, value: str) -> str:
+    """value in rows of some entities, else null."""
+    return value if len(entities) == len(catalog.entities) else f"case when entity in ({_names(entities)}) then {value} end"
+
+
+def _with_usual(known: DataFrame, catalog: Catalog) -> DataFrame:
+    """known with _usual, the result of a row that one typed pass shows to be curated; null for a row to be judged in full."""
+    owners = _owners(catalog).values()
+    members = {field.source: f"`{field.source}`: {_USUAL[field.kind]}" for field, _ in owners}
+    if len({name.lower() for name in members}) < len(owners):             # one member for two fields, or names that differ in case alone
+        return known.withColumn("_usual", F.lit(None))
+    change = f"op: variant, source: struct<ts_ms: bigint>, after: struct<{', '.join(members.values())}>"
+    read = with_shape(known, "value", f"struct<payload: struct<{change}>, {change}>", "_shape")
+    # an object without "payload" is the change itself; a name may be spelled in escapes
+    placed = read.withColumn("_change", F.expr(
+        "case when _shape.payload.after is not null then _shape.payload when _shape.after is not null and not contains(value, 'payload') "
+        "and not contains(value, concat(chr(92), 'u')) then named_struct('op', _shape.op, 'source', _shape.source, 'after', _shape.after) end"))
+    fields_ok = _per_entity(catalog, lambda s: " and ".join(_usual_ok(f) for f in s.fields))
+    code = "try_variant_get(_change.op, '$', 'string')"
+    values = {field.name: _own(entities, catalog, _usual_value(field)) for field, entities in owners}
+    usual = f"_change.source.ts_ms is not null and coalesce({kind_of('_change.op')} in ('STRING', 'VOID'), true) and {fields_ok}"
+    result = _result(f"'{CURATED}'", "cast(null as string)", _operation(code), "_change.source.ts_ms", values)
+    return placed.withColumn("_usual", F.expr(f"case when {usual} then {result} end")).drop("_shape", "_change")
+
+
+def _in_full(catalog: Catalog) -> str:
+    """The result of any row, from its text as a VARIANT."""
+    owners = _owners(catalog).values()
+    path = lambda field: f"$.{field.source}"
+    kinds = ", ".join(f"'_k_{field.name}', {_own(entities, catalog, kind_of(at('after', path(field))))}" for field, entities in owners)
+    values = ", ".join(f"'_t_{field.name}', {typed('after', path(field), f'k._k_{field.name}', field.kind)}" for field, _ in owners)
+    outcome = (f"case when not parsed then '{PARSE_FAILED}' when not {present('after')} then '{IGNORED}' "
+               f"when failure is not null then '{PROJECTION_FAILED}' else '{CURATED}' end")
+    message = (f"case outcome when '{PARSE_FAILED}' then 'The value is not a well-formed change envelope.' "
+               f"when '{PROJECTION_FAILED}' then failure end")
+    steps = {**_envelope_steps(), "k": f"named_struct({kinds})", "t": f"named_struct({values})", "failure": _per_entity(catalog, _spec_failure), "outcome": outcome}
+    return let(steps, _result("outcome", message, "operation", "source_ts_ms", {field.name: f"t._t_{field.name}" for field, _ in owners}))
 
 
 def _failure(field: Field) -> str:
     """Message for a field that cannot be projected, else null."""
-    json_kind, value = f"_k_{field.name}", f"_t_{field.name}"
+    json_kind, value = f"k._k_{field.name}", f"t._t_{field.name}"
     wrong = f"{field.source}: not of a kind that {field.name} ({field.kind.value}) can hold"
     absent = f"({json_kind} is null or {json_kind} = 'VOID')"
     if field.nullable:
@@ -104,21 +167,17 @@ def _failure(field: Field) -> str:
 def _spec_failure(spec: EntitySpec) -> str:
     """Message of the first field of spec, in its order, that cannot be projected."""
     required = next(f for f in spec.fields if not f.nullable)
-    not_object = (f"case when _k_{required.name} is null and not {is_object('after')} "
+    not_object = (f"case when k._k_{required.name} is null and not {is_object('after')} "
                   "then 'The after-image is not a JSON object.' end")
     return f"coalesce({', '.join([not_object, *[_failure(f) for f in spec.fields]])})"
 
 
 def _judged(raw: DataFrame, catalog: Catalog) -> DataFrame:
     """Known raw rows with the typed fields of all entities, operation, source_ts_ms, outcome and message."""
-    parsed = parse_envelopes(raw, catalog)
-    typed_rows = _read_fields(parsed, catalog).withColumn("_failure", F.expr(_per_entity(catalog, _spec_failure)))
-    outcome = (f"case when not parsed then '{PARSE_FAILED}' when not {present('after')} then '{IGNORED}' "
-               f"when _failure is not null then '{PROJECTION_FAILED}' else '{CURATED}' end")
-    message = (f"case outcome when '{PARSE_FAILED}' then 'The value is not a well-formed change envelope.' "
-               f"when '{PROJECTION_FAILED}' then _failure end")
-    judged = typed_rows.withColumn("outcome", F.expr(outcome)).withColumn("message", F.expr(message))
-    return _pinned(judged, ["outcome", "message"])
+    usual = _with_usual(_known(raw, catalog), catalog)
+    # the full reading is evaluated for the rows that need it, and stays out of the code generated for all others
+    judged = _pinned(usual.withColumn("_row", F.expr(f"coalesce(_usual, {_in_full(catalog)})")).drop("_usual"), ["_row"])
+    return judged.select(*[c for c in judged.columns if c != "_row"], "_row.*")
 
 
 def _curated_at(curated_at) -> Column:
