@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,7 @@ from starloom.session import materialize
 CAPACITY = 4096
 END_ID = 1
 GROUP_PIECES = 8192
-_CACHE_WORDS = 500_000
+_CACHE_WORDS = 1 << 14                                   # chunks, and parts of chunks, that a worker keeps the ids of
 _ODD_SPACE = re.compile("[\x1c-\x1f]")                  # white space for str.split, but not for the tokenizer
 _SPACES = re.compile(r"[\x20\x09-\x0D]+")
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-/:-@\[-`{-~]*)")   # Latin letters that lower-case to one letter
@@ -50,7 +51,7 @@ def _byte_letters() -> list[str]:
 
 
 class WordIds(dict):
-    """The ids (little-endian uint32 bytes) of each chunk between white space, computed once per worker while they fit.
+    """The ids (little-endian uint32 bytes) of each chunk between white space, the first _CACHE_WORDS (frequent ones among them) kept, later ones computed.
 
     The tokenizer never joins across white space, so a text's ids are those of its chunks. Chunks of Latin letters with
     punctuation behind them are split here as the tokenizer splits them and looked up by their parts.
@@ -63,21 +64,21 @@ class WordIds(dict):
         self.tokenizer, self.letters, self.cores = Tokenizer.from_file(path), _byte_letters(), {}
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) + len(self.cores) >= _CACHE_WORDS:
-            self.clear()
-            self.cores.clear()
         if plain := _PLAIN.fullmatch(chunk):
             core = "".join(map(str.lower, plain[1])) if not plain[1].isascii() else plain[1].lower()
             value = self._part(core) + (self._part(plain[2]) if plain[2] else b"")
         else:
             value = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        self[chunk] = value
+        if len(self) < _CACHE_WORDS:
+            self[chunk] = value
         return value
 
     def _part(self, part: str) -> bytes:
         if (value := self.cores.get(part)) is None:
             shown = part if part.isascii() else "".join(self.letters[b] for b in part.encode())
-            value = self.cores[part] = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], "<u4").tobytes()
+            value = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], "<u4").tobytes()
+            if len(self.cores) < _CACHE_WORDS:
+                self.cores[part] = value
         return value
 
     def of(self, text: str | None) -> bytes:
@@ -87,6 +88,12 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, chunks))
 
 
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """One for all tasks of a worker."""
+    return WordIds(path)
+
+
 def tokenised_pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, keep_ids: bool = False) -> DataFrame:
     """Pieces of docs (doc_id, text): doc_id, piece, start, length, ids_crc32, and ids if asked for. No shuffle."""
     small_batches(docs.sparkSession)
@@ -95,7 +102,7 @@ def tokenised_pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None
         "piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids).fields])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end, width = WordIds(path), np.array([END_ID], "<u4").tobytes(), 4 * capacity
+        words, end, width = word_ids(path), np.array([END_ID], "<u4").tobytes(), 4 * capacity
         for batch in batches:
             rows, piece, start, length, crc, ids = [], [], [], [], [], []
             for row, text in enumerate(batch.column(1).to_pylist()):

@@ -243,3 +243,12 @@ def test_a_lost_writer_leaves_no_records(spark, tmp_path):
     manifest = warc.write_archives(warc.planned_records(pages), f"file://{tmp_path}/a")
     (tmp_path / "a" / "part-000000-999.warc.gz").write_bytes(warc.member(77, "u", b"left over", "0", None))
     assert 77 not in {int(r.record_id.split(":")[-1][:-1]) for r in warc.read_archives(manifest).collect()}
+
+
+def test_word_ids_are_kept_within_a_bound_and_shared_by_the_tasks_of_a_worker(monkeypatch):
+    monkeypatch.setattr(packing, "_CACHE_WORDS", 3)
+    words, whole = packing.WordIds(packing.tokenizer_path()), "one two. three, four five! six one two. seven four"
+    expected = [words.tokenizer.encode(whole, add_special_tokens=False).ids] * 2
+    assert [np.frombuffer(words.of(whole), "<u4").tolist() for _ in range(2)] == expected
+    assert len(words) == 3 and len(words.cores) <= 3 and {"one", "two."} <= set(words)
+    assert packing.word_ids(packing.tokenizer_path()) is packing.word_ids(packing.tokenizer_path())
