@@ -150,7 +150,7 @@ def _in_full(catalog: Catalog) -> str:
     message = (f"case outcome when '{PARSE_FAILED}' then 'The value is not a well-formed change envelope.' "
                f"when '{PROJECTION_FAILED}' then failure end")
     steps = {**_envelope_steps(), "k": f"named_struct({kinds})", "t": f"named_struct({values})", "failure": _per_entity(catalog, _spec_failure), "outcome": outcome}
-    return let(steps, _result("outcome", message, "operation", "source_ts_ms", {field.name: f"t._t_{field.name}" for field, _ in owners}))
+    return let(steps, _result("outcome", message, "operation", "source_ts_ms", {field.name: f"case when outcome = '{CURATED}' then t._t_{field.name} end" for field, _ in owners}))
 
 
 def _failure(field: Field) -> str:
@@ -173,7 +173,7 @@ def _spec_failure(spec: EntitySpec) -> str:
 
 
 def _judged(raw: DataFrame, catalog: Catalog) -> DataFrame:
-    """Known raw rows with the typed fields of all entities, operation, source_ts_ms, outcome and message."""
+    """Known raw rows with the typed fields of all entities (null unless curated), operation, source_ts_ms, outcome and message."""
     usual = _with_usual(_known(raw, catalog), catalog)
     # the full reading is evaluated for the rows that need it, and stays out of the code generated for all others
     judged = _pinned(usual.withColumn("_row", F.expr(f"coalesce(_usual, {_in_full(catalog)})")).drop("_usual"), ["_row"])
@@ -193,7 +193,7 @@ def classify(raw: DataFrame, curated_at, catalog: Catalog = CATALOG) -> DataFram
     """
     judged = _judged(raw, catalog)
     good = F.col("outcome") == CURATED
-    fields = [F.expr(f"case when outcome = '{CURATED}' then _t_{name} end").alias(name) for name in _owners(catalog)]
+    fields = [F.col(f"_t_{name}").alias(name) for name in _owners(catalog)]
     key = F.expr(_per_entity(catalog, lambda s: f"coalesce(cast(_t_{s.key_field} as string), '')"))
     return judged.select(
         F.when(good, F.col("entity")).otherwise(QUARANTINE).alias("route"), "entity", "outcome", "message", "topic",
