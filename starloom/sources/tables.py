@@ -107,10 +107,22 @@ class FolderTable(VersionedTable):
     def _content(self, folder: str) -> DataFrame:
         name = self._key()[0]
         paths = [f"{self.path}/{_WRITE}{r['_made']}/{name}={_NO_VALUE if r['_of'] is None else r['_of']}" for r in self.spark.read.parquet(folder).collect()]
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
+        return self._content_of(paths) if paths else self.spark.createDataFrame([], self.schema)
+
+    def _content_of(self, paths: list[str]) -> DataFrame:
         return self.spark.read.schema(self.schema).option("basePath", self.path).parquet(*paths)
 
+    def _digests(self, rows: DataFrame) -> DataFrame:
+        whole = [F.xxhash64(*self.schema.names, F.lit(salt)) for salt in (1, 2)]
+        return rows.groupBy(self._key()[1].cast("string").alias("_of")).agg(
+            F.count(F.lit(1)).alias("_rows"), F.bit_xor(whole[0]).alias("_mixed"), F.sum(whole[1].cast("decimal(38,0)")).cast("string").alias("_summed"))
+
+    def _make(self, rows: DataFrame, number: int) -> None:
+        """Write rows as the folders of their keys."""
+        name, key = self._key()
+        (rows.withColumn(name, key).hint("rebalance", name).sortWithinPartitions(*dict.fromkeys([name, *self.partition_by])).write.mode("overwrite")
+         .partitionBy(name).parquet(f"{self.path}/{_WRITE}{number}"))
+
     def update(self, rows: DataFrame, keys: set[str | None], batch: str = "") -> None:
         """A new version in which rows are the whole content of the folders keys; all other folders stay unread."""
         found = self._committed()
@@ -120,12 +132,13 @@ class FolderTable(VersionedTable):
 
     def _write(self, rows: DataFrame, number: int, batch: str, keys: set[str | None] | None = None) -> None:
         """keys: the folders that rows are the content of; all, if None."""
-        (name, key), found = self._key(), self._committed()
-        rows = materialize(rows, "folders")                            # digests and files must come from the same rows
-        whole = [F.xxhash64(*self.schema.names, F.lit(salt)) for salt in (1, 2)]
-        now = rows.groupBy(key.cast("string").alias("_of")).agg(
-            F.count(F.lit(1)).alias("_rows"), F.bit_xor(whole[0]).alias("_mixed"), F.sum(whole[1].cast("decimal(38,0)")).cast("string").alias("_summed"))
-        if found:
+        key, found = self._key()[1], self._committed()
+        if not found:                                                   # every folder is new: the rows are written once and read back
+            self._make(rows, number)
+            now = materialize(self._digests(self._content_of([f"{self.path}/{_WRITE}{number}"])).withColumn("_made", F.lit(number)), "folders")
+        else:
+            rows = materialize(rows, "folders")                        # digests and files must come from the same rows
+            now = self._digests(rows)
             same = ["_rows", "_mixed", "_summed"]
             old = self._list(found[-1]).select(*[F.col(c).alias(f"old{c}") for c in ("_of", *same)], "_made")
             equal = F.col("_made").isNotNull()
@@ -136,14 +149,10 @@ class FolderTable(VersionedTable):
                 others = self._list(found[-1])
                 named = F.col("_of").isin(*[k for k in keys if k is not None])
                 now = now.unionByName(others.where(~F.coalesce(named, F.lit(None in keys))))
-        else:
-            now = now.withColumn("_made", F.lit(number))
-        now = materialize(now, "folders")
-        fresh = now.where(F.col("_made") == number).select("_of")
-        if not fresh.isEmpty():
-            part = rows.join(fresh, key.cast("string").eqNullSafe(F.col("_of")), "left_semi").withColumn(name, key)
-            (part.hint("rebalance", name).sortWithinPartitions(*dict.fromkeys([name, *self.partition_by])).write.mode("overwrite")
-             .partitionBy(name).parquet(f"{self.path}/{_WRITE}{number}"))
+            now = materialize(now, "folders")
+            fresh = now.where(F.col("_made") == number).select("_of")
+            if not fresh.isEmpty():
+                self._make(rows.join(fresh, key.cast("string").eqNullSafe(F.col("_of")), "left_semi"), number)
         now.coalesce(1).write.mode("overwrite").parquet(self._folder(number, batch))          # the commit: a row per folder
 
     def _forget(self) -> None:
