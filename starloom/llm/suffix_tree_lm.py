@@ -55,6 +55,7 @@ RANGE_TOKENS = 1 << 17            # tokens whose grams share a hash range, about
 HOT_ENTRIES = 1 << 20             # weights of the most frequent grams, broadcast
 _CHUNK_TOKENS = 2_000_000         # tokens whose grams a worker reduces at once
 _BLOCK = 1 << 20                  # bytes of text hashed at once
+_SCORE_ROWS = 64                  # rows of an Arrow batch of texts to score: about a dozen numbers for each token and size of gram are held at once
 _NUMBER_ROWS = 20_000             # rows of an Arrow batch of numbers
 _PLACES = 32_768                  # of one bitmap that bitmap_construct_agg builds
 
@@ -339,7 +340,7 @@ def split_weights(model: Model, most: int = HOT_ENTRIES) -> tuple[Hot, DataFrame
 def score(docs: DataFrame, model: Model, depth: int = DEPTH, hot_entries: int = HOT_ENTRIES) -> DataFrame:
     """docs (doc_id, held_out, text) to doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, _SCORE_ROWS)
     hot, cold, places = split_weights(model, hot_entries)
     hot, places = spark.sparkContext.broadcast(hot), spark.sparkContext.broadcast(places)
     schema = T.StructType([*docs.select("doc_id", "held_out").schema.fields, *T.StructType.fromDDL(
