@@ -13,6 +13,7 @@ and spread over the groups like any others. An empty table gives no pieces. Full
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,7 +32,7 @@ from starloom.session import materialize
 CAPACITY = 4096
 END_ID = 1
 GROUP_PIECES = 8192
-_CACHE_WORDS = 1 << 14                                   # chunks, and parts of chunks, that a worker keeps the ids of
+_CACHE_WORDS = 1 << 16                                   # chunks, and parts of chunks, that a worker keeps the ids of
 _ODD_SPACE = re.compile("[\x1c-\x1f]")                  # white space for str.split, but not for the tokenizer
 _SPACES = re.compile(r"[\x20\x09-\x0D]+")
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-/:-@\[-`{-~]*)")   # Latin letters that lower-case to one letter
@@ -50,6 +51,10 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)              # a few ids: far cheaper than by an array
+
+
 class WordIds(dict):
     """The ids (little-endian uint32 bytes) of each chunk between white space, the first _CACHE_WORDS (frequent ones among them) kept, later ones computed.
 
@@ -62,13 +67,16 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer, self.letters, self.cores = Tokenizer.from_file(path), _byte_letters(), {}
+        self.model = self.tokenizer.model                  # asking the tokenizer for it makes a new object each time
 
     def __missing__(self, chunk: str) -> bytes:
-        if plain := _PLAIN.fullmatch(chunk):
+        if chunk.isascii() and chunk.isalpha():            # most chunks, and one of three comes here: without the pattern and the second part
+            value = self._part(chunk.lower())
+        elif plain := _PLAIN.fullmatch(chunk):
             core = "".join(map(str.lower, plain[1])) if not plain[1].isascii() else plain[1].lower()
             value = self._part(core) + (self._part(plain[2]) if plain[2] else b"")
         else:
-            value = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+            value = _packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
         if len(self) < _CACHE_WORDS:
             self[chunk] = value
         return value
@@ -76,7 +84,7 @@ class WordIds(dict):
     def _part(self, part: str) -> bytes:
         if (value := self.cores.get(part)) is None:
             shown = part if part.isascii() else "".join(self.letters[b] for b in part.encode())
-            value = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], "<u4").tobytes()
+            value = _packed([t.id for t in self.model.tokenize(shown)])
             if len(self.cores) < _CACHE_WORDS:
                 self.cores[part] = value
         return value

@@ -252,3 +252,9 @@ def test_word_ids_are_kept_within_a_bound_and_shared_by_the_tasks_of_a_worker(mo
     assert [np.frombuffer(words.of(whole), "<u4").tolist() for _ in range(2)] == expected
     assert len(words) == 3 and len(words.cores) <= 3 and {"one", "two."} <= set(words)
     assert packing.word_ids(packing.tokenizer_path()) is packing.word_ids(packing.tokenizer_path())
+
+
+def test_plain_words_go_without_the_pattern(monkeypatch):
+    whole = packing.WordIds(packing.tokenizer_path()).of("Plain WORDS only words")
+    monkeypatch.setattr(packing, "_PLAIN", None)
+    assert packing.WordIds(packing.tokenizer_path()).of("Plain WORDS only words") == whole
