@@ -26,7 +26,6 @@ held-out id. Contexts never reach over the beginning of a document.
 
 from __future__ import annotations
 
-import gc
 import math
 import re
 from collections.abc import Iterator
@@ -240,19 +239,12 @@ class Model:
     weights: DataFrame
 
 
-def _release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished steps: it does so once the references of Python, then those of the driver, are collected."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def learn(docs: DataFrame, depth: int = DEPTH, penalty: float = PENALTY) -> Model:
     """The tree of docs (text), of any size: one pass over the texts per size of gram, each joined with the size below."""
     spark = docs.sparkSession
     small_batches(spark)
     words = materialize(word_counts(docs), "words")
     tokens, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    _release(spark)
     # p: probability of a gram's last word in the longest retained suffix of the words before it; suffix: the gram without its first word
     lower = words.where(F.col("n") >= EDGE_COUNT).select("gram", F.lit(0).cast("long").alias("suffix"), "n", ((F.col("n") + 1) / F.lit(float(tokens + kinds + 1))).alias("p"))
     none, longer = F.lit(0).cast("long").alias("n"), F.pandas_udf(_extended_series, T.LongType())
@@ -264,13 +256,11 @@ def learn(docs: DataFrame, depth: int = DEPTH, penalty: float = PENALTY) -> Mode
             break
         small_batches(spark)
         counts = materialize(gram_counts(docs, size, places_of(candidates, found), tokens), f"counts-{size}")
-        _release(spark)
         small_batches(spark, _NUMBER_ROWS)
         rows = counts.join(candidates.select(F.col("gram").alias("context"), F.col("n").alias("total"), F.col("suffix").alias("rest")), "context")
         rows = rows.select("gram", "context", "n", "total", (F.col("word") if size == 2 else longer("rest", "word")).alias("suffix"))
         rows = materialize(rows.join(lower.select(F.col("gram").alias("suffix"), F.col("p").alias("before")), "suffix"), f"size-{size}")
         drop_table(counts)
-        _release(spark)
         gain = F.col("n") * F.log(F.col("n") / F.col("total") / F.col("before"))
         nodes = rows.groupBy("context").agg(F.sum(gain).alias("gain"), F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("seen"), F.sum("before").alias("before"), F.max("total").alias("total"))
         rest = F.col("total") - F.col("seen")              # all other symbols together are one more outcome
@@ -281,13 +271,11 @@ def learn(docs: DataFrame, depth: int = DEPTH, penalty: float = PENALTY) -> Mode
         p = F.coalesce((F.col("n") - DISCOUNT) / F.col("total") + F.col("free") * F.col("before"), "before")
         placed = placed.select("gram", "suffix", "n", p.alias("p"), F.log10(p / F.col("before") / F.col("free")).alias("weight"))
         below, lower = lower, materialize(placed, f"lower-{size}")
-        _release(spark)
         drop_table(rows)
         if size > 2:
             drop_table(below)
         weights.append(retained.select(F.col("context").alias("gram"), F.col("total").alias("seen"), none, F.log10("free").alias("weight")))
         weights.append(materialize(lower.where("weight is not null").select("gram", F.col("n").alias("seen"), "weight"), f"edges-{size}").select("gram", "seen", none, "weight"))
-        _release(spark)
     return Model(tokens, kinds, reduce(DataFrame.unionByName, weights))
 
 
@@ -377,7 +365,6 @@ def score(docs: DataFrame, model: Model, depth: int = DEPTH, hot_entries: int =
             row += len(lengths)
 
     first = materialize(docs.select("doc_id", "held_out", "text").mapInArrow(one, schema), "asked")
-    _release(spark)
     asked = first.select("row", F.explode(F.arrays_zip("grams", "times")).alias("g")).select("row", F.col("g.grams").alias("gram"), F.col("g.times").alias("times"))
     rest = asked.join(cold, "gram").groupBy("row").agg(
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more_counted"),

@@ -97,15 +97,30 @@ def passing_cut_points(spark: SparkSession):
         _drop(spark, inner)
 
 
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def _shuffles_dropped(spark: SparkSession):
+    """Spark removes the shuffle files of what is run within the block as soon as it has run, not when the driver next collects garbage."""
+    before = spark.conf.get(_DROP_SHUFFLES, "false")
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_DROP_SHUFFLES, before)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write df once as Parquet in the shared folder and read it back.
 
     Cuts the lineage so that later passes agree on row placement and survive lost executors, and lets
-    each pass read only the columns it needs.
+    each pass read only the columns it needs. The shuffles of the write go with it: nothing reads them again.
     """
     spark = df.sparkSession
     path = f"{getattr(_open, 'folder', None) or _cut_points(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with _shuffles_dropped(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

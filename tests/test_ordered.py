@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import Window
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from starloom.operators import temporal, trees
 from starloom.operators.lookup import lookup
 from starloom.operators.ranges import exact_percentiles, global_rank, keyed_scan, number_rows
+from starloom.session import materialize
 
 
 @pytest.fixture(scope="module")
@@ -115,3 +117,15 @@ def test_downstream_stops_at_cycles_and_depth(spark):
     reach = lambda depth: {r.node: r.depth for r in trees.downstream(edges, start, depth).collect()}
     assert reach(None) == reach(10) == {"b": 1, "c": 2, "d": 3, "e": 4}
     assert reach(2) == {"b": 1, "c": 2}
+
+
+def test_the_shuffle_files_of_a_cut_point_go_when_it_is_written(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {name for name in disk.getAllFiles().mkString(" ").split() if "shuffle_" in name}
+    before, switch = shuffles(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    stored = materialize(spark.range(1000).repartition(4, "id"), "dropped")
+    until = time.monotonic() + 20
+    while shuffles() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before and spark.conf.get(switch) == "false"
+    assert stored.count() == 1000 and stored.groupBy("id").count().count() == 1000
