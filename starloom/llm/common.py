@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from starloom.session import materialize
 
 TEXT_BATCH_ROWS = 256                                        # rows of an Arrow batch that carries whole texts
-_WORD_CACHE_ROWS = 250_000
+_WORD_CACHE_ROWS = 1 << 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:

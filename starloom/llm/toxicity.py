@@ -13,7 +13,7 @@ each time it occurs. With no label rows of one class, all scores are the (clippe
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,6 +27,7 @@ from starloom.llm.registry import query
 BITS = 20
 MAX_TRAIN_ROWS = 20_000
 THRESHOLD = 0.7
+_PART_ROWS = 1000
 _LETTERS = re.compile(r"[^\W_]+")
 
 
@@ -67,24 +68,30 @@ def slots(text: str | None, words: WordHashes) -> np.ndarray:
 
 
 class Rows:
-    """Training rows: all slots in one array, which is given back to the system as a whole when training is done."""
+    """Training rows from (text, label) pairs, which are read once: the slots of _PART_ROWS rows are one array."""
 
-    def __init__(self, texts, labels, words: WordHashes):
-        self.labels, parts, ends, part, size = list(labels), [], [0], [], 0
-        for text in texts:
+    def __init__(self, pairs: Iterable[tuple[str | None, int]], words: WordHashes):
+        self.labels, self.parts, self.ends, part = [], [], [], []
+        for text, label in pairs:
+            self.labels.append(int(label))
             part.append(slots(text, words))
-            size += len(part[-1])
-            ends.append(size)
-            if len(part) == 1000:
-                parts.append(np.concatenate(part))
+            if len(part) == _PART_ROWS:
+                self._close(part)
                 part = []
-        self.slots, self.ends = np.concatenate([np.empty(0, np.int32), *parts, *part]), ends
+        self._close(part)
+
+    def _close(self, part: list[np.ndarray]) -> None:
+        if part:
+            self.parts.append(np.concatenate(part))
+            self.ends.append(np.cumsum([0, *map(len, part)]))
 
     def __len__(self) -> int:
         return len(self.labels)
 
     def __getitem__(self, k: int) -> tuple[np.ndarray, int]:
-        return self.slots[self.ends[k]:self.ends[k + 1]], self.labels[k]
+        part, at = divmod(k, _PART_ROWS)
+        ends = self.ends[part]
+        return self.parts[part][ends[at]:ends[at + 1]], self.labels[k]
 
 
 def fit(rows: Rows, how: Ftrl) -> Weights:
@@ -114,14 +121,17 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS, ho
     small_batches(spark)
     sample = (labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
-    rows = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(F.lit(0).alias("fit"), "doc_id", "toxic", "text"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text")
 
-    def one(batch: pd.DataFrame) -> pd.DataFrame:
-        batch = batch.sort_values(["doc_id", "text"], kind="stable", na_position="first")
-        w = fit(Rows(batch["text"], (batch["toxic"] > 0).astype(int), WordHashes()), how)
-        return pd.DataFrame({"slots": [w.slots], "weights": [w.values.astype(np.float64)], "bias": [w.bias]})
+    def one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pairs = (pair for batch in batches for pair in zip(batch["text"], (batch["toxic"] > 0).astype(int)))
+        if len(seen := Rows(pairs, WordHashes())):
+            w = fit(seen, how)
+            yield pd.DataFrame({"slots": [w.slots], "weights": [w.values.astype(np.float64)], "bias": [w.bias]})
 
-    found = rows.groupBy("fit").applyInPandas(one, "slots array<long>, weights array<double>, bias double").collect()
+    # the one task gets the rows in order, a small batch at a time: it never holds the texts
+    ordered = rows.repartition(1).sortWithinPartitions("doc_id", "text")
+    found = ordered.mapInPandas(one, "slots array<long>, weights array<double>, bias double").collect()
     if not found:
         return Weights(np.empty(0, np.int64), np.empty(0, np.float32), 0.0)
     return Weights(np.array(found[0][0], np.int64), np.array(found[0][1], np.float32), found[0][2])

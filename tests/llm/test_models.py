@@ -47,6 +47,16 @@ def test_toxicity_learns_nothing_from_held_out_labels(spark, sf):
     assert sorted(a) == sorted(b)
 
 
+def test_toxicity_rows_are_read_once_and_found_in_their_parts(monkeypatch):
+    monkeypatch.setattr(toxicity, "_PART_ROWS", 3)
+    texts = [prose(k, 5 + k) for k in range(8)] + [None, ""]
+    for n in (0, 3, 10):
+        rows = toxicity.Rows(((t, k % 2) for k, t in enumerate(texts[:n])), toxicity.WordHashes())
+        assert len(rows) == n and all(len(p) for p in rows.parts) and len(rows.parts) == -(-n // 3)
+        for k in range(n):
+            assert rows[k][0].tolist() == toxicity.slots(texts[k], toxicity.WordHashes()).tolist() and rows[k][1] == k % 2
+
+
 def test_toxicity_odd_input(spark, sf, odd_texts):
     labels = [(7, 1, 1), (7, 1, 0), (None, 1, 1), (8, None, None), (4, 0, 0), (999, 0, 1)]
     got = toxicity.op5_toxicity(spark, sf(documents=documents(odd_texts), labels=(LABELS, labels))).collect()
