@@ -9,7 +9,9 @@ import shutil
 import tempfile
 import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -98,17 +100,23 @@ def passing_cut_points(spark: SparkSession):
 
 
 _DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_dropping, _dropping_lock = [0, "false"], threading.Lock()         # how many writes are under way, and the setting before the first
 
 
 @contextlib.contextmanager
 def _shuffles_dropped(spark: SparkSession):
     """Spark removes the shuffle files of what is run within the block as soon as it has run, not when the driver next collects garbage."""
-    before = spark.conf.get(_DROP_SHUFFLES, "false")
-    spark.conf.set(_DROP_SHUFFLES, "true")
+    with _dropping_lock:
+        if not _dropping[0]:
+            _dropping[1] = spark.conf.get(_DROP_SHUFFLES, "false")
+        _dropping[0] += 1
+        spark.conf.set(_DROP_SHUFFLES, "true")
     try:
         yield
     finally:
-        spark.conf.set(_DROP_SHUFFLES, before)
+        with _dropping_lock:
+            _dropping[0] -= 1
+            spark.conf.set(_DROP_SHUFFLES, "true" if _dropping[0] else _dropping[1])
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -117,13 +125,28 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage so that later passes agree on row placement and survive lost executors, and lets
     each pass read only the columns it needs. The shuffles of the write go with it: nothing reads them again.
     """
+    return _stored(df, _new_cut_point(df.sparkSession, label))
+
+
+def _new_cut_point(spark: SparkSession, label: str) -> str:
+    return f"{getattr(_open, 'folder', None) or _cut_points(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
-    path = f"{getattr(_open, 'folder', None) or _cut_points(spark)}/{label}-{uuid.uuid4().hex}"
     with _shuffles_dropped(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_all(frames: dict[str, DataFrame], at_once: int = 4) -> dict[str, DataFrame]:
+    """materialize of independent frames by label, several at a time: cores that a frame of few tasks leaves idle work on the next."""
+    paths = {label: _new_cut_point(df.sparkSession, label) for label, df in frames.items()}      # here: the folder is this thread's
+    with ThreadPoolExecutor(at_once) as pool:
+        written = {label: pool.submit(inheritable_thread_target(df.sparkSession)(_stored), df, paths[label]) for label, df in frames.items()}
+        return {label: job.result() for label, job in written.items()}
+
+
 _FIXED_WIDTH = {T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4}
 
 

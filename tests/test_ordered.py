@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from starloom.operators import temporal, trees
 from starloom.operators.lookup import lookup
 from starloom.operators.ranges import exact_percentiles, global_rank, keyed_scan, number_rows
-from starloom.session import materialize
+from starloom.session import materialize, materialize_all, passing_cut_points
 
 
 @pytest.fixture(scope="module")
@@ -129,3 +129,15 @@ def test_the_shuffle_files_of_a_cut_point_go_when_it_is_written(spark):
         time.sleep(0.2)
     assert not shuffles() - before and spark.conf.get(switch) == "false"
     assert stored.count() == 1000 and stored.groupBy("id").count().count() == 1000
+
+
+def test_independent_cut_points_are_written_at_once_and_in_the_callers_folder(spark):
+    frames = {f"at-once-{k}": spark.range(100 * k).repartition(2, "id") for k in range(1, 7)}
+    with passing_cut_points(spark):
+        stored = materialize_all(frames, at_once=3)
+        assert [df.count() for df in stored.values()] == [100 * k for k in range(1, 7)] and list(stored) == list(frames)
+        assert all("/passing-" in df.inputFiles()[0] for df in stored.values())
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    with pytest.raises(Exception, match="broken frame"):
+        materialize_all({"whole": spark.range(5), "broken": spark.range(5).select(F.raise_error(F.lit("broken frame")).cast("string").alias("x"))})
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
