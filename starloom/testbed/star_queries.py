@@ -19,7 +19,7 @@ from starloom.operators.ranges import global_rank, number_rows
 from starloom.operators.scd import close_version, current_versions
 from starloom.plans import conform, marts
 from starloom.plans.star_load import LoadLog, StarStore, load_star
-from starloom.session import materialize, shared_dir
+from starloom.session import materialize, materialize_all, shared_dir
 from starloom.testbed.frames import curated_rows, plain, rows_sql, source_rows, table
 from starloom.testbed.registry import query
 
@@ -329,9 +329,8 @@ UNION ALL SELECT 'fact_transaction', (SELECT COUNT(*) FROM orders)
 UNION ALL SELECT 'fact_inventory_snap', (SELECT COUNT(*) FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) x)""")
 def star_load_counts(spark, sf_dir):
     """The whole load, nine tables written in dependency order, then reconciled by row count."""
-    snapshot = {e: materialize(curated_rows(spark, sf_dir, e), e) for e in (
-        "customers", "product-categories", "products", "warehouses", "orders", "order-lines", "transactions", "shipments",
-        "product-inventory")}
+    snapshot = materialize_all({e: curated_rows(spark, sf_dir, e) for e in (
+        "order-lines", "product-inventory", "orders", "shipments", "transactions", "customers", "products", "product-categories", "warehouses")})
     store = StarStore(spark, f"{shared_dir(spark)}/star-{uuid.uuid4().hex}", months=True)          # days of a few rows: a folder per month
     load_star(snapshot, store, BATCH, "trace")
     return marts.row_counts(store.read())
@@ -470,12 +469,12 @@ def star_load_recoded(spark, sf_dir):
         rows = curated_rows(spark, sf_dir, entity)
         return rows.unionByName(rows.where(which).withColumns({**new, "offset": F.col("offset") + 10_000_000_000}))
 
-    snapshot = {e: curated_rows(spark, sf_dir, e) for e in ("customers", "products", "order-lines", "transactions", "shipments", "product-inventory")}
+    snapshot = {e: curated_rows(spark, sf_dir, e) for e in ("order-lines", "product-inventory", "shipments", "transactions", "customers", "products")}
     snapshot |= {"warehouses": again("warehouses", F.col("warehouseId") % 3 == 0, code=F.concat(F.lit("NEW-"), "code")),
                  "product-categories": again("product-categories", F.lit(True), name=F.concat(F.lit("new "), "name")),
                  "orders": again("orders", F.col("orderId") % 4 == 0, orderNumber=F.concat("orderNumber", F.lit("b")))}
     store = StarStore(spark, f"{shared_dir(spark)}/star-{uuid.uuid4().hex}", day_folders=False)
-    load_star({e: materialize(df, e) for e, df in snapshot.items()}, store, BATCH, "trace")
+    load_star(materialize_all(snapshot), store, BATCH, "trace")
     tables = store.read()
     renamed = {"dim_warehouse": F.col("code").startswith("NEW-"), "dim_product(current)": F.col("category_name").startswith("new ")}
     parts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"), F.count_if(renamed.get(name, F.lit(False))).alias("renamed"))
@@ -493,8 +492,8 @@ UNION ALL SELECT 'dim_date', 'ok', NULL UNION ALL SELECT 'dim_warehouse', 'faile
 UNION ALL SELECT 'dim_warehouse-load-failed', 'error', NULL""")
 def load_stage_rows(spark, sf_dir):
     """What a load and a failing load leave behind as telemetry tables."""
-    snapshot = {e: materialize(curated_rows(spark, sf_dir, e), e) for e in (
-        "customers", "product-categories", "products", "warehouses", "orders", "order-lines", "transactions", "shipments", "product-inventory")}
+    snapshot = materialize_all({e: curated_rows(spark, sf_dir, e) for e in (
+        "order-lines", "product-inventory", "orders", "shipments", "transactions", "customers", "products", "product-categories", "warehouses")})
     root = f"{shared_dir(spark)}/load-{uuid.uuid4().hex}"
     log = LoadLog(spark, f"{root}/log")
     load_star(snapshot, StarStore(spark, f"{root}/star", day_folders=False), BATCH, "trace", log=log)
