@@ -15,9 +15,13 @@ So a document's score is the sum of one weight per gram in it, and scoring is on
 
 The tree grows one size at a time. A gram is counted only after a context that may be a node, which a bitmap of hash places
 tells; the bitmap has at most 2**FILTER_BITS places, and what it lets pass in vain the exact join by context drops, so its size never changes a
-result. Counts leave a task as packed columns per hash range, and a range holds about RANGE_TOKENS tokens at any corpus size;
-the range comes from the whole gram, so a frequent context is spread over all of them. Scoring looks up the HOT_ENTRIES most
-frequent weights in a broadcast table of that fixed size, drops grams the bitmap of weights does not know, and joins the rest.
+result. All numbers travel as packed columns per hash range, and a range holds the grams of about RANGE_TOKENS tokens at any corpus size: counts by the
+whole gram, so that a frequent context is spread over all ranges, then, once a gram is one number, to the range of its suffix and to that of its context.
+There each size is joined with the one below by cogrouping ranges; what meets at one context or suffix is at most one number for each word of the vocabulary.
+
+Scoring asks a bitmap of all weights and looks up the HOT_ENTRIES most frequent in a broadcast table of that fixed size. The rest goes, a chunk of
+documents at a time, to the hash ranges of the weights and back, in up to PASSES passes over the documents (by a hash of their id), so that only a part
+of what is asked is on disk at a time.
 
 Words and grams are identified by 64-bit hashes. Defined cases: a null, empty or wordless text is the end mark alone. Without any
 training document every token has c = 0, N = V = 0. Repeated rows are counted and scored each time; a null id is no
@@ -33,10 +37,10 @@ from dataclasses import dataclass
 from functools import lru_cache, reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,14 +54,18 @@ EDGE_COUNT = 2                    # occurrences of a next symbol that is stored
 PENALTY = 4.0
 DISCOUNT = 0.5
 FILTER_BITS = 27                  # a bitmap has at most 2**27 places, 16 MB
-RANGE_TOKENS = 1 << 17            # tokens whose grams share a hash range, about
+RANGE_TOKENS = 1 << 19            # tokens whose grams share a hash range, about
 HOT_ENTRIES = 1 << 20             # weights of the most frequent grams, broadcast
+PASSES = 3                        # passes over the documents to score: what one asks for is on disk at a time
+PASS_TOKENS = 1 << 23             # training tokens for each pass at least
 _CHUNK_TOKENS = 2_000_000         # tokens whose grams a worker reduces at once
 _BLOCK = 1 << 20                  # bytes of text hashed at once
-_SCORE_ROWS = 64                  # rows of an Arrow batch of texts to score: about a dozen numbers for each token and size of gram are held at once
+_RECORD = 1 << 14                 # numbers of a column that a record packs at most
+_RECORDS = 64                     # rows of an Arrow batch of records, or of texts to score: about a dozen numbers for each token and size of gram are held at once
 _NUMBER_ROWS = 20_000             # rows of an Arrow batch of numbers
-_PLACES = 32_768                  # of one bitmap that bitmap_construct_agg builds
-
+_CHUNK_ASKS = 1 << 20             # grams that a worker holds to ask for at once, and documents: their numbers take two bytes
+_CHUNK_DOCS = 1 << 16
+_BLOCK_BITS = 12                  # both places of a gram are among 2**12
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _MULTIPLIER = 0x9E3779B97F4A7C15
@@ -143,42 +151,112 @@ def _places(lengths: np.ndarray) -> np.ndarray:
     return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
 
 
-def extended(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Hash of the gram that is a context (its hash) and one more word."""
+def joined(context: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """Hash of a gram from those of the gram without its last word and the gram without its first."""
     with np.errstate(over="ignore"):
-        return mix(mix(context + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xD6E8FEB86659FD93) + word)
+        return mix(context * np.uint64(0xD6E8FEB86659FD93) + suffix)
 
 
-def _next_size(grams: np.ndarray, flat: np.ndarray) -> np.ndarray:
+def _next_size(grams: np.ndarray) -> np.ndarray:
     """From the hash of the gram that ends at each token to that of the gram of one more word; of use only where it lies within the document."""
-    return extended(np.concatenate([np.zeros(1, np.uint64), grams[:-1]]), flat)
+    return joined(np.concatenate([np.zeros(1, np.uint64), grams[:-1]]), grams)
+
+
+def _range_bits(tokens: int) -> int:
+    """A hash range is named by so many first bits of a gram's hash."""
+    return max(1, math.ceil(math.log2(tokens / RANGE_TOKENS + 1)))
+
+
+def _part(grams: np.ndarray, bits: int) -> np.ndarray:
+    return (grams >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _ascending(keys: np.ndarray, shared: int = 0, exact: bool = True) -> np.ndarray:
+    """Places of keys, all of the same first shared bits, in ascending order; not exact: by their first bits only, as many as fit beside a place.
+
+    Numbers are sorted several times as fast as places are, so the place is put into the last bits of the key.
+    """
+    low = np.uint64((1 << len(keys).bit_length()) - 1)
+    packed = (keys << np.uint64(shared)) & ~low | np.arange(len(keys), dtype=np.uint64)
+    packed.sort()
+    order = (packed & low).astype(np.int64)
+    if exact and (keys[order[1:]] < keys[order[:-1]]).any():
+        return np.argsort(keys)
+    return order
 
 
-def _extended_series(context: pd.Series, word: pd.Series) -> pd.Series:
-    return pd.Series(extended(context.to_numpy(np.int64).view(np.uint64), word.to_numpy(np.int64).view(np.uint64)).view(np.int64))
+def _run_starts(values: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
+
+
+def _matched(keys: np.ndarray, table_: np.ndarray, shared: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of keys, ascending, those that are in a table of distinct ones: their places, and the places there."""
+    order, own = _ascending(keys, shared), _ascending(table_, shared)
+    sought, held = keys[order], table_[own]
+    at = np.searchsorted(held, sought)
+    same = at < len(held)
+    same[same] = held[at[same]] == sought[same]
+    return order[same], own[at[same]]
+
+
+def _records(part: np.ndarray, columns: dict[str, np.ndarray]) -> pa.Table:
+    """Rows (part, columns) as records that hold up to _RECORD numbers of one part, packed; part ascends."""
+    starts = _run_starts(part)
+    cuts = [k for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(part)]) for k in range(a, b, _RECORD)]
+    bounds = np.array([*cuts, len(part)], np.int64)
+    packed = {name: pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer((bounds * column.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(column))])
+              for name, column in columns.items()}
+    return pa.table({"part": pa.array(part[bounds[:-1]]), **packed})
+
+
+def _by_part(keys: np.ndarray, bits: int, columns: dict[str, np.ndarray]) -> pa.Table:
+    """Packed records by the hash range of keys."""
+    order = _ascending(keys, exact=False)
+    return _records(_part(keys[order], bits), {name: column[order] for name, column in columns.items()})
+
+
+def _numbers(records: pa.Table | pa.RecordBatch, name: str, kind: type = np.uint64) -> np.ndarray:
+    return np.frombuffer(b"".join(records.column(name).to_pylist()), kind)
 
 
 @dataclass
 class Places:
-    """Which of 2**bits places the grams of a set fall on: false for no gram of the set."""
+    """Which of 2**bits places the grams of a set fall on, two for each: false for no gram of the set."""
 
     bits: int
     bitmap: np.ndarray
 
     def may_hold(self, grams: np.ndarray) -> np.ndarray:
-        at = (grams >> np.uint64(64 - self.bits)).astype(np.int64)
-        return (self.bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+        first, second = _two_places(grams, self.bits)
+        held = (self.bitmap[first >> 3] >> (first & 7).astype(np.uint8) & 1).astype(bool)
+        at = np.flatnonzero(held)
+        second = second[at]
+        held[at] = self.bitmap[second >> 3] >> (second & 7).astype(np.uint8) & 1
+        return held
+
+
+def _two_places(grams: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The place that a hash's first bits tell, and that of its last bits in the same block."""
+    first = (grams >> np.uint64(64 - bits)).astype(np.int64)
+    return first, first >> _BLOCK_BITS << _BLOCK_BITS | (grams & np.uint64((1 << _BLOCK_BITS) - 1)).astype(np.int64)
 
 
 def places_of(grams: DataFrame, count: int) -> Places:
-    """The places of count grams (gram), sixteen for each up to 2**FILTER_BITS in all."""
+    """The places of count grams (part, gram: packed records), sixteen for each up to 2**FILTER_BITS in all."""
     bits = min(FILTER_BITS, max(15, math.ceil(math.log2(16 * count + 1))))
-    at = grams.select(F.shiftrightunsigned("gram", 64 - bits).alias("at"))
-    found = at.groupBy(F.expr(f"at div {_PLACES}").alias("part")).agg(F.bitmap_construct_agg(F.col("at") % _PLACES).alias("bitmap")).toArrow()
-    bitmap = np.zeros(1 << (bits - 3), np.uint8).reshape(-1, _PLACES // 8)
-    for part, bytes_ in zip(found.column("part").to_pylist(), found.column("bitmap").to_pylist()):
-        bitmap[part] = np.frombuffer(bytes_, np.uint8)
-    return Places(bits, bitmap.reshape(-1))
+
+    def piece(records: pa.Table) -> pa.Table:
+        first, second = _two_places(_numbers(records, "gram"), bits)
+        least, most = int(first.min()) >> _BLOCK_BITS, int(first.max()) >> _BLOCK_BITS
+        held = np.zeros((most - least + 1) << _BLOCK_BITS, bool)
+        held[first - (least << _BLOCK_BITS)] = held[second - (least << _BLOCK_BITS)] = True
+        return pa.table({"block": [least], "bitmap": pa.array([np.packbits(held, bitorder="little").tobytes()], pa.binary())})
+
+    found = grams.select("part", "gram").where("length(gram) > 0").groupBy("part").applyInArrow(piece, "block long, bitmap binary").toArrow()
+    bitmap, block = np.zeros(1 << (bits - 3), np.uint8), 1 << (_BLOCK_BITS - 3)
+    for least, bytes_ in zip(found.column("block").to_pylist(), found.column("bitmap")):
+        bitmap[least * block:][:len(bytes_.as_buffer())] |= np.frombuffer(bytes_.as_buffer(), np.uint8)
+    return Places(bits, bitmap)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -192,50 +270,127 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def gram_counts(docs: DataFrame, size: int, contexts: Places, tokens: int) -> DataFrame:
-    """gram, context, word, n of the grams of size words that occur EDGE_COUNT times after one of the contexts."""
+def packed_words(words: DataFrame, bits: int, tokens: int, kinds: int) -> DataFrame:
+    """Words (gram, n) as records part, gram, n, p: p is a word's probability at the root."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column(1).to_numpy()
+            grams = batch.column(0).to_numpy().view(np.uint64)
+            yield from _by_part(grams, bits, {"gram": grams, "n": n, "p": (n + 1) / float(tokens + kinds + 1)}).to_batches()
+
+    small_batches(words.sparkSession, _NUMBER_ROWS)
+    out = materialize(words.select("gram", "n").mapInArrow(pack, "part long, gram binary, n binary, p binary"), "packed-words")
+    small_batches(words.sparkSession, _RECORDS)
+    return out
+
+
+def frequent(grams: DataFrame, least: int) -> DataFrame:
+    """Of records (part, gram, n) those numbers whose n is least or more."""
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part = np.repeat(batch.column(0).to_numpy(), pc.divide(pc.binary_length(batch.column(1)), 8).to_numpy())
+            n = _numbers(batch, "n", np.int64)
+            at = np.flatnonzero(n >= least)
+            yield from _records(part[at], {"gram": _numbers(batch, "gram")[at], "n": n[at]}).to_batches()
+
+    return grams.select("part", "gram", "n").mapInArrow(chosen, "part long, gram binary, n binary")
+
+
+def gram_counts(docs: DataFrame, size: int, contexts: Places, bits: int) -> DataFrame:
+    """Records context, suffix, n, by the range of the suffix, of the grams of size words that occur EDGE_COUNT times after one of the contexts."""
     asked = docs.sparkSession.sparkContext.broadcast(contexts)
-    range_bits = max(1, math.ceil(math.log2(tokens / RANGE_TOKENS + 1)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for flat, lengths in _chunks(batches):
-            place, below = _places(lengths), flat
+            at, below = np.flatnonzero(_places(lengths) >= size - 1), flat
             for _ in range(size - 2):
-                below = _next_size(below, flat)
-            at = np.flatnonzero(place >= size - 1)
+                below = _next_size(below)
             at = at[asked.value.may_hold(below[at - 1])]
-            grams, first, n = np.unique(extended(below[at - 1], flat[at]), return_index=True, return_counts=True)
-            at, part = at[first], (grams >> np.uint64(64 - range_bits)).astype(np.int64)
-            context, word = below[at - 1], flat[at]
-            order = np.lexsort((context, part))
-            context, word, n = context[order], word[order], n[order].astype(np.uint32)
-            parts, starts = np.unique(part, return_index=True)             # ascending, so sorting by (part, context) moves nothing between parts
-            ends = np.append(starts[1:], len(part))
-            for k in range(0, len(parts), 64):
-                cut = list(zip(starts[k:k + 64].tolist(), ends[k:k + 64].tolist()))
-                yield pa.RecordBatch.from_arrays([pa.array(parts[k:k + 64]), *(pa.array([column[a:b].tobytes() for a, b in cut], pa.binary()) for column in (context, word, n))],
-                                                 names=["part", "context", "word", "n"])
-
-    def total(packed: pa.Table) -> pa.Table:
-        context, word, n = (np.concatenate([np.frombuffer(b, kind) for b in packed.column(name).to_pylist()]) for name, kind in (("context", np.uint64), ("word", np.uint64), ("n", np.uint32)))
-        grams, first, inverse = np.unique(extended(context, word), return_index=True, return_inverse=True)
-        seen = np.bincount(inverse, n, len(grams)).astype(np.int64)
+            grams = joined(below[at - 1], below[at])
+            order = _ascending(grams, exact=False)          # a gram may come in two runs: their counts are added up by its range
+            grams = grams[order]
+            new = _run_starts(grams)
+            first = at[order[new]]
+            n = np.diff(np.append(new, len(grams))).astype(np.uint32)
+            for batch in _records(_part(grams[new], bits), {"context": below[first - 1], "suffix": below[first], "n": n}).to_batches(max_chunksize=_RECORDS):
+                yield batch
+
+    def total(records: pa.Table) -> pa.Table:
+        context, suffix, n = _numbers(records, "context"), _numbers(records, "suffix"), _numbers(records, "n", np.uint32)
+        grams = joined(context, suffix)
+        order = _ascending(grams, bits)
+        new = _run_starts(grams[order])
+        seen = np.add.reduceat(n[order].astype(np.int64), new) if len(new) else np.zeros(0, np.int64)
         keep = np.flatnonzero(seen >= EDGE_COUNT)
-        return pa.table({"gram": grams[keep].view(np.int64), "context": context[first[keep]].view(np.int64), "word": word[first[keep]].view(np.int64), "n": seen[keep]})
-
-    packed = docs.select("text").mapInArrow(count, "part long, context binary, word binary, n binary")
-    return packed.groupBy("part").applyInArrow(total, "gram long, context long, word long, n long")
+        first = order[new[keep]]
+        return _by_part(suffix[first], bits, {"context": context[first], "suffix": suffix[first], "n": seen[keep]})
+
+    schema = "part long, context binary, suffix binary, n binary"
+    return docs.select("text").mapInArrow(count, schema).groupBy("part").applyInArrow(total, schema)
+
+
+def with_suffix(counts: DataFrame, lower: DataFrame, bits: int) -> DataFrame:
+    """The records of counts, by the range of the context, with the probability of the last word after the suffix's context (before)."""
+    def placed(rows: pa.Table, below: pa.Table) -> pa.Table:
+        context, suffix, n = _numbers(rows, "context"), _numbers(rows, "suffix"), _numbers(rows, "n", np.int64)
+        grams, p = _numbers(below, "gram"), _numbers(below, "p", np.float64)
+        asked, at = _matched(suffix, grams, bits)           # a suffix that is not there: the bitmap let the gram pass in vain
+        context, suffix, n, before = context[asked], suffix[asked], n[asked], p[at]
+        return _by_part(context, bits, {"context": context, "suffix": suffix, "n": n, "before": before})
+
+    return counts.groupBy("part").cogroup(lower.select("part", "gram", "p").groupBy("part")).applyInArrow(placed, "part long, context binary, suffix binary, n binary, before binary")
+
+
+def with_context(rows: DataFrame, candidates: DataFrame, penalty: float, bits: int) -> DataFrame:
+    """Records of two kinds by the range of their gram: node false, the grams after a candidate, gram, n, p, weight (nan if the context is no node); node true, the nodes, gram, n, weight."""
+    def judged(rows: pa.Table, totals: pa.Table) -> pa.Table:
+        context, suffix, n, before = _numbers(rows, "context"), _numbers(rows, "suffix"), _numbers(rows, "n", np.int64), _numbers(rows, "before", np.float64)
+        grams, total = _numbers(totals, "gram"), _numbers(totals, "n", np.int64)
+        asked, at = _matched(context, grams, bits)
+        total = total[at]
+        context, suffix, n, before = context[asked], suffix[asked], n[asked], before[asked]
+        new = _run_starts(context)
+        kinds = np.diff(np.append(new, len(context)))
+        added = lambda values: np.add.reduceat(values, new) if len(new) else values
+        seen, least, whole = added(n), added(before), total[new]
+        rest = whole - seen                                 # all other symbols together are one more outcome
+        with np.errstate(divide="ignore", invalid="ignore"):
+            rest_gain = np.where(rest > 0, rest * np.log(rest / whole / np.maximum(1 - least, 1e-12)), 0.0)
+        retained = added(n * np.log(n / total / before)) + rest_gain > penalty * kinds
+        free = 1 - (seen - DISCOUNT * kinds) / whole
+        own, kept = np.repeat(free, kinds), np.repeat(retained, kinds)
+        p = np.where(kept, (n - DISCOUNT) / total + own * before, before)
+        weight = np.where(kept, np.log10(p / before / own), np.nan)
+        gram, nodes = joined(context, suffix), new[retained]
+        edges = _by_part(gram, bits, {"gram": gram, "n": n, "p": p, "weight": weight})
+        nodes = _by_part(context[nodes], bits, {"gram": context[nodes], "n": whole[retained], "p": np.zeros(len(nodes)), "weight": np.log10(free[retained])})
+        return pa.concat_tables([t.add_column(1, "node", pa.array([node] * len(t), pa.bool_())) for t, node in ((edges, False), (nodes, True))])
+
+    return rows.groupBy("part").cogroup(candidates.groupBy("part")).applyInArrow(judged, "part long, node boolean, gram binary, n binary, p binary, weight binary")
+
+
+def edges_of(grams: DataFrame) -> DataFrame:
+    """Of records (part, gram, n, weight) those numbers that have a weight."""
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part = np.repeat(batch.column(0).to_numpy(), pc.divide(pc.binary_length(batch.column(1)), 8).to_numpy())
+            weight = _numbers(batch, "weight", np.float64)
+            at = np.flatnonzero(~np.isnan(weight))
+            yield from _records(part[at], {"gram": _numbers(batch, "gram")[at], "n": _numbers(batch, "n", np.int64)[at], "weight": weight[at]}).to_batches()
+
+    return grams.select("part", "gram", "n", "weight").mapInArrow(chosen, "part long, gram binary, n binary, weight binary")
 
 
 @dataclass
 class Model:
-    """The tree as a table: weights (gram, seen, n, weight) and what the root needs.
+    """The tree as a table of packed records: weights (part, word, gram, n, weight) and what the root needs.
 
-    A gram has up to three rows: n, its count, as a word; its weight as an edge; its weight as a node. seen is its count in each.
+    A gram has up to three places: as a word (word is true, weight empty); its weight as an edge; its weight as a node. n is its count in each.
     """
 
     tokens: int
     words: int
+    bits: int
     weights: DataFrame
 
 
@@ -245,43 +400,36 @@ def learn(docs: DataFrame, depth: int = DEPTH, penalty: float = PENALTY) -> Mode
     small_batches(spark)
     words = materialize(word_counts(docs), "words")
     tokens, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    # p: probability of a gram's last word in the longest retained suffix of the words before it; suffix: the gram without its first word
-    lower = words.where(F.col("n") >= EDGE_COUNT).select("gram", F.lit(0).cast("long").alias("suffix"), "n", ((F.col("n") + 1) / F.lit(float(tokens + kinds + 1))).alias("p"))
-    none, longer = F.lit(0).cast("long").alias("n"), F.pandas_udf(_extended_series, T.LongType())
-    weights = [words.select("gram", F.col("n").alias("seen"), "n", F.lit(0.0).alias("weight"))]
+    bits = _range_bits(tokens)
+    words, counted = packed_words(words, bits, tokens, kinds), words
+    drop_table(counted)
+    # p: probability of a gram's last word in the longest retained suffix of the words before it
+    lower = words
+    weights = [words.select("part", F.lit(True).alias("word"), "gram", "n", F.lit(b"").alias("weight"))]
     for size in range(2, depth + 2):
-        candidates = lower.where(F.col("n") >= CONTEXT_COUNT)
-        found = candidates.count()
+        candidates = materialize(frequent(lower, CONTEXT_COUNT), f"candidates-{size}")
+        found = candidates.agg(F.coalesce(F.sum(F.length("gram")), F.lit(0))).first()[0] // 8
         if not found:
             break
-        small_batches(spark)
-        counts = materialize(gram_counts(docs, size, places_of(candidates, found), tokens), f"counts-{size}")
-        small_batches(spark, _NUMBER_ROWS)
-        rows = counts.join(candidates.select(F.col("gram").alias("context"), F.col("n").alias("total"), F.col("suffix").alias("rest")), "context")
-        rows = rows.select("gram", "context", "n", "total", (F.col("word") if size == 2 else longer("rest", "word")).alias("suffix"))
-        rows = materialize(rows.join(lower.select(F.col("gram").alias("suffix"), F.col("p").alias("before")), "suffix"), f"size-{size}")
+        counts = materialize(gram_counts(docs, size, places_of(candidates, found), bits), f"counts-{size}")
+        rows = materialize(with_suffix(counts, lower, bits), f"size-{size}")
         drop_table(counts)
-        gain = F.col("n") * F.log(F.col("n") / F.col("total") / F.col("before"))
-        nodes = rows.groupBy("context").agg(F.sum(gain).alias("gain"), F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("seen"), F.sum("before").alias("before"), F.max("total").alias("total"))
-        rest = F.col("total") - F.col("seen")              # all other symbols together are one more outcome
-        rest_gain = F.when(rest > 0, rest * F.log(rest / F.col("total") / F.greatest(1 - F.col("before"), F.lit(1e-12)))).otherwise(0.0)
-        free = 1 - (F.col("seen") - DISCOUNT * F.col("kinds")) / F.col("total")
-        retained = materialize(nodes.where(F.col("gain") + rest_gain > penalty * F.col("kinds")).select("context", "total", free.alias("free")), f"retained-{size}")
-        placed = rows.join(retained.select("context", "free"), "context", "left")
-        p = F.coalesce((F.col("n") - DISCOUNT) / F.col("total") + F.col("free") * F.col("before"), "before")
-        placed = placed.select("gram", "suffix", "n", p.alias("p"), F.log10(p / F.col("before") / F.col("free")).alias("weight"))
-        below, lower = lower, materialize(placed, f"lower-{size}")
-        drop_table(rows)
         if size > 2:
-            drop_table(below)
-        weights.append(retained.select(F.col("context").alias("gram"), F.col("total").alias("seen"), none, F.log10("free").alias("weight")))
-        weights.append(materialize(lower.where("weight is not null").select("gram", F.col("n").alias("seen"), "weight"), f"edges-{size}").select("gram", "seen", none, "weight"))
-    return Model(tokens, kinds, reduce(DataFrame.unionByName, weights))
+            drop_table(lower)
+        placed = materialize(with_context(rows, candidates, penalty, bits), f"lower-{size}")
+        drop_table(rows)
+        drop_table(candidates)
+        lower = placed.where("not node")
+        stored = materialize(placed.where("node").select("part", "gram", "n", "weight").unionByName(edges_of(lower)), f"weights-{size}")
+        weights.append(stored.select("part", F.lit(False).alias("word"), "gram", "n", "weight"))
+    if lower is not words:
+        drop_table(lower)
+    return Model(tokens, kinds, bits, reduce(DataFrame.unionByName, weights))
 
 
-def _octave(n: str) -> Column:
+def _octave(n: np.ndarray) -> np.ndarray:
     """Counts by size, eight classes to a doubling: at most 512 of them."""
-    return F.floor(F.log2(n) * 8)
+    return np.floor(np.log2(n) * 8).astype(np.int64)
 
 
 @dataclass
@@ -310,39 +458,93 @@ class Hot:
         return out
 
 
+def _added(grams: np.ndarray, order: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct grams in ascending order, and the sums of their values."""
+    new = _run_starts(grams[order])
+    return grams[order[new]], *(np.add.reduceat(v[order], new) if len(new) else v[:0] for v in values)
+
+
+def _weights(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """part, gram, seen, n (0 unless a word), weight of all numbers in records (part, word, gram, n, weight)."""
+    kinds = pc.divide(pc.binary_length(batch.column(2)), 8).to_numpy()
+    word, seen = np.repeat(batch.column(1).to_numpy(zero_copy_only=False), kinds), _numbers(batch, "n", np.int64)
+    weight = np.zeros(len(seen))
+    weight[~word] = _numbers(batch, "weight", np.float64)
+    return np.repeat(batch.column(0).to_numpy(), kinds), _numbers(batch, "gram"), seen, np.where(word, seen, 0), weight
+
+
 def split_weights(model: Model, most: int = HOT_ENTRIES) -> tuple[Hot, DataFrame, Places]:
-    """(the most frequent grams' weights, at most so many rows of them; all other rows; the places of those)."""
-    classes = sorted(((r[0], r[1]) for r in model.weights.groupBy(_octave("seen").alias("class")).count().collect()), reverse=True)
+    """(the most frequent grams' weights, at most so many of them; records part, gram, n, weight of all others; the places of all)."""
+    def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            octave, rows = np.unique(_octave(_weights(batch)[2]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(octave), pa.array(rows)], names=["class", "rows"])
+
+    def most_frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, grams, seen, n, weight = _weights(batch)
+            at = np.flatnonzero(_octave(seen) >= least)
+            yield pa.RecordBatch.from_arrays([pa.array(grams[at].view(np.int64)), pa.array(n[at]), pa.array(weight[at])], names=["gram", "n", "weight"])
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part, grams, seen, n, weight = _weights(batch)
+            at = np.flatnonzero(_octave(seen) < least)
+            yield from _records(part[at], {"gram": grams[at], "n": n[at], "weight": weight[at]}).to_batches()
+
+    found = sorted(((r[0], r[1]) for r in model.weights.mapInArrow(classes, "class long, rows long").groupBy("class").sum("rows").collect()), reverse=True)
     held, least = 0, 1 << 20
-    for octave, rows in classes:
+    for octave, rows in found:
         if held + rows > most:
             break
         held, least = held + rows, octave
-    hot = model.weights.where(_octave("seen") >= least).select("gram", "n", "weight").toArrow()
-    grams, inverse = np.unique(hot.column("gram").to_numpy().view(np.uint64), return_inverse=True)
-    cold = model.weights.where(_octave("seen") < least)
-    total = lambda name: np.bincount(inverse, hot.column(name).to_numpy(), len(grams))
-    return Hot(grams, total("n").astype(np.int64), total("weight")), cold, places_of(cold, sum(rows for _, rows in classes) - held)
+    hot = model.weights.mapInArrow(most_frequent, "gram long, n long, weight double").toArrow()
+    grams = hot.column("gram").to_numpy().view(np.uint64)
+    cold = model.weights.mapInArrow(others, "part long, gram binary, n binary, weight binary")
+    return Hot(*_added(grams, np.argsort(grams), hot.column("n").to_numpy(), hot.column("weight").to_numpy())), cold, places_of(model.weights, sum(rows for _, rows in found))
 
 
 def score(docs: DataFrame, model: Model, depth: int = DEPTH, hot_entries: int = HOT_ENTRIES) -> DataFrame:
     """docs (doc_id, held_out, text) to doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    spark = docs.sparkSession
-    small_batches(spark, _SCORE_ROWS)
+    spark, bits = docs.sparkSession, model.bits
+    small_batches(spark, _RECORDS)
     hot, cold, places = split_weights(model, hot_entries)
     hot, places = spark.sparkContext.broadcast(hot), spark.sparkContext.broadcast(places)
-    schema = T.StructType([*docs.select("doc_id", "held_out").schema.fields, *T.StructType.fromDDL(
-        "row long, n_tokens long, known long, counted double, raised double, grams array<long>, times array<int>").fields])
+
+    def asks(rows: list[pa.RecordBatch], found: list[np.ndarray], grams: list[np.ndarray], owner: list[np.ndarray], chunk: int) -> Iterator[pa.RecordBatch]:
+        """The records of one chunk of documents: by hash range the grams to look up and whose they are, and once the documents with what is known of them."""
+        numbers = np.concatenate(found, axis=1)
+        kept = pa.Table.from_batches(rows)
+        for k, name in enumerate(("n_tokens", "known", "counted", "raised")):
+            kept = kept.append_column(name, pa.array(numbers[k]))
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, kept.schema) as stream:
+            stream.write_table(kept)
+        grams, owner = np.concatenate(grams), np.concatenate(owner)
+        cut = _by_part(grams, bits, {"gram": grams, "owner": owner})
+        for name, values in (("chunk", pa.array(np.full(len(cut), chunk))), ("docs", pa.nulls(len(cut), pa.binary()))):
+            cut = cut.append_column(name, values)
+        own = pa.table({"part": pa.array([chunk % (1 << bits)], pa.int64()), "gram": pa.array([b""], pa.binary()), "owner": pa.array([b""], pa.binary()), "chunk": pa.array([chunk], pa.int64()),
+                        "docs": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+        yield from pa.concat_tables([own, cut]).to_batches(max_chunksize=_RECORDS)
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row, table_ = TaskContext.get().partitionId() << 40, hot.value
-        for batch, flat, lengths in _hashed(batches, 2):
+        chunk, table_ = TaskContext.get().partitionId() << 40, hot.value
+        rows, numbers, grams, owners, docs_held, held = [], [], [], [], 0, 0
+        for batch, flat, lengths in _hashed((b.slice(k, _CHUNK_DOCS >> 1) for b in batches for k in range(0, len(b), _CHUNK_DOCS >> 1)), 2):
+            if held > _CHUNK_ASKS or docs_held + len(batch) > _CHUNK_DOCS:
+                yield from asks(rows, numbers, grams, owners, chunk)
+                chunk, rows, numbers, grams, owners, docs_held, held = chunk + 1, [], [], [], [], 0, 0
             doc, place = np.repeat(np.arange(len(lengths)), lengths), _places(lengths)
             known, counted, raised = np.zeros(len(lengths)), np.zeros(len(lengths)), np.zeros(len(lengths))
-            grams, owner, own = [], [], flat
+            own = flat
             for d in range(1, depth + 2):
-                own = flat if d == 1 else _next_size(own, flat)
-                at = np.flatnonzero(place >= d - 1)
+                own = flat if d == 1 else _next_size(own)
+                at = np.flatnonzero(place >= d - 1 if d <= depth else (place >= d - 1) & np.append(False, before[:-1]))
+                at = at[places.value.may_hold(own[at])]
+                if d == depth:                              # the longest grams are edges only: their contexts have weights as nodes
+                    before = np.zeros(len(flat), bool)
+                    before[at] = True
                 found = table_.find(own[at])
                 hit, miss = at[found >= 0], at[found < 0]
                 found = found[found >= 0]
@@ -350,30 +552,56 @@ def score(docs: DataFrame, model: Model, depth: int = DEPTH, hot_entries: int =
                 if d == 1:
                     known += np.bincount(doc[hit], table_.n[found] > 0, len(lengths))
                     counted += np.bincount(doc[hit], np.log10(table_.n[found] + 1.0), len(lengths))
-                miss = miss[places.value.may_hold(own[miss])]
                 grams.append(own[miss])
-                owner.append(doc[miss])
-            grams, owner = np.concatenate(grams), np.concatenate(owner)
-            order = np.lexsort((grams, owner))
-            grams, owner = grams[order], owner[order]
-            new = np.flatnonzero(np.append(True, (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1]))) if len(grams) else np.zeros(0, np.int64)
-            times = np.diff(np.append(new, len(grams))).astype(np.int32)
-            offsets = pa.array(np.searchsorted(owner[new], np.arange(len(lengths) + 1)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(row + np.arange(len(lengths))), pa.array(lengths), pa.array(known.astype(np.int64)), pa.array(counted), pa.array(raised),
-                 pa.ListArray.from_arrays(offsets, pa.array(grams[new].view(np.int64))), pa.ListArray.from_arrays(offsets, pa.array(times))], names=[f.name for f in schema.fields])
-            row += len(lengths)
-
-    first = materialize(docs.select("doc_id", "held_out", "text").mapInArrow(one, schema), "asked")
-    asked = first.select("row", F.explode(F.arrays_zip("grams", "times")).alias("g")).select("row", F.col("g.grams").alias("gram"), F.col("g.times").alias("times"))
-    rest = asked.join(cold, "gram").groupBy("row").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more_counted"),
-        F.sum(F.col("times") * F.col("weight")).alias("more_raised"))
-    plus = lambda name: F.col(name) + F.coalesce(f"more_{name}", F.lit(0))
-    base = plus("counted") - F.col("n_tokens") * F.lit(float(np.log10(model.tokens + model.words + 1)))
-    return first.drop("grams", "times").join(rest, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", plus("known").cast("long").alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
-        base.alias("base_score"), (base + plus("raised")).alias("score"))
+                owners.append((doc[miss] + docs_held).astype(np.uint16))
+                held += len(miss)
+            rows.append(batch.select([0, 1]))
+            numbers.append(np.array([lengths, known, counted, raised]))
+            docs_held += len(batch)
+        if rows:
+            yield from asks(rows, numbers, grams, owners, chunk)
+
+    def answered(asked: pa.Table, table_: pa.Table) -> pa.Table:
+        grams, n, weight = _numbers(table_, "gram"), _numbers(table_, "n", np.int64), _numbers(table_, "weight", np.float64)
+        grams, n, weight = _added(grams, _ascending(grams, bits), n, weight)
+        wanted, owner = _numbers(asked, "gram"), _numbers(asked, "owner", np.uint16)
+        sizes = pc.divide(pc.binary_length(asked.column("gram")), 8).to_numpy()
+        record = np.repeat(np.arange(len(sizes)), sizes)
+        hit, at = _matched(wanted, grams, bits)
+        back = np.argsort(hit)
+        hit, at = hit[back], at[back]
+        out = {}
+        for name, chosen in (("word", n[at] > 0), ("gram", weight[at] != 0)):
+            mine = hit[chosen]
+            bounds = np.searchsorted(record[mine], np.arange(len(sizes) + 1))
+            for column, values in ((f"{name}_owner", owner[mine]), (name, np.log10(n[at[chosen]] + 1.0) if name == "word" else weight[at[chosen]])):
+                out[column] = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer((bounds * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+        return pa.table({"chunk": asked.column("chunk"), "docs": asked.column("docs"), **out})
+
+    def summed(records: pa.Table) -> pa.Table:
+        kept = pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in records.column("docs").to_pylist() if x is not None])
+        of = lambda name: _numbers(records, name, np.float64)
+        word_owner, owner = _numbers(records, "word_owner", np.uint16), _numbers(records, "gram_owner", np.uint16)
+        numbers = [kept.column(k).to_numpy() for k in range(2, 6)]
+        known = numbers[1] + np.bincount(word_owner, minlength=len(kept))
+        counted = numbers[2] + np.bincount(word_owner, of("word"), len(kept))
+        base = counted - numbers[0] * math.log10(tokens + words + 1)
+        scored = base + numbers[3] + np.bincount(owner, of("gram"), len(kept))
+        return pa.table([kept.column(0), kept.column(1), pa.array(numbers[0].astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(np.full(len(kept), tokens, np.int64)), pa.array(base), pa.array(scored)],
+                        names=names)
+
+    def scored(some: DataFrame) -> DataFrame:
+        asked = some.select("doc_id", "held_out", "text").mapInArrow(one, "part long, gram binary, owner binary, chunk long, docs binary")
+        back = asked.groupBy("part").cogroup(cold.groupBy("part")).applyInArrow(answered, "chunk long, docs binary, word_owner binary, word binary, gram_owner binary, gram binary")
+        return back.groupBy("chunk").applyInArrow(summed, schema)
+
+    tokens, words = model.tokens, model.words
+    schema = T.StructType([*docs.select("doc_id", "held_out").schema.fields, *T.StructType.fromDDL("n_tokens long, n_known long, train_tokens long, base_score double, score double").fields])
+    names = schema.names
+    passes = min(PASSES, tokens // PASS_TOKENS)
+    if passes < 2:
+        return scored(docs)
+    return reduce(DataFrame.unionByName, [materialize(scored(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(passes)) == k)), f"scored-{k}") for k in range(passes)])
 
 
 @query("op8_suffix_tree_lm")
