@@ -54,10 +54,10 @@ EDGE_COUNT = 2                    # occurrences of a next symbol that is stored
 PENALTY = 4.0
 DISCOUNT = 0.5
 FILTER_BITS = 27                  # a bitmap has at most 2**27 places, 16 MB
-RANGE_TOKENS = 1 << 19            # tokens whose grams share a hash range, about
+RANGE_TOKENS = 1 << 21            # tokens whose grams share a hash range, about
 HOT_ENTRIES = 1 << 20             # weights of the most frequent grams, broadcast
 PASSES = 3                        # passes over the documents to score: what one asks for is on disk at a time
-PASS_TOKENS = 1 << 23             # training tokens for each pass at least
+PASS_TOKENS = 1 << 22             # training tokens for each pass at least
 _CHUNK_TOKENS = 2_000_000         # tokens whose grams a worker reduces at once
 _BLOCK = 1 << 20                  # bytes of text hashed at once
 _RECORD = 1 << 14                 # numbers of a column that a record packs at most
@@ -570,12 +570,14 @@ def score(docs: DataFrame, model: Model, depth: int = DEPTH, hot_entries: int =
         hit, at = _matched(wanted, grams, bits)
         back = np.argsort(hit)
         hit, at = hit[back], at[back]
+        word, edge = np.flatnonzero(n[at] > 0), np.flatnonzero(weight[at] != 0)
+        whose = record[hit].astype(np.uint64) << np.uint64(16) | owner[hit]
+        summed, raised = _added(whose[edge], _ascending(whose[edge]), weight[at[edge]])       # one number for a document, however many of its grams are of this range
         out = {}
-        for name, chosen in (("word", n[at] > 0), ("gram", weight[at] != 0)):
-            mine = hit[chosen]
-            bounds = np.searchsorted(record[mine], np.arange(len(sizes) + 1))
-            for column, values in ((f"{name}_owner", owner[mine]), (name, np.log10(n[at[chosen]] + 1.0) if name == "word" else weight[at[chosen]])):
-                out[column] = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer((bounds * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+        for name, mine, values in (("word", whose[word], np.log10(n[at[word]] + 1.0)), ("gram", summed, raised)):
+            bounds = np.searchsorted(mine >> np.uint64(16), np.arange(len(sizes) + 1).astype(np.uint64))
+            for column, numbers in ((f"{name}_owner", mine.astype(np.uint16)), (name, values)):
+                out[column] = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer((bounds * numbers.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(numbers))])
         return pa.table({"chunk": asked.column("chunk"), "docs": asked.column("docs"), **out})
 
     def summed(records: pa.Table) -> pa.Table:

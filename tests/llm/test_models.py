@@ -1,5 +1,6 @@
 """Toxicity, language ID and the suffix-tree model: held-out accuracy, probabilities, brute-force counts, odd input."""
 import math
+import os
 import random
 import zlib
 from collections import Counter
@@ -247,6 +248,27 @@ def test_lm_full_bitmaps_change_no_score(spark, sf, monkeypatch):
     assert {r.doc_id: r.score for r in got} == {i: pytest.approx(s) for i, s in want.items()}
 
 
+@pytest.mark.parametrize("passes", [1, 3])
+def test_lm_scoring_stores_results_alone(spark, sf, monkeypatch, passes):
+    rows, stored = [(i, f"{text} " * 20) for i, text in tree_rows()], []
+    docs = spark.read.parquet(sf(documents=documents(rows)) + "/documents.parquet").withColumn("held_out", F.col("doc_id") % 5 == 0)
+    model = suffix_tree_lm.learn(docs.where("not held_out"))
+    want = {r.doc_id: r.score for r in suffix_tree_lm.score(docs, model).collect()}
+
+    def kept(df, label):
+        out = materialize(df, label)
+        stored.append(sum(os.path.getsize(f.removeprefix("file:")) for f in out.inputFiles()))
+        return out
+
+    materialize = suffix_tree_lm.materialize
+    monkeypatch.setattr(suffix_tree_lm, "materialize", kept)
+    monkeypatch.setattr(suffix_tree_lm, "PASSES", passes, raising=False)
+    monkeypatch.setattr(suffix_tree_lm, "PASS_TOKENS", 1, raising=False)
+    got = suffix_tree_lm.score(docs, model, hot_entries=0).collect()
+    assert {r.doc_id: r.score for r in got} == {i: pytest.approx(s) for i, s in want.items()} and len(got) == len(rows)
+    assert sum(stored) < 40_000 and len(stored) == (passes if passes > 1 else 0)     # not the grams that are asked for
+
+
 @pytest.mark.parametrize("block", [1, 7, 1 << 20])
 def test_lm_words_are_hashed_alike_wherever_texts_are_cut(monkeypatch, odd_texts, block):
     monkeypatch.setattr(suffix_tree_lm, "_BLOCK", block)
