@@ -38,16 +38,19 @@ _AT_ONCE_BYTES = 1 << 20
 _AT_ONCE = "map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '_corrupt', 'allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'false')"
 
 
-def with_shape(df: DataFrame, value: str, shape: str, out: str) -> DataFrame:
-    """Adds the JSON value that the text of a column holds as a struct of the type shape, read in one pass; members outside it are skipped.
+def with_shapes(df: DataFrame, value: str, shapes: dict[str, tuple[str, str]]) -> DataFrame:
+    """Adds, by name, the JSON value that the text of a column holds as a struct of a type, in the rows that a condition holds for: shapes
+    gives (type, condition). Read in one pass; members outside the type are skipped.
 
     Null says nothing: the text may hold no value, several, one of another shape, or one that has to be read as a whole. The text is
     parsed inside brackets; as it has no "]" of its own, nothing but one value with nothing behind it gives one element.
     """
-    read = (f"case when not contains({value}, ']') and octet_length({value}) <= {_AT_ONCE_BYTES} "
-            f"then from_json(concat('{{\"v\":[', {value}, ']}}'), 'v array<{shape}>, _corrupt string', {_AT_ONCE}) end")
-    parsed = df.withColumn("_read", F.expr(read))
-    return parsed.withColumn(out, F.expr("case when _read._corrupt is null and size(_read.v) = 1 then _read.v[0] end")).drop("_read")
+    read = {f"_read{name}": F.expr(
+        f"case when {condition} and not contains({value}, ']') and octet_length({value}) <= {_AT_ONCE_BYTES} "
+        f"then from_json(concat('{{\"v\":[', {value}, ']}}'), 'v array<{shape}>, _corrupt string', {_AT_ONCE}) end")
+        for name, (shape, condition) in shapes.items()}
+    found = {name: F.expr(f"case when _read{name}._corrupt is null and size(_read{name}.v) = 1 then _read{name}.v[0] end") for name in shapes}
+    return df.withColumns(read).withColumns(found).drop(*read)
 
 
 def at(document: str, path: str) -> str:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from starloom.catalog import CATALOG, Catalog, EntitySpec, Field, Kind
 from starloom.functions.scalars import operation_letter, text
-from starloom.functions.strict_json import at, is_object, kind_of, let, parsed_steps, present, typed, with_shape
+from starloom.functions.strict_json import at, is_object, kind_of, let, parsed_steps, present, typed, with_shapes
 from starloom.session import materialize
 
 CURATED, IGNORED = "curated", "ignored"
@@ -94,19 +94,19 @@ def _per_entity(catalog: Catalog, expression) -> str:
 _USUAL = {Kind.BIGINT: "bigint", Kind.INTEGER: "int", Kind.BOOLEAN: "boolean", Kind.MILLIS: "bigint", Kind.TEXT: "variant", Kind.DECIMAL_TEXT: "variant"}
 
 
-def _usual_value(field: Field) -> str:
-    member = f"_change.after.`{field.source}`"
+def _usual_value(field: Field, change: str) -> str:
+    member = f"{change}.after.`{field.source}`"
     return f"try_variant_get({member}, '$', 'string')" if _USUAL[field.kind] == "variant" else member
 
 
-def _usual_ok(field: Field) -> str:
+def _usual_ok(field: Field, change: str) -> str:
     """Whether the typed pass tells the field's value; a member of a wrong kind made a number or boolean unreadable before."""
-    member = f"_change.after.`{field.source}`"
+    member = f"{change}.after.`{field.source}`"
     if field.kind is Kind.TEXT:
         return f"coalesce({kind_of(member)} in ('STRING', 'VOID'), true)" if field.nullable else f"coalesce({kind_of(member)} = 'STRING', false)"
     if not field.nullable:
-        return f"{_usual_value(field)} is not null"
-    return f"({_usual_value(field)} is not null or not {present(member)})" if field.kind is Kind.DECIMAL_TEXT else "true"
+        return f"{_usual_value(field, change)} is not null"
+    return f"({_usual_value(field, change)} is not null or not {present(member)})" if field.kind is Kind.DECIMAL_TEXT else "true"
 
 
 def _result(outcome: str, message: str, operation: str, ts: str, values: dict[str, str]) -> str:
@@ -120,23 +120,31 @@ def _own(entities: list[str], catalog: Catalog, value: str) -> str:
 
 
 def _with_usual(known: DataFrame, catalog: Catalog) -> DataFrame:
-    """known with _usual, the result of a row that one typed pass shows to be curated; null for a row to be judged in full."""
-    owners = _owners(catalog).values()
-    members = {field.source: f"`{field.source}`: {_USUAL[field.kind]}" for field, _ in owners}
-    if len({name.lower() for name in members}) < len(owners):             # one member for two fields, or names that differ in case alone
+    """known with _usual, the result of a row that one typed pass shows to be curated; null for a row to be judged in full.
+
+    A row is read into a struct of its own entity's members: the reader's cost grows with the members it could find, not with those there."""
+    owners = _owners(catalog)
+    if any(len({f.source.lower() for f in s.fields}) < len(s.fields) for s in catalog) or any(
+            f.kind is not owners[f.name][0].kind for s in catalog for f in s.fields):     # names that differ in case alone, or a column of two kinds
         return known.withColumn("_usual", F.lit(None))
-    change = f"op: variant, source: struct<ts_ms: bigint>, after: struct<{', '.join(members.values())}>"
-    read = with_shape(known, "value", f"struct<payload: struct<{change}>, {change}>", "_shape")
-    # an object without "payload" is the change itself; a name may be spelled in escapes
-    placed = read.withColumn("_change", F.expr(
-        "case when _shape.payload.after is not null then _shape.payload when _shape.after is not null and not contains(value, 'payload') "
-        "and not contains(value, concat(chr(92), 'u')) then named_struct('op', _shape.op, 'source', _shape.source, 'after', _shape.after) end"))
-    fields_ok = _per_entity(catalog, lambda s: " and ".join(_usual_ok(f) for f in s.fields))
-    code = "try_variant_get(_change.op, '$', 'string')"
-    values = {field.name: _own(entities, catalog, _usual_value(field)) for field, entities in owners}
-    usual = f"_change.source.ts_ms is not null and coalesce({kind_of('_change.op')} in ('STRING', 'VOID'), true) and {fields_ok}"
-    result = _result(f"'{CURATED}'", "cast(null as string)", _operation(code), "_change.source.ts_ms", values)
-    return placed.withColumn("_usual", F.expr(f"case when {usual} then {result} end")).drop("_shape", "_change")
+    change = {s.entity: f"_change_{i}" for i, s in enumerate(catalog)}
+    shapes, changes = {}, {}
+    for i, spec in enumerate(catalog):
+        members = ", ".join(f"`{f.source}`: {_USUAL[f.kind]}" for f in spec.fields)
+        body = f"op: variant, source: struct<ts_ms: bigint>, after: struct<{members}>"
+        shapes[f"_shape_{i}"] = (f"struct<payload: struct<{body}>, {body}>", f"entity = '{spec.entity}'")
+        # an object without "payload" is the change itself; a name may be spelled in escapes
+        changes[f"_change_{i}"] = F.expr(
+            f"case when _shape_{i}.payload.after is not null then _shape_{i}.payload when _shape_{i}.after is not null and not contains(value, 'payload') "
+            f"and not contains(value, concat(chr(92), 'u')) then named_struct('op', _shape_{i}.op, 'source', _shape_{i}.source, 'after', _shape_{i}.after) end")
+    placed = with_shapes(known, "value", shapes).withColumns(changes).drop(*shapes)
+    code = _per_entity(catalog, lambda s: f"try_variant_get({change[s.entity]}.op, '$', 'string')")
+    usual = _per_entity(catalog, lambda s: f"{change[s.entity]}.source.ts_ms is not null and coalesce({kind_of(f'{change[s.entity]}.op')} in ('STRING', 'VOID'), true) and "
+                        + " and ".join(_usual_ok(f, change[s.entity]) for f in s.fields))
+    values = {name: "case entity " + " ".join(f"when '{e}' then {_usual_value(field, change[e])}" for e in entities) + " end" for name, (field, entities) in owners.items()}
+    result = _result(f"'{CURATED}'", "cast(null as string)", _operation("_code"), _per_entity(catalog, lambda s: f"{change[s.entity]}.source.ts_ms"), values)
+    told = placed.withColumn("_code", F.expr(code))
+    return told.withColumn("_usual", F.expr(f"case when {usual} then {result} end")).drop("_code", *changes)
 
 
 def _in_full(catalog: Catalog) -> str:
