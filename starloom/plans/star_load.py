@@ -16,6 +16,7 @@ from starloom.operators import dims, facts
 from starloom.operators.latest import RECENT
 from starloom.operators.lineage import LOAD_JOB, LineageLog
 from starloom.operators.telemetry import error_rows, stage_rows
+from starloom.session import in_passes
 from starloom.sources.tables import FolderTable, TelemetryTable, VersionedTable
 
 PARTITION_COLUMNS = {"fact_order": "order_date_key", "fact_order_line": "order_date_key", "fact_transaction": "txn_date_key"}
@@ -76,13 +77,13 @@ def load_star(
 
     snapshot maps each entity to a stored frame, as it is read more than once (see CuratedStore.snapshots).
     Every stage writes its table and later stages read it back, so surrogate keys are fixed before any fact uses
-    them. Facts are rebuilt from the whole snapshot; an empty entity leaves its table as it was.
+    them. Facts are rebuilt from the whole snapshot, large ones in passes; an empty entity leaves its table as it was.
     """
     report = LoadReport()
     loaded: set[str] = set()
     read = lambda name: store[name].read()
 
-    def stage(name: str, build: Callable[[], DataFrame], *sources: DataFrame) -> None:
+    def stage(name: str, build: Callable[[], DataFrame | list[DataFrame]], *sources: DataFrame) -> None:
         started = time.monotonic()
         try:
             if not sources or not sources[0].isEmpty():
@@ -108,6 +109,9 @@ def load_star(
     keys = lambda: dims.date_keys([(s["orders"], "placedAtUtc"), (s["transactions"], "occurredAtUtc")], batch_ts)
     newest, arrival = list(RECENT), list(order)
 
+    def parts(name: str, entity: str, key: str) -> list[DataFrame]:
+        return in_passes(s[entity], key) if store[name].takes_parts else [s[entity]]
+
     def order_context() -> DataFrame:
         # fact_order was just built from the same orders, so its keys need not be resolved again
         if "fact_order" in loaded:
@@ -121,12 +125,12 @@ def load_star(
         read("dim_customer"), s["customers"], batch_ts, newest, arrival), s["customers"])
     stage("dim_product", lambda: dims.merge_dim_product(
         read("dim_product"), s["products"], s["product-categories"], batch_ts, newest, arrival), s["products"])
-    stage("fact_order", lambda: facts.fact_order(s["orders"], read("dim_customer")), s["orders"])
-    stage("fact_order_line", lambda: facts.fact_order_line(
-        s["order-lines"], order_context(), read("dim_product"), read("dim_warehouse")), s["order-lines"])
-    stage("fact_transaction", lambda: facts.fact_transaction(s["transactions"]), s["transactions"])
-    stage("fact_inventory_snap", lambda: facts.fact_inventory_snap(
-        s["product-inventory"], read("dim_product"), read("dim_warehouse"), batch_ts), s["product-inventory"])
+    stage("fact_order", lambda: [facts.fact_order(p, read("dim_customer")) for p in parts("fact_order", "orders", "orderId")], s["orders"])
+    stage("fact_order_line", lambda: [facts.fact_order_line(
+        p, order_context(), read("dim_product"), read("dim_warehouse")) for p in parts("fact_order_line", "order-lines", "orderId")], s["order-lines"])
+    stage("fact_transaction", lambda: [facts.fact_transaction(p) for p in parts("fact_transaction", "transactions", "transactionId")], s["transactions"])
+    stage("fact_inventory_snap", lambda: [facts.fact_inventory_snap(
+        p, read("dim_product"), read("dim_warehouse"), batch_ts) for p in parts("fact_inventory_snap", "product-inventory", "productId")], s["product-inventory"])
 
     report.counts = snapshot_counts(snapshot, catalog)
     elapsed = int((time.monotonic() - started) * 1000)

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 # Limits, each overridable on the session as spark.starloom.<name>.
 DEFAULTS = {
     "broadcastBytes": 64 * 1024 * 1024,   # a join side is broadcast only if it measures at most this
+    "passBytes": 256 * 1024 * 1024,       # rows that Spark takes for larger are shuffled in several passes
 }
 # Rows of a Parquet file take about so many times its bytes, and a hash table of rows up to four times theirs.
 _ROWS_OF_FILE, _TABLE_OF_ROWS = 8, 4
@@ -104,7 +105,7 @@ _dropping, _dropping_lock = [0, "false"], threading.Lock()         # how many wr
 
 
 @contextlib.contextmanager
-def _shuffles_dropped(spark: SparkSession):
+def shuffles_dropped(spark: SparkSession):
     """Spark removes the shuffle files of what is run within the block as soon as it has run, not when the driver next collects garbage."""
     with _dropping_lock:
         if not _dropping[0]:
@@ -132,21 +133,36 @@ def _new_cut_point(spark: SparkSession, label: str) -> str:
     return f"{getattr(_open, 'folder', None) or _cut_points(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def _stored(df: DataFrame, path: str) -> DataFrame:
+def _stored(df: DataFrame, path: str, options: dict[str, str] | None = None) -> DataFrame:
     spark = df.sparkSession
-    with _shuffles_dropped(spark):
-        df.write.parquet(path)
+    with shuffles_dropped(spark):
+        df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+COMPACT = {"compression": "zstd"}           # for tables that stay a while: a third smaller than Spark's own choice
+
+
 def materialize_all(frames: dict[str, DataFrame], at_once: int = 4) -> dict[str, DataFrame]:
-    """materialize of independent frames by label, several at a time: cores that a frame of few tasks leaves idle work on the next."""
+    """materialize of independent frames by label, several at a time: cores that a frame of few tasks leaves idle work on the next. As
+    all of them lie there together, they are stored compactly."""
     paths = {label: _new_cut_point(df.sparkSession, label) for label, df in frames.items()}      # here: the folder is this thread's
     with ThreadPoolExecutor(at_once) as pool:
-        written = {label: pool.submit(inheritable_thread_target(df.sparkSession)(_stored), df, paths[label]) for label, df in frames.items()}
+        written = {label: pool.submit(inheritable_thread_target(df.sparkSession)(_stored), df, paths[label], COMPACT) for label, df in frames.items()}
         return {label: job.result() for label, job in written.items()}
 
 
+_MOST_PASSES, _UNKNOWN_BYTES = 8, 1 << 50
+
+
+def in_passes(df: DataFrame, key: str) -> list[DataFrame]:
+    """df cut by a hash of key into parts to be shuffled one after the other, so that only one part's shuffle files lie on disk: as many as its
+    size as Spark estimates it asks for, at most eight, so that df is never read more often. df has to give the same rows each time it is read."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    passes = min(_MOST_PASSES, -(-size // limit(df.sparkSession, "passBytes"))) if size < _UNKNOWN_BYTES else 1
+    return [df.where(F.pmod(F.xxhash64(key), F.lit(passes)) == i) for i in range(passes)] if passes > 1 else [df]
+
+
 _FIXED_WIDTH = {T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4}
 
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.session import materialize
+from starloom.session import COMPACT, materialize, shuffles_dropped
 from starloom.sources.files import committed, exists, remove
 
 _VERSION, _BATCH = "version=", "batch_id="
@@ -50,16 +51,24 @@ class VersionedTable:
             return self.spark.createDataFrame([], self.schema)
         return self._content(self._folder(*found[-1])).select(self.schema.names)
 
-    def replace(self, df: DataFrame, batch: str = "") -> DataFrame:
-        """Write df as the new content and return it as read back; nothing if the current version came from this batch."""
+    @property
+    def takes_parts(self) -> bool:
+        """Whether replace may be given its rows in parts without making files much smaller."""
+        return True
+
+    def replace(self, df: DataFrame | list[DataFrame], batch: str = "") -> DataFrame:
+        """Write df as the new content and return it as read back; nothing if the current version came from this batch. Of several
+        frames, which together are the content, one is shuffled and written after the other."""
         found = self._committed()
         if not (batch and found and found[-1][1] == batch):
-            rows = df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
             number = found[-1][0] + 1 if found else 0
-            self._write(rows, number, batch)
+            self._write([self._typed(part) for part in (df if isinstance(df, list) else [df])], number, batch)
             self._trim(found)
         return self.read()
 
+    def _typed(self, df: DataFrame) -> DataFrame:
+        return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
+
     def _trim(self, found: list[tuple[int, str]]) -> None:
         """After a write beside the versions found: only the last keep stay."""
         for old in found[:max(0, len(found) + 1 - self.keep)]:
@@ -72,8 +81,12 @@ class VersionedTable:
     def _together(self, rows: DataFrame) -> DataFrame:
         return rows.hint("rebalance", *self.partition_by).sortWithinPartitions(*self.partition_by) if self.partition_by else rows
 
-    def _write(self, rows: DataFrame, number: int, batch: str) -> None:
-        self._together(rows).write.mode("overwrite").parquet(self._folder(number, batch))
+    def _write(self, parts: list[DataFrame], number: int, batch: str) -> None:
+        for i, rows in enumerate(parts):
+            commits = str(i == len(parts) - 1).lower()                   # the version is committed when its last part is written
+            with shuffles_dropped(self.spark):
+                (self._together(rows).write.mode("append" if i else "overwrite").options(**COMPACT, **{"mapreduce.fileoutputcommitter.marksuccessfuljobs": commits})
+                 .parquet(self._folder(number, batch)))
 
     def _forget(self) -> None:
         """What else goes with the versions that went."""
@@ -92,6 +105,10 @@ class FolderTable(VersionedTable):
 
     months: bool = False
 
+    @property
+    def takes_parts(self) -> bool:
+        return self.months                                               # a part gives each of its folders a file of its own
+
     def _key(self) -> tuple[str, Column]:
         date_key = self.partition_by[0]
         return (f"{date_key}_month", F.floor(F.col(date_key) / 100).cast("int")) if self.months else (date_key, F.col(date_key))
@@ -117,27 +134,29 @@ class FolderTable(VersionedTable):
         return rows.groupBy(self._key()[1].cast("string").alias("_of")).agg(
             F.count(F.lit(1)).alias("_rows"), F.bit_xor(whole[0]).alias("_mixed"), F.sum(whole[1].cast("decimal(38,0)")).cast("string").alias("_summed"))
 
-    def _make(self, rows: DataFrame, number: int) -> None:
-        """Write rows as the folders of their keys."""
+    def _make(self, parts: list[DataFrame], number: int) -> None:
+        """Write rows, which may come in parts, as the folders of their keys."""
         name, key = self._key()
-        (rows.withColumn(name, key).hint("rebalance", name).sortWithinPartitions(*dict.fromkeys([name, *self.partition_by])).write.mode("overwrite")
-         .partitionBy(name).parquet(f"{self.path}/{_WRITE}{number}"))
+        for i, rows in enumerate(parts):
+            with shuffles_dropped(self.spark):
+                (rows.withColumn(name, key).hint("rebalance", name).sortWithinPartitions(*dict.fromkeys([name, *self.partition_by])).write
+                 .mode("append" if i else "overwrite").options(**COMPACT).partitionBy(name).parquet(f"{self.path}/{_WRITE}{number}"))
 
     def update(self, rows: DataFrame, keys: set[str | None], batch: str = "") -> None:
         """A new version in which rows are the whole content of the folders keys; all other folders stay unread."""
         found = self._committed()
         number = found[-1][0] + 1 if found else 0
-        self._write(rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]), number, batch, keys)
+        self._write([self._typed(rows)], number, batch, keys)
         self._trim(found)
 
-    def _write(self, rows: DataFrame, number: int, batch: str, keys: set[str | None] | None = None) -> None:
-        """keys: the folders that rows are the content of; all, if None."""
+    def _write(self, parts: list[DataFrame], number: int, batch: str, keys: set[str | None] | None = None) -> None:
+        """keys: the folders that the parts are the content of; all, if None."""
         key, found = self._key()[1], self._committed()
         if not found:                                                   # every folder is new: the rows are written once and read back
-            self._make(rows, number)
+            self._make(parts, number)
             now = materialize(self._digests(self._content_of([f"{self.path}/{_WRITE}{number}"])).withColumn("_made", F.lit(number)), "folders")
         else:
-            rows = materialize(rows, "folders")                        # digests and files must come from the same rows
+            rows = reduce(DataFrame.unionByName, [materialize(part, "folders") for part in parts])          # digests and files must come from the same rows
             now = self._digests(rows)
             same = ["_rows", "_mixed", "_summed"]
             old = self._list(found[-1]).select(*[F.col(c).alias(f"old{c}") for c in ("_of", *same)], "_made")
@@ -152,7 +171,7 @@ class FolderTable(VersionedTable):
             now = materialize(now, "folders")
             fresh = now.where(F.col("_made") == number).select("_of")
             if not fresh.isEmpty():
-                self._make(rows.join(fresh, key.cast("string").eqNullSafe(F.col("_of")), "left_semi"), number)
+                self._make([rows.join(fresh, key.cast("string").eqNullSafe(F.col("_of")), "left_semi")], number)
         now.coalesce(1).write.mode("overwrite").parquet(self._folder(number, batch))          # the commit: a row per folder
 
     def _forget(self) -> None:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from starloom.catalog import CATALOG
 from starloom.operators.lookup import lookup
-from starloom.session import prepare
+from starloom.session import materialize_all, prepare
 from starloom.sources.raw import to_envelopes
 
 SPARK = {"ms": "unix_millis(cast({0} as timestamp))", "div": "div", "md5": "md5(cast({0} as string))"}
@@ -161,6 +161,13 @@ def curated_rows(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
         (F.lit(BASE_TS) + offset).alias("sourceTsMs"), offset.alias("offset"), F.lit(0).alias("partition"))
 
 
+def stored_frames(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Frames by entity as stored ones. An entity that takes its rows one by one from one of the driver's tables is stored already, there;
+    only those that are joined or aggregated are written."""
+    made = {e: df for e, df in frames.items() if " " in MAPPINGS[e][1]}
+    return {**frames, **materialize_all(made)}
+
+
 def stage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as pipeline stage rows."""
     return table(spark, sf_dir, "events").select(

@@ -20,7 +20,7 @@ from starloom.operators.scd import close_version, current_versions
 from starloom.plans import conform, marts
 from starloom.plans.star_load import LoadLog, StarStore, load_star
 from starloom.session import materialize, materialize_all, shared_dir
-from starloom.testbed.frames import curated_rows, plain, rows_sql, source_rows, table
+from starloom.testbed.frames import curated_rows, plain, rows_sql, source_rows, stored_frames, table
 from starloom.testbed.registry import query
 
 BATCH = datetime(2026, 7, 25, 12)
@@ -474,7 +474,7 @@ def star_load_recoded(spark, sf_dir):
                  "product-categories": again("product-categories", F.lit(True), name=F.concat(F.lit("new "), "name")),
                  "orders": again("orders", F.col("orderId") % 4 == 0, orderNumber=F.concat("orderNumber", F.lit("b")))}
     store = StarStore(spark, f"{shared_dir(spark)}/star-{uuid.uuid4().hex}", day_folders=False)
-    load_star(materialize_all(snapshot), store, BATCH, "trace")
+    load_star(stored_frames(snapshot), store, BATCH, "trace")
     tables = store.read()
     renamed = {"dim_warehouse": F.col("code").startswith("NEW-"), "dim_product(current)": F.col("category_name").startswith("new ")}
     parts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"), F.count_if(renamed.get(name, F.lit(False))).alias("renamed"))
