@@ -492,7 +492,7 @@ UNION ALL SELECT 'dim_date', 'ok', NULL UNION ALL SELECT 'dim_warehouse', 'faile
 UNION ALL SELECT 'dim_warehouse-load-failed', 'error', NULL""")
 def load_stage_rows(spark, sf_dir):
     """What a load and a failing load leave behind as telemetry tables."""
-    snapshot = materialize_all({e: curated_rows(spark, sf_dir, e) for e in (
+    snapshot = stored_frames({e: curated_rows(spark, sf_dir, e) for e in (
         "order-lines", "product-inventory", "orders", "shipments", "transactions", "customers", "products", "product-categories", "warehouses")})
     root = f"{shared_dir(spark)}/load-{uuid.uuid4().hex}"
     log = LoadLog(spark, f"{root}/log")
